@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from solidspark.llm import linedup, sharding, substring
+from solidspark.llm import linedup, minhash, sharding, substring
 from solidspark.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), 16)
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.dedup_spans(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_sentences", F.size("removed").cast("long").alias("n_removed"), "text")
@@ -43,13 +47,30 @@ def _repeats_sql(units: str, glue: str, run: int, min_chars: int, n: str) -> str
     from lists l left join kept k on l.doc_id = k.doc_id"""
 
 
+#: Brute force: every pair of sets that share a shingle.
+NEAR_SQL = r"""
+    with recursive words as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+    sets as (select doc_id, case when len(w) = 0 then []::varchar[] when len(w) < 5 then [array_to_string(w, ' ')]
+                            else list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) end s from words),
+    classes as (select min(doc_id) rep, s, len(s) n from sets where len(s) > 0 group by s),
+    flat as (select rep, n, unnest(s) g from classes),
+    links as (select a.rep x, b.rep y from flat a join flat b on a.g = b.g and a.rep < b.rep
+              group by a.rep, b.rep, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+    both_ways as (select x, y from links union all select y, x from links),
+    reach as (select rep x, rep y from classes union select r.x, e.y from reach r join both_ways e on r.y = e.x),
+    comp as (select x rep, min(y) component_id from reach group by x)
+    select d.doc_id, len(d.s)::bigint n_shingles, coalesce(m.component_id, d.doc_id) component_id, coalesce(m.component_id, d.doc_id) = d.doc_id kept
+    from sets d left join classes c on d.s = c.s left join comp m on c.rep = m.rep"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op5_substring_dedup, op8_line_dedup)}
+    return {f.__name__: f for f in (op1_sharding, op4_minhash_near_dedup, op5_substring_dedup, op8_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
     sentences = r"list_filter(string_split(regexp_replace(text, '([.!?][ \n\t\r]|\n)', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '')"
     return {
+        "op4_minhash_near_dedup": NEAR_SQL,
         "op5_substring_dedup": _repeats_sql(sentences, "", 3, 40, "n_sentences"),
         "op8_line_dedup": _repeats_sql("string_split(text, chr(10))", "' || chr(10) || '", 3, 1, "n_lines"),
     }
