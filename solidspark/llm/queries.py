@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from solidspark.llm import linedup, minhash, sharding, substring
+from solidspark.llm import linedup, minhash, packing, sharding, simhash, substring
 from solidspark.llm.common import table
 
 
@@ -24,11 +25,19 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_sentences", F.size("removed").cast("long").alias("n_removed"), "text")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linedup.dedup_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "text")
 
 
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def _repeats_sql(units: str, glue: str, run: int, min_chars: int, n: str) -> str:
     """Runs of units found repeated, on texts instead of hashes. units: a list for the text t."""
     key = ", ".join(f"lead(u, {k}) over w" for k in range(run))
@@ -64,7 +73,7 @@ NEAR_SQL = r"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op4_minhash_near_dedup, op5_substring_dedup, op8_line_dedup)}
+    return {f.__name__: f for f in (op1_sharding, op4_minhash_near_dedup, op5_substring_dedup, op7_best_fit_packing, op8_line_dedup, op10_document_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
