@@ -49,6 +49,12 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def lower_words(text: str | None) -> list[bytes]:
+    """The words of a text in ASCII lower case, in UTF-8: lower() of bytes touches A-Z only, and their
+    split() knows exactly the white space of WORD."""
+    return text.encode("utf-8").lower().split() if text else []
+
+
 def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     """Equality of the named columns that also holds for two nulls."""
     cond = F.lit(True)

@@ -9,8 +9,9 @@ similarity 0.75 shares no band with probability (1 - 0.75**4)**32 < 1e-5.
 Texts with one set are one class and are compared once. In every bucket (band value) all members are
 joined to the bucket's smallest document only: a star, linear in the bucket. The edges are confirmed
 on whole sets. Members of a bucket that are then still in several components are compared again, with
-further centres, ``CENTRES`` a round, until no bucket has an uncompared pair across components: so the
-star loses no link among a bucket's members. No round makes more than ``CENTRES`` edges a member.
+further centres, at least ``CENTRES`` a round and more while a round's pairs stay under 4 a row of the
+table, until no bucket has an uncompared pair across components: so the star loses no link among a
+bucket's members, and no round's work is more than linear.
 
 Defined cases: null or empty texts and texts without words have an empty set, are linked with nothing
 and kept; fewer words than a shingle are one shingle; rows that repeat a doc_id are one node (where their texts differ, the links are confirmed on the
@@ -22,8 +23,8 @@ other columns are not read.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,16 +32,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from solidspark.llm.common import WORD, stage
+from solidspark.llm.common import lower_words, stage
 from solidspark.llm.components import smallest_reachable
 
 BINS, ROWS, SHINGLE = 128, 4, 5
-#: Centres of a bucket in a round after the first.
+#: Centres of a bucket in a round after the first, at least.
 CENTRES = 16
 #: Members confirmed against one copy of their centre's set in one task.
 CHUNK = 64
-WORDS = re.compile(WORD)
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -51,18 +50,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORDS.findall(text.translate(LOWER)) if text else []
-
-
 class Shingler:
     """Sets of shingle hashes; remembers the hashes of words, up to a bound."""
 
     def __init__(self, most: int = 200_000):
-        self.seen: dict[str, int] = {}
+        self.seen: dict[bytes, int] = {}
         self.most = most
 
-    def hashes(self, words: list[str]) -> np.ndarray:
+    def hashes(self, words: list[bytes]) -> np.ndarray:
         if len(self.seen) > self.most:
             self.seen.clear()
         seen = self.seen
@@ -72,7 +67,7 @@ class Shingler:
 
     def shingles(self, text: str | None) -> np.ndarray:
         """Sorted distinct hashes."""
-        words = words_of(text)
+        words = lower_words(text)
         if not words:
             return np.empty(0, np.uint64)
         h = self.hashes(words)
@@ -84,9 +79,10 @@ class Shingler:
         return np.unique(acc)
 
 
-def _probe(bins: np.ndarray, attempt: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return (_mix(bins.astype(np.uint64) * np.uint64(1_000_003) + np.uint64(attempt)) % np.uint64(BINS)).astype(np.int64)
+@lru_cache(4096)
+def _probes(attempt: int) -> np.ndarray:
+    """Where each bin looks at its so-manyth attempt."""
+    return (_mix(np.arange(BINS, dtype=np.uint64) * np.uint64(1_000_003) + np.uint64(attempt)) % np.uint64(BINS)).astype(np.int64)
 
 
 def signature(s: np.ndarray) -> np.ndarray:
@@ -98,7 +94,7 @@ def signature(s: np.ndarray) -> np.ndarray:
     empty, attempt = np.flatnonzero(~full), 0
     while len(empty):
         attempt += 1
-        to = _probe(empty, attempt)
+        to = _probes(attempt)[empty]
         hit = full[to]
         sig[empty[hit]] = sig[to[hit]]
         empty = empty[~hit]
@@ -155,6 +151,15 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return members.unionByName(heads).groupBy("centre", "chunk").applyInPandas(confirmed, "a long, b long")
 
 
+def _centres(open_: DataFrame, n_rows: int) -> int:
+    """How many centres a bucket gets in the next round: the most (CENTRES times a power of 2) with which all
+    buckets together make at most 4 pairs for each row of the table; 0 if no bucket is open."""
+    counts = [CENTRES << k for k in range(12)]
+    sums = open_.agg(*[F.sum(F.least(F.col("m"), F.lit(k))).alias(f"k{k}") for k in counts]).first()
+    fit = [k for k, s in zip(counts, sums, strict=True) if s is not None and s <= 4 * n_rows]
+    return 0 if sums[0] is None else max(fit, default=CENTRES)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, n_links) of every row; n_links: confirmed links of the
     document's class to other classes that were needed (a spanning part of all)."""
@@ -169,33 +174,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fits = lambda x, y: 100 * F.least(x, y) >= 75 * F.greatest(x, y)
     sizes = reps.select(F.col("rep").alias("centre"), F.col("n").alias("cn"))
     star = shared.where("rep <> centre").select("centre", F.col("rep").alias("member"), "n").distinct()
-    star = star.join(sizes, "centre").where(fits(F.col("n"), F.col("cn"))).select("centre", "member")
+    star = stage(star.join(sizes, "centre").where(fits(F.col("n"), F.col("cn"))).select("centre", "member"), "mh-star")
     used = shared.select("rep").distinct()
     text_of = texts.join(used.withColumnRenamed("rep", "doc_id"), "doc_id").groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text"))
     sets = stage(text_of.mapInPandas(_sets, "rep long, shingles binary"), "mh-sets")
     links = stage(_confirm(star, sets), "mh-links")
-    tried = star
+    comp, n_rows = smallest_reachable(links), rows.count()
+    flat = [F.least("centre", "member").alias("centre"), F.greatest("centre", "member").alias("member")]
+    tried = star.select(*flat)
     # a bucket's first centre has met all its members
     open_ = shared.where("rep <> centre").select("key", "rep", "n")
     while True:
-        comp = smallest_reachable(links)
         labelled = open_.join(comp, open_["rep"] == comp["node"], "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
         several = labelled.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("m")).where("c0 <> c1")
-        open_ = stage(labelled.join(several, "key").select("key", "rep", "n", "component"), "mh-open")
-        if not open_.limit(1).count():
+        open_ = stage(labelled.join(several, "key").select("key", "rep", "n", "component", "m"), "mh-open")
+        most = _centres(open_, n_rows)
+        if not most:
             break
-        # the next centres: the smallest of each bucket, pre-aggregated
-        salt = F.pmod(F.xxhash64("rep", "key"), F.lit(CENTRES))
+        small = F.col("m") <= most
+        salt = F.when(small, F.col("rep")).otherwise(F.pmod(F.xxhash64("rep", "key"), F.lit(most)))
         picked = open_.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("rep", "n", "component")).alias("c"))
-        picked = picked.select(F.col("key"), F.col("c.rep").alias("centre"), F.col("c.n").alias("cn"), F.col("c.component").alias("cc"))
-        pairs = open_.join(picked, "key").where((F.col("component") != F.col("cc")) & fits(F.col("n"), F.col("cn")))
-        pairs = pairs.select(F.least("centre", "rep").alias("centre"), F.greatest("centre", "rep").alias("member")).distinct()
-        flat = lambda t: t.select(F.least("centre", "member").alias("centre"), F.greatest("centre", "member").alias("member"))
-        pairs = stage(pairs.join(flat(tried), ["centre", "member"], "left_anti"), "mh-pairs")
-        tried = flat(tried).union(pairs)
-        links = stage(links.union(_confirm(pairs, sets)), "mh-links")
-        left = open_.join(picked.select("key", F.col("centre").alias("rep")), ["key", "rep"], "left_anti")
-        open_ = stage(left.select("key", "rep", "n"), "mh-open")
+        picked = picked.select("key", F.col("c.rep").alias("centre"), F.col("c.n").alias("cn"), F.col("c.component").alias("cc"))
+        # in a bucket that is all centres each pair is met once
+        once = F.when(small, F.col("centre") < F.col("rep")).otherwise(F.lit(True))
+        pairs = open_.join(picked, "key").where(once & (F.col("component") != F.col("cc")) & fits(F.col("n"), F.col("cn")))
+        pairs = pairs.select(F.col("centre"), F.col("rep").alias("member")).select(*flat).distinct()
+        pairs = stage(pairs.join(tried, ["centre", "member"], "left_anti"), "mh-pairs")
+        tried = tried.union(pairs)
+        more = stage(_confirm(pairs, sets), "mh-links")
+        if more.limit(1).count():
+            links = stage(links.union(more), "mh-links")
+            comp = smallest_reachable(links)
+        left = open_.where(~small).join(picked.select("key", F.col("centre").alias("rep")), ["key", "rep"], "left_anti")
+        open_ = stage(left.select("key", "rep", "n"), "mh-left")
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
     of = reps.join(comp, reps["rep"] == comp["node"], "left").join(degree.withColumnRenamed("node", "dn"), F.col("rep") == F.col("dn"), "left")
     of = of.select("digest", F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))

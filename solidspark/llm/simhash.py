@@ -19,7 +19,6 @@ ordered by text; an empty table gives an empty result; other columns are not rea
 from __future__ import annotations
 
 import hashlib
-import re
 from itertools import combinations
 
 import numpy as np
@@ -28,11 +27,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from solidspark.llm.common import WORD, stage
+from solidspark.llm.common import lower_words, stage
 
 BITS = 128
-WORDS = re.compile(WORD)
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Bytes of text in a range of documents, about: what one task holds.
 RANGE_BYTES = 12_000_000
 
@@ -45,10 +42,10 @@ class Voter:
         self._clear()
 
     def _clear(self) -> None:
-        self.row: dict[str, int] = {}
+        self.row: dict[bytes, int] = {}
         self.signs = np.empty((1024, BITS), np.int8)
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: set[bytes]) -> None:
         new = [w for w in words if w not in self.row]
         if not new:
             return
@@ -61,7 +58,7 @@ class Voter:
         self.row.update(zip(new, range(n, n + len(new)), strict=True))
 
     def fingerprint(self, text: str) -> bytes:
-        words = WORDS.findall(text.translate(LOWER))
+        words = lower_words(text)
         if len(self.row) > self.most:
             self._clear()
         self._learn(set(words))
