@@ -32,7 +32,7 @@ END_ID = 0
 STEPS = 700
 ROWS_PER_SALT = 100_000
 #: Splits words in a batch that are encoded in one call; words that hold it are encoded alone.
-MARK = "☃"
+MARK = "\x7f"
 _RANK = 50
 WORDS = re.compile(WORD)
 
@@ -41,7 +41,7 @@ class WordEncoder:
     """Ids of texts by a tokenizer that never merges across white space: each distinct word is encoded
     once and remembered, up to a bound."""
 
-    def __init__(self, vocabulary: str, most: int = 400_000):
+    def __init__(self, vocabulary: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.seen = Tokenizer.from_file(vocabulary), most, {}
@@ -79,10 +79,10 @@ class WordEncoder:
         split = [WORDS.findall(t) if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
         if len(seen) > self.most:
             seen.clear()
-        new = {w for ws in split for w in ws if w not in seen}
+        new = set().union(*split).difference(seen)
         stems = {}
-        for w in new:  # a plain word and its end of . or , are encoded apart
-            if w.isascii():
+        for w in new:  # a plain (Latin) word and its end of . or , are encoded apart
+            if w.isascii() or max(w) < "\u0130":
                 stem = w.rstrip(".,")
                 low = stem.lower()
                 if low.isalpha() and low != w and (len(w) - len(stem) <= 1):
@@ -95,11 +95,21 @@ class WordEncoder:
         return [b"".join(map(get, ws)) for ws in split]
 
 
+#: Of this Python worker, by vocabulary: what it remembers serves all its tasks.
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder_of(vocabulary: str) -> WordEncoder:
+    if vocabulary not in _ENCODERS:
+        _ENCODERS[vocabulary] = WordEncoder(vocabulary)
+    return _ENCODERS[vocabulary]
+
+
 def _pieces(vocabulary: str, capacity: int, keep_ids: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     end = np.array([END_ID], "<u4").tobytes()
 
     def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = WordEncoder(vocabulary)
+        encoder = encoder_of(vocabulary)
         for frame in frames:
             for low in range(0, len(frame), 500):
                 part, out = frame.iloc[low : low + 500], []
