@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from solidspark.llm import linedup, lm, minhash, packing, sharding, simhash, substring
+from solidspark.llm import linedup, lm, minhash, packing, quality, sharding, simhash, substring
 from solidspark.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -77,7 +81,7 @@ NEAR_SQL = r"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_lm_scoring, op4_minhash_near_dedup, op5_substring_dedup, op7_best_fit_packing, op8_line_dedup, op10_document_fingerprints)}
+    return {f.__name__: f for f in (op1_sharding, op2_lm_scoring, op3_quality_classifier, op4_minhash_near_dedup, op5_substring_dedup, op7_best_fit_packing, op8_line_dedup, op10_document_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:

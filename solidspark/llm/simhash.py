@@ -31,7 +31,7 @@ from solidspark.llm.common import lower_words, stage
 
 BITS = 128
 #: Bytes of text in a range of documents, about: what one task holds.
-RANGE_BYTES = 12_000_000
+RANGE_BYTES = 6_000_000
 
 
 class Voter:
