@@ -8,10 +8,9 @@ similarity 0.75 shares no band with probability (1 - 0.75**4)**32 < 1e-5.
 
 Texts with one set are one class and are compared once. In every bucket (band value) all members are
 joined to the bucket's smallest document only: a star, linear in the bucket. The edges are confirmed
-on whole sets. Members of a bucket that are then still in several components are compared again, with
-further centres, at least ``CENTRES`` a round and more while a round's pairs stay under 4 a row of the
-table, until no bucket has an uncompared pair across components: so the star loses no link among a
-bucket's members, and no round's work is more than linear.
+on whole sets. Where a bucket's members are then still in several components, the star may have missed a
+link between two of them: those documents alone are compared again by prefix filtering, which misses no
+pair at the wanted similarity and meets few others (see ``_prefix_pairs``).
 
 Defined cases: null or empty texts and texts without words have an empty set, are linked with nothing
 and kept; fewer words than a shingle are one shingle; rows that repeat a doc_id are one node (where their texts differ, the links are confirmed on the
@@ -29,15 +28,13 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from solidspark.llm.common import lower_words, stage
 from solidspark.llm.components import smallest_reachable
 
 BINS, ROWS, SHINGLE = 128, 4, 5
-#: Centres of a bucket in a round after the first, at least.
-CENTRES = 16
 #: Members confirmed against one copy of their centre's set in one task.
 CHUNK = 64
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -151,13 +148,35 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return members.unionByName(heads).groupBy("centre", "chunk").applyInPandas(confirmed, "a long, b long")
 
 
-def _centres(open_: DataFrame, n_rows: int) -> int:
-    """How many centres a bucket gets in the next round: the most (CENTRES times a power of 2) with which all
-    buckets together make at most 4 pairs for each row of the table; 0 if no bucket is open."""
-    counts = [CENTRES << k for k in range(12)]
-    sums = open_.agg(*[F.sum(F.least(F.col("m"), F.lit(k))).alias(f"k{k}") for k in counts]).first()
-    fit = [k for k, s in zip(counts, sums, strict=True) if s is not None and s <= 4 * n_rows]
-    return 0 if sums[0] is None else max(fit, default=CENTRES)
+def _fits(x: Column, y: Column) -> Column:
+    """Whether sets of these sizes can be similar enough."""
+    return 100 * F.least(x, y) >= 75 * F.greatest(x, y)
+
+
+def _tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        for low in range(0, len(frame), 200):
+            part = frame.iloc[low : low + 200]
+            each = [np.frombuffer(x, np.int64) for x in part["shingles"]]
+            yield pd.DataFrame({"rep": np.repeat(part["rep"].to_numpy(), [len(x) for x in each]), "token": np.concatenate(each)})
+
+
+def _prefix_pairs(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (centre, member) of different components that may be similar enough; misses none.
+
+    Of two sets at Jaccard similarity t, in any common order of tokens, the first n - ceil(t * n) + 1 of one
+    and of the other share a token. Here the rarest come first, so that members of one bucket that are
+    apart, each by its own shingles, do not meet."""
+    tokens = left.select("rep", "n").join(sets, "rep").select("rep", "shingles").mapInPandas(_tokens, "rep long, token long")
+    tokens = stage(tokens, "mh-tokens")
+    rare = tokens.groupBy("token").agg(F.count("*").alias("df"))
+    ordered = tokens.join(rare, "token").join(left, "rep").withColumn("at", F.row_number().over(Window.partitionBy("rep").orderBy("df", "token")))
+    first = stage(ordered.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * 3 / 4) + 1).where("df > 1").select("token", "rep", "n", "at", "component"), "mh-first")
+    other = first.select("token", F.col("rep").alias("member"), F.col("n").alias("mn"), F.col("at").alias("mat"), F.col("component").alias("mc"))
+    # the first token that both share leaves so many more to share; 3/7 of both sizes are needed
+    enough = 7 * (F.least(F.col("n") - F.col("at"), F.col("mn") - F.col("mat")) + 1) >= 3 * (F.col("n") + F.col("mn"))
+    near = (F.col("rep") < F.col("member")) & (F.col("component") != F.col("mc")) & _fits(F.col("n"), F.col("mn")) & enough
+    return first.join(other, "token").where(near).select(F.col("rep").alias("centre"), "member").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -171,42 +190,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     centres = members.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("m")).where("m > 1")
     # only buckets of two or more go on
     shared = stage(members.join(centres, "key").select("key", "rep", "n", "centre"), "mh-shared")
-    fits = lambda x, y: 100 * F.least(x, y) >= 75 * F.greatest(x, y)
     sizes = reps.select(F.col("rep").alias("centre"), F.col("n").alias("cn"))
     star = shared.where("rep <> centre").select("centre", F.col("rep").alias("member"), "n").distinct()
-    star = stage(star.join(sizes, "centre").where(fits(F.col("n"), F.col("cn"))).select("centre", "member"), "mh-star")
+    star = stage(star.join(sizes, "centre").where(_fits(F.col("n"), F.col("cn"))).select("centre", "member"), "mh-star")
     used = shared.select("rep").distinct()
     text_of = texts.join(used.withColumnRenamed("rep", "doc_id"), "doc_id").groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text"))
     sets = stage(text_of.mapInPandas(_sets, "rep long, shingles binary"), "mh-sets")
     links = stage(_confirm(star, sets), "mh-links")
-    comp, n_rows = smallest_reachable(links), rows.count()
-    flat = [F.least("centre", "member").alias("centre"), F.greatest("centre", "member").alias("member")]
-    tried = star.select(*flat)
-    # a bucket's first centre has met all its members
-    open_ = shared.where("rep <> centre").select("key", "rep", "n")
-    while True:
-        labelled = open_.join(comp, open_["rep"] == comp["node"], "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
-        several = labelled.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("m")).where("c0 <> c1")
-        open_ = stage(labelled.join(several, "key").select("key", "rep", "n", "component", "m"), "mh-open")
-        most = _centres(open_, n_rows)
-        if not most:
-            break
-        small = F.col("m") <= most
-        salt = F.when(small, F.col("rep")).otherwise(F.pmod(F.xxhash64("rep", "key"), F.lit(most)))
-        picked = open_.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("rep", "n", "component")).alias("c"))
-        picked = picked.select("key", F.col("c.rep").alias("centre"), F.col("c.n").alias("cn"), F.col("c.component").alias("cc"))
-        # in a bucket that is all centres each pair is met once
-        once = F.when(small, F.col("centre") < F.col("rep")).otherwise(F.lit(True))
-        pairs = open_.join(picked, "key").where(once & (F.col("component") != F.col("cc")) & fits(F.col("n"), F.col("cn")))
-        pairs = pairs.select(F.col("centre"), F.col("rep").alias("member")).select(*flat).distinct()
-        pairs = stage(pairs.join(tried, ["centre", "member"], "left_anti"), "mh-pairs")
-        tried = tried.union(pairs)
-        more = stage(_confirm(pairs, sets), "mh-links")
-        if more.limit(1).count():
-            links = stage(links.union(more), "mh-links")
-            comp = smallest_reachable(links)
-        left = open_.where(~small).join(picked.select("key", F.col("centre").alias("rep")), ["key", "rep"], "left_anti")
-        open_ = stage(left.select("key", "rep", "n"), "mh-left")
+    comp = smallest_reachable(links)
+    labelled = shared.join(comp, shared["rep"] == comp["node"], "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    several = labelled.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
+    left = stage(labelled.join(several, "key").select("rep", "n", "component").distinct(), "mh-left")
+    pairs = stage(_prefix_pairs(left, sets).join(star, ["centre", "member"], "left_anti"), "mh-pairs")
+    links = stage(links.union(_confirm(pairs, sets)), "mh-links")
+    comp = smallest_reachable(links)
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
     of = reps.join(comp, reps["rep"] == comp["node"], "left").join(degree.withColumnRenamed("node", "dn"), F.col("rep") == F.col("dn"), "left")
     of = of.select("digest", F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))

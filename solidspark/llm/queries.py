@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from solidspark.llm import linedup, lm, minhash, packing, quality, sharding, simhash, substring
+from solidspark.llm import decontam, linedup, lm, minhash, packing, quality, sharding, simhash, substring
 from solidspark.llm.common import table
 
 
@@ -33,6 +33,11 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_sentences", F.size("removed").cast("long").alias("n_removed"), "text")
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.flag(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "n_items", "best_match", F.array_join("item_ids", ",").alias("item_ids"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
@@ -80,8 +85,29 @@ NEAR_SQL = r"""
     from sets d left join classes c on d.s = c.s left join comp m on c.rep = m.rep"""
 
 
+def _leaks_sql() -> str:
+    """Spaced seeds as texts instead of hashes, then every aligned window."""
+    words = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+    key = lambda m: " || ' ' || ".join(["'" + str(m) + "'", *[f"w[i + {k + 1}]" for k, c in enumerate(decontam.MASKS[m]) if c == "1"]])
+    return f"""
+    with d as (select doc_id, {words} w from documents), b as (select item_id, {words} w from benchmark),
+    di as (select doc_id, w, unnest(range(len(w) - 7)) i from d where len(w) >= 8),
+    bi as (select item_id, w, unnest(range(len(w) - 7)) i from b where len(w) >= 8),
+    ds as (select doc_id, i, {key(0)} s from di union all select doc_id, i, {key(1)} from di),
+    bs as (select item_id, i, {key(0)} s from bi union all select item_id, i, {key(1)} from bi),
+    hits as (select distinct doc_id, item_id, ds.i - bs.i shift from ds join bs using (s)),
+    aligned as (select doc_id, item_id, shift, d.w dw, b.w bw, least(20, len(b.w)) n, unnest(range(len(b.w))) j
+           from hits join d using (doc_id) join b using (item_id)),
+    same as (select doc_id, item_id, shift, n, j, (j + shift >= 0 and j + shift < len(dw) and dw[j + shift + 1] is not distinct from bw[j + 1])::int e from aligned),
+    runs as (select doc_id, item_id, n, sum(e) over (partition by doc_id, item_id, shift order by j rows between 19 preceding and current row) m from same),
+    found as (select doc_id, item_id, max(m) m from runs group by doc_id, item_id, n having max(m) >= 0.8 * n),
+    per as (select doc_id, count(*) n, max(m) m, string_agg(item_id::varchar, ',' order by item_id) ids from found group by 1)
+    select documents.doc_id, per.n is not null contaminated, coalesce(per.n, 0)::bigint n_items, coalesce(per.m, 0)::bigint best_match, coalesce(ids, '') item_ids
+    from documents left join per on documents.doc_id = per.doc_id"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_lm_scoring, op3_quality_classifier, op4_minhash_near_dedup, op5_substring_dedup, op7_best_fit_packing, op8_line_dedup, op10_document_fingerprints)}
+    return {f.__name__: f for f in (op1_sharding, op2_lm_scoring, op3_quality_classifier, op4_minhash_near_dedup, op5_substring_dedup, op6_benchmark_decontamination, op7_best_fit_packing, op8_line_dedup, op10_document_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -89,5 +115,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_minhash_near_dedup": NEAR_SQL,
         "op5_substring_dedup": _repeats_sql(sentences, "", 3, 40, "n_sentences"),
+        "op6_benchmark_decontamination": _leaks_sql(),
         "op8_line_dedup": _repeats_sql("string_split(text, chr(10))", "' || chr(10) || '", 3, 1, "n_lines"),
     }

@@ -33,7 +33,7 @@ def _runs(units: DataFrame, run: int, min_chars: int) -> DataFrame:
             lambda i: F.when(F.length(F.trim(joined(i))) >= min_chars, F.unhex(F.md5(joined(i).cast("binary")))),
         ),
     )
-    return units.select("_id", "_th", F.posexplode(keyed).alias("_pos", "_key")).where(F.col("_key").isNotNull())
+    return units.select("_id", "_th", F.posexplode_outer(keyed).alias("_pos", "_key")).where(F.col("_key").isNotNull())
 
 
 def drop_repeats(docs: DataFrame, split: Column, glue: str, run: int, min_chars: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
