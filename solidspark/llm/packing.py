@@ -41,7 +41,7 @@ class WordEncoder:
     """Ids of texts by a tokenizer that never merges across white space: each distinct word is encoded
     once and remembered, up to a bound."""
 
-    def __init__(self, vocabulary: str, most: int = 500_000):
+    def __init__(self, vocabulary: str, most: int = 900_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.seen = Tokenizer.from_file(vocabulary), most, {}
