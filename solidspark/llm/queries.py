@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from solidspark.llm import decontam, linedup, lm, minhash, packing, quality, sharding, simhash, substring
+from solidspark.llm import decontam, html_extract, linedup, lm, minhash, packing, quality, sharding, simhash, substring
 from solidspark.llm.common import table
 
 
@@ -47,6 +47,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "text")
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -107,7 +111,7 @@ def _leaks_sql() -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_lm_scoring, op3_quality_classifier, op4_minhash_near_dedup, op5_substring_dedup, op6_benchmark_decontamination, op7_best_fit_packing, op8_line_dedup, op10_document_fingerprints)}
+    return {f.__name__: f for f in (op1_sharding, op2_lm_scoring, op3_quality_classifier, op4_minhash_near_dedup, op5_substring_dedup, op6_benchmark_decontamination, op7_best_fit_packing, op8_line_dedup, op9_html_extraction, op10_document_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
