@@ -1 +1 @@
-
+"""Empty: the engine's operations have no streaming form."""
