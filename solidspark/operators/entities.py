@@ -44,8 +44,8 @@ def num_of_type(entities: DataFrame, dim: int | None = None) -> DataFrame:
 
 
 def num_of_type_all(entities: DataFrame) -> DataFrame:
-    """Counts by dimension with their total, whose dim is null."""
-    return entities.rollup("dim").agg(F.count("*").alias("n"))
+    """Counts by dimension with their total, whose dim is that of all types, 4."""
+    return entities.rollup("dim").agg(F.count("*").alias("n")).select(F.coalesce("dim", F.lit(ALL_TYPES)).alias("dim"), "n")
 
 
 def category(dim: Column) -> Column:

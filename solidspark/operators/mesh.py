@@ -7,6 +7,7 @@ from itertools import product
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from solidspark.operators.components import smallest_reachable
 
@@ -68,7 +69,7 @@ def decode(facet_list: str) -> Column:
     return F.when(uniform, cut).otherwise(_walk(F.when(~uniform, lst)))
 
 
-@F.pandas_udf("array<array<int>>")
+@F.pandas_udf(ArrayType(ArrayType(IntegerType())))
 def _walk(lists: pd.Series) -> pd.Series:
     def one(flat):
         out, at = [], 0

@@ -65,7 +65,7 @@ def expand(members: DataFrame, hops: int) -> DataFrame:
     reach = members.select(F.col("group_id").alias("top"), F.col("group_id").alias("sub")).distinct()
     step = reach
     for _ in range(hops):
-        step = step.join(up.withColumnsRenamed({"top": "sub", "sub": "next"}), "sub").select("top", F.col("next").alias("sub")).distinct()
+        step = step.join(up.select(F.col("top").alias("sub"), F.col("sub").alias("next")), "sub").select("top", F.col("next").alias("sub")).distinct()
         reach = reach.union(step).distinct()
     own = members.where("member_kind <> 'group'")
     return reach.join(own, reach["sub"] == own["group_id"]).select(F.col("top").alias("group_id"), "member_id", "member_kind").distinct()

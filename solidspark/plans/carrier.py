@@ -111,7 +111,7 @@ def num_of_type(m):
     return entities.num_of_type(m.entity())
 
 
-@query(f"with {ENTITY} select dim::int dim, count(*) n from entity group by rollup(dim)")
+@query(f"with {ENTITY} select coalesce(dim, 4)::int dim, count(*) n from entity group by rollup(dim)")
 def num_of_type_all(m):
     return entities.num_of_type_all(m.entity())
 
