@@ -1,52 +1,16 @@
-"""What the operators of this subpackage share: tables staged in the cluster's shared folder, ASCII lower case, word pattern."""
+"""What the operators of this subpackage share: staged tables, words in ASCII lower case."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A word is a run of characters that are not ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests on one machine), a temporary one that is then set."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="solidspark-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
-
-    Cuts the lineage: a lost executor costs its running tasks only, and what is not
-    repeatable (sampling, unordered batches) is fixed once. Tables stay until
-    :func:`unstage` or until the folder is cleaned by the cluster."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._staged_path = path
-    return out
-
+from solidspark.staging import stage, unstage
 
-def unstage(df: DataFrame) -> None:
-    """Delete a table of :func:`stage` that no later plan reads."""
-    path = getattr(df, "_staged_path", None)
-    if path:
-        spark = df.sparkSession
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+__all__ = ["WORD", "least_hashes", "lower_words", "stage", "table", "unstage"]
 
-
-def ascii_lower(text: Column) -> Column:
-    """A-Z only, as in every contract of this subpackage; other letters keep their case."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: A word is a run of characters that are not ASCII white space.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def lower_words(text: str | None) -> list[bytes]:
@@ -55,13 +19,18 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8").lower().split() if text else []
 
 
-def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    """Equality of the named columns that also holds for two nulls."""
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & left[n].eqNullSafe(right[n])
-    return cond
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def least_hashes(df: DataFrame, hashed: Column, most: int) -> DataFrame:
+    """A sample of ``most`` rows (all, if there are no more): those with the least of a 64-bit hash.
+
+    Rows that cannot be among them are left out first, by their hash and the table's count, so that tasks
+    send on a few rows each and not ``most`` each."""
+    n = df.count()
+    share = min(1.0, (1.5 * most + 1000) / max(1, n))
+    found = df.withColumn("_h", hashed)
+    if share < 1:
+        found = found.where(F.col("_h") < F.lit(int(-(2**63) + share * 2**64)))
+    return found.orderBy("_h").limit(most).drop("_h")

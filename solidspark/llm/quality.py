@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from solidspark.llm.common import stage
+from solidspark.llm.common import least_hashes, stage
 
 MOST_POSITIVE, MOST_UNLABELLED = 20_000, 40_000
 THRESHOLD, FOLDS = 0.3, 5
@@ -109,7 +109,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     labelled = train.join(known, train["doc_id"] == known["label_id"])
     n, ones = labelled.agg(F.count("*"), F.sum("quality")).first()
     prior = min(0.98, max(0.02, (ones or 0) / n)) if n else 0.5
-    pick = lambda df, most: df.select("x", F.xxhash64("doc_id").alias("o")).orderBy("o", "x").limit(most).toPandas()["x"]
+    pick = lambda df, most: least_hashes(df.select("x", "doc_id"), F.xxhash64("doc_id"), most).toPandas()["x"]
     positive, unlabelled = pick(labelled.where("quality = 1"), MOST_POSITIVE), pick(train, MOST_UNLABELLED)
     w = fit(_matrix(positive), _matrix(unlabelled), prior) if len(positive) and len(unlabelled) else None
 
