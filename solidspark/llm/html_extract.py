@@ -48,6 +48,9 @@ NOT_CONTENT_WORDS = {
 }
 CONTENT_TAGS = {"article", "main"}
 CONTENT_WORDS = {"articlebody", "mainentity", "main"}
+#: Contexts inside marked content that are never part of it: labelled pages cannot teach these, for their mark
+#: takes in all it encloses. An article's own header holds its title.
+BANNED = {f"in tag {t}" for t in NOT_CONTENT_TAGS - {"header", "label", "head"}} | {f"in word {w}" for w in NOT_CONTENT_WORDS - {"header", "masthead"}}
 #: Words that a name of the fixed lists counts for, and the largest weight.
 PRIOR_WORDS, MOST = 50.0, 3.0
 
@@ -157,7 +160,8 @@ def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for t, k in b.tags.items():
                     to["open " + t] += k
     keys = sorted(set(inside) | set(outside))
-    yield pd.DataFrame({"feature": keys, "inside": [float(inside[k]) for k in keys], "outside": [float(outside[k]) for k in keys]})
+    if keys:
+        yield pd.DataFrame({"feature": keys, "inside": [float(inside[k]) for k in keys], "outside": [float(outside[k]) for k in keys]})
 
 
 def _prior(feature: str) -> tuple[float, float]:
@@ -189,12 +193,14 @@ class Weights:
 
     def word(self, contexts: frozenset) -> float:
         """Of a word that is no link: 1 and what its contexts say."""
+        if not BANNED.isdisjoint(contexts):
+            return -MOST
         return max(-MOST, min(MOST, 1.0 + sum(self.of(c) for c in contexts)))
 
     def tag(self, name: str) -> float:
-        """What a tag costs: more, the likelier it stands outside."""
+        """What a tag costs: more, the likelier it stands outside; inline tags less."""
         i, o = self.counts.get("open " + name, (0.0, 0.0))
-        return 0.2 + 1.8 * (o + 2) / (i + o + 4)
+        return (0.1 + 0.9 * (o + 2) / (i + o + 4)) * (0.3 if name in INLINE else 1.0)
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -217,7 +223,9 @@ def main_text(html: str, weights: Weights) -> str:
         link = max(-MOST, min(word, word + weights.of("link")))
         words = (b.words - min(b.links, b.words)) * word + min(b.links, b.words) * link
         kept.append(words > 0)
-        scores.append(words - sum(weights.tag(t) * k for t, k in b.tags.items()))
+        # what marked content encloses and never belongs to it is left out below and parts no region
+        enclosed = not BANNED.isdisjoint(b.contexts)
+        scores.append(0.0 if enclosed else words - sum(weights.tag(t) * k for t, k in b.tags.items()))
     a, z = best_run(scores)
     # the tags before a first block stand outside the region
     while a > 0 and kept[a - 1] and blocks[a - 1].labelled and blocks[a].labelled:
@@ -242,7 +250,7 @@ def extract(pages: DataFrame, weights: Weights | None = None, html_col: str = "h
     def texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             text = [main_text(h or "", weights) for h in frame["html"]]
-            yield pd.DataFrame({"page_id": frame["page_id"].astype("Int64"), "url": frame["url"], "text": text, "n_chars": [len(t) for t in text]})
+            yield pd.DataFrame({"page_id": frame["page_id"].astype("Int64"), "url": frame["url"].tolist(), "text": text, "n_chars": [len(t) for t in text]})
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.col(html_col).alias("html"))
     return rows.mapInPandas(texts, "page_id long, url string, text string, n_chars long")

@@ -3,9 +3,9 @@
 Texts become pieces of at most ``capacity`` tokens. Only the histogram of lengths (at most ``capacity``
 rows) reaches the driver. There, a configuration is a multiset of lengths that fits a sequence; the
 program asks for the fewest sequences that cover the histogram. Its fractional solution is built by
-multiplicative weights: each step prices the lengths by size and by how much of them is not covered
+multiplicative weights: each step prices the lengths by a weight and by how much of them is not covered
 yet, finds the best configuration exactly (knapsack by dynamic programming over the capacity) and runs
-it up to its scarcest length. The solution is rounded down; what that leaves is packed largest first,
+it up to its scarcest length; weights start as sizes and grow over phases where sequences have room. The solution is rounded down; what that leaves is packed largest first,
 each time with the largest length that fits, again by whole patterns, so the plan's size depends on the
 number of lengths and not on the number of pieces. Pieces take their places in the plan by their rank
 among the pieces of their length; ranks come from salted counts, so no length is one task.
@@ -16,6 +16,7 @@ that repeat a doc_id give pieces like others; other columns are not read.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -30,6 +31,8 @@ from solidspark.llm.common import WORD, stage
 END_ID = 0
 #: Pricing steps of the linear program.
 STEPS = 700
+#: Times that prices are set anew where a plan is not near its lower bound.
+PHASES = 8
 ROWS_PER_SALT = 100_000
 #: Splits words in a batch that are encoded in one call; words that hold it are encoded alone.
 MARK = "\x7f"
@@ -149,15 +152,15 @@ def best_configuration(values: np.ndarray, lengths: np.ndarray, capacity: int) -
     return out
 
 
-def fractional_cover(lengths: np.ndarray, counts: np.ndarray, capacity: int, steps: int = STEPS, eta: float = 1.0) -> list[tuple[dict[int, int], float]]:
-    """Configurations and how often each runs, fractionally; covers no length twice."""
+def fractional_cover(lengths: np.ndarray, counts: np.ndarray, capacity: int, prices: np.ndarray, steps: int = STEPS) -> list[tuple[dict[int, int], float]]:
+    """Configurations and how often each runs, fractionally; covers no length twice. prices: of the lengths."""
     need, out = counts.astype(float), []
     for _ in range(steps):
         active = np.flatnonzero(need > 0.5)
         if not len(active):
             break
         # weights: multiplied down as a length is covered; size keeps configurations full
-        weight = lengths[active] * np.exp(eta * (need[active] / counts[active] - 1) * 0.2) * (1 + lengths[active] / (20 * capacity))
+        weight = prices[active] * np.exp(0.2 * (need[active] / counts[active] - 1))
         found = best_configuration(weight, lengths[active], capacity)
         config = {int(active[k]): n for k, n in found.items()}
         run = min(need[k] / n for k, n in config.items())
@@ -167,29 +170,22 @@ def fractional_cover(lengths: np.ndarray, counts: np.ndarray, capacity: int, ste
     return out
 
 
-def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
-    """Patterns (length -> copies) and whole numbers of sequences that hold every piece exactly once."""
+def _once(lengths: np.ndarray, counts: np.ndarray, capacity: int, prices: np.ndarray) -> list[tuple[dict[int, int], int]]:
+    """Patterns (length -> copies) and whole numbers of sequences: the fractional cover at these prices, rounded
+    down, and what that leaves, largest first."""
     left = counts.astype(np.int64).copy()
     out: list[tuple[dict[int, int], int]] = []
 
-    def run(config: dict[int, int]) -> None:
-        n = min(left[k] // m for k, m in config.items())
+    def run(config: dict[int, int], most: int | None = None) -> None:
+        n = min(int(left[k]) // m for k, m in config.items())
+        n = n if most is None else min(n, most)
         if n:
             for k, m in config.items():
                 left[k] -= n * m
             out.append(({int(lengths[k]): m for k, m in config.items()}, int(n)))
 
-    alone = np.flatnonzero(lengths == capacity)
-    for k in alone:
-        run({int(k): 1})
-    for config, often in fractional_cover(lengths[left > 0], left[left > 0], capacity) if left.any() else []:
-        index = np.flatnonzero(counts * (lengths < capacity) > 0)
-        config = {int(index[k]): m for k, m in config.items()}
-        whole = min(int(often + 1e-9), *(int(left[k]) // m for k, m in config.items()))
-        if whole:
-            for k, m in config.items():
-                left[k] -= whole * m
-            out.append(({int(lengths[k]): m for k, m in config.items()}, whole))
+    for config, often in fractional_cover(lengths, counts, capacity, prices):
+        run(config, int(often + 1e-9))
     while left.any():
         config, room = {}, capacity
         for k in np.flatnonzero(left)[::-1]:
@@ -203,6 +199,37 @@ def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[d
     return out
 
 
+def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int, phases: int = PHASES) -> list[tuple[dict[int, int], int]]:
+    """Patterns and whole numbers of sequences that hold every piece exactly once.
+
+    The prices of lengths are multiplicative weights over phases: a length whose sequences have room left is
+    worth more in the next phase. The best phase counts; one that is within 0.2 % of a lower bound ends it."""
+    if not len(lengths):
+        return []
+    whole = lengths == capacity
+    out = [({int(capacity): 1}, int(counts[whole].sum()))] if whole.any() else []
+    lengths, counts = lengths[~whole], counts[~whole]
+    if not len(lengths):
+        return out
+    least = max(-(-int((lengths * counts).sum()) // capacity), int(counts[2 * lengths > capacity].sum()))
+    prices, best, fewest = lengths * (1 + lengths / (20 * capacity)), None, math.inf
+    for _ in range(phases):
+        found = _once(lengths, counts, capacity, prices)
+        n = sum(x for _, x in found)
+        if n < fewest:
+            best, fewest = found, n
+        if fewest <= 1.002 * least + 0.5:
+            break
+        room = np.zeros(capacity)
+        for config, x in found:
+            waste = 1 - sum(a * m for a, m in config.items()) / capacity
+            for a, m in config.items():
+                room[a] += x * m * waste
+        share = room[lengths] / counts
+        prices = prices * np.exp(share / max(share.max(), 1e-9))
+    return out + best
+
+
 def _ranges(patterns: list[tuple[dict[int, int], int]]) -> np.ndarray:
     """Rows (key of length and first rank, first sequence, sequences, offset), by key: where each rank goes."""
     rows, rank, base = [], {}, 0

@@ -94,7 +94,7 @@ def minimax_cuts(ends: DataFrame, total: int, largest: int, n_shards: int, cells
     groups, and the group ends to cut after. ``ends`` has the cumulative sizes as ``end``."""
 
     def grid(ranges: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-        each = max(1, cells // len(ranges))
+        each = max(16, cells // len(ranges))
         cell, inside = F.lit(None).cast("long"), F.lit(False)
         for k, (a, b) in enumerate(ranges):  # ends in (a, b]
             width = max(1, -(-(b - a) // each))
