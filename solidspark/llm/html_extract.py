@@ -52,7 +52,9 @@ CONTENT_WORDS = {"articlebody", "mainentity", "main"}
 #: takes in all it encloses. An article's own header holds its title.
 BANNED = {f"in tag {t}" for t in NOT_CONTENT_TAGS - {"header", "label", "head"}} | {f"in word {w}" for w in NOT_CONTENT_WORDS - {"header", "masthead"}}
 #: Words that a name of the fixed lists counts for, and the largest weight.
-PRIOR_WORDS, MOST = 50.0, 3.0
+PRIOR_WORDS, MOST, STRUCTURE = 50.0, 3.0, 0.75
+#: What a block that is no content takes from a run at most, so that an advert does not part an article.
+PARTS = 4.0
 
 
 class Block:
@@ -128,11 +130,12 @@ def blocks_of(html: str) -> tuple[list[Block], int]:
         if name in ALONE and stack and stack[-1][0] == name:
             stack.pop()
         contexts, inside = (stack[-1][1], stack[-1][2]) if stack else (frozenset(), False)
-        own = {("in " if inside else "") + "tag " + name}
-        words = set()
+        own, words = {"tag " + name}, set()
         for a in ATTRIBUTE.finditer(tok):
             words.update(WORDS.findall((a[2] or a[3] or a[4] or "").lower()))
-        own.update(("in " if inside else "") + "word " + w for w in words)
+        own.update("word " + w for w in words)
+        if inside:
+            own |= BANNED & {"in " + c for c in own}
         if not inside and (name in CONTENT_TAGS or words & CONTENT_WORDS):
             marked += 1
             inside = True
@@ -152,7 +155,7 @@ def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if marked != 1:
                 continue
             for b in blocks:
-                to = inside if b.labelled else outside
+                to = inside if b.labelled and BANNED.isdisjoint(b.contexts) else outside
                 for c in b.contexts:
                     to[c] += b.words
                 to["link"] += b.links
@@ -166,7 +169,7 @@ def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _prior(feature: str) -> tuple[float, float]:
     """Words inside and outside that a feature starts with."""
-    kind, _, name = feature.removeprefix("in ").partition(" ")
+    kind, _, name = feature.partition(" ")
     if kind == "tag" and name in NOT_CONTENT_TAGS or kind == "word" and name in NOT_CONTENT_WORDS or feature == "link":
         return 1.0, PRIOR_WORDS
     if kind == "tag" and name in CONTENT_TAGS or kind == "word" and name in CONTENT_WORDS:
@@ -188,7 +191,10 @@ class Weights:
             (i, o), (pi, po) = self.counts.get(feature, (0.0, 0.0)), _prior(feature)
             # shares of the words inside and outside that stand in this context
             w = math.log((i + pi) / (self.total[0] + pi)) - math.log((o + po) / (self.total[1] + po)) if i + o else math.log(pi / po)
-            self.known[feature] = max(-MOST, min(MOST, w))
+            kind, _, name = feature.partition(" ")
+            # a tag that only structures a page decides nothing by itself
+            most = MOST if kind != "tag" or name in NOT_CONTENT_TAGS | CONTENT_TAGS else STRUCTURE
+            self.known[feature] = max(-most, min(most, w))
         return self.known[feature]
 
     def word(self, contexts: frozenset) -> float:
@@ -225,7 +231,7 @@ def main_text(html: str, weights: Weights) -> str:
         kept.append(words > 0)
         # what marked content encloses and never belongs to it is left out below and parts no region
         enclosed = not BANNED.isdisjoint(b.contexts)
-        scores.append(0.0 if enclosed else words - sum(weights.tag(t) * k for t, k in b.tags.items()))
+        scores.append(0.0 if enclosed else max(words, -PARTS) - sum(weights.tag(t) * k for t, k in b.tags.items()))
     a, z = best_run(scores)
     # the tags before a first block stand outside the region
     while a > 0 and kept[a - 1] and blocks[a - 1].labelled and blocks[a].labelled:
