@@ -360,7 +360,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 
 def test_html(spark, empty):
     pages = [(k, f"u{k}", PAGE.replace("Second", f"Second{k}")) for k in range(5)]
-    odd = [(10, None, None), (11, "u", ""), (12, "u", "<p>unclosed <b>text"), (None, "u", PAGE), (13, "u", "just text"), (14, "u", PAGE.replace("article>", "div>"))]
+    odd = [(10, None, None), (11, "u", ""), (12, "u", "<p>unclosed <b>text"), (None, "u", PAGE), (13, "u", "just text"), (14, "u", PAGE.replace("article>", "div>").replace("long enough", "long enough to be worth more than the advert that stands before it costs"))]
     table = spark.createDataFrame([*pages, *odd, pages[0]], "page_id long, url string, html string")
     got = collected(html_extract.extract(table))
     assert len(got) == 12
