@@ -16,6 +16,6 @@ def dedup_lines(docs: DataFrame, window: int = 3, min_chars: int = 1, id_col: st
     Lines end at ``\\n``. A window of ``window`` consecutive lines that occurs elsewhere earlier
     is removed; overlapping windows merge. Windows with under ``min_chars`` characters besides
     white space at the ends (blank lines) are left alone."""
-    found = drop_repeats(docs, F.split("_text", "\n", -1), "\n", window, min_chars, id_col, text_col)
+    found = drop_repeats(docs, F.split("_text", "\n", -1), "\n", ((window, min_chars),), id_col, text_col)
     cols = [F.col("_kept").alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns if c not in ("n_lines", "removed")]
     return found.select(*cols, F.col("_n_units").alias("n_lines"), F.col("_removed").alias("removed"))

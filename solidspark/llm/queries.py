@@ -55,17 +55,18 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprints(table(spark, sf_dir, "documents"))
 
 
-def _repeats_sql(units: str, glue: str, run: int, min_chars: int, n: str) -> str:
+def _repeats_sql(units: str, glue: str, runs: tuple[tuple[int, int], ...], n: str) -> str:
     """Runs of units found repeated, on texts instead of hashes. units: a list for the text t."""
-    key = ", ".join(f"lead(u, {k}) over w" for k in range(run))
+    key = {r: f"concat_ws(chr(10), {', '.join(f'lead(u, {k}) over w' for k in range(r))})" for r, _ in runs}
+    enough = {r: f"lead(pos, {r - 1}) over w is not null and length(trim({key[r]}, ' ')) >= {least}" for r, least in runs}
+    case = lambda of: "case " + " ".join(f"when {enough[r]} then {of[r]}" for r, _ in runs) + " end"
     return f"""
     with lists as (select doc_id, text, case when text is null or text = '' then []::varchar[] else {units} end us from documents),
     units as (select doc_id, unnest(range(len(us))) pos, unnest(us) unit, trim(unnest(us), ' ') u from lists),
-    runs as (select doc_id, pos, concat_ws(chr(10), {key}) k, lead(pos, {run - 1}) over w last
+    runs as (select doc_id, pos, {case(key)} k, {case({r: r for r, _ in runs})} n
              from units window w as (partition by doc_id order by pos)),
-    firsts as (select doc_id, pos, (row_number() over (partition by k order by doc_id, pos)) > 1 later
-               from runs where last is not null and length(trim(k, ' ')) >= {min_chars}),
-    gone as (select distinct doc_id, pos + d pos from firsts, range({run}) r(d) where later),
+    firsts as (select doc_id, pos, n, (row_number() over (partition by k, n order by doc_id, pos)) > 1 later from runs where k is not null),
+    gone as (select distinct doc_id, pos + d pos from firsts, range({runs[-1][0]}) r(d) where later and d < n),
     kept as (select u.doc_id, count(*) {n}, count(g.pos) n_removed,
                     coalesce(string_agg(case when g.pos is null then unit end, '{glue}' order by u.pos), '') text
              from units u left join gone g on u.doc_id = g.doc_id and u.pos = g.pos group by 1)
@@ -118,7 +119,7 @@ def oracle_sql() -> dict[str, str]:
     sentences = r"list_filter(string_split(regexp_replace(text, '([.!?][ \n\t\r]|\n)', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '')"
     return {
         "op4_minhash_near_dedup": NEAR_SQL,
-        "op5_substring_dedup": _repeats_sql(sentences, "", 3, 40, "n_sentences"),
+        "op5_substring_dedup": _repeats_sql(sentences, "", substring.RUNS, "n_sentences"),
         "op6_benchmark_decontamination": _leaks_sql(),
-        "op8_line_dedup": _repeats_sql("string_split(text, chr(10))", "' || chr(10) || '", 3, 1, "n_lines"),
+        "op8_line_dedup": _repeats_sql("string_split(text, chr(10))", "' || chr(10) || '", ((3, 1),), "n_lines"),
     }

@@ -1,16 +1,17 @@
 """Repeated runs of consecutive units (lines or sentences), found over the whole corpus with DataFrame functions only.
 
-Each run of ``run`` units is hashed (128 bits); a run is repeated if its hash occurs more than
+From each unit on, one run of units is hashed (128 bits): of the lengths in ``runs`` the first that has
+its least number of characters. A run is repeated if its hash occurs more than
 once; its first occurrence is the one with the smallest (doc_id, text hash, position), and every
 unit that any other occurrence covers is removed.
 
 Defined cases
 -------------
 * null text: no units, the row stays with a null text; empty text: no units, stays empty.
-* fewer than ``run`` units: nothing is hashed, the row stays as it is.
+* fewer units than the shortest run: nothing is hashed, the row stays as it is.
 * rows that repeat both doc_id and text are one document: none of them is a later copy of
   another, all get the same result. A null doc_id is an id like another and sorts first.
-* runs shorter than ``min_chars`` characters (units trimmed) are not compared; so runs of blank
+* where no length has enough characters (units trimmed) nothing is compared; so runs of blank
   units never count.
 * other columns, whatever their names, pass through.
 """
@@ -23,20 +24,20 @@ from pyspark.sql import functions as F
 from solidspark.llm.common import stage
 
 
-def _runs(units: DataFrame, run: int, min_chars: int) -> DataFrame:
-    """(id, th, pos, key) of every run of consecutive units."""
-    joined = lambda i: F.array_join(F.slice("_units", i + 1, run), "\n")
-    keyed = F.when(
-        F.size("_units") >= run,
-        F.transform(
-            F.sequence(F.lit(0), F.size("_units") - run),
-            lambda i: F.when(F.length(F.trim(joined(i))) >= min_chars, F.unhex(F.md5(joined(i).cast("binary")))),
-        ),
-    )
-    return units.select("_id", "_th", F.posexplode_outer(keyed).alias("_pos", "_key")).where(F.col("_key").isNotNull())
+def _runs(units: DataFrame, runs: tuple[tuple[int, int], ...]) -> DataFrame:
+    """(id, th, pos, len, key) of the run that starts at each unit: the first of ``runs`` (units, least characters) that fits."""
+    joined = lambda i, n: F.array_join(F.slice("_units", i + 1, n), "\n")
+
+    def run(i: Column) -> Column:
+        fit = [(i + n <= F.size("_units")) & (F.length(F.trim(joined(i, n))) >= least) for n, least in runs]
+        return F.coalesce(*[F.when(f, F.struct(F.lit(n).alias("len"), F.unhex(F.md5(joined(i, n).cast("binary"))).alias("key"))) for f, (n, _) in zip(fit, runs, strict=True)])
+
+    keyed = F.when(F.size("_units") >= runs[0][0], F.transform(F.sequence(F.lit(0), F.size("_units") - runs[0][0]), run))
+    # outer: the filter that Spark infers for a plain explode would compute the runs twice
+    return units.select("_id", "_th", F.posexplode_outer(keyed).alias("_pos", "_run")).where(F.col("_run").isNotNull()).select("_id", "_th", "_pos", F.col("_run.len").alias("_len"), F.col("_run.key").alias("_key"))
 
 
-def drop_repeats(docs: DataFrame, split: Column, glue: str, run: int, min_chars: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_repeats(docs: DataFrame, split: Column, glue: str, runs: tuple[tuple[int, int], ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``_n_units``, ``_removed`` (sorted positions) and ``_kept`` (text without them).
 
     ``split`` turns the text column into its units; ``glue`` joins what is kept."""
@@ -44,12 +45,12 @@ def drop_repeats(docs: DataFrame, split: Column, glue: str, run: int, min_chars:
     base = base.withColumns({"_id": F.col("_row").getField(id_col), "_text": F.col("_row").getField(text_col)})
     base = base.withColumns({"_th": F.xxhash64("_text"), "_units": F.when(F.col("_text") != "", split)})
     trimmed = base.select("_id", "_th", F.transform("_units", lambda u: F.trim(u)).alias("_units"))
-    runs = stage(_runs(trimmed, run, min_chars), "runs")
+    found = stage(_runs(trimmed, runs), "runs")
     place = F.struct("_id", "_th", "_pos")
-    first = runs.groupBy("_key").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where(~F.col("_first").eqNullSafe(F.col("_last")))
-    later = runs.join(first, "_key").where(~place.eqNullSafe(F.col("_first")))
+    first = found.groupBy("_key").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where(~F.col("_first").eqNullSafe(F.col("_last")))
+    later = found.join(first, "_key").where(~place.eqNullSafe(F.col("_first")))
     covered = later.groupBy(F.col("_id").alias("_cid"), F.col("_th").alias("_cth")).agg(
-        F.array_sort(F.array_distinct(F.flatten(F.transform(F.collect_set("_pos"), lambda p: F.sequence(p, p + (run - 1)))))).alias("_removed")
+        F.array_sort(F.array_distinct(F.flatten(F.transform(F.collect_set(F.struct("_pos", "_len")), lambda r: F.sequence(r.getField("_pos"), r.getField("_pos") + r.getField("_len") - 1))))).alias("_removed")
     )
     hit = base.join(covered, base["_id"].eqNullSafe(covered["_cid"]) & base["_th"].eqNullSafe(covered["_cth"]), "left")
     gone = F.coalesce(F.col("_removed"), F.array().cast("array<int>"))

@@ -11,14 +11,18 @@ from solidspark.llm.repeats import drop_repeats
 
 #: A sentence ends after . ! or ? and one white space, or after a line's end; what ends it stays with it.
 SENTENCE_END = r"(?<=[.!?][ \n\t\r])|(?<=\n)"
+#: Sentences in a run, and the least characters that they must have.
+RUNS = ((1, 300), (2, 100), (3, 100), (4, 100), (6, 100), (9, 100), (14, 100), (21, 100))
 
 
-def dedup_spans(docs: DataFrame, run: int = 3, min_chars: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_spans(docs: DataFrame, runs: tuple[tuple[int, int], ...] = RUNS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The columns of ``docs`` with the text cleaned, then ``n_sentences``, ``removed`` (0-based sentence numbers).
 
-    Every run of ``run`` consecutive sentences is compared, by the sentences without the white
-    space around them; runs under ``min_chars`` characters are too common to mean a copy."""
+    From every sentence on, the first of ``runs`` (consecutive sentences, least characters) that fits is
+    compared, by the sentences without the white space around them; shorter ones are too common to mean a
+    copy. A passage of over 50 words is found if it has two sentences or many of a word; one sentence
+    counts alone from 300 characters on."""
     units = F.filter(F.split("_text", SENTENCE_END, -1), lambda u: u != "")
-    found = drop_repeats(docs, units, "", run, min_chars, id_col, text_col)
+    found = drop_repeats(docs, units, "", runs, id_col, text_col)
     cols = [F.col("_kept").alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns if c not in ("n_sentences", "removed")]
     return found.select(*cols, F.col("_n_units").alias("n_sentences"), F.col("_removed").alias("removed"))
