@@ -233,19 +233,19 @@ def test_near_duplicates_edges(docs, empty):
 # 5 and 8: repeated runs
 
 
-def brute_repeats(items, split, glue, run, least):
+def brute_repeats(items, split, glue, runs):
     """items: (doc_id, text) distinct; kept texts and removed places."""
     units = {k: split(k[1]) if k[1] else [] for k in items}
-    key = lambda u, p: "\n".join(x.strip(" ") for x in u[p : p + run])
+    key = lambda u, p, n: "\n".join(x.strip(" ") for x in u[p : p + n])
     seen, gone = {}, defaultdict(set)
     for k in sorted(items, key=lambda k: (k[0] is not None, k[0] or 0)):
         u = units[k]
-        for p in range(len(u) - run + 1):
-            if len(key(u, p).strip(" ")) >= least:
-                if key(u, p) in seen:
-                    gone[k].update(range(p, p + run))
-                else:
-                    seen[key(u, p)] = (k, p)
+        for p in range(len(u)):
+            n = next((n for n, least in runs if p + n <= len(u) and len(key(u, p, n).strip(" ")) >= least), None)
+            if n and (n, key(u, p, n)) in seen:
+                gone[k].update(range(p, p + n))
+            elif n:
+                seen[(n, key(u, p, n))] = (k, p)
     return {k: (len(u), len(gone[k]), glue.join(x for p, x in enumerate(u) if p not in gone[k]) if gone[k] else k[1]) for k, u in units.items()}
 
 
@@ -253,15 +253,15 @@ def sentences(text):
     return [u for u in re.split(r"(?<=[.!?][ \n\t\r])|(?<=\n)", text) if u]
 
 
-@pytest.mark.parametrize(("op", "split", "glue", "least"), [(linedup.dedup_lines, lambda t: t.split("\n"), "\n", 1), (substring.dedup_spans, sentences, "", 40)])
-def test_repeats_equal_brute_force(spark, op, split, glue, least):
+@pytest.mark.parametrize(("op", "split", "glue", "runs"), [(linedup.dedup_lines, lambda t: t.split("\n"), "\n", ((3, 1),)), (substring.dedup_spans, sentences, "", substring.RUNS)])
+def test_repeats_equal_brute_force(spark, op, split, glue, runs):
     rng = random.Random(9)
     pool = [sentence(rng, 6) for _ in range(30)] + ["", " "]
     table = [(k, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 9)))) for k in range(120)] + [(500, None), (501, ""), (None, "\n".join(pool[:4]))]
     got = op(spark.createDataFrame([*table, table[5]], "doc_id long, text string").withColumns({c: F.lit(0) for c in CLASH}).repartition(4))
     n = "n_lines" if op is linedup.dedup_lines else "n_sentences"
     found = {r["doc_id"]: (r[n], len(r["removed"]), r["text"]) for r in collected(got)}
-    want = {k[0]: v for k, v in brute_repeats([tuple(t) for t in table], split, glue, 3, least).items()}
+    want = {k[0]: v for k, v in brute_repeats([tuple(t) for t in table], split, glue, runs).items()}
     assert got.count() == len(table) + 1 and found == want
     assert set(CLASH) - {"removed", "n_lines"} <= set(got.columns)
 
