@@ -36,6 +36,8 @@ PHASES = 8
 ROWS_PER_SALT = 100_000
 #: Splits words in a batch that are encoded in one call; words that hold it are encoded alone.
 MARK = "\x7f"
+#: What may follow a word without being part of it; not the apostrophe, which starts contractions.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _RANK = 50
 WORDS = re.compile(WORD)
 
@@ -84,12 +86,11 @@ class WordEncoder:
             seen.clear()
         new = set().union(*split).difference(seen)
         stems = {}
-        for w in new:  # a plain (Latin) word and its end of . or , are encoded apart
-            if w.isascii() or max(w) < "\u0130":
-                stem = w.rstrip(".,")
-                low = stem.lower()
-                if low.isalpha() and low != w and (len(w) - len(stem) <= 1):
-                    stems[w] = (low, w[len(stem) :])
+        for w in new:  # a plain (Latin) word and the marks after it are tokens apart, so they are encoded apart
+            stem = w.rstrip(MARKS)
+            low = stem.lower()
+            if low != w and low.isalpha() and (w.isascii() or max(w) < "\u0130"):
+                stems[w] = (low, w[len(stem) :])
         need = (new - stems.keys()) | {s for s, _ in stems.values()} | {e for _, e in stems.values() if e}
         self._encode([w for w in need if w not in seen])
         for w, (stem, end) in stems.items():
