@@ -76,13 +76,23 @@ class Voter:
         return np.packbits(votes > 0).tobytes()
 
 
+#: Of this Python worker: what it remembers serves all its ranges.
+_VOTERS: list[Voter] = []
+
+
+def _voter() -> Voter:
+    if not _VOTERS:
+        _VOTERS.append(Voter())
+    return _VOTERS[0]
+
+
 def _likeness(a: bytes, b: bytes) -> float:
     return 1 - (int.from_bytes(a) ^ int.from_bytes(b)).bit_count() / BITS
 
 
 def _range(group: pd.DataFrame) -> pd.DataFrame:
     """The fingerprints of a range of documents; the row that follows its last has ``turn`` 1."""
-    voter, out = Voter(), []
+    voter, out = _voter(), []
     texts, ids = group["text"].tolist(), group["doc_id"].tolist()
     order = sorted(range(len(texts)), key=lambda i: (group["turn"].iat[i], 0 if ids[i] is None or ids[i] != ids[i] else 1, ids[i] or 0, texts[i]))
     own = [i for i in order if group["turn"].iat[i] == 0]
