@@ -8,12 +8,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Temporary folders of applications that name none.
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests on one machine), a temporary one that is then set."""
+    """The folder of ``spark.checkpoint.dir``; where it is unset (tests on one machine), a temporary one of this application."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="solidspark-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = "file://" + tempfile.mkdtemp(prefix="solidspark-")
+        found = _OWN[app]
     return found.rstrip("/")
 
 
