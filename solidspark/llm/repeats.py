@@ -1,6 +1,6 @@
 """Repeated runs of consecutive units (lines or sentences), found over the whole corpus with DataFrame functions only.
 
-From each unit on, one run of units is hashed (128 bits): of the lengths in ``runs`` the first that has
+From each unit on, one run of units is hashed (96 bits): of the lengths in ``runs`` the first that has
 its least number of characters. A run is repeated if its hash occurs more than
 once; its first occurrence is the one with the smallest (doc_id, text hash, position), and every
 unit that any other occurrence covers is removed.
@@ -30,7 +30,7 @@ def _runs(units: DataFrame, runs: tuple[tuple[int, int], ...]) -> DataFrame:
 
     def run(i: Column) -> Column:
         fit = [(i + n <= F.size("_units")) & (F.length(F.trim(joined(i, n))) >= least) for n, least in runs]
-        return F.coalesce(*[F.when(f, F.struct(F.lit(n).alias("len"), F.unhex(F.md5(joined(i, n).cast("binary"))).alias("key"))) for f, (n, _) in zip(fit, runs, strict=True)])
+        return F.coalesce(*[F.when(f, F.struct(F.lit(n).alias("len"), F.substring(F.unhex(F.md5(joined(i, n).cast("binary"))), 1, 12).alias("key"))) for f, (n, _) in zip(fit, runs, strict=True)])
 
     keyed = F.when(F.size("_units") >= runs[0][0], F.transform(F.sequence(F.lit(0), F.size("_units") - runs[0][0]), run))
     # outer: the filter that Spark infers for a plain explode would compute the runs twice
@@ -47,7 +47,7 @@ def drop_repeats(docs: DataFrame, split: Column, glue: str, runs: tuple[tuple[in
     trimmed = base.select("_id", "_th", F.transform("_units", lambda u: F.trim(u)).alias("_units"))
     found = stage(_runs(trimmed, runs), "runs")
     place = F.struct("_id", "_th", "_pos")
-    first = found.groupBy("_key").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where(~F.col("_first").eqNullSafe(F.col("_last")))
+    first = found.groupBy("_key").agg(F.min(place).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
     later = found.join(first, "_key").where(~place.eqNullSafe(F.col("_first")))
     covered = later.groupBy(F.col("_id").alias("_cid"), F.col("_th").alias("_cth")).agg(
         F.array_sort(F.array_distinct(F.flatten(F.transform(F.collect_set(F.struct("_pos", "_len")), lambda r: F.sequence(r.getField("_pos"), r.getField("_pos") + r.getField("_len") - 1))))).alias("_removed")
