@@ -1,7 +1,7 @@
 """Repeated runs of consecutive units (lines or sentences), found over the whole corpus with DataFrame functions only.
 
 From each unit on, one run of units is hashed (96 bits): of the lengths in ``runs`` the first that has
-its least number of characters. A run is repeated if its hash occurs more than
+its least number of characters (or the runs that a function gives). A run is repeated if its hash occurs more than
 once; its first occurrence is the one with the smallest (doc_id, text hash, position), and every
 unit that any other occurrence covers is removed.
 
@@ -18,6 +18,8 @@ Defined cases
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,18 +39,33 @@ def _runs(units: DataFrame, runs: tuple[tuple[int, int], ...]) -> DataFrame:
     return units.select("_id", "_th", F.posexplode_outer(keyed).alias("_pos", "_run")).where(F.col("_run").isNotNull()).select("_id", "_th", "_pos", F.col("_run.len").alias("_len"), F.col("_run.key").alias("_key"))
 
 
-def drop_repeats(docs: DataFrame, split: Column, glue: str, runs: tuple[tuple[int, int], ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _later(found: DataFrame) -> DataFrame:
+    """The runs that are not the first with their key."""
+    place = F.struct("_id", "_th", "_pos")
+    first = found.groupBy("_key").agg(F.min(place).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    return found.join(first, "_key").where(~place.eqNullSafe(F.col("_first")))
+
+
+def _later_with_more(found: DataFrame) -> DataFrame:
+    """The same where a run also brings longer ones from its start (``_more``): these can only be repeated where it is."""
+    place = F.struct("_id", "_th", "_pos")
+    first = found.groupBy("_key").agg(F.min(place).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    met = stage(found.join(first, "_key").select("_id", "_th", "_pos", "_len", "_more", (~place.eqNullSafe(F.col("_first"))).alias("_is_later")), "met-runs")
+    longer = met.select("_id", "_th", "_pos", F.explode("_more").alias("_m")).select("_id", "_th", "_pos", F.col("_m.len").alias("_len"), F.col("_m.key").alias("_key"))
+    cols = ["_id", "_th", "_pos", "_len"]
+    return met.where("_is_later").select(*cols).unionByName(_later(longer).select(*cols))
+
+
+def drop_repeats(docs: DataFrame, split: Column, glue: str, runs: tuple[tuple[int, int], ...] | Callable[[DataFrame], DataFrame], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``_n_units``, ``_removed`` (sorted positions) and ``_kept`` (text without them).
 
-    ``split`` turns the text column into its units; ``glue`` joins what is kept."""
+    ``split`` turns the text column into its units; ``glue`` joins what is kept. ``runs`` may also be a function
+    from (_id, _th, _units) to the runs: (_id, _th, _pos, _len, _key, _more)."""
     base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     base = base.withColumns({"_id": F.col("_row").getField(id_col), "_text": F.col("_row").getField(text_col)})
     base = base.withColumns({"_th": F.xxhash64("_text"), "_units": F.when(F.col("_text") != "", split)})
     trimmed = base.select("_id", "_th", F.transform("_units", lambda u: F.trim(u)).alias("_units"))
-    found = stage(_runs(trimmed, runs), "runs")
-    place = F.struct("_id", "_th", "_pos")
-    first = found.groupBy("_key").agg(F.min(place).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
-    later = found.join(first, "_key").where(~place.eqNullSafe(F.col("_first")))
+    later = _later_with_more(stage(runs(trimmed), "runs")) if callable(runs) else _later(stage(_runs(trimmed, runs), "runs"))
     covered = later.groupBy(F.col("_id").alias("_cid"), F.col("_th").alias("_cth")).agg(
         F.array_sort(F.array_distinct(F.flatten(F.transform(F.collect_set(F.struct("_pos", "_len")), lambda r: F.sequence(r.getField("_pos"), r.getField("_pos") + r.getField("_len") - 1))))).alias("_removed")
     )

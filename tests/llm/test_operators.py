@@ -271,6 +271,30 @@ def test_repeats_empty(empty, docs):
     assert linedup.dedup_lines(docs).count() == substring.dedup_spans(docs).count() == len(rows())
 
 
+def test_passages_go_whole(spark):
+    rng = random.Random(4)
+    fixed = [
+        [sentence(rng, 51)],  # one sentence under 300 characters
+        [sentence(rng, 90), sentence(rng, 3)],  # a short one after a long one
+        [sentence(rng, 48), "a.", "b.", "c."],  # short last ones
+        [f"w{k}." for k in range(30)] + ["x."] * 25,  # many of a word
+        ["ab.", *["\n"] * 60, sentence(rng, 50)],  # blank lines inside
+    ]
+    fixed[0] = [" ".join("abcd"[: rng.randint(2, 4)] + rng.choice("xyz") for _ in range(51)) + "."]
+    drawn = [[sentence(rng, rng.choice((1, 2, 5, 9, 14, 30))) for _ in range(60)] for _ in range(40)]
+    passages = fixed + [p[: next(k for k in range(1, 61) if sum(len(s.split()) for s in p[:k]) > 50)] for p in drawn]
+    flat = lambda p: "".join(s if s.isspace() else s + " " for s in p)
+    own = lambda: sentence(rng, rng.randint(1, 12)) + " "
+    table, want = [], {}
+    for k, p in enumerate(passages):
+        for d in (2 * k, 2 * k + 1):
+            before, after = "".join(own() for _ in range(3)), "".join(own() for _ in range(3))
+            table.append((d, before + flat(p) + after))
+            want[d] = before + after if d % 2 else table[-1][1]
+    assert len(fixed[0][0]) < 300 and len(fixed[0][0].split()) == 51
+    assert {r["doc_id"]: r["text"] for r in collected(substring.dedup_spans(spark.createDataFrame(table, "doc_id long, text string").repartition(3)))} == want
+
+
 # 6: decontamination
 
 
