@@ -9,6 +9,10 @@ words get the sum of the weights of their contexts, cut off at both ends; a tag
 linear scan finds the run of blocks with the largest sum; blocks in it whose words score negative (a menu
 or an advert inside the article) are left out.
 
+Inside marked content an element is left out for its tag, or for a name that is made of words of the fixed list
+only (``_names_ban``); never one that encloses most of the marked words or the one inner mark. Elsewhere, and in
+other names, the list is the prior of the weights.
+
 Blocks end at the tags of BLOCKS; scripts, styles and the like, comments and markup are never text; character
 references are decoded, white space in a block becomes one space.
 
@@ -48,9 +52,13 @@ NOT_CONTENT_WORDS = {
 }
 CONTENT_TAGS = {"article", "main"}
 CONTENT_WORDS = {"articlebody", "mainentity", "main"}
-#: Contexts inside marked content that are never part of it: labelled pages cannot teach these, for their mark
-#: takes in all it encloses. An article's own header holds its title.
-BANNED = {f"in tag {t}" for t in NOT_CONTENT_TAGS - {"header", "label", "head"}} | {f"in word {w}" for w in NOT_CONTENT_WORDS - {"header", "masthead"}}
+#: What names an element inside marked content that is never part of it: labelled pages cannot teach this, for their
+#: mark takes in all it encloses. An article's own header holds its title.
+BANNED_TAGS, BANNED_WORDS = NOT_CONTENT_TAGS - {"header", "label", "head"}, NOT_CONTENT_WORDS - {"header", "masthead"}
+#: What may stand beside such words in one name ("related-posts"; not "related-work" or "with-sidebar").
+PLAIN = {"area", "articles", "bar", "block", "box", "button", "buttons", "container", "form", "icons", "inner", "item", "items", "links", "list", "post", "posts", "section", "wrap", "wrapper"}
+#: Elements whose id and label are anchors of their text.
+ANCHORED = {"section", "h1", "h2", "h3", "h4", "h5", "h6"}
 #: Words that a name of the fixed lists counts for, and the largest weight.
 PRIOR_WORDS, MOST, STRUCTURE = 50.0, 3.0, 0.75
 #: What a block that is no content takes from a run at most, so that an advert does not part an article.
@@ -58,28 +66,48 @@ PARTS = 4.0
 
 
 class Block:
-    __slots__ = ("contexts", "labelled", "links", "tags", "text", "words")
+    __slots__ = ("banned", "bans", "contexts", "labelled", "links", "tags", "text", "words")
+
+    def __init__(self, text: str, links: int, tags: Counter, contexts: frozenset, labelled: bool, bans: tuple[int, ...]):
+        self.text, self.links, self.tags, self.contexts, self.labelled, self.bans = text, links, tags, contexts, labelled, bans
+        self.words, self.banned = len(text.split()), False
+
+
+def _names_ban(value: str) -> bool:
+    """A name made of words of the fixed list, and plain ones."""
+    parts = set(WORDS.findall(value))
+    return not parts.isdisjoint(BANNED_WORDS) and parts <= BANNED_WORDS | PLAIN
 
-    def __init__(self, text: str, links: int, tags: Counter, contexts: frozenset, labelled: bool):
-        self.text, self.links, self.tags, self.contexts, self.labelled = text, links, tags, contexts, labelled
-        self.words = len(text.split())
+
+def _settle(blocks: list[Block], nested: list[tuple[int, ...]]) -> None:
+    """Bans hold but for elements that enclose most of the marked words, or the one mark inside the mark."""
+    total, of = 0, Counter()
+    for b in blocks:
+        if b.labelled:
+            total += b.words
+            for k in b.bans:
+                of[k] += b.words
+    free = {k for k, n in of.items() if 2 * n > total} | set(nested[0] if len(nested) == 1 else ())
+    for b in blocks:
+        b.banned = any(k not in free for k in b.bans)
 
 
 def blocks_of(html: str) -> tuple[list[Block], int]:
     """The page's blocks in order, with the tags before each, and how many content elements it marks."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset, bool]] = []
+    stack: list[tuple[str, frozenset, bool, tuple[int, ...]]] = []
+    nested: list[tuple[int, ...]] = []
     pieces: list[str] = []
     tags: Counter = Counter()
-    link_depth = links = marked = 0
+    link_depth = links = marked = bans = 0
 
     def close_block() -> None:
         nonlocal links, tags
         text = " ".join(unescape("".join(pieces)).split())
         pieces.clear()
         if text:
-            top = stack[-1] if stack else ("", frozenset(), False)
-            out.append(Block(text, links, tags, top[1], top[2]))
+            top = stack[-1] if stack else ("", frozenset(), False, ())
+            out.append(Block(text, links, tags, *top[1:]))
             tags = Counter()
         links = 0
 
@@ -129,20 +157,28 @@ def blocks_of(html: str) -> tuple[list[Block], int]:
             continue
         if name in ALONE and stack and stack[-1][0] == name:
             stack.pop()
-        contexts, inside = (stack[-1][1], stack[-1][2]) if stack else (frozenset(), False)
-        own, words = {"tag " + name}, set()
+        contexts, inside, within = stack[-1][1:] if stack else (frozenset(), False, ())
+        own, words, ban = {"tag " + name}, set(), name in BANNED_TAGS
         for a in ATTRIBUTE.finditer(tok):
-            words.update(WORDS.findall((a[2] or a[3] or a[4] or "").lower()))
+            value, kind = (a[2] or a[3] or a[4] or "").lower(), a[1].lower()
+            words.update(WORDS.findall(value))
+            if inside and not ban and not (kind in ("id", "aria-label") and name in ANCHORED):
+                ban = any(map(_names_ban, value.split() if kind in ("class", "role") else [value]))
         own.update("word " + w for w in words)
-        if inside:
-            own |= BANNED & {"in " + c for c in own}
-        if not inside and (name in CONTENT_TAGS or words & CONTENT_WORDS):
+        mark = name in CONTENT_TAGS or not words.isdisjoint(CONTENT_WORDS)
+        if inside and mark:
+            nested.append(within)
+        if inside and ban:
+            within = (*within, bans)
+            bans += 1
+        if not inside and mark:
             marked += 1
             inside = True
-        stack.append((name, contexts | own, inside))
+        stack.append((name, contexts | own, inside, within))
         if tok.endswith("/>") and name not in ALONE:
             stack.pop()
     close_block()
+    _settle(out, nested)
     return out, marked
 
 
@@ -155,7 +191,7 @@ def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if marked != 1:
                 continue
             for b in blocks:
-                to = inside if b.labelled and BANNED.isdisjoint(b.contexts) else outside
+                to = inside if b.labelled and not b.banned else outside
                 for c in b.contexts:
                     to[c] += b.words
                 to["link"] += b.links
@@ -197,11 +233,11 @@ class Weights:
             self.known[feature] = max(-most, min(most, w))
         return self.known[feature]
 
-    def word(self, contexts: frozenset) -> float:
+    def word(self, block: Block) -> float:
         """Of a word that is no link: 1 and what its contexts say."""
-        if not BANNED.isdisjoint(contexts):
+        if block.banned:
             return -MOST
-        return max(-MOST, min(MOST, 1.0 + sum(self.of(c) for c in contexts)))
+        return max(-MOST, min(MOST, 1.0 + sum(self.of(c) for c in block.contexts)))
 
     def tag(self, name: str) -> float:
         """What a tag costs: more, the likelier it stands outside; inline tags less."""
@@ -225,13 +261,12 @@ def main_text(html: str, weights: Weights) -> str:
     blocks, _ = blocks_of(html)
     kept, scores = [], []
     for b in blocks:
-        word = weights.word(b.contexts)
+        word = weights.word(b)
         link = max(-MOST, min(word, word + weights.of("link")))
         words = (b.words - min(b.links, b.words)) * word + min(b.links, b.words) * link
         kept.append(words > 0)
         # what marked content encloses and never belongs to it is left out below and parts no region
-        enclosed = not BANNED.isdisjoint(b.contexts)
-        scores.append(0.0 if enclosed else max(words, -PARTS) - sum(weights.tag(t) * k for t, k in b.tags.items()))
+        scores.append(0.0 if b.banned else max(words, -PARTS) - sum(weights.tag(t) * k for t, k in b.tags.items()))
     a, z = best_run(scores)
     # the tags before a first block stand outside the region
     while a > 0 and kept[a - 1] and blocks[a - 1].labelled and blocks[a].labelled:

@@ -398,6 +398,19 @@ def test_html(spark, empty):
     assert html.unescape("&copy;") == "©"
 
 
+def test_html_names_do_not_take_content(spark):
+    words = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    wrapped = f"<body><nav>Home</nav><main><div class='content with-sidebar'><article><h1>Title</h1><p>{words(1)}</p><p>{words(2)}</p></article></div></main></body>"
+    banned = wrapped.replace("content with-sidebar", "sidebar")
+    parts = f"<body><nav>Home</nav><article><p>{words(3)}</p><section id='social-impact'><h2 id='related-work'>Related work</h2><p>{words(4)}</p></section><p>{words(5)}</p><div class='related-posts'>Other stories</div><div class='widget'>Buy</div></article></body>"
+    form = f"<body><main><form><article><p>{words(6)}</p></article></form><aside>More</aside></main></body>"
+    pages = [(k, "u", PAGE) for k in range(5)] + [(10, "u", wrapped), (11, "u", banned), (12, "u", parts), (13, "u", form)]
+    by = {r["page_id"]: r["text"] for r in collected(html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")))}
+    assert by[10] == by[11] == f"Title\n{words(1)}\n{words(2)}"
+    assert by[12] == f"{words(3)}\nRelated work\n{words(4)}\n{words(5)}" and by[13] == words(6)
+    assert "Buy now" not in by[0]
+
+
 def test_best_run():
     rng = random.Random(0)
     for _ in range(50):
