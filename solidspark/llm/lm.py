@@ -4,8 +4,8 @@ The text is a sequence of tokens (words in ASCII lower case, then one end). A la
 class, and the class emits the word: P(word | state) = E[state, class] * P(word | class). The class is
 a hash of the word (words are told apart by 64-bit hashes), so E has a fixed size at any vocabulary, and P(word | class) comes from counts of all
 training tokens, which are aggregated and joined as tables and never broadcast. Expected counts of each
-Baum-Welch pass are summed per partition in the tasks and added up by a group-by; the driver holds the
-parameters only (STATES x CLASSES).
+Baum-Welch pass, all over the whole training corpus, are summed per partition in the tasks and added up by a
+group-by; the driver holds the parameters only (STATES x CLASSES).
 
 The likelihood is exact: the scaled forward recursion runs over every token of every text, many texts
 side by side. Words of one class have the same P(class | state), so log10 P(text) is the forward value of
@@ -34,13 +34,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from solidspark.llm.common import least_hashes, lower_words, stage
+from solidspark.llm.common import lower_words, stage
 
-STATES, CLASSES, PASSES = 6, 1 << 15, 3
+STATES, CLASSES = 6, 1 << 15
+#: Baum-Welch ends with the pass that raises the log10 likelihood by less than this a token, or after so many.
+GAIN, PASSES = 1e-3, 40
 #: Characters of text in a block, about.
 BLOCK_CHARS = 12_000_000
-#: Training documents and tokens of each at most for the first guess of the parameters.
-GUESS_DOCS, GUESS_TOKENS, GUESS_PASSES = 1500, 3000, 12
 SMOOTH = 0.1
 #: The end of a text, as a word; no text has it, for it holds a space.
 END = b" end"
@@ -163,8 +163,9 @@ def forward(model: Model, seqs: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def expected_counts(model: Model, seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch: expected starts, transitions and emissions (STATES x CLASSES) over the sequences."""
+def expected_counts(model: Model, seqs: list[np.ndarray], logs: list[float] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Baum-Welch: expected starts, transitions and emissions (STATES x CLASSES) over the sequences; ``logs`` gets
+    log10 likelihoods of groups of them."""
     k = len(model.pi)
     pi, A, counts = np.zeros(k), np.zeros((k, k)), np.zeros((k, model.E.shape[1]))
     E = np.ascontiguousarray(model.E.T)
@@ -177,6 +178,8 @@ def expected_counts(model: Model, seqs: list[np.ndarray]) -> tuple[np.ndarray, n
             s = alpha.sum(1)
             scales[a:b] = s
             np.divide(alpha, s[:, None], out=alphas[a:b])
+        if logs is not None:
+            logs.append(float(np.log10(scales).sum()))
         beta, joint = np.ones((starts[-1] - starts[-2], k)), np.zeros((k, k))
         for t in range(len(starts) - 2, -1, -1):
             a, b = starts[t], starts[t + 1]
@@ -201,28 +204,42 @@ def _sequences(raw: pd.Series) -> list[np.ndarray]:
     return [_unpacked(x) for x in raw]
 
 
-def _pass(blocks: DataFrame, model: Model, unigram: np.ndarray) -> Model:
-    """One pass over all training documents: expected counts per partition, added up by row of parameters."""
+def _pass(blocks: DataFrame, model: Model, unigram: np.ndarray) -> tuple[Model, float]:
+    """One pass over all training documents: expected counts per partition, added up by row of parameters.
+
+    The new model, and the log10 likelihood of the documents under the given one."""
     shared = blocks.sparkSession.sparkContext.broadcast(model)
     sums = [f"s{s}" for s in range(STATES)]
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
+        total, logs = None, []
         for frame in frames:
-            own = expected_counts(shared.value, _sequences(frame["classes"]))
+            own = expected_counts(shared.value, _sequences(frame["classes"]), logs)
             total = own if total is None else tuple(x + y for x, y in zip(total, own, strict=True))
         if total is not None:
             pi, A, E = total
-            table = np.concatenate([E.T, pi[None, :], A])  # CLASSES rows, then the start's, then the states'
+            likelihood = np.full((1, STATES), sum(logs))
+            table = np.concatenate([E.T, pi[None, :], A, likelihood])  # CLASSES rows, then the start's, the states', the likelihood's
             yield pd.DataFrame(table, columns=sums).assign(row=np.arange(len(table)))[["row", *sums]]
 
     train = blocks.where("local is not null and not held_out").select("classes")
     counted = train.mapInPandas(count, "row int, " + ", ".join(f"{s} double" for s in sums)).groupBy("row").agg(*[F.sum(s).alias(s) for s in sums])
     rows = counted.toPandas().sort_values("row")
-    table = np.zeros((CLASSES + 1 + STATES, STATES))
+    table = np.zeros((CLASSES + 1 + STATES + 1, STATES))
     table[rows["row"].to_numpy()] = rows[sums].to_numpy()
     shared.unpersist()
-    return Model.of_counts(table[CLASSES], table[CLASSES + 1 :], table[:CLASSES].T, unigram)
+    return Model.of_counts(table[CLASSES], table[CLASSES + 1 : -1], table[:CLASSES].T, unigram), float(table[-1, 0])
+
+
+def train(blocks: DataFrame, unigram: np.ndarray, tokens: int) -> Model:
+    """Passes over all training documents, of whatever length, until the likelihood hardly rises."""
+    model, before = Model.start(unigram), -np.inf
+    for _ in range(PASSES if tokens else 0):
+        model, now = _pass(blocks, model, unigram)
+        if now - before < GAIN * tokens:
+            break
+        before = now
+    return model
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -246,13 +263,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     unknown = once + SMOOTH
     of_class = c + SMOOTH * v + unknown  # what the words of a class share, the unknown one among them
     unigram = of_class / of_class.sum()
-    guess = blocks.where(f"local is not null and not held_out and n_tokens <= {GUESS_TOKENS}")
-    first = [_unpacked(r.classes) for r in least_hashes(guess.select("doc_id", "n_tokens", "classes"), F.xxhash64("doc_id", "n_tokens"), GUESS_DOCS).collect()]
-    model = Model.start(unigram)
-    for _ in range(GUESS_PASSES if first else 0):
-        model = Model.of_counts(*expected_counts(model, first), unigram)
-    for _ in range(PASSES if first else 0):
-        model = _pass(blocks, model, unigram)
+    model = train(blocks, unigram, total)
     shared = spark.sparkContext.broadcast((model, unknown, of_class))
     base_of = float(total + SMOOTH * (distinct + 1))
 

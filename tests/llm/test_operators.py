@@ -116,6 +116,24 @@ def test_lm(docs, empty):
     assert lm.score(empty).count() == 0
 
 
+def test_long_texts_train_all_passes(spark, monkeypatch):
+    rng = random.Random(3)
+    topics = [[f"t{k}w{j}" for j in range(20)] for k in range(2)]
+    ids = [d for d in range(1, 40) if zlib.crc32(str(d).encode()) % 10]
+    table = [(d, " ".join(rng.choice(topics[d % 2]) for _ in range(3_500))) for d in ids[:12]]
+    seen, one = [], lm._pass
+
+    def spy(blocks, model, unigram):
+        new, likelihood = one(blocks, model, unigram)
+        seen.append((likelihood, int(blocks.where("local is not null and not held_out").count())))
+        return new, likelihood
+
+    monkeypatch.setattr(lm, "_pass", spy)
+    got = collected(lm.score(spark.createDataFrame(table, "doc_id long, text string")))
+    assert len(seen) > 1 and all(n == 12 for _, n in seen)
+    assert seen[-1][0] > seen[0][0] and all(r["score"] > r["base_score"] + 500 for r in got)
+
+
 def test_forward_equals_all_paths():
     rng = np.random.default_rng(0)
     norm = lambda x: x / x.sum(-1, keepdims=True)
