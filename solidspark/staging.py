@@ -13,9 +13,13 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests on one machine), a temporary one of this application."""
+    """The folder of ``spark.checkpoint.dir``; where it is unset on one machine (tests), a temporary one of this application.
+
+    A cluster must name a folder: its executors do not see each other's disks."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN:
             _OWN[app] = "file://" + tempfile.mkdtemp(prefix="solidspark-")
