@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from solidspark.llm.repeats import drop_repeats
+from solidspark.llm.repeats import BLANKS, cleaned, drop_repeats, key_of
 
 
 def dedup_lines(docs: DataFrame, window: int = 3, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -16,6 +16,12 @@ def dedup_lines(docs: DataFrame, window: int = 3, min_chars: int = 1, id_col: st
     Lines end at ``\\n``. A window of ``window`` consecutive lines that occurs elsewhere earlier
     is removed; overlapping windows merge. Windows with under ``min_chars`` characters besides
     white space at the ends (blank lines) are left alone."""
-    found = drop_repeats(docs, F.split("_text", "\n", -1), "\n", ((window, min_chars),), id_col, text_col)
-    cols = [F.col("_kept").alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns if c not in ("n_lines", "removed")]
-    return found.select(*cols, F.col("_n_units").alias("n_lines"), F.col("_removed").alias("removed"))
+    joined = lambda i: F.array_join(F.slice("_units", i + 1, window), "\n")
+    key = lambda i: F.when(F.length(F.btrim(joined(i), F.lit(BLANKS))) >= min_chars, key_of(joined(i)))
+
+    def runs(units: DataFrame) -> DataFrame:
+        keyed = F.when(F.size("_units") >= window, F.transform(F.sequence(F.lit(0), F.size("_units") - window), key))
+        # outer: the filter that Spark infers for a plain explode would compute the windows twice
+        return units.select("_id", "_th", F.posexplode_outer(keyed).alias("_pos", "_key")).where(F.col("_key").isNotNull()).withColumn("_len", F.lit(window))
+
+    return cleaned(docs, drop_repeats(docs, F.split("_text", "\n", -1), "\n", runs, id_col=id_col, text_col=text_col), text_col, "n_lines")

@@ -55,25 +55,42 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprints(table(spark, sf_dir, "documents"))
 
 
-def _repeats_sql(units: str, glue: str, runs: tuple[tuple[int, int], ...], n: str) -> str:
-    """Runs of units found repeated, on texts instead of hashes. units: a list for the text t."""
-    key = {r: f"concat_ws(chr(10), {', '.join(f'lead(u, {k}) over w' for k in range(r))})" for r, _ in runs}
-    enough = {r: f"lead(pos, {r - 1}) over w is not null and length(trim({key[r]}, ' ')) >= {least}" for r, least in runs}
-    case = lambda of: "case " + " ".join(f"when {enough[r]} then {of[r]}" for r, _ in runs) + " end"
+def _gone_sql(units: str, runs: str, glue: str, n: str) -> str:
+    """Repeated runs of units, on texts instead of hashes. units: a list of the text; runs: selects (doc_id, i, j, k), places and key of a run, from lists and units."""
     return f"""
     with lists as (select doc_id, text, case when text is null or text = '' then []::varchar[] else {units} end us from documents),
-    units as (select doc_id, unnest(range(len(us))) pos, unnest(us) unit, trim(unnest(us), ' ') u from lists),
-    runs as (select doc_id, pos, {case(key)} k, {case({r: r for r, _ in runs})} n
-             from units window w as (partition by doc_id order by pos)),
-    firsts as (select doc_id, pos, n, (row_number() over (partition by k, n order by doc_id, pos)) > 1 later from runs where k is not null),
-    gone as (select distinct doc_id, pos + d pos from firsts, range({runs[-1][0]}) r(d) where later and d < n),
+    trimmed as (select doc_id, list_transform(us, lambda u: trim(u, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) ss from lists),
+    units as (select doc_id, unnest(range(len(us))) pos, unnest(us) unit from lists),
+    {runs},
+    firsts as (select doc_id, i, j, (row_number() over (partition by k order by doc_id, i)) > 1 later from runs),
+    gone as (select distinct doc_id, unnest(range(i, j + 1)) pos from firsts where later),
     kept as (select u.doc_id, count(*) {n}, count(g.pos) n_removed,
-                    coalesce(string_agg(case when g.pos is null then unit end, '{glue}' order by u.pos), '') text
+                    coalesce(string_agg(case when g.pos is null then unit end, {glue} order by u.pos), '') text
              from units u left join gone g on u.doc_id = g.doc_id and u.pos = g.pos group by 1)
-    select l.doc_id, coalesce(k.{n}, 0)::bigint {n}, coalesce(n_removed, 0)::bigint n_removed, coalesce(k.text, l.text) as text
+    select l.doc_id, coalesce(k.{n}, 0)::bigint {n}, coalesce(n_removed, 0)::bigint n_removed, case when n_removed > 0 then k.text else l.text end as text
     from lists l left join kept k on l.doc_id = k.doc_id"""
 
 
+def _spans_sql() -> str:
+    """Of all spans that hold enough: those that hold no shorter one with the same start or with the same end."""
+    blank, other = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+    sentences = rf"regexp_extract_all(text, '(?s){blank}*{other}.*?(?:[.!?]{blank}+|\n{blank}*|\z)')"
+    least, most = substring.MIN_CHARS, substring.MIN_CHARS // 2
+    runs = rf"""sized as (select doc_id, ss, unnest(range(len(ss))) pos, unnest(ss) s from trimmed),
+    summed as (select doc_id, pos, length(s) n, len(regexp_extract_all(s, '{other}+')) words, sum(length(s) + 1) over (partition by doc_id order by pos) upto from sized),
+    fits as (select a.doc_id, a.pos i, b.pos j from summed a join summed b on a.doc_id = b.doc_id and b.pos between a.pos and a.pos + {most}
+             where case when a.pos = b.pos then a.n >= {substring.ALONE_CHARS} or a.words > {substring.ALONE_WORDS} else b.upto - a.upto + a.n >= {least} end),
+    least_ones as (select doc_id, i, min(j) j from fits group by 1, 2 union select doc_id, max(i), j from fits group by doc_id, j),
+    runs as (select doc_id, i, j, array_to_string(ss[i + 1:j + 1], chr(10)) k from least_ones join trimmed using (doc_id))"""
+    return _gone_sql(sentences, runs, "''", "n_sentences")
+
+
+def _lines_sql() -> str:
+    runs = """windows as (select doc_id, unnest(range(len(ss) - 2)) i, ss from trimmed where len(ss) >= 3),
+    runs as (select doc_id, i, i + 2 j, array_to_string(ss[i + 1:i + 3], chr(10)) k from windows where regexp_matches(array_to_string(ss[i + 1:i + 3], ''), '.'))"""
+    return _gone_sql("string_split(text, chr(10))", runs, "chr(10)", "n_lines")
+
+
 #: Brute force: every pair of sets that share a shingle.
 NEAR_SQL = r"""
     with recursive words as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
@@ -116,10 +133,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    sentences = r"list_filter(string_split(regexp_replace(text, '([.!?][ \n\t\r]|\n)', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '')"
     return {
         "op4_minhash_near_dedup": NEAR_SQL,
-        "op5_substring_dedup": _repeats_sql(sentences, "", substring.RUNS, "n_sentences"),
+        "op5_substring_dedup": _spans_sql(),
         "op6_benchmark_decontamination": _leaks_sql(),
-        "op8_line_dedup": _repeats_sql("string_split(text, chr(10))", "' || chr(10) || '", ((3, 1),), "n_lines"),
+        "op8_line_dedup": _lines_sql(),
     }

@@ -1,6 +1,12 @@
 """Substring dedup: sliding spans of sentences, joined globally; sentences under any non-first repeated span go.
 
-See :mod:`solidspark.llm.repeats` for nulls, ties, short and repeated rows."""
+A span is a run of several consecutive sentences with at least ``min_chars`` characters, or one long sentence.
+All spans are compared, though only some are hashed: those that hold no shorter span with the same start, and those
+that hold none with the same end. A span that is repeated is covered by the hashed ones inside it, which are repeated
+with it: each of its sentences is in the one that starts there, or else in the one that ends with the span.
+
+See :mod:`solidspark.llm.repeats` for nulls, ties, short and repeated rows. A text of white space alone has no
+sentences and stays."""
 
 from __future__ import annotations
 
@@ -12,56 +18,48 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from solidspark.llm.repeats import drop_repeats
-
-#: A sentence ends after . ! or ? and one white space, or after a line's end; what ends it stays with it.
-SENTENCE_END = r"(?<=[.!?][ \n\t\r])|(?<=\n)"
-#: Sentences in a run, and the least characters that they must have: the rule of the SQL, which takes one run from each start.
-RUNS = ((1, 300), (2, 100), (3, 100), (4, 100), (6, 100), (9, 100), (14, 100), (21, 100))
-#: Least characters of several sentences (over 50 words have more) and of one alone, or over so many words.
-SEVERAL, ALONE, WORDS = 100, 300, 50
-#: What blank sentences count at most in a run, and the sentences of a run that starts or ends with one.
-BLANK_CHARS, BLANK_RUN = 41, 100
+from solidspark.llm.repeats import cleaned, drop_repeats
 
+#: A sentence ends after . ! or ? with white space, or after a line's end; the white space that follows stays with it.
+SENTENCE = r"(?s)[\x20\x09-\x0D]*[^\x20\x09-\x0D].*?(?:[.!?][\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*|\z)"
+#: Least characters of several sentences joined by one character each, under which repetition is common by chance
+#: (at most what one sentence needs).
+MIN_CHARS = 100
+#: One sentence is a span with so many characters, or with more than so many words.
+ALONE_CHARS, ALONE_WORDS = 300, 50
 
-def spans(units: list[str]) -> Iterator[tuple[int, int, list[int]]]:
-    """(start, end, longer ends): the shortest fitting run from each start, and the runs from there that are the shortest to end where they do.
 
-    A run fits with ``SEVERAL`` characters, a sentence alone with ``ALONE`` or over ``WORDS`` words. Whatever
-    encloses a fitting run fits, so every passage that fits is covered by the runs within it: a sentence is
-    in the one that starts there, or in the one that ends with the passage."""
-    blank = [not u.strip() for u in units]
-    text = [0, *accumulate(0 if b else len(u) + 1 for u, b in zip(units, blank, strict=True))]
-    empty = [0, *accumulate(len(u) + 1 if b else 0 for u, b in zip(units, blank, strict=True))]
-    alone = [not b and (len(u) >= ALONE or (len(u) > SEVERAL and len(u.split()) > WORDS)) for u, b in zip(units, blank, strict=True)]
+def spans(units: list[str], min_chars: int = MIN_CHARS, alone_chars: int = ALONE_CHARS, alone_words: int = ALONE_WORDS) -> Iterator[tuple[int, int, list[int]]]:
+    """(start, end, longer ends): the shortest span from each start, and the spans from there that are the shortest to end where they do."""
+    upto, least = [0, *accumulate(len(u) + 1 for u in units)], min(min_chars, alone_chars, 2 * alone_words)
+    alone = [len(u) >= alone_chars or (len(u) >= 2 * alone_words and len(u.split()) > alone_words) for u in units]
     n, end, ends = len(units), 0, []
     for i in range(n):
         end = max(end, i + 1)
-        while end <= n and not (alone[i] if end == i + 1 else text[end] - text[i] + min(empty[end] - empty[i], BLANK_CHARS) > SEVERAL):
+        while end <= n and not (alone[i] if end == i + 1 else upto[end] - upto[i] > least):
             end += 1
         if end > n:
             break
         ends.append(end)
     for i, end in enumerate(ends):
-        if blank[i] and end - i > BLANK_RUN:
-            continue
-        upto = ends[i + 1] if i + 1 < len(ends) else n + 1
-        yield i, end, [j for j in range(end + 1, upto) if not blank[j - 1] or j - i <= BLANK_RUN]
+        yield i, end, list(range(end + 1, ends[i + 1] if i + 1 < len(ends) else n + 1))
 
 
 def _key(units: list[str]) -> bytes:
     return hashlib.md5("\n".join(units).encode()).digest()[:12]
 
 
-def _runs(table: DataFrame) -> DataFrame:
-    """(id, th, pos, len, key, more) of every fitting start; more: (len, key) of the longer runs."""
+def dedup_spans(docs: DataFrame, min_chars: int = MIN_CHARS, alone_chars: int = ALONE_CHARS, alone_words: int = ALONE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The columns of ``docs`` with the text cleaned, then ``n_sentences``, ``removed`` (0-based sentence numbers).
+
+    With ``min_chars`` 0 every two consecutive sentences that occur together elsewhere earlier go."""
 
     @F.arrow_udf("array<struct<pos int, len int, key binary, more array<struct<len int, key binary>>>>")
     def runs_of(texts: pa.Array) -> pa.Array:
         offsets, pos, lens, keys, more_offsets, more_lens, more_keys = [0], [], [], [], [0], [], []
         for text in texts:
             units = text.as_py() or []
-            for i, end, longer in spans(units):
+            for i, end, longer in spans(units, min_chars, alone_chars, alone_words):
                 pos.append(i)
                 lens.append(end - i)
                 keys.append(_key(units[i:end]))
@@ -73,18 +71,12 @@ def _runs(table: DataFrame) -> DataFrame:
         more = pa.ListArray.from_arrays(ints(more_offsets), pa.StructArray.from_arrays([ints(more_lens), pa.array(more_keys, pa.binary())], ["len", "key"]))
         return pa.ListArray.from_arrays(ints(offsets), pa.StructArray.from_arrays([ints(pos), ints(lens), pa.array(keys, pa.binary()), more], ["pos", "len", "key", "more"]))
 
-    # outer: a filter that Spark infers for a plain explode would need the runs twice
-    rows = table.select("_id", "_th", runs_of("_units").alias("_all")).select("_id", "_th", F.explode_outer("_all").alias("_run")).where(F.col("_run").isNotNull())
-    return rows.select("_id", "_th", *[F.col(f"_run.{c}").alias(f"_{c}") for c in ("pos", "len", "key", "more")])
-
-
-def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The columns of ``docs`` with the text cleaned, then ``n_sentences``, ``removed`` (0-based sentence numbers).
+    def runs(units: DataFrame) -> DataFrame:
+        # outer: a filter that Spark infers for a plain explode would need the runs twice
+        rows = units.select("_id", "_th", runs_of("_units").alias("_all")).select("_id", "_th", F.explode_outer("_all").alias("_run")).where(F.col("_run").isNotNull())
+        return rows.select("_id", "_th", *[F.col(f"_run.{c}").alias(f"_{c}") for c in ("pos", "len", "key", "more")])
 
-    The shortest fitting runs (see ``spans``) that start at each sentence and that end at each are compared,
-    by the sentences without the white space around them; shorter ones are too common to mean a copy. Every
-    repeated passage of whole sentences with over 50 words is found, from its first sentence to its last."""
-    units = F.filter(F.split("_text", SENTENCE_END, -1), lambda u: u != "")
-    found = drop_repeats(docs, units, "", _runs, id_col, text_col)
-    cols = [F.col("_kept").alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns if c not in ("n_sentences", "removed")]
-    return found.select(*cols, F.col("_n_units").alias("n_sentences"), F.col("_removed").alias("removed"))
+    units = F.regexp_extract_all("_text", F.lit(SENTENCE), F.lit(0))
+    none = F.size(units) == 0
+    found = drop_repeats(docs, F.when(~none, units), "", runs, True, id_col, text_col)
+    return cleaned(docs, found, text_col, "n_sentences")
