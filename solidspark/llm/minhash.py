@@ -10,7 +10,13 @@ Texts with one set are one class and are compared once. In every bucket (band va
 joined to the bucket's smallest document only: a star, linear in the bucket. The edges are confirmed
 on whole sets. Where a bucket's members are then still in several components, the star may have missed a
 link between two of them: those documents alone are compared again by prefix filtering, which misses no
-pair at the wanted similarity and meets few others (see ``_prefix_pairs``).
+pair at the wanted similarity (see ``_prefixes``). Documents that share a template but differ in words of their
+own do not meet there: the words of their own come first and fill the prefix exactly as far as they keep a pair
+below 0.75. Documents that are linked already do not meet either. What may still grow with the square of a group are documents whose rarer
+shingles are common to many, in ever other mixtures.
+
+Keys that may be very frequent (a band's value, a centre, a digest, a shingle) meet their one row by
+:mod:`solidspark.skew`.
 
 Defined cases: null or empty texts and texts without words have an empty set, are linked with nothing
 and kept; fewer words than a shingle are one shingle; rows that repeat a doc_id are one node (where their texts differ, the links are confirmed on the
@@ -22,6 +28,7 @@ other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,12 +38,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from solidspark.llm.common import lower_words, stage
+from solidspark.llm.common import lower_words, stage, unstage
 from solidspark.operators.components import smallest_reachable
+from solidspark.skew import heavy_keys, join_heavy
 
 BINS, ROWS, SHINGLE = 128, 4, 5
 #: Members confirmed against one copy of their centre's set in one task.
 CHUNK = 64
+#: Sizes in one class of the residual search differ by less than this factor; documents in one of its arrays, about.
+SIZE_STEP, MEMBERS = 1.1, 500
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -139,9 +149,10 @@ def confirmed(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (centre, member) whose whole sets are similar enough, as (a, b)."""
+    """The pairs (centre, member), a staged table, whose whole sets are similar enough, as (a, b)."""
     n = F.pmod(F.xxhash64("member"), F.greatest(F.lit(1), F.ceil(F.col("n") / CHUNK)))
-    sized = pairs.join(pairs.groupBy("centre").agg(F.count("*").alias("n")), "centre").withColumn("chunk", n)
+    counts = pairs.groupBy("centre").agg(F.count("*").alias("n"))
+    sized = join_heavy(pairs, counts, "centre", heavy_keys(counts, pairs.count(), "centre")).withColumn("chunk", n)
     members = sized.join(sets, sized["member"] == sets["rep"]).select("centre", "chunk", "member", "shingles")
     heads = sized.select("centre", "chunk").distinct().join(sets, F.col("centre") == sets["rep"])
     heads = heads.select("centre", "chunk", F.lit(None).cast("long").alias("member"), "shingles")
@@ -161,22 +172,49 @@ def _tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"rep": np.repeat(part["rep"].to_numpy(), [len(x) for x in each]), "token": np.concatenate(each)})
 
 
+def _prefixes(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """(token, lo, hi, own, component, members): the documents that a token may link with those of another size.
+
+    left: (rep, n, component). Tokens have one order for all documents, the rarest first. The first token that two
+    sets share, at place p of n and q of m, leaves at most min(n - p, m - q) + 1 to share, and 3/7 (n + m) are needed; so for
+    each class of the partner's size (a factor of ``SIZE_STEP``) only the first tokens of a set count, and the
+    fewer the larger the partner is. A document stands under (token, the smaller and the larger of the two
+    classes). Where all documents there are of one component nothing is left to link."""
+    tokens = stage(left.select("rep", "n", "component").join(sets, "rep").select("rep", "shingles").mapInPandas(_tokens, "rep long, token long"), "mh-tokens")
+    rare = stage(tokens.groupBy("token").agg(F.count("*").alias("df")), "mh-rare")
+    own = join_heavy(tokens, rare, "token", heavy_keys(rare, tokens.count(), "token", "df"))
+    n = F.col("n")
+    # the longest prefix is that for the smallest partner; a token of one document links nothing
+    ordered = own.join(left, "rep").withColumn("at", F.row_number().over(Window.partitionBy("rep").orderBy("df", "token"))).where(4 * (n - F.col("at") + 1) >= 3 * n).where("df > 1")
+    class_of = lambda x: F.floor(F.log(x.cast("double")) / math.log(SIZE_STEP) + 1e-9).cast("int")
+    smallest = lambda c: F.greatest(F.pow(F.lit(SIZE_STEP), c) * (1 - 1e-6), n * 0.75)
+    reach = lambda c: 7 * (n - F.col("at") + 1) >= 3 * (n + smallest(c)) - 1e-6
+    partners = F.filter(F.sequence(class_of(F.greatest(n * 0.75, F.lit(1))) - 1, class_of(n / 0.75) + 1), reach)
+    keyed = ordered.withColumn("own", class_of(n)).select("token", "rep", "n", "at", "component", "df", "own", F.explode(partners).alias("other"))
+    keyed = keyed.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other"), "salt": F.pmod(F.xxhash64("rep"), F.ceil(F.col("df") / MEMBERS))})
+    # arrays of about MEMBERS at most: a token's documents are dealt by the salt
+    blocks = keyed.groupBy("token", "lo", "hi", "own", "component", "salt").agg(F.collect_list(F.struct("rep", "n", "at")).alias("members"))
+    blocks = stage(blocks, "mh-prefixes")
+    several = blocks.groupBy("token", "lo", "hi").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token", "lo", "hi")
+    return stage(blocks.join(several, ["token", "lo", "hi"], "left_semi").drop("salt"), "mh-several")
+
+
+def _meetings(blocks: DataFrame) -> DataFrame:
+    """(rep, n, at, member, mn, mat): documents of different components that meet in a token."""
+    key = ["token", "lo", "hi"]
+    a = blocks.where("own = lo").select(*key, "component", F.col("members").alias("xs"))
+    b = blocks.where("own = hi").select(*key, F.col("component").alias("other"), F.col("members").alias("ys"))
+    # within one class of sizes both orders meet: one is enough
+    met = a.join(b, key).where((F.col("component") < F.col("other")) | ((F.col("lo") < F.col("hi")) & (F.col("component") != F.col("other"))))
+    pairs = met.select("ys", F.explode("xs").alias("x")).select("x", F.explode("ys").alias("y"))
+    return pairs.select("x.rep", "x.n", "x.at", F.col("y.rep").alias("member"), F.col("y.n").alias("mn"), F.col("y.at").alias("mat"))
+
+
 def _prefix_pairs(left: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (centre, member) of different components that may be similar enough; misses none.
-
-    Of two sets at Jaccard similarity t, in any common order of tokens, the first n - ceil(t * n) + 1 of one
-    and of the other share a token. Here the rarest come first, so that members of one bucket that are
-    apart, each by its own shingles, do not meet."""
-    tokens = left.select("rep", "n").join(sets, "rep").select("rep", "shingles").mapInPandas(_tokens, "rep long, token long")
-    tokens = stage(tokens, "mh-tokens")
-    rare = tokens.groupBy("token").agg(F.count("*").alias("df"))
-    ordered = tokens.join(rare, "token").join(left, "rep").withColumn("at", F.row_number().over(Window.partitionBy("rep").orderBy("df", "token")))
-    first = stage(ordered.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * 3 / 4) + 1).where("df > 1").select("token", "rep", "n", "at", "component"), "mh-first")
-    other = first.select("token", F.col("rep").alias("member"), F.col("n").alias("mn"), F.col("at").alias("mat"), F.col("component").alias("mc"))
-    # the first token that both share leaves so many more to share; 3/7 of both sizes are needed
+    """Pairs (centre, member) of different components that may be similar enough; misses none (see ``_prefixes``)."""
     enough = 7 * (F.least(F.col("n") - F.col("at"), F.col("mn") - F.col("mat")) + 1) >= 3 * (F.col("n") + F.col("mn"))
-    near = (F.col("rep") < F.col("member")) & (F.col("component") != F.col("mc")) & _fits(F.col("n"), F.col("mn")) & enough
-    return first.join(other, "token").where(near).select(F.col("rep").alias("centre"), "member").distinct()
+    near = _meetings(_prefixes(left, sets)).where(_fits(F.col("n"), F.col("mn")) & enough)
+    return near.select(F.least("rep", "member").alias("centre"), F.greatest("rep", "member").alias("member")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -185,28 +223,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = stage(texts.mapInPandas(_sketches, "doc_id long, n_shingles long, digest binary, bands array<long>"), "mh-rows")
     full = rows.where("n_shingles > 0 and doc_id is not null")
-    reps = stage(full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "mh-reps")
+    reps = full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("docs"))
+    reps = stage(reps, "mh-reps")
     members = reps.select(F.explode("bands").alias("key"), "rep", "n")
-    centres = members.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("m")).where("m > 1")
+    centres = stage(members.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("m")).where("m > 1"), "mh-centres")
+    in_buckets = centres.agg(F.sum("m")).first()[0] or 0
+    crowded = stage(heavy_keys(centres, in_buckets, "key", "m"), "mh-crowded")
     # only buckets of two or more go on
-    shared = stage(members.join(centres, "key").select("key", "rep", "n", "centre"), "mh-shared")
+    shared = stage(join_heavy(members, centres.select("key", "centre"), "key", crowded).select("key", "rep", "n", "centre"), "mh-shared")
     sizes = reps.select(F.col("rep").alias("centre"), F.col("n").alias("cn"))
-    star = shared.where("rep <> centre").select("centre", F.col("rep").alias("member"), "n").distinct()
-    star = stage(star.join(sizes, "centre").where(_fits(F.col("n"), F.col("cn"))).select("centre", "member"), "mh-star")
+    star = stage(shared.where("rep <> centre").select("centre", F.col("rep").alias("member"), "n").distinct(), "mh-spokes")
+    hubs = heavy_keys(star.groupBy("centre").agg(F.count("*").alias("m")), star.count(), "centre", "m")
+    star = stage(join_heavy(star, sizes, "centre", hubs).where(_fits(F.col("n"), F.col("cn"))).select("centre", "member"), "mh-star")
     used = shared.select("rep").distinct()
     text_of = texts.join(used.withColumnRenamed("rep", "doc_id"), "doc_id").groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text"))
     sets = stage(text_of.mapInPandas(_sets, "rep long, shingles binary"), "mh-sets")
     links = stage(_confirm(star, sets), "mh-links")
     comp = smallest_reachable(links)
-    labelled = shared.join(comp, shared["rep"] == comp["node"], "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    several = labelled.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
-    left = stage(labelled.join(several, "key").select("rep", "n", "component").distinct(), "mh-left")
+    labelled = stage(shared.join(comp, shared["rep"] == comp["node"], "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component")), "mh-labelled")
+    several = stage(labelled.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("m")).where("c0 <> c1"), "mh-several")
+    left = join_heavy(labelled, several.select("key"), "key", heavy_keys(several, labelled.count(), "key", "m")).select("rep", "n", "component").distinct()
+    left = stage(left, "mh-left")
     pairs = stage(_prefix_pairs(left, sets).join(star, ["centre", "member"], "left_anti"), "mh-pairs")
     links = stage(links.union(_confirm(pairs, sets)), "mh-links")
+    for table in (centres, crowded, shared, star, sets, labelled, several, left, pairs):
+        unstage(table)
     comp = smallest_reachable(links)
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
     of = reps.join(comp, reps["rep"] == comp["node"], "left").join(degree.withColumnRenamed("node", "dn"), F.col("rep") == F.col("dn"), "left")
-    of = of.select("digest", F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    linked = full.join(of, "digest").select("doc_id", "n_shingles", F.col("component").alias("component_id"), "n_links")
+    of = stage(of.select("digest", "docs", F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "mh-classes")
+    copies = heavy_keys(of, full.count(), "digest", "docs")
+    linked = join_heavy(full, of, "digest", copies).select("doc_id", "n_shingles", F.col("component").alias("component_id"), "n_links")
     alone = rows.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return linked.unionByName(alone).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "n_links")

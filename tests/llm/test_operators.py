@@ -14,6 +14,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from solidspark import skew
 from solidspark.llm import decontam, html_extract, linedup, lm, minhash, packing, quality, sharding, simhash, substring
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -248,42 +249,111 @@ def test_near_duplicates_edges(docs, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def template_family(n):
+    """Documents of one template with words of their own, all pairs below the bound."""
+    rng = random.Random(n)
+    common = [f"c{k}" for k in range(160)]
+    return [" ".join([*common, *(f"o{d}x{rng.random()}" for _ in range(36))]) for d in range(n)]
+
+
+def test_meetings_of_a_template_do_not_grow_with_its_square(spark):
+    met = []
+    for n in (100, 400):
+        items = template_family(n)
+        shingler = minhash.Shingler()
+        sets = [(k, bytearray(shingler.shingles(t).tobytes())) for k, t in enumerate(items)]
+        assert max(len(a & b) / len(a | b) for a, b in itertools.combinations(shingle_sets(items[:20]), 2)) < 0.75
+        left = spark.createDataFrame([(k, len(s) // 8, k) for k, s in sets], "rep long, n int, component long")
+        blocks = minhash._prefixes(left, spark.createDataFrame(sets, "rep long, shingles binary"))
+        met.append(minhash._meetings(blocks).count())
+    assert met[1] <= 8 * max(met[0], 100)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_prefixes_miss_no_link(spark, seed):
+    """All pairs of different components at the bound meet, whatever their sizes."""
+    rng = np.random.default_rng(seed)
+    sets, comp = [], []
+    for k in range(150):
+        base = np.arange(k // 10 * 1000, k // 10 * 1000 + rng.integers(3, 120), dtype=np.uint64)
+        own = rng.choice(base, max(1, int(len(base) * rng.uniform(0.75, 1))), replace=False)
+        sets.append(np.unique(np.concatenate([own, rng.integers(10**6, 10**6 + 40, rng.integers(0, 6)).astype(np.uint64)])))
+        comp.append(int(rng.integers(0, 60)))
+    left = spark.createDataFrame([(k, len(s), comp[k]) for k, s in enumerate(sets)], "rep long, n int, component long")
+    got = {(r.centre, r.member) for r in minhash._prefix_pairs(left, spark.createDataFrame([(k, bytearray(s.tobytes())) for k, s in enumerate(sets)], "rep long, shingles binary")).collect()}
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        common = len(np.intersect1d(sets[i], sets[j]))
+        if comp[i] != comp[j] and 100 * common >= 75 * (len(sets[i]) + len(sets[j]) - common):
+            assert (i, j) in got
+
+
 # 5 and 8: repeated runs
 
 
-def brute_repeats(items, split, glue, runs):
-    """items: (doc_id, text) distinct; kept texts and removed places."""
+def brute_repeats(items, split, glue, fits):
+    """items: (doc_id, text) distinct; kept texts and removed places. Every run of units that fits is compared."""
     units = {k: split(k[1]) if k[1] else [] for k in items}
-    key = lambda u, p, n: "\n".join(x.strip(" ") for x in u[p : p + n])
     seen, gone = {}, defaultdict(set)
     for k in sorted(items, key=lambda k: (k[0] is not None, k[0] or 0)):
-        u = units[k]
-        for p in range(len(u)):
-            n = next((n for n, least in runs if p + n <= len(u) and len(key(u, p, n).strip(" ")) >= least), None)
-            if n and (n, key(u, p, n)) in seen:
-                gone[k].update(range(p, p + n))
-            elif n:
-                seen[(n, key(u, p, n))] = (k, p)
+        own = [x.strip(" \t\n\v\f\r") for x in units[k]]
+        for p in range(len(own)):
+            for q in range(p + 1, len(own) + 1):
+                run = tuple(own[p:q])
+                if fits(run) and seen.setdefault(run, (k, p)) != (k, p):
+                    gone[k].update(range(p, q))
     return {k: (len(u), len(gone[k]), glue.join(x for p, x in enumerate(u) if p not in gone[k]) if gone[k] else k[1]) for k, u in units.items()}
 
 
+def three_lines(run):
+    return len(run) == 3 and any(run)
+
+
 def sentences(text):
-    return [u for u in re.split(r"(?<=[.!?][ \n\t\r])|(?<=\n)", text) if u]
+    """Ends of . ! ? with white space, or of lines, each with all the white space after it."""
+    ends = [m.end() for m in re.finditer(r"[.!?][ \t\n\v\f\r]+|\n[ \t\n\v\f\r]*", text) if text[: m.start() + 1].strip(" \t\n\v\f\r")]
+    cuts = [0, *ends, len(text)]
+    return [text[a:b] for a, b in itertools.pairwise(cuts) if a < b] if text.strip(" \t\n\v\f\r") else []
+
 
+def span_of(least):
+    return lambda run: len("\n".join(run)) >= least if len(run) > 1 else len(run[0]) >= 300 or len(run[0].split()) > 50
 
-@pytest.mark.parametrize(("op", "split", "glue", "runs"), [(linedup.dedup_lines, lambda t: t.split("\n"), "\n", ((3, 1),)), (substring.dedup_spans, sentences, "", substring.RUNS)])
-def test_repeats_equal_brute_force(spark, op, split, glue, runs):
+
+@pytest.mark.parametrize(("op", "split", "glue", "fits"), [
+    (linedup.dedup_lines, lambda t: t.split("\n"), "\n", three_lines),
+    (substring.dedup_spans, sentences, "", span_of(100)),
+    (lambda d: substring.dedup_spans(d, min_chars=0), sentences, "", span_of(0)),
+])
+def test_repeats_equal_brute_force(spark, op, split, glue, fits):
     rng = random.Random(9)
-    pool = [sentence(rng, 6) for _ in range(30)] + ["", " "]
-    table = [(k, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 9)))) for k in range(120)] + [(500, None), (501, ""), (None, "\n".join(pool[:4]))]
+    pool = [sentence(rng, rng.choice((1, 6, 6, 20, 60))) for _ in range(30)] + ["", " ", "\t"]
+    table = [(k, "".join(rng.choice(pool) + rng.choice(("\n", "\n", " ", "\n\n", "  ")) for _ in range(rng.randint(0, 9)))) for k in range(120)] + [(500, None), (501, ""), (502, " \n"), (None, "\n".join(pool[:4]))]
     got = op(spark.createDataFrame([*table, table[5]], "doc_id long, text string").withColumns({c: F.lit(0) for c in CLASH}).repartition(4))
     n = "n_lines" if op is linedup.dedup_lines else "n_sentences"
     found = {r["doc_id"]: (r[n], len(r["removed"]), r["text"]) for r in collected(got)}
-    want = {k[0]: v for k, v in brute_repeats([tuple(t) for t in table], split, glue, runs).items()}
+    want = {k[0]: v for k, v in brute_repeats([tuple(t) for t in table], split, glue, fits).items()}
     assert got.count() == len(table) + 1 and found == want
     assert set(CLASH) - {"removed", "n_lines"} <= set(got.columns)
 
 
+def test_white_space_does_not_hide_copies(spark):
+    rng = random.Random(6)
+    a, b = sentence(rng, 12), sentence(rng, 12)
+    table = [(1, f"{a} {b}"), (2, f"x.\n{a}\n\n{b} "), (3, f"{a}\t\n {b}\nLast.")]
+    got = {r["doc_id"]: r["text"] for r in collected(substring.dedup_spans(spark.createDataFrame(table, "doc_id long, text string")))}
+    assert got == {1: table[0][1], 2: "x.\n", 3: "Last."}
+
+
+def test_frequent_runs_meet_their_first(spark, monkeypatch):
+    """The same where every key counts as heavy, and where none does."""
+    table = [(k, "one\ntwo\nthree\n" + f"own{k}\nown\nx") for k in range(60)]
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(4)
+    for heavy in (10**9, 0):
+        monkeypatch.setattr(skew, "HEAVY", heavy)
+        got = {r["doc_id"]: r["text"] for r in collected(linedup.dedup_lines(docs))}
+        assert got == {k: t if k == 0 else f"own{k}\nown\nx" for k, t in table}
+
+
 def test_repeats_empty(empty, docs):
     assert linedup.dedup_lines(empty).count() == substring.dedup_spans(empty).count() == 0
     assert linedup.dedup_lines(docs).count() == substring.dedup_spans(docs).count() == len(rows())

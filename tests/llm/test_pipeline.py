@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 
 import corpus_pipeline
-from tests.llm.test_operators import SCHEMA, brute_repeats, components, sentence, shingle_sets
+from tests.llm.test_operators import SCHEMA, brute_repeats, components, sentence, shingle_sets, three_lines
 
 ROOT = Path(__file__).resolve().parents[2]
 
@@ -39,7 +39,7 @@ def test_stages(spark, sf_dir, tmp_path):
         kept.append({r.doc_id: r for r in docs.collect()})
     good = set(range(120)) | {300, 301, 302, 303}
     assert good <= set(kept[0]) and not set(range(120, 160)) & set(kept[0])
-    rules = {k[0]: v for k, v in brute_repeats([(d, r.text) for d, r in kept[0].items()], lambda t: t.split("\n"), "\n", ((3, 1),)).items()}
+    rules = {k[0]: v for k, v in brute_repeats([(d, r.text) for d, r in kept[0].items()], lambda t: t.split("\n"), "\n", three_lines).items()}
     assert {d: r.text for d, r in kept[1].items()} == {d: t for d, (n, gone, t) in rules.items() if not n or gone < n}
     assert 300 not in kept[1] and all(r.n_chars == (None if r.text is None else len(r.text)) for r in kept[1].values())
     ids = sorted(kept[1])
