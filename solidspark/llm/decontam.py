@@ -6,13 +6,17 @@ items and documents are joined by hash; a hit fixes the alignment (the differenc
 aligned document and item is then compared token by token: an overlap is a window of ``window`` tokens
 (the whole item if it is shorter) in which at least ``share`` of the tokens are equal in place.
 
-Seeds of the items are broadcast only if there are at most ``MOST_BROADCAST`` of them, counted first;
+The three masks were chosen so that no overlap goes without a seed: wherever the substitutions stand that the rule
+allows in 8 to 20 tokens, one mask finds five equal ones (the tests try all places). An item of 4 to 7 tokens overlaps
+only if all its tokens are there, and is hashed whole; one of fewer tokens is too common to mean a leak.
+
+Seeds of the items are broadcast only if their bytes, summed first, are at most ``MOST_BYTES``;
 else the join shuffles the documents' seeds. Results are the same.
 
-Defined cases: null or empty texts, and items or documents with fewer tokens than the masks span, have no
-seeds and overlap nothing; items with equal texts are items of their own; rows that repeat doc_id and text
-get the same result; a null doc_id is an id like another; an item with a null id is reported as no id; an
-empty benchmark flags nothing; other columns pass through, clashing names are replaced.
+Defined cases: null or empty texts have no seeds and overlap nothing; items with equal texts are items of
+their own; rows that repeat doc_id and text get the same result; a null doc_id is an id like another; an item with a
+null id is reported as no id; ids of items may be of any type; an empty benchmark flags nothing; other columns pass
+through, clashing names are replaced.
 """
 
 from __future__ import annotations
@@ -20,33 +24,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from solidspark.llm.common import stage
+from solidspark.llm.common import stage, unstage
 
 #: 1: the token counts, 0: it is ignored.
-MASKS = ("11101101", "10110111")
-SPAN = 8
-MOST_BROADCAST = 1_000_000
+MASKS = ("111011", "1101011", "11100101")
+#: Items with fewer tokens are compared whole; with fewer than the second number not at all.
+SHORT, LEAST = 8, 4
+MOST_BYTES = 64_000_000
 
 
 def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def _seeds(words: str) -> Column:
-    """The seeds of all masks, one mask after the other, each by place."""
-    places = F.sequence(F.lit(0), F.size(words) - SPAN)
-    seed = lambda m, i: F.xxhash64(F.lit(m), *[F.get(words, i + k) for k, c in enumerate(MASKS[m]) if c == "1"])
-    each = lambda m: F.transform(places, lambda i: seed(m, i))
-    return F.when(F.size(words) >= SPAN, F.concat(*[each(m) for m in range(len(MASKS))]))
+def _seeds(words: str, masks: list[str]) -> Column:
+    """(seed, place) of every mask at every place where it fits."""
+
+    def of(mask: str) -> Column:
+        seed = lambda i: F.xxhash64(F.lit(mask), *[F.get(words, i + k) for k, c in enumerate(mask) if c == "1"])
+        places = F.transform(F.sequence(F.lit(0), F.size(words) - len(mask)), lambda i: F.struct(seed(i).alias("seed"), i.alias("place")))
+        return F.when(F.size(words) >= len(mask), places).otherwise(F.array().cast("array<struct<seed:bigint,place:int>>"))
+
+    return F.concat(*map(of, masks))
 
 
-def _exploded(df: DataFrame, keep: list[str]) -> DataFrame:
+def _exploded(df: DataFrame, keep: list[str], seeds: Column) -> DataFrame:
     """A row for each seed: the kept columns, ``seed`` and ``place``."""
-    rows = df.select(*keep, (F.size("words") - (SPAN - 1)).alias("n"), _seeds("words").alias("seeds"))
     # outer, though rows without seeds are not wanted: the filter that Spark infers for a plain explode would be
     # pushed below the tokens and compute them anew for every place; the join drops null seeds
-    rows = rows.select(*keep, "n", F.posexplode_outer("seeds").alias("k", "seed"))
-    return rows.select(*keep, "seed", (F.col("k") % F.col("n")).cast("int").alias("place"))
+    return df.select(*keep, F.explode_outer(seeds).alias("s")).select(*keep, "s.seed", "s.place")
+
+
+def _small(df: DataFrame, size: Column) -> DataFrame:
+    """``df``, marked for a broadcast if its rows have at most ``MOST_BYTES`` by ``size``."""
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= MOST_BYTES else df
 
 
 def overlaps(docs: DataFrame, items: DataFrame, window: int = 20, share: float = 0.8, item_id: str = "item_id", text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -54,22 +65,28 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = 20, share: float =
 
     ``th`` is the hash of the document's text."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-    bench = stage(items.select(F.col(item_id).alias("item_id"), tokens(F.col(text_col)).alias("words")).where(F.size("words") >= SPAN).withColumn("item", F.xxhash64("item_id", "words")), "bench-items")
-    seeds = _exploded(bench, ["item"]).where("seed is not null").groupBy("seed").agg(F.collect_set(F.struct("item", F.col("place").alias("at"))).alias("places"))
+    bench = items.select(F.col(item_id).alias("item_id"), tokens(F.col(text_col)).alias("words")).where(F.size("words") >= LEAST).withColumns({"item": F.xxhash64("item_id", "words"), "n": F.size("words")})
+    bench = stage(bench, "bench-items")
+    whole_of = {r.n: "1" * r.n for r in bench.where(F.col("n") < SHORT).select("n").distinct().collect()}  # at most SHORT - LEAST lengths
+    own_seeds = _seeds("words", list(MASKS))
+    for n, mask in whole_of.items():
+        own_seeds = F.when(F.col("n") == n, _seeds("words", [mask])).otherwise(own_seeds)
+    seeds = _exploded(bench, ["item", "n"], own_seeds).where("seed is not null").groupBy("seed").agg(F.collect_set(F.struct("item", "n", F.col("place").alias("at"))).alias("places"))
     seeds = stage(seeds, "bench-seeds")
-    small = seeds.count() <= MOST_BROADCAST
-    own = _exploded(texts.select("doc_id", "th", tokens(F.col("text")).alias("words")), ["doc_id", "th"])
-    hits = own.join(F.broadcast(seeds) if small else seeds, "seed")
+    own = _exploded(texts.select("doc_id", "th", tokens(F.col("text")).alias("words")), ["doc_id", "th"], _seeds("words", [*MASKS, *whole_of.values()]))
+    hits = own.join(_small(seeds, 50 + 24 * F.size("places")), "seed")
     hits = hits.select("doc_id", "th", "place", F.explode("places").alias("p"))
-    found = hits.select("doc_id", "th", F.col("p.item").alias("item"), (F.col("place") - F.col("p.at")).alias("shift")).distinct()
+    found = hits.select("doc_id", "th", F.col("p.item").alias("item"), F.col("p.n").alias("n"), (F.col("place") - F.col("p.at")).alias("shift")).distinct()
     found = stage(found, "bench-hits")
-    aligned = found.join(F.broadcast(bench) if bench.count() <= MOST_BROADCAST // 100 else bench, "item")
-    per_doc = aligned.groupBy(F.col("doc_id").alias("hit_id"), F.col("th").alias("hit_th")).agg(F.collect_set(F.struct("item_id", "item", "shift")).alias("hits"))
+    per_doc = found.groupBy(F.col("doc_id").alias("hit_id"), F.col("th").alias("hit_th")).agg(F.collect_list(F.struct("item", "n", "shift")).alias("hits"))
     whole = texts.join(per_doc, texts["doc_id"].eqNullSafe(per_doc["hit_id"]) & (texts["th"] == per_doc["hit_th"])).dropDuplicates(["doc_id", "th"])
     whole = whole.select("doc_id", "th", tokens(F.col("text")).alias("own"), F.explode("hits").alias("h")).select("doc_id", "th", "own", "h.*")
-    pairs = whole.join(bench.select("item", "words"), "item")
-    pairs = pairs.withColumn("wide", F.least(F.size("words"), F.lit(window)))
-    equal = lambda j: (F.coalesce(F.get("own", j + F.col("shift")) == F.get("words", j), F.lit(False)) & (j + F.col("shift") >= 0)).cast("int")
+    # of the document only what stands against the item goes on; it starts at the item's place -shift, or 0
+    part = F.slice("own", F.greatest("shift", F.lit(0)) + 1, F.greatest(F.col("n") + F.least("shift", F.lit(0)), F.lit(0)))
+    parts = whole.select("doc_id", "th", "item", part.alias("part"), F.greatest(-F.col("shift"), F.lit(0)).alias("at"))
+    pairs = parts.join(_small(bench.select("item_id", "item", "words", "n"), 100 + F.octet_length(F.array_join("words", " ")) + 16 * F.col("n")), "item")
+    pairs = pairs.withColumn("wide", F.least("n", F.lit(window)))
+    equal = lambda j: (F.coalesce(F.get("part", j - F.col("at")) == F.get("words", j), F.lit(False)) & (j >= F.col("at"))).cast("int")
 
     def slide(acc: Column, j: Column) -> Column:
         """The window that ends at j: its equal tokens, and the most so far."""
@@ -78,7 +95,12 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = 20, share: float =
 
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("best"))
     pairs = pairs.withColumn("matched", F.aggregate(F.sequence(F.lit(0), F.size("words") - 1), start, slide, lambda acc: acc.best))
-    return pairs.where(F.col("matched") >= F.lit(share) * F.col("wide")).groupBy("doc_id", "th", "item_id").agg(F.max("matched").cast("long").alias("matched"))
+    needed = F.when(F.col("n") < SHORT, F.col("n").cast("double")).otherwise(F.lit(share) * F.col("wide"))
+    result = pairs.where(F.col("matched") >= needed).groupBy("doc_id", "th", "item_id").agg(F.max("matched").cast("long").alias("matched"))
+    result = stage(result, "bench-overlaps")
+    for table in (bench, seeds, found):
+        unstage(table)
+    return result
 
 
 def flag(docs: DataFrame, items: DataFrame, window: int = 20, share: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -97,5 +119,5 @@ def flag(docs: DataFrame, items: DataFrame, window: int = 20, share: float = 0.8
         F.col("_n").isNotNull().alias("contaminated"),
         F.coalesce("_n", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("_m", F.lit(0)).cast("long").alias("best_match"),
-        F.coalesce("_ids", F.array().cast("array<long>")).alias("item_ids"),
+        F.coalesce("_ids", F.array().cast(per.schema["_ids"].dataType)).alias("item_ids"),
     )

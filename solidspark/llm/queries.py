@@ -110,19 +110,20 @@ NEAR_SQL = r"""
 def _leaks_sql() -> str:
     """Spaced seeds as texts instead of hashes, then every aligned window."""
     words = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
-    key = lambda m: " || ' ' || ".join(["'" + str(m) + "'", *[f"w[i + {k + 1}]" for k, c in enumerate(decontam.MASKS[m]) if c == "1"]])
+    whole = ["1" * n for n in range(decontam.LEAST, decontam.SHORT)]
+    key = lambda mask: " || ' ' || ".join([f"'{mask}'", *[f"w[i + {k + 1}]" for k, c in enumerate(mask) if c == "1"]])
+    seeds = lambda table, ident, mask, more="": f"select {ident}, i, {key(mask)} s from (select {ident}, w, unnest(range(len(w) - {len(mask) - 1})) i from {table} where len(w) >= {len(mask)} {more})"
+    of_docs = " union all ".join(seeds("d", "doc_id", m) for m in (*decontam.MASKS, *whole))
+    of_items = " union all ".join([*[seeds("b", "item_id", m, f"and len(w) >= {decontam.SHORT}") for m in decontam.MASKS], *[seeds("b", "item_id", m, f"and len(w) = {len(m)}") for m in whole]])
     return f"""
-    with d as (select doc_id, {words} w from documents), b as (select item_id, {words} w from benchmark),
-    di as (select doc_id, w, unnest(range(len(w) - 7)) i from d where len(w) >= 8),
-    bi as (select item_id, w, unnest(range(len(w) - 7)) i from b where len(w) >= 8),
-    ds as (select doc_id, i, {key(0)} s from di union all select doc_id, i, {key(1)} from di),
-    bs as (select item_id, i, {key(0)} s from bi union all select item_id, i, {key(1)} from bi),
+    with d as (select doc_id, {words} w from documents), b as (select item_id, {words} w from benchmark where len({words}) >= {decontam.LEAST}),
+    ds as ({of_docs}), bs as ({of_items}),
     hits as (select distinct doc_id, item_id, ds.i - bs.i shift from ds join bs using (s)),
     aligned as (select doc_id, item_id, shift, d.w dw, b.w bw, least(20, len(b.w)) n, unnest(range(len(b.w))) j
            from hits join d using (doc_id) join b using (item_id)),
     same as (select doc_id, item_id, shift, n, j, (j + shift >= 0 and j + shift < len(dw) and dw[j + shift + 1] is not distinct from bw[j + 1])::int e from aligned),
     runs as (select doc_id, item_id, n, sum(e) over (partition by doc_id, item_id, shift order by j rows between 19 preceding and current row) m from same),
-    found as (select doc_id, item_id, max(m) m from runs group by doc_id, item_id, n having max(m) >= 0.8 * n),
+    found as (select doc_id, item_id, max(m) m from runs group by doc_id, item_id, n having max(m) >= case when n < {decontam.SHORT} then n else 0.8 * n end),
     per as (select doc_id, count(*) n, max(m) m, string_agg(item_id::varchar, ',' order by item_id) ids from found group by 1)
     select documents.doc_id, per.n is not null contaminated, coalesce(per.n, 0)::bigint n_items, coalesce(per.m, 0)::bigint best_match, coalesce(ids, '') item_ids
     from documents left join per on documents.doc_id = per.doc_id"""

@@ -403,6 +403,39 @@ def test_decontamination(spark, docs, empty):
     assert decontam.flag(docs, bench.where("false")).where("contaminated").count() == 0
 
 
+@pytest.mark.parametrize("n", range(8, 21))
+def test_masks_meet_every_overlap(n):
+    """Wherever the substitutions stand that the rule allows, some mask has equal tokens alone."""
+    for gone in itertools.combinations(range(n), n - math.ceil(0.8 * n)):
+        assert any(all(c == "0" or i + k not in gone for k, c in enumerate(mask)) for mask in decontam.MASKS for i in range(n - len(mask) + 1))
+
+
+def test_decontamination_equals_all_alignments(spark):
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(400)]
+    items = [(f"item {k}", " ".join(rng.choice(words) for _ in range(n))) for k, n in enumerate([3, 4, 5, 7, 8, 9, 10, 12, 15, 16, 19, 20, 30, 45])]
+    table = []
+    for d in range(260):
+        w, (_, t) = [rng.choice(words) for _ in range(rng.randint(0, 40))], rng.choice(items)
+        part = t.split()
+        if rng.random() < 0.3:
+            part = part[rng.randint(0, len(part) // 4) :]
+        for _ in range(round(rng.uniform(0, 0.3) * len(part))):
+            part[rng.randrange(len(part))] = rng.choice(words)
+        at = rng.randint(0, len(w))
+        table.append((d, " ".join([*w[:at], *part, *w[at:]])))
+    got = {r["doc_id"]: (r["item_ids"], r["best_match"]) for r in collected(decontam.flag(spark.createDataFrame(table, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")))}
+    for d, t in table:
+        own, want = t.split(), {}
+        for ident, item in items:
+            b = item.split()
+            wide = min(20, len(b))
+            best = max((sum(0 <= j + s < len(own) and own[j + s] == b[j] for j in range(a, a + wide)) for s in range(-len(b), len(own)) for a in range(len(b) - wide + 1)), default=0)
+            if len(b) >= 4 and best >= (len(b) if len(b) < 8 else 0.8 * wide):
+                want[ident] = best
+        assert got[d] == (sorted(want), max(want.values(), default=0))
+
+
 # 7: packing
 
 
