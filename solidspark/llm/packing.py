@@ -5,12 +5,14 @@ rows) reaches the driver. There, a configuration is a multiset of lengths that f
 program asks for the fewest sequences that cover the histogram. Its fractional solution is built by
 multiplicative weights: each step prices the lengths by a weight and by how much of them is not covered
 yet, finds the best configuration exactly (knapsack by dynamic programming over the capacity) and runs
-it up to its scarcest length; weights start as sizes and grow over phases where sequences have room. The solution is rounded down; what that leaves is packed largest first,
+it up to its scarcest length, until all are covered; weights start as sizes and grow over phases where sequences
+have room. The solution is rounded down; what that leaves (less than one sequence of each configuration) is packed largest first,
 each time with the largest length that fits, again by whole patterns, so the plan's size depends on the
 number of lengths and not on the number of pieces. Pieces take their places in the plan by their rank
 among the pieces of their length; ranks come from salted counts, so no length is one task.
 
-Defined cases: a null or empty text is the end id alone; an empty table gives an empty result; rows
+Defined cases: a null or empty text is the end id alone; special tokens of the vocabulary that stand in a text are
+taken as the tokenizer takes them, as their ids; an empty table gives an empty result; rows
 that repeat a doc_id give pieces like others; other columns are not read.
 """
 
@@ -29,8 +31,6 @@ from pyspark.sql import functions as F
 from solidspark.llm.common import WORD, stage
 
 END_ID = 0
-#: Pricing steps of the linear program.
-STEPS = 700
 #: Times that prices are set anew where a plan is not near its lower bound.
 PHASES = 8
 ROWS_PER_SALT = 100_000
@@ -50,14 +50,15 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.seen = Tokenizer.from_file(vocabulary), most, {}
-        self.tokenizer.encode_special_tokens = True
+        #: Tokens that the tokenizer cuts out of a text wherever they stand, also inside a word.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.mark = np.array(self._ids(MARK), "<u4")
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _encode(self, words: list[str]) -> None:
-        odd = [w for w in words if MARK in w or w.startswith("<|")]
+        odd = [w for w in words if MARK in w or any(a in w for a in self.added)]
         for w in odd:
             self.seen[w] = np.array(self._ids(w), "<u4").tobytes()
         if odd:
@@ -89,6 +90,8 @@ class WordEncoder:
         for w in new:  # a plain (Latin) word and the marks after it are tokens apart, so they are encoded apart
             stem = w.rstrip(MARKS)
             low = stem.lower()
+            if any(a in w for a in self.added):
+                continue
             if low != w and low.isalpha() and (w.isascii() or max(w) < "\u0130"):
                 stems[w] = (low, w[len(stem) :])
         need = (new - stems.keys()) | {s for s, _ in stems.values()} | {e for _, e in stems.values() if e}
@@ -153,20 +156,19 @@ def best_configuration(values: np.ndarray, lengths: np.ndarray, capacity: int) -
     return out
 
 
-def fractional_cover(lengths: np.ndarray, counts: np.ndarray, capacity: int, prices: np.ndarray, steps: int = STEPS) -> list[tuple[dict[int, int], float]]:
-    """Configurations and how often each runs, fractionally; covers no length twice. prices: of the lengths."""
+def fractional_cover(lengths: np.ndarray, counts: np.ndarray, capacity: int, prices: np.ndarray) -> list[tuple[dict[int, int], float]]:
+    """Configurations and how often each runs, fractionally; covers every length, none twice. prices: of the lengths.
+
+    A step runs its configuration up to its scarcest length, so there are no more steps than lengths."""
     need, out = counts.astype(float), []
-    for _ in range(steps):
-        active = np.flatnonzero(need > 0.5)
-        if not len(active):
-            break
+    while len(active := np.flatnonzero(need > 1e-6 * counts)):
         # weights: multiplied down as a length is covered; size keeps configurations full
         weight = prices[active] * np.exp(0.2 * (need[active] / counts[active] - 1))
         found = best_configuration(weight, lengths[active], capacity)
         config = {int(active[k]): n for k, n in found.items()}
         run = min(need[k] / n for k, n in config.items())
         for k, n in config.items():
-            need[k] -= run * n
+            need[k] = 0.0 if need[k] <= run * n * (1 + 1e-12) else need[k] - run * n
         out.append((config, run))
     return out
 
