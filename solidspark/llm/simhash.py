@@ -6,32 +6,37 @@ whole sixteenths, so that sums are exact and equal texts have equal fingerprints
 
 Search: a fingerprint is cut into ``blocks`` parts. Two within ``radius`` differ in at most that many
 parts, so they agree in every part of at least one choice of ``blocks - radius`` parts: there is one
-table for each choice, keyed by those parts. A pair is tested in the first table where it meets.
+table for each choice, keyed by those parts. The radius of 6 in 128 bits is the share of bits that 3 of 64 are.
 
-Edited texts need the next document in order of doc_id. Texts are dealt once, by ranges of doc_id
-whose bounds are quantiles; the first document of each range also goes to the range before.
+Edited texts need the next document in order of doc_id. Texts are dealt once, by ranges of doc_id, and sorted
+there; a task reads its range as a stream and holds one batch. What it cannot finish, its last row, and its first row,
+which another range needs, are written with their texts, and a second small step finishes the last rows.
 
 Defined cases: a null text is an empty one, whose fingerprint is all zeros; after the last document
 comes the first, so a single one follows itself; null doc_ids come first; rows that repeat a doc_id are
-ordered by text; an empty table gives an empty result; other columns are not read.
+ordered by a hash of their text, then by text; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from solidspark.llm.common import lower_words, stage
+from solidspark.llm.common import lower_words, stage, unstage
 
 BITS = 128
-#: Bytes of text in a range of documents, about: what one task holds.
-RANGE_BYTES = 6_000_000
+#: Radius of the search, and the blocks of its tables.
+RADIUS, BLOCKS = 6, 8
+#: Bytes of text in a range of documents, about, up to so many ranges; beyond them ranges grow up to the larger size.
+RANGE_BYTES, RANGES, LARGE_RANGE_BYTES = 16_000_000, 4096, 256_000_000
 
 
 class Voter:
@@ -90,111 +95,109 @@ def _likeness(a: bytes, b: bytes) -> float:
     return 1 - (int.from_bytes(a) ^ int.from_bytes(b)).bit_count() / BITS
 
 
-def _range(group: pd.DataFrame) -> pd.DataFrame:
-    """The fingerprints of a range of documents; the row that follows its last has ``turn`` 1."""
-    voter, out = _voter(), []
-    texts, ids = group["text"].tolist(), group["doc_id"].tolist()
-    order = sorted(range(len(texts)), key=lambda i: (group["turn"].iat[i], 0 if ids[i] is None or ids[i] != ids[i] else 1, ids[i] or 0, texts[i]))
-    own = [i for i in order if group["turn"].iat[i] == 0]
-    prints: dict[int, bytes] = {}
-
-    def of(i: int) -> bytes:
-        if i not in prints:
-            prints[i] = voter.fingerprint(texts[i])
-        return prints[i]
-
-    for k, i in enumerate(own):
-        nxt = order[k + 1]
-        text, n = texts[i], len(texts[i])
-        half = n // 2
-        edited = text[: n - half] + texts[nxt][:half]
-        f, e = of(i), voter.fingerprint(edited)
-        out.append((ids[i], n, hashlib.sha256(edited.encode("utf-8")).hexdigest(), f.hex(), e.hex(), _likeness(f, e), _likeness(f, of(nxt))))
-    frame = pd.DataFrame(out, columns=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
-    return frame.astype({"doc_id": "Int64"})
-
-
-def _in_ranges(docs: DataFrame) -> DataFrame:
-    """(bucket, turn, doc_id, text): every row in its range, and each range's first document in the one before."""
-    n, size = docs.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
-    parts = max(1, -(-int(size or 0) // RANGE_BYTES))
-    bounds = docs.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 10_000)).first()[0] if parts > 1 and n else []
-    cuts = np.array(sorted(set(bounds or [])), np.int64)
-
-    @F.pandas_udf("int")
-    def bucket_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.where(ids.isna(), 0, np.searchsorted(cuts, ids.fillna(0).astype("int64"), "right")))
-
-    dealt = docs.withColumn("bucket", bucket_of("doc_id"))
-    firsts = sorted((r.bucket, r.first, r.nulls) for r in docs.select("doc_id").withColumn("bucket", bucket_of("doc_id")).groupBy("bucket").agg(F.min("doc_id").alias("first"), F.count_if(F.isnull("doc_id")).alias("nulls")).collect())
-    # (where its copy goes) of each range's first id; the first of all follows the last
-    to = {}
-    for k, (_, first, nulls) in enumerate(firsts):
-        to[None if nulls else first] = firsts[k - 1][0]
-    goes = F.lit(None).cast("int")
-    if len(to) <= 200:
-        for first, where in to.items():
-            goes = F.when(F.col("doc_id").eqNullSafe(F.lit(first)), F.lit(where)).otherwise(goes)
-    else:
-        keys = np.array(sorted(k for k in to if k is not None), np.int64)
-        targets = np.array([to[int(k)] for k in keys], np.int32)
-        at_null = to.get(None, -1)
-
-        @F.pandas_udf("int")
-        def copy_to(ids: pd.Series) -> pd.Series:
-            i = np.minimum(np.searchsorted(keys, ids.fillna(0).astype("int64")), len(keys) - 1)
-            hit = (keys[i] == ids.fillna(0).astype("int64")) & ~ids.isna()
-            return pd.Series(np.where(hit, targets[i], np.where(ids.isna(), at_null, -1))).astype("Int32").replace(-1, pd.NA)
-
-        goes = copy_to("doc_id")
-    own = F.struct(F.col("bucket"), F.lit(0).alias("turn"))
-    copy = F.struct(goes.alias("bucket"), F.lit(1).alias("turn"))
-    both = F.filter(F.array(own, copy), lambda x: x.getField("bucket").isNotNull())
-    return dealt.select("doc_id", "text", F.explode(both).alias("w")).select("w.bucket", "w.turn", "doc_id", "text")
-
-
-def _hex_part(block: int, blocks: int, fingerprint: str = "fingerprint") -> Column:
-    per = BITS // 4
-    a, b = block * per // blocks, (block + 1) * per // blocks
-    return F.substring(fingerprint, a + 1, b - a)
-
-
-def hamming(a: Column, b: Column) -> Column:
-    """Of two fingerprints in hex."""
-    words = [F.bit_count(F.conv(F.substring(a, k, 8), 16, 10).cast("long").bitwiseXOR(F.conv(F.substring(b, k, 8), 16, 10).cast("long"))) for k in range(1, BITS // 4 + 1, 8)]
-    return sum(words[1:], words[0])
-
-
-def near_pairs(queries: DataFrame, index: DataFrame, radius: int = 3, blocks: int = 5) -> DataFrame:
-    """(q, f, distance) of every pair of distinct fingerprints of the two tables within ``radius``.
-
-    Tables hold distinct fingerprints in a column ``fingerprint``. Keys of the C(blocks, radius) tables
+PRINTS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, hi long, lo long"
+#: A row of a range: its prints, or (kind 1, the first, and 2, the last) its text.
+ROWS = f"{PRINTS}, part int, kind int, text string"
+
+
+def _row(doc_id: int | None, text: str, nxt: str, own: bytes, after: bytes) -> tuple:
+    """The prints of a document and the next."""
+    n = len(text)
+    half = n // 2
+    edited = text[: n - half] + nxt[:half]
+    e = _voter().fingerprint(edited)
+    signed = [int.from_bytes(own[k : k + 8], signed=True) for k in (0, 8)]
+    return (doc_id, n, hashlib.sha256(edited.encode("utf-8")).hexdigest(), own.hex(), e.hex(), _likeness(own, e), _likeness(own, after), *signed)
+
+
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    kinds = {"long": "Int64", "int": "Int32", "string": object, "double": "Float64"}
+    columns = [c.split() for c in schema.split(", ")]
+    return pd.DataFrame({name: pd.Series(values, dtype=kinds[kind]) for (name, kind), values in zip(columns, zip(*rows, strict=True), strict=True)})
+
+
+def _stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A sorted range: the prints of all but its last row, and the texts at its ends."""
+    part, before, blank = TaskContext.get().partitionId(), None, (None,) * len(PRINTS.split(", "))
+    for frame in frames:
+        ids = [None if pd.isna(d) else int(d) for d in frame["doc_id"]]
+        out = []
+        for doc_id, text in zip(ids, frame["text"], strict=True):
+            own = _voter().fingerprint(text)
+            if before is None:
+                out.append((doc_id, *blank[1:], part, 1, text))
+            else:
+                out.append((*_row(before[0], before[1], text, before[2], own), part, 0, None))
+            before = (doc_id, text, own)
+        if out:
+            yield _frame(out, ROWS)
+    if before is not None:
+        yield _frame([(before[0], *blank[1:], part, 2, before[1])], ROWS)
+
+
+def _ends(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        ids = [None if pd.isna(d) else int(d) for d in frame["doc_id"]]
+        rows = [_row(d, t, n, _voter().fingerprint(t), _voter().fingerprint(n)) for d, t, n in zip(ids, frame["text"], frame["next"], strict=True)]
+        if rows:
+            yield _frame(rows, PRINTS)
+
+
+def _prints(docs: DataFrame) -> DataFrame:
+    """The prints of every row (doc_id, text)."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(1, min(-(-size // RANGE_BYTES), max(RANGES, -(-size // LARGE_RANGE_BYTES))))
+    dealt = docs.withColumn("h", F.xxhash64("text")).repartitionByRange(ranges, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
+    rows = stage(dealt.select("doc_id", "text").mapInPandas(_stream, ROWS), "simhash-ranges")
+    parts = rows.where("kind = 1").select("part")
+    # one number for each range: the only unpartitioned window; the last is followed by the first
+    order = Window.orderBy("part")
+    follows = parts.select("part", F.lead("part").over(order).alias("then")).join(F.broadcast(parts.agg(F.min("part").alias("least")))).select("part", F.coalesce("then", "least").alias("then"))
+    first = rows.where("kind = 1").select(F.col("part").alias("then"), F.col("text").alias("next"))
+    last = rows.where("kind = 2").select("part", "doc_id", "text").join(follows, "part").join(first, "then")
+    names = [c.split()[0] for c in PRINTS.split(", ")]
+    return rows.where("kind = 0").select(*names).unionByName(last.select("doc_id", "text", "next").mapInPandas(_ends, PRINTS))
+
+
+def _block(block: int, blocks: int, hi: Column, lo: Column) -> Column:
+    """The bits of a block, of two longs; blocks do not cross the middle."""
+    each = BITS // blocks
+    half = BITS // 2
+    word, at = (hi, block * each) if block * each < half else (lo, block * each - half)
+    return F.shiftrightunsigned(word, half - at - each).bitwiseAND(F.lit((1 << each) - 1))
+
+
+def hamming(hi: Column, lo: Column, hi2: Column, lo2: Column) -> Column:
+    return F.bit_count(hi.bitwiseXOR(hi2)) + F.bit_count(lo.bitwiseXOR(lo2))
+
+
+def near_pairs(queries: DataFrame, index: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """(q_hi, q_lo, hi, lo, distance) of every pair of distinct fingerprints of the two tables within ``radius``.
+
+    Tables hold distinct fingerprints as two longs, ``hi`` and ``lo``; ``blocks`` divides 64. Keys of the C(blocks, radius) tables
     have (blocks - radius) / blocks of all bits, so chance meetings are rare at any size."""
     choices = list(combinations(range(blocks), blocks - radius))
-    key = lambda fp, c: F.concat(*[_hex_part(b, blocks, fp) for b in c])
-    tables = lambda df, name: df.select(F.col("fingerprint").alias(name)).distinct().select(
-        name, F.posexplode(F.array(*[F.xxhash64(F.lit(k), key(name, c)) for k, c in enumerate(choices)])).alias("t", "key")
-    )
-    q, f = tables(queries, "q"), tables(index, "f").withColumnRenamed("t", "t2")
-    meets = [key("q", c) == key("f", c) for c in choices]
-    first = F.coalesce(*[F.when(m, F.lit(k)) for k, m in enumerate(meets)])
-    near = q.join(f, (q["key"] == f["key"]) & (F.col("t") == F.col("t2")) & (hamming(F.col("q"), F.col("f")) <= radius) & (first == F.col("t")))
-    return near.select("q", "f", hamming(F.col("q"), F.col("f")).cast("int").alias("distance"))
-
-
-def fingerprints(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    keys = lambda hi, lo: F.array(*[F.xxhash64(F.lit(k), *[_block(b, blocks, hi, lo) for b in c]) for k, c in enumerate(choices)])
+    q = queries.select(F.col("hi").alias("q_hi"), F.col("lo").alias("q_lo"), F.explode(keys(F.col("hi"), F.col("lo"))).alias("key"))
+    f = index.select("hi", "lo", F.explode(keys(F.col("hi"), F.col("lo"))).alias("key"))
+    distance = hamming(F.col("q_hi"), F.col("q_lo"), F.col("hi"), F.col("lo")).cast("int")
+    return q.join(f, "key").where(distance <= radius).select("q_hi", "q_lo", "hi", "lo", distance.alias("distance")).distinct()
+
+
+def fingerprints(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_near).
 
     Likeness is the share of equal bits. n_near: for documents whose id is divisible by 100, how many
     other documents have a fingerprint within ``radius``; else null."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    rows = stage(_in_ranges(texts).groupBy("bucket").applyInPandas(_range, schema), "simhash-rows")
-    classes = rows.groupBy("fingerprint").agg(F.count("*").alias("docs"), F.max(F.coalesce(F.col("doc_id") % 100 == 0, F.lit(False))).alias("asked"))
-    classes = stage(classes, "simhash-classes")
-    near = near_pairs(classes.where("asked"), classes, radius)
-    n_near = near.join(classes, near["f"] == classes["fingerprint"]).groupBy(F.col("q").alias("fingerprint")).agg((F.sum("docs") - 1).alias("n_near"))
+    rows = stage(_prints(texts), "simhash-rows")
     asked = F.col("doc_id") % 100 == 0
-    return rows.join(n_near, "fingerprint", "left").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", F.when(asked, F.col("n_near")).alias("n_near")
-    )
+    classes = rows.groupBy("hi", "lo").agg(F.count("*").alias("docs"), F.max(F.coalesce(asked, F.lit(False))).alias("asked"))
+    classes = stage(classes, "simhash-classes")
+    near = near_pairs(classes.where("asked"), classes, radius, blocks)
+    n_near = near.join(classes, ["hi", "lo"]).groupBy("q_hi", "q_lo").agg((F.sum("docs") - 1).alias("n_near"))
+    n_near = stage(n_near.withColumnsRenamed({"q_hi": "hi", "q_lo": "lo"}), "simhash-near")
+    unstage(classes)
+    out = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    found = rows.where(asked).join(n_near, ["hi", "lo"]).select(*out, "n_near")
+    return found.unionByName(rows.where(~F.coalesce(asked, F.lit(False))).select(*out, F.lit(None).cast("long").alias("n_near")))

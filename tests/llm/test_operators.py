@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from solidspark import skew
@@ -573,21 +574,38 @@ def test_best_run():
 # 10: fingerprints
 
 
-def test_fingerprints(docs, empty, monkeypatch):
-    monkeypatch.setattr(simhash, "RANGE_BYTES", 2_000)
+def xxhash64(text):
+    """As Spark has it: seed 42, signed."""
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def brute_print(text):
+    """128 votes of the words' hashes, each bit by itself."""
+    votes = [0] * 128
+    for w, n in Counter((text or "").encode().lower().split()).items():
+        h, weight = int.from_bytes(xxhash.xxh3_128_digest(w)), round(16 * (1 + math.log(n)))
+        for k in range(128):
+            votes[k] += weight if h >> (127 - k) & 1 else -weight
+    return sum(1 << (127 - k) for k in range(128) if votes[k] > 0)
+
+
+@pytest.mark.parametrize("size", [2_000, 10**9])
+def test_fingerprints(docs, empty, monkeypatch, size):
+    monkeypatch.setattr(simhash, "RANGE_BYTES", size)
     got = collected(simhash.fingerprints(docs))
-    order = sorted(((d, t or "") for d, t, *_ in rows()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    order = sorted(((d, t or "") for d, t, *_ in rows()), key=lambda r: (r[0] is not None, r[0] or 0, xxhash64(r[1])))
+    prints = {t: brute_print(t) for _, t in order}
+    like = lambda a, b: 1 - (a ^ b).bit_count() / 128
     want = Counter()
     for k, (d, t) in enumerate(order):
         n, nxt = len(t), order[(k + 1) % len(order)][1]
         edited = t[: n - n // 2] + nxt[: n // 2]
-        want[(d, n, hashlib.sha256(edited.encode()).hexdigest())] += 1
-    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == want
-    prints, of = {d: r for d, r in ((r["doc_id"], r) for r in got)}, defaultdict(set)
-    for d, t in order:
-        of[t].add(prints[d]["fingerprint"])
-    assert all(len(f) == 1 for f in of.values())
-    assert all(0 <= r["near_edited"] <= 1 and (r["n_near"] is None) == (r["doc_id"] is None or r["doc_id"] % 100 != 0) for r in got)
+        near = sum(like(prints[t], prints[u]) >= 1 - 6 / 128 for _, u in order) - 1 if d is not None and d % 100 == 0 else None
+        e = brute_print(edited)
+        want[(d, n, hashlib.sha256(edited.encode()).hexdigest(), f"{prints[t]:032x}", f"{e:032x}", like(prints[t], e), like(prints[t], prints[nxt]), near)] += 1
+    cols = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_near")
+    assert Counter(tuple(r[c] for c in cols) for r in got) == want
     assert simhash.fingerprints(empty).count() == 0
 
 
@@ -596,10 +614,13 @@ def test_one_document_follows_itself(spark):
     assert r.edited_sha256 == hashlib.sha256(b"abcdabc").hexdigest()
 
 
-def test_near_pairs_equal_brute_force(spark):
+@pytest.mark.parametrize(("radius", "blocks"), [(3, 4), (6, 8)])
+def test_near_pairs_equal_brute_force(spark, radius, blocks):
     rng = random.Random(8)
     base = [rng.getrandbits(128) for _ in range(40)]
     prints = {b ^ sum(1 << k for k in rng.sample(range(128), rng.randint(0, 6))) for b in base for _ in range(5)}
-    table = spark.createDataFrame([(f"{p:032x}",) for p in prints], "fingerprint string")
-    got = sorted((r.q, r.f, r.distance) for r in simhash.near_pairs(table, table, 3).collect())
-    assert got == sorted((f"{a:032x}", f"{b:032x}", (a ^ b).bit_count()) for a in prints for b in prints if (a ^ b).bit_count() <= 3)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    halves = lambda p: (signed(p >> 64), signed(p & (1 << 64) - 1))
+    table = spark.createDataFrame([halves(p) for p in prints], "hi long, lo long")
+    got = sorted(tuple(r) for r in simhash.near_pairs(table, table, radius, blocks).collect())
+    assert got == sorted((*halves(a), *halves(b), (a ^ b).bit_count()) for a in prints for b in prints if (a ^ b).bit_count() <= radius)
