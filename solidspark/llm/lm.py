@@ -41,6 +41,8 @@ STATES, CLASSES = 6, 1 << 15
 GAIN, PASSES = 1e-3, 40
 #: Characters of text in a block, about.
 BLOCK_CHARS = 12_000_000
+#: Blocks that a task of a pass reads, where there are many.
+BLOCKS_A_TASK = 16
 SMOOTH = 0.1
 #: The end of a text, as a word; no text has it, for it holds a space.
 END = b" end"
@@ -73,7 +75,7 @@ def _blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "held_out": [h for _, h, _ in docs],
                 "n_tokens": [len(x) for _, _, x in docs],
                 "local": [_packed(x) for _, _, x in docs],
-                "classes": [_packed(classes[x]) for _, _, x in docs],
+                "classes": [None if h else _packed(classes[x]) for _, h, x in docs],
             }),
             pd.DataFrame({"place": np.arange(len(words), dtype=np.int32), "word": hashes.view(np.int64), "train_n": train.astype(np.int64)}),
         ]
@@ -104,6 +106,10 @@ class Model:
     def __init__(self, pi: np.ndarray, A: np.ndarray, E: np.ndarray):
         self.pi, self.A, self.E = pi, A, E
 
+    def single(self) -> Model:
+        """In single precision, which is enough for expected counts; likelihoods are in double."""
+        return Model(*(x.astype(np.float32) for x in (self.pi, self.A, self.E)))
+
     @classmethod
     def start(cls, unigram: np.ndarray, seed: int = 7) -> Model:
         rng = np.random.default_rng(seed)
@@ -120,7 +126,7 @@ class Model:
         return cls((pi + 1) / (pi + 1).sum(), (A + 0.1) / (A + 0.1).sum(1, keepdims=True), E / E.sum(1, keepdims=True))
 
 
-def _side_by_side(seqs: list[np.ndarray], tokens: int = 400_000) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+def _side_by_side(seqs: list[np.ndarray], tokens: int = 500_000) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
     """Indexes and sequences, longest first, in groups of about so many tokens."""
     order = np.argsort([-len(s) for s in seqs], kind="stable")
     at = 0
@@ -136,7 +142,7 @@ def _side_by_side(seqs: list[np.ndarray], tokens: int = 400_000) -> Iterator[tup
 def _time_major(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Tokens in order of place then sequence, and how many sequences have each place; seqs: longest first."""
     lengths = np.array([len(s) for s in seqs])
-    width = (lengths[None, :] > np.arange(lengths[0])[:, None]).sum(1) if lengths[0] * len(seqs) < 50_000_000 else np.array([(lengths > t).sum() for t in range(lengths[0])])
+    width = np.cumsum(np.bincount(lengths)[::-1])[::-1][1:]
     starts = np.r_[0, np.cumsum(width)]
     flat = np.empty(starts[-1], np.int64)
     for i, s in enumerate(seqs):
@@ -144,22 +150,28 @@ def _time_major(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return flat, starts
 
 
+def _alphas(model: Model, flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The scaled forward recursion: P(state | tokens so far) and scales of every token, and P(token | state); a row a state."""
+    emit = model.E.take(flat, 1)
+    alphas, scales, step = np.empty_like(emit), np.empty(len(flat), emit.dtype), np.ascontiguousarray(model.A.T)
+    bounds = starts.tolist()
+    for t in range(len(bounds) - 1):
+        a, b = bounds[t], bounds[t + 1]
+        p = bounds[t - 1]
+        x = emit[:, a:b] * (step @ alphas[:, p : p + b - a] if t else model.pi[:, None])
+        s = scales[a:b] = x.sum(0)
+        np.divide(x, s, out=alphas[:, a:b])
+    return alphas, scales, emit
+
+
 def forward(model: Model, seqs: list[np.ndarray]) -> np.ndarray:
     """Exact log10 likelihood of each sequence of classes, by the scaled forward recursion."""
     out = np.zeros(len(seqs))
-    E = np.ascontiguousarray(model.E.T)
     for index, group in _side_by_side(seqs):
         flat, starts = _time_major(group)
-        scales, alpha = np.empty(len(flat)), None
-        for t in range(len(starts) - 1):
-            a, b = starts[t], starts[t + 1]
-            alpha = (model.pi if alpha is None else alpha[: b - a] @ model.A) * E[flat[a:b]]
-            s = alpha.sum(1)
-            scales[a:b] = s
-            alpha /= s[:, None]
-        logs = np.log10(scales)
+        _, scales, _ = _alphas(model, flat, starts)
         place = np.arange(len(flat)) - np.repeat(starts[:-1], np.diff(starts))
-        out[index] = np.bincount(place, weights=logs, minlength=len(group))
+        out[index] = np.bincount(place, weights=np.log10(scales), minlength=len(group))
     return out
 
 
@@ -168,35 +180,26 @@ def expected_counts(model: Model, seqs: list[np.ndarray], logs: list[float] | No
     log10 likelihoods of groups of them."""
     k = len(model.pi)
     pi, A, counts = np.zeros(k), np.zeros((k, k)), np.zeros((k, model.E.shape[1]))
-    E = np.ascontiguousarray(model.E.T)
     for _, group in _side_by_side(seqs):
         flat, starts = _time_major(group)
-        alphas, scales = np.empty((len(flat), k)), np.empty(len(flat))
-        for t in range(len(starts) - 1):
-            a, b = starts[t], starts[t + 1]
-            alpha = (model.pi if t == 0 else alphas[starts[t - 1] : starts[t - 1] + b - a] @ model.A) * E[flat[a:b]]
-            s = alpha.sum(1)
-            scales[a:b] = s
-            np.divide(alpha, s[:, None], out=alphas[a:b])
+        alphas, scales, ahead = _alphas(model, flat, starts)
         if logs is not None:
-            logs.append(float(np.log10(scales).sum()))
-        beta, joint = np.ones((starts[-1] - starts[-2], k)), np.zeros((k, k))
-        for t in range(len(starts) - 2, -1, -1):
-            a, b = starts[t], starts[t + 1]
-            if t == 0:
-                pi += (alphas[a:b] * beta).sum(0)
-            else:
-                p, q = starts[t - 1], starts[t]
-                ahead = E[flat[a:b]] * beta / scales[a:b, None]
-                joint += alphas[p : p + b - a].T @ ahead
-                before = np.ones((q - p, k))
-                np.matmul(ahead, model.A.T, out=before[: b - a])
-            alphas[a:b] *= beta
-            if t:
-                beta = before
-        A += joint * model.A
+            logs.append(float(np.log10(scales).sum(dtype=np.float64)))
+        ahead /= scales
+        betas, bounds = np.ones_like(alphas), starts.tolist()
+        for t in range(len(bounds) - 2, 0, -1):
+            a, b = bounds[t], bounds[t + 1]
+            p = bounds[t - 1]
+            x = ahead[:, a:b]
+            x *= betas[:, a:b]
+            np.matmul(model.A, x, out=betas[:, p : p + b - a])
+        width = np.diff(starts)
+        before = np.arange(starts[1], len(flat)) - np.repeat(width[:-1], width[1:])
+        A += (alphas.take(before, 1) @ ahead[:, starts[1] :].T) * model.A
+        alphas *= betas
+        pi += alphas[:, : starts[1]].sum(1)
         for s in range(k):
-            counts[s] += np.bincount(flat, weights=alphas[:, s], minlength=counts.shape[1])
+            counts[s] += np.bincount(flat, weights=alphas[s], minlength=counts.shape[1])
     return pi, A, counts
 
 
@@ -204,25 +207,27 @@ def _sequences(raw: pd.Series) -> list[np.ndarray]:
     return [_unpacked(x) for x in raw]
 
 
-def _pass(blocks: DataFrame, model: Model, unigram: np.ndarray) -> tuple[Model, float]:
+def _pass(blocks: DataFrame, n_blocks: int, model: Model, unigram: np.ndarray) -> tuple[Model, float]:
     """One pass over all training documents: expected counts per partition, added up by row of parameters.
 
     The new model, and the log10 likelihood of the documents under the given one."""
-    shared = blocks.sparkSession.sparkContext.broadcast(model)
+    context = blocks.sparkSession.sparkContext
+    shared = context.broadcast(model.single())
     sums = [f"s{s}" for s in range(STATES)]
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, logs = None, []
         for frame in frames:
             own = expected_counts(shared.value, _sequences(frame["classes"]), logs)
-            total = own if total is None else tuple(x + y for x, y in zip(total, own, strict=True))
+            total = own if total is None else tuple(x + y for x, y in zip(total, own, strict=True))  # sums are in double
         if total is not None:
             pi, A, E = total
             likelihood = np.full((1, STATES), sum(logs))
             table = np.concatenate([E.T, pi[None, :], A, likelihood])  # CLASSES rows, then the start's, the states', the likelihood's
             yield pd.DataFrame(table, columns=sums).assign(row=np.arange(len(table)))[["row", *sums]]
 
-    train = blocks.where("local is not null and not held_out").select("classes")
+    # a task sends CLASSES rows whatever it read, so it reads several blocks
+    train = blocks.where("classes is not null").select("classes").coalesce(max(2 * context.defaultParallelism, n_blocks // BLOCKS_A_TASK))
     counted = train.mapInPandas(count, "row int, " + ", ".join(f"{s} double" for s in sums)).groupBy("row").agg(*[F.sum(s).alias(s) for s in sums])
     rows = counted.toPandas().sort_values("row")
     table = np.zeros((CLASSES + 1 + STATES + 1, STATES))
@@ -233,9 +238,9 @@ def _pass(blocks: DataFrame, model: Model, unigram: np.ndarray) -> tuple[Model,
 
 def train(blocks: DataFrame, unigram: np.ndarray, tokens: int) -> Model:
     """Passes over all training documents, of whatever length, until the likelihood hardly rises."""
-    model, before = Model.start(unigram), -np.inf
+    model, before, n_blocks = Model.start(unigram), -np.inf, blocks.select("block").distinct().count()
     for _ in range(PASSES if tokens else 0):
-        model, now = _pass(blocks, model, unigram)
+        model, now = _pass(blocks, n_blocks, model, unigram)
         if now - before < GAIN * tokens:
             break
         before = now

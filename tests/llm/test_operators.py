@@ -114,10 +114,44 @@ def test_lm(docs, empty):
     base = lambda t: sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens(t))
     want = Counter((d, held(d), len(tokens(t)), sum(counts[w] > 0 for w in tokens(t)), n, round(base(t), 6)) for d, t, *_ in rows())
     assert Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got) == want
-    assert all(r["score"] < 0 for r in got)
     assert lm.score(empty).count() == 0
 
 
+def test_lm_score_equals_words_and_states(spark, monkeypatch):
+    """The model over words, state by state, from the parameters that training gives; and its emissions add up to 1."""
+    rng = random.Random(5)
+    topics = [[f"t{k}w{j}" for j in range(15)] for k in range(2)]
+    table = [(d, " ".join(rng.choice(topics[d % 2] + ["both", f"rare{rng.randint(0, 60)}"]) for _ in range(rng.randint(0, 30)))) for d in range(1, 80)] + [(200, None)]
+    models, train = [], lm.train
+
+    def spy(*args):
+        models.append(train(*args))
+        return models[0]
+
+    monkeypatch.setattr(lm, "train", spy)
+    got = {r["doc_id"]: r["score"] for r in collected(lm.score(spark.createDataFrame(table, "doc_id long, text string")))}
+    words = lambda t: [*lower(t).encode().split(), lm.END]
+    counts = Counter(w for d, t in table if zlib.crc32(str(d).encode()) % 10 for w in words(t))
+    class_of = lambda w: xxhash.xxh64_intdigest(w) % lm.CLASSES
+    of_class = defaultdict(Counter)
+    for w, n in counts.items():
+        of_class[class_of(w)][w] = n
+    mass = {c: sum(n + 0.1 for n in ws.values()) + sum(n == 1 for n in ws.values()) + 0.1 for c, ws in of_class.items()}
+    unknown = {c: (sum(n == 1 for n in of_class[c].values()) + 0.1) / mass.get(c, 0.1) for c in range(lm.CLASSES)}
+    within = lambda w: (counts[w] + 0.1) / mass[class_of(w)] if counts[w] else unknown[class_of(w)]
+    model = models[0]
+    for state in range(lm.STATES):
+        total = sum(model.E[state, class_of(w)] * within(w) for w in counts) + sum(model.E[state, c] * unknown[c] for c in range(lm.CLASSES))
+        assert math.isclose(total, 1, rel_tol=1e-9)
+    for d, t in table:
+        alpha, log = model.pi, 0.0
+        for k, w in enumerate(words(t)):
+            alpha = (alpha if k == 0 else alpha @ model.A) * model.E[:, class_of(w)] * within(w)
+            log += math.log10(alpha.sum())
+            alpha = alpha / alpha.sum()
+        assert math.isclose(got[d], log, rel_tol=1e-9)
+
+
 def test_long_texts_train_all_passes(spark, monkeypatch):
     rng = random.Random(3)
     topics = [[f"t{k}w{j}" for j in range(20)] for k in range(2)]
@@ -125,8 +159,8 @@ def test_long_texts_train_all_passes(spark, monkeypatch):
     table = [(d, " ".join(rng.choice(topics[d % 2]) for _ in range(3_500))) for d in ids[:12]]
     seen, one = [], lm._pass
 
-    def spy(blocks, model, unigram):
-        new, likelihood = one(blocks, model, unigram)
+    def spy(blocks, n_blocks, model, unigram):
+        new, likelihood = one(blocks, n_blocks, model, unigram)
         seen.append((likelihood, int(blocks.where("local is not null and not held_out").count())))
         return new, likelihood
 
