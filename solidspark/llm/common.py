@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from solidspark.staging import stage, unstage
 
-__all__ = ["WORD", "least_hashes", "lower_words", "stage", "table", "unstage"]
+__all__ = ["WORD", "lower_words", "stage", "table", "unstage"]
 
 #: A word is a run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,16 +20,3 @@ def lower_words(text: str | None) -> list[bytes]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def least_hashes(df: DataFrame, hashed: Column, most: int) -> DataFrame:
-    """A sample of ``most`` rows (all, if there are no more): those with the least of a 64-bit hash.
-
-    Rows that cannot be among them are left out first, by their hash and the table's count, so that tasks
-    send on a few rows each and not ``most`` each."""
-    n = df.count()
-    share = min(1.0, (1.5 * most + 1000) / max(1, n))
-    found = df.withColumn("_h", hashed)
-    if share < 1:
-        found = found.where(F.col("_h") < F.lit(int(-(2**63) + share * 2**64)))
-    return found.orderBy("_h").limit(most).drop("_h")

@@ -1,15 +1,14 @@
 """Quality classifier: positive-unlabelled learning with the non-negative risk estimator.
 
-Positives are documents labelled 1; the unlabelled set is a sample of all documents that may train. The
-class prior is estimated from the labelled training rows. The risk
-pi * R_P(+1) + max(0, R_U(-1) - pi * R_P(-1)) of a logistic scorer is minimised by gradient steps; where
-the second part is negative, the step goes against it (Kiryo et al. 2017), so that the scorer does not
-fit the unlabelled set's noise.
+Positives are documents labelled 1; the unlabelled set is all documents that may train. The class prior is
+estimated from the labelled training rows. The risk pi * R_P(+1) + max(0, R_U(-1) - pi * R_P(-1)) of a logistic
+scorer (Kiryo et al. 2017) is minimised over all of them. Values, gradients and curvature of its parts are sums over
+rows, which tasks add up, so that a Newton step is a pass over the rows. Where a step would take the second part below 0, it
+goes along the line where that part is 0, and going below has a price: so the scorer does not fit the
+unlabelled set's noise.
 
 Inputs of a score are measures of the whole text alone: shares of kinds of characters, repetition of
-words, lines and sentences, lengths. Features of every document are computed once and kept as a table;
-the fit takes at most ``MOST_POSITIVE`` positives and ``MOST_UNLABELLED`` others, those with the least
-hashes of their ids (the documented bound of the fitting sample); scoring covers all rows.
+words, lines and sentences, lengths. They are computed once and kept as a table, which every step reads.
 
 Defined cases: a null text is an empty one; an empty text gets the score of its features (all zeros but
 the emptiness); a document with several label rows counts once, as 1 if any is 1; null labels count as
@@ -19,7 +18,7 @@ prior (0.5 without labels); repeated rows are scored each; other columns are not
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from operator import eq
 
 import numpy as np
@@ -27,10 +26,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from solidspark.llm.common import least_hashes, stage
+from solidspark.llm.common import stage, unstage
 
-MOST_POSITIVE, MOST_UNLABELLED = 20_000, 40_000
 THRESHOLD, FOLDS = 0.3, 5
+#: Weight of the squares of weights (of standardised inputs); steps end when the risk falls by less, or after so many.
+DECAY, GAIN, STEPS = 2e-3, 1e-4, 40
+#: What a second part below 0 costs.
+PRICE = 3.0
 SYMBOLS = "!|$%&#*@<>{}=_/\\+~^?:;,.-\"'()"
 
 
@@ -66,27 +68,62 @@ def expand(x: np.ndarray) -> np.ndarray:
     return np.concatenate([x, np.sqrt(x), np.minimum(x, 0.02) * 50, np.minimum(x, 0.2) * 5, np.ones((len(x), 1))], axis=1)
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
-    """Weights over :func:`expand` that minimise the non-negative risk with the logistic loss (Adam)."""
-    p, u = expand(positive), expand(unlabelled)
-    mean, spread = u.mean(0), u.std(0) + 1e-3
-    mean[-1], spread[-1] = 0, 1
-    p, u = (p - mean) / spread, (u - mean) / spread
-    w, m, v = np.zeros(p.shape[1]), np.zeros(p.shape[1]), np.zeros(p.shape[1])
-    for t in range(1, steps + 1):
-        zp, zu = p @ w, u @ w
-        sp, su = 1 / (1 + np.exp(-np.clip(zp, -30, 30))), 1 / (1 + np.exp(-np.clip(zu, -30, 30)))
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        of_negative = u.T @ su / len(u) - prior * (p.T @ sp) / len(p)
-        if negative >= 0:
-            grad = prior * (p.T @ (sp - 1)) / len(p) + of_negative
-        else:
-            grad = -of_negative
-        grad = grad + decay * w
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
-        w = w - rate / (1 + t / 400) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    w = w / spread
-    w[-1] -= (mean * w)[:-1].sum()
+def standardised(x: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    return (expand(x) - mean) / spread
+
+
+def sums_at(z: np.ndarray, positive: np.ndarray, weights: list[np.ndarray]) -> list[np.ndarray]:
+    """For each of some weights: counts, losses, gradient and curvature of rows, in one vector that may be added up.
+
+    In order: unlabelled rows and their sum of R_U(-1); positives with their sums of R_P(-1) and R_P(+1); the gradient of
+    R_U(-1), the sum of the positives, the gradient of R_P(-1); the upper triangle of the curvature of R_U(-1) (of the first weights alone)."""
+    out = []
+    for k, w in enumerate(weights):
+        s = z @ w
+        loss, p = np.logaddexp(0, s), 1 / (1 + np.exp(-np.clip(s, -30, 30)))
+        head = [len(z), loss.sum(), positive.sum(), loss[positive].sum(), np.logaddexp(0, -s[positive]).sum()]
+        if k == 0:
+            bent = (z.T * (p * (1 - p))) @ z
+            head = [*head, *(z.T @ p), *z[positive].sum(0), *(z[positive].T @ p[positive]), *bent[np.triu_indices(z.shape[1])]]
+        out.append(np.array(head))
+    return out
+
+
+def risk_of(head: np.ndarray, prior: float) -> tuple[float, float]:
+    """Of a head of :func:`sums_at`: the risk, with a price on a second part below 0, and the second part."""
+    negative = head[1] / head[0] - prior * head[3] / head[2]
+    return prior * head[4] / head[2] + max(negative, -PRICE * negative), negative
+
+
+def fit(totals: Callable[[list[np.ndarray]], list[np.ndarray]], prior: float, n: int, steps: int = STEPS) -> np.ndarray:
+    """Weights of ``n`` inputs that minimise the non-negative risk. ``totals`` adds :func:`sums_at` up over all rows."""
+    w, upper = np.zeros(n), np.triu_indices(n)
+
+    def risks(heads: list[np.ndarray], at: list[np.ndarray]) -> list[float]:
+        return [risk_of(h, prior)[0] + DECAY / 2 * v @ v for h, v in zip(heads, at, strict=True)]
+
+    (now,) = totals([w])
+    for _ in range(steps):
+        of_u, of_p, bend_p, curve = np.split(now[5:], [n, 2 * n, 3 * n])
+        (risk,), negative = risks([now], [w]), risk_of(now, prior)[1]
+        bent = np.zeros((n, n))
+        bent[upper] = curve / now[0]
+        bent = bent + np.triu(bent, 1).T + DECAY * np.eye(n)
+        # of the risk while its second part is positive, and of that part
+        gradient, slope = of_u / now[0] - prior * of_p / now[2] + DECAY * w, of_u / now[0] - prior * bend_p / now[2]
+        step, turn = np.linalg.solve(bent, gradient), np.linalg.solve(bent, slope)
+        step = step - max(0.0, (slope @ step - negative) / max(slope @ turn, 1e-12)) * turn
+        (after,) = totals([w - step])
+        if risks([after], [w - step])[0] <= risk - GAIN:
+            w, now = w - step, after
+            continue
+        shorter = [w - a * step for a in (0.5, 0.25, 0.1, 0.03, 0.01)]  # in one pass
+        tried = risks(totals(shorter), shorter)
+        k = int(np.argmin(tried))
+        if tried[k] > risk - GAIN:
+            break
+        w = shorter[k]
+        (now,) = totals([w])
     return w
 
 
@@ -99,23 +136,60 @@ def _matrix(raw: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(raw), np.float32).reshape(-1, N_FEATURES)
 
 
+def _total(train: DataFrame, of: Callable[[np.ndarray, np.ndarray], list[np.ndarray]]) -> list[np.ndarray]:
+    """Vectors of the rows (features, positive), added up in the tasks and then over them: a row a task and vector."""
+
+    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for frame in frames:
+            for low in range(0, len(frame), 20_000):
+                part = frame.iloc[low : low + 20_000]
+                own = of(_matrix(part["x"]), part["positive"].to_numpy(bool))
+                total = own if total is None else [a + b for a, b in zip(total, own, strict=True)]
+        if total is not None:
+            yield pd.DataFrame({"k": range(len(total)), "v": [x.tolist() for x in total]})
+
+    def added(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"k": group["k"].iloc[:1], "v": [np.sum([np.asarray(v) for v in group["v"]], axis=0).tolist()]})
+
+    tasks = train.select("x", "positive").mapInPandas(sums, "k int, v array<double>")
+    # in two steps, so that no task adds all tasks' vectors
+    some = tasks.groupBy("k", (F.spark_partition_id() % 64).alias("part")).applyInPandas(added, "k int, v array<double>")
+    return [np.array(r.v) for r in some.groupBy("k").applyInPandas(added, "k int, v array<double>").orderBy("k").collect()]
+
+
+def _train(train: DataFrame, prior: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights, and the mean and spread of the inputs."""
+
+    def moments(x: np.ndarray, _: np.ndarray) -> list[np.ndarray]:
+        z = expand(x).astype(np.float64)
+        return [np.r_[len(z), z.sum(0), (z * z).sum(0)]]
+
+    (m,) = _total(train, moments)
+    n = (len(m) - 1) // 2
+    mean = m[1 : 1 + n] / m[0]
+    spread = np.sqrt(np.maximum(m[1 + n :] / m[0] - mean**2, 0)) + 1e-3
+    mean[-1], spread[-1] = 0, 1
+    w = fit(lambda weights: _total(train, lambda x, positive: sums_at(standardised(x, mean, spread), positive, weights)), prior, n)
+    return w, mean, spread
+
+
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``; labels: (doc_id, quality)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = stage(rows.mapInPandas(_measure, "doc_id long, x binary"), "quality-features")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
-    train = rows.where(~held)
     known = labels.select(F.col("doc_id").cast("long").alias("label_id"), "quality").where("quality is not null").groupBy("label_id").agg(F.max("quality").alias("quality"))
-    labelled = train.join(known, train["doc_id"] == known["label_id"])
-    n, ones = labelled.agg(F.count("*"), F.sum("quality")).first()
-    prior = min(0.98, max(0.02, (ones or 0) / n)) if n else 0.5
-    pick = lambda df, most: least_hashes(df.select("x", "doc_id"), F.xxhash64("doc_id"), most).toPandas()["x"]
-    positive, unlabelled = pick(labelled.where("quality = 1"), MOST_POSITIVE), pick(train, MOST_UNLABELLED)
-    w = fit(_matrix(positive), _matrix(unlabelled), prior) if len(positive) and len(unlabelled) else None
+    train = rows.where(~held).join(known, F.col("doc_id") == F.col("label_id"), "left").select("x", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("positive"), F.col("quality").isNotNull().alias("labelled"))
+    train = stage(train, "quality-training")
+    n, ones = train.agg(F.count_if("labelled"), F.count_if("positive")).first()
+    prior = min(0.98, max(0.02, ones / n)) if n else 0.5
+    model = _train(train, prior) if ones else None
+    unstage(train)
 
     def apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            z = expand(_matrix(frame["x"])) @ w if w is not None and len(frame) else np.full(len(frame), np.log(prior / (1 - prior)))
+            z = standardised(_matrix(frame["x"]), *model[1:]) @ model[0] if model and len(frame) else np.full(len(frame), np.log(prior / (1 - prior)))
             s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "score": s, "predicted": (s >= THRESHOLD).astype("int32")})
 

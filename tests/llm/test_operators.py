@@ -223,6 +223,38 @@ def test_quality(spark, docs, empty):
     assert {r["score"] for r in collected(quality.score(docs, labels.where("false")))} == {0.5}
 
 
+def test_fit_minimises_the_risk():
+    """Against the risk computed directly, at many other weights and after many small gradient steps."""
+    rng = np.random.default_rng(1)
+    z = np.c_[rng.normal(size=(600, 4)), np.ones(600)]
+    truth = z @ np.array([2.0, -1.0, 0.5, 0.0, 0.3]) + rng.logistic(size=600) > 0
+    positive = truth & (rng.random(600) < 0.4)
+    prior = float(truth.mean())
+
+    def risk(w):
+        s = z @ w
+        negative = np.logaddexp(0, s).mean() - prior * np.logaddexp(0, s[positive]).mean()
+        return prior * np.logaddexp(0, -s[positive]).mean() + max(negative, -quality.PRICE * negative) + quality.DECAY / 2 * w @ w
+
+    halves = lambda weights: [a + b for a, b in zip(quality.sums_at(z[:250], positive[:250], weights), quality.sums_at(z[250:], positive[250:], weights), strict=True)]
+    w = quality.fit(halves, prior, 5)
+    v, best = w.copy(), risk(w)
+    for k in range(3000):  # descent by differences
+        slope = np.array([(risk(v + 1e-5 * e) - risk(v - 1e-5 * e)) / 2e-5 for e in np.eye(5)])
+        v = v - 0.3 / (1 + k / 100) * slope
+        best = min(best, risk(v))
+    assert risk(w) <= best + 2 * quality.GAIN and ((z @ w > 0) == truth).mean() > 0.7
+
+
+def test_quality_adds_up_over_tasks(spark):
+    """Any dealing of the rows gives the same scores."""
+    rng = random.Random(3)
+    rows = [(k, " ".join(rng.choice(("good", "fine", "$$$", "!!!")) if k % 3 else rng.choice(("$$$", "!!!", "A1")) for _ in range(20))) for k in range(200)]
+    labels = spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(0, 200, 2)], "doc_id long, quality int")
+    one, two = ({r["doc_id"]: r["score"] for r in collected(quality.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(n), labels))} for n in (1, 5))
+    assert max(abs(one[k] - two[k]) for k in one) < 1e-6
+
+
 # 4: near duplicates
 
 
