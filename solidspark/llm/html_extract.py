@@ -4,7 +4,8 @@ contiguous run of blocks is the content region.
 Weights come from labelled pages: those that mark their content with one ``article`` or ``main`` element (or
 an element of the class or role for it). Over them, the words under every context (an enclosing tag, a class or
 id word of an enclosing element, being a link) are counted inside and outside the content, and so are the
-tags; a weight is the log ratio of the two, smoothed, starting from the fixed list of names below. A page's
+tags; a weight is the log ratio of the two, smoothed, starting from the fixed list of names below. Names that are
+not on the lists are counted under a hash, of bounded range; none is left out. A page's
 words get the sum of the weights of their contexts, cut off at both ends; a tag costs its own weight. One
 linear scan finds the run of blocks with the largest sum; blocks in it whose words score negative (a menu
 or an advert inside the article) are left out.
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
@@ -65,6 +67,16 @@ PRIOR_WORDS, MOST, STRUCTURE = 50.0, 3.0, 0.75
 PARTS = 4.0
 
 
+#: Names of features that are counted by themselves; all others under a hash, so that the counts have a bounded size.
+BUCKETS = 1 << 18
+NAMED = {"link", "all"} | {f"{kind} {t}" for kind in ("tag", "open") for t in RAW | VOID | INLINE | ALONE | NOT_CONTENT_TAGS | CONTENT_TAGS | {"html", "body", "div", "section", "ul", "ol", "dl", "table", "blockquote", "figure"}}
+NAMED |= {f"word {w}" for w in NOT_CONTENT_WORDS | CONTENT_WORDS}
+
+
+def key_of(feature: str) -> str:
+    return feature if feature in NAMED else f"#{zlib.crc32(feature.encode()) % BUCKETS}"
+
+
 class Block:
     __slots__ = ("banned", "bans", "contexts", "labelled", "links", "tags", "text", "words")
 
@@ -198,9 +210,14 @@ def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 to["all"] += b.words
                 for t, k in b.tags.items():
                     to["open " + t] += k
-    keys = sorted(set(inside) | set(outside))
-    if keys:
-        yield pd.DataFrame({"feature": keys, "inside": [float(inside[k]) for k in keys], "outside": [float(outside[k]) for k in keys]})
+    sums: dict[str, list[float]] = {}
+    for feature in set(inside) | set(outside):
+        row = sums.setdefault(key_of(feature), [0.0, 0.0])
+        row[0] += inside[feature]
+        row[1] += outside[feature]
+    if sums:
+        keys = sorted(sums)
+        yield pd.DataFrame({"feature": keys, "inside": [sums[k][0] for k in keys], "outside": [sums[k][1] for k in keys]})
 
 
 def _prior(feature: str) -> tuple[float, float]:
@@ -224,7 +241,7 @@ class Weights:
 
     def of(self, feature: str) -> float:
         if feature not in self.known:
-            (i, o), (pi, po) = self.counts.get(feature, (0.0, 0.0)), _prior(feature)
+            (i, o), (pi, po) = self.counts.get(key_of(feature), (0.0, 0.0)), _prior(feature)
             # shares of the words inside and outside that stand in this context
             w = math.log((i + pi) / (self.total[0] + pi)) - math.log((o + po) / (self.total[1] + po)) if i + o else math.log(pi / po)
             kind, _, name = feature.partition(" ")
@@ -241,7 +258,7 @@ class Weights:
 
     def tag(self, name: str) -> float:
         """What a tag costs: more, the likelier it stands outside; inline tags less."""
-        i, o = self.counts.get("open " + name, (0.0, 0.0))
+        i, o = self.counts.get(key_of("open " + name), (0.0, 0.0))
         return (0.1 + 0.9 * (o + 2) / (i + o + 4)) * (0.3 if name in INLINE else 1.0)
 
 
@@ -276,12 +293,11 @@ def main_text(html: str, weights: Weights) -> str:
     return "\n".join(b.text for b, k in zip(blocks[a:z], kept[a:z], strict=True) if k)
 
 
-def learn(pages: DataFrame, html_col: str = "html", most: int = 20_000) -> Weights:
-    """Weights from the labelled ones of ``pages``; the ``most`` commonest features have one."""
+def learn(pages: DataFrame, html_col: str = "html") -> Weights:
+    """Weights from the labelled ones of ``pages``: every feature has one, under at most BUCKETS and a few hundred keys."""
     counted = pages.select(F.col(html_col).alias("html")).mapInPandas(_counts, "feature string, inside double, outside double")
     total = counted.groupBy("feature").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-    rows = total.orderBy(F.desc(F.col("inside") + F.col("outside")), "feature").limit(most).collect()
-    return Weights({r.feature: (r.inside, r.outside) for r in rows})
+    return Weights({r.feature: (r.inside, r.outside) for r in total.collect()})
 
 
 def extract(pages: DataFrame, weights: Weights | None = None, html_col: str = "html") -> DataFrame:

@@ -629,6 +629,37 @@ def test_html_names_do_not_take_content(spark):
     assert "Buy now" not in by[0]
 
 
+def site_page(rng, marked):
+    """A page of one site's template, whose names say nothing by themselves; and its article."""
+    say = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(n)).capitalize() + "."
+    article = [say(rng.randint(12, 40)) for _ in range(rng.randint(2, 6))]
+    body = "".join(f"<p>{x}</p>" for x in article)
+    body = f"<article>{body}</article>" if marked else body
+    around = lambda name: f"<div class='{name}'><p>{say(rng.randint(8, 25))}</p><p>{say(14)}</p></div>"
+    return f"<html><body>{around('zq1')}{around('zq2')}<div class='kx7'>{body}</div>{around('zq3')}</body></html>", "\n".join(article)
+
+
+def test_weights_learnt_from_marked_pages_find_unmarked_content(spark):
+    rng = random.Random(21)
+    train, test = [site_page(rng, True) for _ in range(60)], [site_page(rng, False) for _ in range(60)]
+    table = spark.createDataFrame([(k, "u", h) for k, (h, _) in enumerate(train + test)], "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in collected(html_extract.extract(table))}
+    assert all(got[k] == t for k, (_, t) in enumerate(train))
+    right = [got[60 + k] == t for k, (_, t) in enumerate(test)]
+    assert sum(right) >= 0.95 * len(right)
+    untaught = html_extract.Weights({})
+    assert sum(html_extract.main_text(h, untaught) == t for h, t in test) <= 0.1 * len(test)
+
+
+def test_html_long_pages_and_clashing_columns(spark):
+    body = "".join(f"<p>paragraph {k} of a very long article with some words</p>" for k in range(20_000))
+    page = f"<body><nav>Home</nav><article>{body}</article><footer>end</footer></body>"
+    table = spark.createDataFrame([(1, "u", page), (2, None, "<" * 5000 + "a" * 100_000)], "page_id long, url string, html string").withColumns({"text": F.lit(1), "n_chars": F.lit("x"), "feature": F.lit(0)})
+    got = {r["page_id"]: r for r in collected(html_extract.extract(table))}
+    assert got[1]["text"].count("\n") == 19_999 and got[1]["n_chars"] == len(got[1]["text"])
+    assert got[2]["text"].endswith("a" * 100_000)
+
+
 def test_best_run():
     rng = random.Random(0)
     for _ in range(50):
