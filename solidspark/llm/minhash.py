@@ -46,7 +46,7 @@ BINS, ROWS, SHINGLE = 128, 4, 5
 #: Members confirmed against one copy of their centre's set in one task.
 CHUNK = 64
 #: Sizes in one class of the residual search differ by less than this factor; documents in one of its arrays, about.
-SIZE_STEP, MEMBERS = 1.1, 500
+SIZE_STEP, MEMBERS = 1.05, 500
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -169,23 +169,26 @@ def _tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for low in range(0, len(frame), 200):
             part = frame.iloc[low : low + 200]
             each = [np.frombuffer(x, np.int64) for x in part["shingles"]]
-            yield pd.DataFrame({"rep": np.repeat(part["rep"].to_numpy(), [len(x) for x in each]), "token": np.concatenate(each)})
+            sizes = [len(x) for x in each]
+            yield pd.DataFrame({"rep": np.repeat(part["rep"].to_numpy(), sizes), "component": np.repeat(part["component"].to_numpy(), sizes), "token": np.concatenate(each)})
 
 
 def _prefixes(left: DataFrame, sets: DataFrame) -> DataFrame:
-    """(token, lo, hi, own, component, members): the documents that a token may link with those of another size.
+    """(token, lo, hi, own, component, n, at, members): the documents that a token may link with those of another size.
 
-    left: (rep, n, component). Tokens have one order for all documents, the rarest first. The first token that two
+    left: (rep, n, component). Tokens have one order for all documents, those of the fewest components first. The first token that two
     sets share, at place p of n and q of m, leaves at most min(n - p, m - q) + 1 to share, and 3/7 (n + m) are needed; so for
     each class of the partner's size (a factor of ``SIZE_STEP``) only the first tokens of a set count, and the
     fewer the larger the partner is. A document stands under (token, the smaller and the larger of the two
     classes). Where all documents there are of one component nothing is left to link."""
-    tokens = stage(left.select("rep", "n", "component").join(sets, "rep").select("rep", "shingles").mapInPandas(_tokens, "rep long, token long"), "mh-tokens")
-    rare = stage(tokens.groupBy("token").agg(F.count("*").alias("df")), "mh-rare")
+    tokens = left.join(sets, "rep").select("rep", "component", "shingles").mapInPandas(_tokens, "rep long, component long, token long")
+    tokens = stage(tokens, "mh-tokens")
+    of_one = tokens.groupBy("token", "component").agg(F.count("*").alias("df"))
+    rare = stage(of_one.groupBy("token").agg(F.count("*").alias("cf"), F.sum("df").alias("df")), "mh-rare")
     own = join_heavy(tokens, rare, "token", heavy_keys(rare, tokens.count(), "token", "df"))
     n = F.col("n")
-    # the longest prefix is that for the smallest partner; a token of one document links nothing
-    ordered = own.join(left, "rep").withColumn("at", F.row_number().over(Window.partitionBy("rep").orderBy("df", "token"))).where(4 * (n - F.col("at") + 1) >= 3 * n).where("df > 1")
+    # the longest prefix is that for the smallest partner; a token of one component links nothing more
+    ordered = own.drop("component").join(left, "rep").withColumn("at", F.row_number().over(Window.partitionBy("rep").orderBy("cf", "df", "token"))).where(4 * (n - F.col("at") + 1) >= 3 * n).where("cf > 1")
     class_of = lambda x: F.floor(F.log(x.cast("double")) / math.log(SIZE_STEP) + 1e-9).cast("int")
     smallest = lambda c: F.greatest(F.pow(F.lit(SIZE_STEP), c) * (1 - 1e-6), n * 0.75)
     reach = lambda c: 7 * (n - F.col("at") + 1) >= 3 * (n + smallest(c)) - 1e-6
@@ -193,28 +196,29 @@ def _prefixes(left: DataFrame, sets: DataFrame) -> DataFrame:
     keyed = ordered.withColumn("own", class_of(n)).select("token", "rep", "n", "at", "component", "df", "own", F.explode(partners).alias("other"))
     keyed = keyed.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other"), "salt": F.pmod(F.xxhash64("rep"), F.ceil(F.col("df") / MEMBERS))})
     # arrays of about MEMBERS at most: a token's documents are dealt by the salt
-    blocks = keyed.groupBy("token", "lo", "hi", "own", "component", "salt").agg(F.collect_list(F.struct("rep", "n", "at")).alias("members"))
-    blocks = stage(blocks, "mh-prefixes")
+    alike = ["token", "lo", "hi", "own", "component", "n", "at"]
+    blocks = stage(keyed.groupBy(*alike, "salt").agg(F.collect_list("rep").alias("members")).drop("salt"), "mh-prefixes")
     several = blocks.groupBy("token", "lo", "hi").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token", "lo", "hi")
-    return stage(blocks.join(several, ["token", "lo", "hi"], "left_semi").drop("salt"), "mh-several")
+    return stage(blocks.join(several, ["token", "lo", "hi"], "left_semi"), "mh-several")
 
 
 def _meetings(blocks: DataFrame) -> DataFrame:
-    """(rep, n, at, member, mn, mat): documents of different components that meet in a token."""
+    """(rep, member): documents of different components that meet in a token and may be similar enough.
+
+    Sizes and places are those of a whole block, so a pair that cannot be is not made."""
     key = ["token", "lo", "hi"]
-    a = blocks.where("own = lo").select(*key, "component", F.col("members").alias("xs"))
-    b = blocks.where("own = hi").select(*key, F.col("component").alias("other"), F.col("members").alias("ys"))
+    a = blocks.where("own = lo").select(*key, "component", "n", "at", F.col("members").alias("xs"))
+    b = blocks.where("own = hi").select(*key, F.col("component").alias("other"), F.col("n").alias("mn"), F.col("at").alias("mat"), F.col("members").alias("ys"))
     # within one class of sizes both orders meet: one is enough
-    met = a.join(b, key).where((F.col("component") < F.col("other")) | ((F.col("lo") < F.col("hi")) & (F.col("component") != F.col("other"))))
-    pairs = met.select("ys", F.explode("xs").alias("x")).select("x", F.explode("ys").alias("y"))
-    return pairs.select("x.rep", "x.n", "x.at", F.col("y.rep").alias("member"), F.col("y.n").alias("mn"), F.col("y.at").alias("mat"))
+    apart = (F.col("component") < F.col("other")) | ((F.col("lo") < F.col("hi")) & (F.col("component") != F.col("other")))
+    enough = 7 * (F.least(F.col("n") - F.col("at"), F.col("mn") - F.col("mat")) + 1) >= 3 * (F.col("n") + F.col("mn"))
+    met = a.join(b, key).where(apart & enough & _fits(F.col("n"), F.col("mn")))
+    return met.select("ys", F.explode("xs").alias("rep")).select("rep", F.explode("ys").alias("member"))
 
 
 def _prefix_pairs(left: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (centre, member) of different components that may be similar enough; misses none (see ``_prefixes``)."""
-    enough = 7 * (F.least(F.col("n") - F.col("at"), F.col("mn") - F.col("mat")) + 1) >= 3 * (F.col("n") + F.col("mn"))
-    near = _meetings(_prefixes(left, sets)).where(_fits(F.col("n"), F.col("mn")) & enough)
-    return near.select(F.least("rep", "member").alias("centre"), F.greatest("rep", "member").alias("member")).distinct()
+    return _meetings(_prefixes(left, sets)).select(F.least("rep", "member").alias("centre"), F.greatest("rep", "member").alias("member")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
