@@ -3,6 +3,8 @@ changed in place but the model's own references to its tables."""
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,22 @@ from solidspark.schema import ALL_TYPES, TABLES
 from solidspark.sources.files import save_tables
 
 
+def recorded(operation):
+    """The operation, with its outcome kept as the model's last error."""
+
+    @wraps(operation)
+    def run(self, *args, **kw):
+        try:
+            out = operation(self, *args, **kw)
+        except SolidError as e:
+            self.error.set(e.code, str(e))
+            raise
+        self.error.set(ErrorCode.SUCCESS)
+        return out
+
+    return run
+
+
 class Model:
     def __init__(self, spark: SparkSession, model_id: str = "model", tables: dict[str, DataFrame] | None = None):
         self.spark, self.model_id, self.error = spark, model_id, LastError()
@@ -36,61 +54,117 @@ class Model:
     def get_entities(self, group_id: int | None = None, dim: int = ALL_TYPES) -> DataFrame:
         return entities.in_set(self["entity"], self["group_member"], group_id, dim)
 
+    @recorded
     def num_of_type(self, dim: int, group_id: int | None = None) -> int:
-        """All types together leave volumes to their bodies where the model has bodies."""
-        entities.check_type(dim, ErrorCode.BAD_TYPE_AND_TOPO)
-        return self.get_entities(group_id, dim).count()
+        """Of the model: regions are bodies. Of a group: its entities, and bodies as regions; groups in it do not count."""
+        if group_id is None:
+            entities.check_type(dim, ErrorCode.BAD_TYPE_AND_TOPO)
+            found = entities.num_of_type_bodies(self["entity"], self["body_volume"]).where(F.col("dim") == dim).first()
+            return found.n if found else 0
+        own = self["group_member"].where(F.col("group_id") == group_id)
+        items = own.join(self["entity"].select(F.col("ent_id").alias("member_id"), "dim"), "member_id", "left").select(F.col("member_kind").alias("kind"), "dim")
+        return entities.count_in_list(items, dim).first().n
+
+    @recorded
+    def bounding_box(self, ent_id: int):
+        """The box of an entity's mesh vertices; of a body, that of its volumes'."""
+        owners = self["body_volume"].where(F.col("body_id") == ent_id).select(F.col("volume_id").alias("owner_id")).union(self.spark.createDataFrame([(ent_id,)], "owner_id long"))
+        box = entities.bounding_boxes(self["mesh_vertex"].join(owners, "owner_id", "left_semi")).first()
+        if box.min_x is None:
+            raise SolidError(ErrorCode.INVALID_ENTITY_HANDLE)
+        return box
 
     def bounding_boxes(self) -> DataFrame:
         return entities.bounding_boxes(self["mesh_vertex"], "owner_id")
 
+    @recorded
     def create_set(self, names: list[str] | None = None) -> int:
         self.tables["ent_group"], new = sets.create_set(self["ent_group"], names)
         return new
 
+    @recorded
     def add_to_set(self, ent_id: int | None, group_id: int) -> None:
         self.tables["group_member"] = sets.add_to_set(self["group_member"], group_id, ent_id)
 
+    @recorded
     def copy(self, ids: DataFrame) -> None:
         self.tables["entity"] = entities.copy(self["entity"], ids)
 
+    @recorded
     def delete(self, ids: DataFrame) -> None:
-        self.tables["entity"] = entities.delete(self["entity"], ids, self["body_volume"])
-
+        """The entities go with their links, memberships and tags."""
+        left = entities.delete(self["entity"], ids, self["body_volume"])
+        gone = self["entity"].select("ent_id").join(left.select("ent_id"), "ent_id", "left_anti")
+        without = lambda name, key: self[name].join(gone.withColumnRenamed("ent_id", key), key, "left_anti").select(*self[name].columns)
+        member = self["group_member"].join(gone.select(F.col("ent_id").alias("member_id"), F.lit("entity").alias("member_kind")), ["member_id", "member_kind"], "left_anti").select(*self["group_member"].columns)
+        cut = {"topology": without("topology", "parent_id").join(gone.withColumnRenamed("ent_id", "child_id"), "child_id", "left_anti").select(*self["topology"].columns)}
+        cut |= {"entity": left, "group_member": member, "tag_value": without("tag_value", "ent_id"), "body_volume": without("body_volume", "volume_id")}
+        self.tables |= cut
+
+    @recorded
     def create_tag(self, name: str, length: int, value_type: str, default: bytes | None = None) -> int:
         self.tables["tag_def"], handle = tags.create_tag(self["tag_def"], name, length, value_type, default)
         return handle
 
-    def set_data(self, ent_id: int, handle: int, value: bytes) -> None:
-        if -1 > handle:
+    def _write(self, table: str, owner: int, handle: int, value: bytes) -> None:
+        if handle < -1:
             raise SolidError(ErrorCode.NOT_SUPPORTED)
-        seq = (self["tag_value"].agg(F.max("seq")).first()[0] or 0) + 1
-        row = self.spark.createDataFrame([(ent_id, handle, value, seq)], TABLES["tag_value"])
-        self.tables["tag_value"] = self["tag_value"].unionByName(row)
+        if not self["tag_def"].where(F.col("is_active") & (F.col("handle") == handle)).limit(1).count():
+            raise SolidError(ErrorCode.INVALID_TAG_HANDLE)
+        seq = (self[table].agg(F.max("seq")).first()[0] or 0) + 1
+        row = self.spark.createDataFrame([(owner, handle, value, seq)], TABLES[table])
+        self.tables[table] = self[table].unionByName(row)
+
+    @recorded
+    def set_data(self, ent_id: int, handle: int, value: bytes) -> None:
+        self._write("tag_value", ent_id, handle, value)
+
+    @recorded
+    def set_set_data(self, group_id: int, handle: int, value: bytes) -> None:
+        """A value on a set."""
+        self._write("set_tag_value", group_id, handle, value)
+
+    def set_values(self) -> DataFrame:
+        """(group_id, handle, value) of the sets."""
+        return tags.upsert(self["set_tag_value"], "seq", keys=("group_id",))
 
     def data(self) -> DataFrame:
         return tags.get_data(tags.upsert(self["tag_value"], "seq"), self["tag_def"])
 
+    def surface_vertices(self) -> DataFrame:
+        """(surface_id, vh, x, y, z): the geometric vertices of each surface, over its curves."""
+        down = lambda dim, parent, child: self["topology"].where(F.col("parent_dim") == dim).select(F.col("parent_id").alias(parent), F.col("child_id").alias(child))
+        links = down(2, "surface_id", "curve_id").join(down(1, "curve_id", "owner_id"), "curve_id").select("surface_id", "owner_id").distinct()
+        return links.join(self["mesh_vertex"], "owner_id").select("surface_id", "vh", "x", "y", "z")
+
+    @recorded
     def export(self, path: str, options: ExportOptions | None = None, resabs: float = 1e-6) -> DataFrame:
-        """Write the model's tables with topology, senses, group names and content, decoded curves and facets, and
-        the file set; returns the faceting report. A side of a surface taken twice fails before anything is written."""
+        """Write the model's tables with topology, senses, group names and content, curves and facets as
+        elements on vertices by handle, the export's tags and the file set; returns the faceting report. A side of a surface taken twice fails before anything is written."""
         o = options or ExportOptions()
         senses = topology.surface_senses(self["sense_use"], strict=True)
         curves = mesh.curve_status(mesh.curve_points(self["curve_points"]), resabs)
         if o.fatal_on_curves and curves.where("status = 'failed'").limit(1).count():
             raise SolidError(ErrorCode.FAILURE, "a curve could not be faceted")
-        vertices, edges = mesh.curve_facets(self["curve_points"], resabs)
-        faces = mesh.facets(self["surface_facets"])
-        if faces.where("bad").limit(1).count():
-            raise SolidError(ErrorCode.FAILURE, "facet index out of range")
+        if mesh.facets(self["surface_facets"]).where("bad").limit(1).count():
+            raise SolidError(ErrorCode.FAILURE, "bad facet list")
+        base = self["mesh_vertex"].agg(F.max("vh")).first()[0] or 0
+        on_curves, edges = mesh.curve_mesh(self["curve_points"], resabs, base)
+        base += self["curve_points"].agg(F.sum(F.greatest(F.size("points") - 2, F.lit(0)))).first()[0] or 0
+        on_surfaces, faces = mesh.surface_mesh(self["surface_facets"], self.surface_vertices(), resabs, base)
+        vertices = self["mesh_vertex"].unionByName(on_curves).unionByName(on_surfaces)
+        edge_base = self["curve_points"].agg(F.sum(F.greatest(F.size("points") - 1, F.lit(0)))).first()[0] or 0
+        elements = edges.select("eh", "owner_id", F.lit("EDGE").alias("type"), "conn").unionByName(faces.withColumn("eh", F.col("eh") + edge_base))
         status = curves.select(F.lit(1).alias("dim"), F.col("status").isin("failed", "skipped").alias("failed"))
         status = status.union(self["surface_facets"].select(F.lit(2), F.coalesce(F.size("facet_list") <= 0, F.lit(True))))
         meta = self.spark.createDataFrame([(self.model_id, o.faceting_tolerance, resabs)], TABLES["model_meta"])
         out = {
             "entity": self["entity"], "topology": self["topology"], "sense": senses, "group_name": sets.group_names(self["ent_group"]),
             "group_extra_name": sets.extra_names(self["ent_group"]), "group_content": sets.group_content(self["group_member"], self["ent_group"], self["entity"], self["body_volume"]),
-            "curve_vertex": vertices, "curve_edge": edges, "facet": faces.drop("bad"), "mesh_vertex": self["mesh_vertex"], "tag_def": self["tag_def"], "tag_value": self["tag_value"],
-            "file_set": entities.file_set((self["entity"], "ent_id"), (self["ent_group"], "group_id"), (self["mesh_vertex"], "vh")), "model_meta": meta,
+            "mesh_vertex": vertices, "mesh_element": elements, "tag_def": self["tag_def"], "tag_value": self["tag_value"], "set_tag_value": self["set_tag_value"],
+            "export_tag": tags.export_tags(self["entity"], sets.group_names(self["ent_group"]), o.faceting_tolerance, resabs),
+            "far_end": mesh.far_ends(self["curve_points"], self["mesh_vertex"], resabs),
+            "file_set": entities.file_set((self["entity"], "ent_id"), (self["ent_group"], "group_id"), (vertices, "vh"), (elements, "eh")), "model_meta": meta,
         }
         save_tables(out, path)
         return mesh.faceting_report(status)

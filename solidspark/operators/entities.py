@@ -48,6 +48,22 @@ def num_of_type_all(entities: DataFrame) -> DataFrame:
     return entities.rollup("dim").agg(F.count("*").alias("n")).select(F.coalesce("dim", F.lit(ALL_TYPES)).alias("dim"), "n")
 
 
+def num_of_type_bodies(entities: DataFrame, body_volume: DataFrame) -> DataFrame:
+    """:func:`num_of_type_all` of a model's root: regions are counted as bodies, whatever their volumes; a volume without a body is one."""
+    volumes = entities.where("dim = 3").select(F.col("ent_id").alias("volume_id")).join(body_volume, "volume_id", "left")
+    bodies = volumes.select(F.when(F.col("body_id").isNull(), F.struct(F.lit("volume").alias("kind"), F.col("volume_id").alias("id"))).otherwise(F.struct(F.lit("body").alias("kind"), F.col("body_id").alias("id"))).alias("b")).distinct()
+    return num_of_type_all(entities.where("dim <> 3").select("dim").union(bodies.select(F.lit(3))))
+
+
+def count_in_list(items: DataFrame, dim: int) -> DataFrame:
+    """One row n: how many of a list (kind: entity, body or group; dim) are of a type. Groups are no entities and do not
+    count among all types; regions are bodies. A bad type is an invalid entity type here."""
+    check_type(dim)
+    kind = F.when(F.col("kind") == "body", 3).when(F.col("kind") == "entity", F.when(F.col("dim") < 3, F.col("dim")))
+    found = F.col("kind") != "group" if dim == ALL_TYPES else F.coalesce(kind == dim, F.lit(False))
+    return items.agg(F.count_if(found).alias("n"))
+
+
 def category(dim: Column) -> Column:
     out = F.lit(CATEGORY_NAMES[4])
     for k, name in enumerate(CATEGORY_NAMES[:4]):

@@ -17,18 +17,40 @@ def curve_points(curves: DataFrame) -> DataFrame:
     return curves.withColumn("points", F.when(F.col("reversed"), F.reverse("points")).otherwise(F.col("points")))
 
 
+def running(counts: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """(key, start): for each whole number ``key``, once each, the sum of ``n`` over the smaller ones.
+
+    Keys are dealt to 256 ranges of equal width, so that no task sees them all."""
+    low, high = counts.agg(F.min(key), F.max(key)).first()
+    width = max(1, -(-((high or 0) - (low or 0) + 1) // 256))
+    dealt = counts.select(key, F.col(n).alias("_n"), F.floor((F.col(key) - F.lit(low or 0)) / F.lit(width)).alias("_r"))
+    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    before = dealt.groupBy("_r").agg(F.sum("_n").alias("_s")).select("_r", F.coalesce(F.sum("_s").over(upto(Window.orderBy("_r"))), F.lit(0)).alias("_before"))  # 256 rows
+    own = F.coalesce(F.sum("_n").over(upto(Window.partitionBy("_r").orderBy(key))), F.lit(0))
+    return dealt.withColumn("_own", own).join(F.broadcast(before), "_r").select(key, (F.col("_before") + F.col("_own")).cast("long").alias("start"))
+
+
+def create_vertices(vertices: DataFrame, base: int = 0) -> DataFrame:
+    """(vh, owner_id, x, y, z): one mesh vertex for each geometric vertex (ent_id, x, y, z), handles in order of the ids."""
+    start = running(vertices.select("ent_id", F.lit(1).alias("n")), "ent_id")
+    return vertices.join(start, "ent_id").select((F.col("start") + base + 1).alias("vh"), F.col("ent_id").alias("owner_id"), "x", "y", "z")
+
+
 def _distance2(a: Column, b: Column) -> Column:
     d = [(a.getField(c) - b.getField(c)) * (a.getField(c) - b.getField(c)) for c in "xyz"]
     return d[0] + d[1] + d[2]
 
 
 def curve_status(curves: DataFrame, resabs: float) -> DataFrame:
-    """``curves`` with ``status``: failed (no points), point (one point, its ends the same and short), skipped (one
-    point otherwise), closed or open; and ``warn``: closed by its points but not by its ends, or the other way."""
+    """``curves`` with ``status``: failed (no points), point (one point, its ends the same and no longer than the tolerance), skipped (one
+    point otherwise), closed or open; and ``warn``: closed by its points but not by its ends, or the other way.
+
+    The length is that of a column ``length``, if there is one."""
+    short = F.col("length") <= F.lit(resabs) if "length" in curves.columns else F.lit(True)
     n, first, last = F.size("points"), F.element_at("points", 1), F.element_at("points", -1)
     near = F.when(n > 0, _distance2(first, last) < F.lit(resabs * resabs)).otherwise(False)
     same = F.col("start_vh") == F.col("end_vh")
-    status = F.when(F.col("points").isNull() | (n == 0), "failed").when((n < 2) & same, "point").when(n < 2, "skipped").when(near, "closed").otherwise("open")
+    status = F.when(F.col("points").isNull() | (n == 0), "failed").when((n < 2) & same & short, "point").when(n < 2, "skipped").when(near, "closed").otherwise("open")
     return curves.withColumns({"status": status, "warn": (n >= 2) & (near != same)})
 
 
@@ -52,6 +74,28 @@ def curve_facets(curves: DataFrame, resabs: float) -> tuple[DataFrame, DataFrame
     return inner.select("curve_id", "ord", "p.x", "p.y", "p.z"), edges.select("curve_id", "e.ord", F.col("e.a.kind").alias("a_kind"), F.col("e.a.v").alias("a"), F.col("e.b.kind").alias("b_kind"), F.col("e.b.v").alias("b"))
 
 
+def far_ends(curves: DataFrame, vertices: DataFrame, resabs: float) -> DataFrame:
+    """(curve_id) of curves whose first or last point is farther than the tolerance from its vertex (vh, x, y, z): what an export warns of."""
+    end = lambda name, k: curves.where(F.size("points") > 1).select("curve_id", F.col(name).alias("vh"), F.element_at("points", k).alias("p"))
+    ends = end("start_vh", 1).union(end("end_vh", -1)).join(vertices.select("vh", F.struct("x", "y", "z").alias("v")), "vh")
+    return ends.where(_distance2(F.col("p"), F.col("v")) > F.lit(resabs * resabs)).select("curve_id").distinct()
+
+
+def curve_mesh(curves: DataFrame, resabs: float, base: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Of :func:`curve_facets`: new vertices (vh, owner_id, x, y, z) and edges (eh, owner_id, conn), all by handles.
+
+    New handles follow ``base``, in order of curve and place; those of edges count from 1 likewise."""
+    inner, edges = curve_facets(curves, resabs)
+    sizes = curve_status(curves, resabs).where(F.col("status").isin("open", "closed")).select("curve_id", F.size("points").alias("n"))
+    start = running(sizes.select("curve_id", (F.col("n") - 2).alias("n")), "curve_id")
+    handle = lambda k: F.lit(base) + F.col("start") + k
+    vertices = inner.join(start, "curve_id").select(handle(F.col("ord")).alias("vh"), F.col("curve_id").alias("owner_id"), "x", "y", "z")
+    first = running(sizes.select("curve_id", (F.col("n") - 1).alias("n")), "curve_id").withColumnRenamed("start", "first")
+    end = lambda side: F.when(F.col(f"{side}_kind") == "g", F.col(side)).otherwise(handle(F.col(side)))
+    linked = edges.join(start, "curve_id").join(first, "curve_id")
+    return vertices, linked.select((F.col("first") + F.col("ord") + 1).alias("eh"), F.col("curve_id").alias("owner_id"), F.array(end("a"), end("b")).alias("conn"))
+
+
 def facet_type(n: Column) -> Column:
     return F.when(n == 3, "TRI").when(n == 4, "QUAD").otherwise("POLYGON")
 
@@ -71,22 +115,49 @@ def decode(facet_list: str) -> Column:
 
 @F.pandas_udf(ArrayType(ArrayType(IntegerType())))
 def _walk(lists: pd.Series) -> pd.Series:
+    """Facets of mixed lists; one whose count is under 1 or passes the end is null, and the last."""
+
     def one(flat):
-        out, at = [], 0
-        while at < len(flat):
-            n = int(flat[at])
-            out.append(flat[at + 1 : at + 1 + n].tolist())
-            at += 1 + n
+        out, at, size = [], 0, len(flat)
+        while at < size:
+            n = flat[at]
+            if n is None or not 1 <= n <= size - at - 1:
+                out.append(None)
+                break
+            out.append(list(flat[at + 1 : at + 1 + int(n)]))
+            at += 1 + int(n)
         return out
 
     return lists.map(lambda v: None if v is None else one(v))
 
 
 def facets(surfaces: DataFrame) -> DataFrame:
-    """(surface_id, ord, type, conn, bad) of every facet; bad: an index without a point. Winding stays as it is."""
+    """(surface_id, ord, type, conn, bad) of every facet. Winding stays as it is.
+
+    bad: an index without a point, or (then without conn) a count under 1 or past the end of the list."""
     rows = surfaces.select("surface_id", F.size("points").alias("n"), F.posexplode(decode("facet_list")).alias("ord", "conn"))
-    bad = F.exists("conn", lambda i: (i < 0) | (i >= F.col("n")))
-    return rows.select("surface_id", "ord", facet_type(F.size("conn")).alias("type"), "conn", bad.alias("bad"))
+    bad = F.coalesce(F.exists("conn", lambda i: i.isNull() | (i < 0) | (i >= F.col("n"))), F.lit(True))
+    return rows.select("surface_id", "ord", F.when(F.col("conn").isNotNull(), facet_type(F.size("conn"))).alias("type"), "conn", bad.alias("bad"))
+
+
+def surface_mesh(surfaces: DataFrame, vertices: DataFrame, resabs: float, base: int = 0) -> tuple[DataFrame, DataFrame]:
+    """New vertices (vh, owner_id, x, y, z) and elements (eh, owner_id, type, conn) of surfaces, by handles.
+
+    Points that are geometric vertices of their surface (see :func:`match_points`) take their handles; the others get
+    new ones after ``base``, in order of surface and place. Elements count from 1 likewise. Bad facets are left out."""
+    matched = match_points(surfaces, vertices, resabs)
+    points = surfaces.select("surface_id", F.posexplode("points").alias("ord", "p")).join(matched, ["surface_id", "ord"], "left")
+    new = F.sum(F.isnull("vh").cast("long")).over(Window.partitionBy("surface_id").orderBy("ord"))
+    start = running(points.groupBy("surface_id").agg(F.count_if(F.isnull("vh")).alias("n")), "surface_id")
+    handled = points.withColumn("new", new).join(start, "surface_id").select("surface_id", "ord", "p", F.isnull("vh").alias("is_new"), F.coalesce("vh", F.lit(base) + F.col("start") + F.col("new")).alias("vh"))
+    fresh = handled.where("is_new").select("vh", F.col("surface_id").alias("owner_id"), "p.x", "p.y", "p.z")
+    # as long as the surface's own array of points
+    of = handled.groupBy("surface_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "vh"))), lambda v: v.getField("vh")).alias("handles"))
+    good = facets(surfaces).where("not bad")
+    first = running(good.groupBy("surface_id").agg((F.max("ord") + 1).alias("n")), "surface_id").withColumnRenamed("start", "first")
+    out = good.join(of, "surface_id").join(first, "surface_id")
+    conn = F.transform("conn", lambda i: F.get("handles", i))
+    return fresh, out.select((F.col("first") + F.col("ord") + 1).alias("eh"), F.col("surface_id").alias("owner_id"), "type", conn.alias("conn"))
 
 
 def match_points(surfaces: DataFrame, vertices: DataFrame, resabs: float) -> DataFrame:

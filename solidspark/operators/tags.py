@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from solidspark.errors import ErrorCode, SolidError
-from solidspark.schema import PRESET_TAGS, TABLES
+from solidspark.operators.entities import category
+from solidspark.schema import CATEGORY_NAMES, PRESET_TAGS, TABLES
 
 #: Leads the strings of a packed attribute.
 MARKER = "TAGS"
@@ -45,9 +46,10 @@ def preset_status(handle: Column) -> Column:
     return F.when(handle == -1, int(ErrorCode.SUCCESS)).when(handle < 0, int(ErrorCode.NOT_SUPPORTED)).otherwise(int(ErrorCode.SUCCESS))
 
 
-def upsert(writes: DataFrame, *order: str) -> DataFrame:
-    """(ent_id, handle, value) after all writes: the last in ``order`` wins."""
-    return writes.groupBy("ent_id", "handle").agg(F.max_by("value", F.struct(*order)).alias("value"))
+def upsert(writes: DataFrame, *order: str, keys: tuple[str, ...] = ("ent_id",)) -> DataFrame:
+    """(ent_id, handle, value) after all writes: the last in ``order`` wins. ``keys`` names what a value hangs on: an
+    entity, or a set (group_id)."""
+    return writes.groupBy(*keys, "handle").agg(F.max_by("value", F.struct(*order)).alias("value"))
 
 
 def set_array(targets: DataFrame, handle: int, length: int, values: str = "values", ids: str = "ent_ids", null_entity: int = 0) -> DataFrame:
@@ -62,6 +64,25 @@ def clear(values: DataFrame, ids: DataFrame) -> DataFrame:
     return values.join(ids.select("ent_id").distinct(), "ent_id", "left_anti")
 
 
+def attributes(entities: DataFrame, values: DataFrame) -> DataFrame:
+    """(ent_id, n_tags) of every entity: its attribute, made empty where it has none."""
+    n = values.groupBy("ent_id").agg(F.count("*").alias("n_tags"))
+    return entities.select("ent_id").distinct().join(n, "ent_id", "left").select("ent_id", F.coalesce("n_tags", F.lit(0)).alias("n_tags"))
+
+
+def export_tags(entities: DataFrame, group_names: DataFrame, faceting_tol: float, resabs: float, file_set: int = 0) -> DataFrame:
+    """(handle, GEOM_DIMENSION, GLOBAL_ID, CATEGORY, NAME, FACETING_TOL, GEOMETRY_RESABS): the tags of an export.
+
+    entities: (ent_id, dim, global_id); group_names: (group_id, name). Groups have dimension 4; the tolerances
+    hang on the file set alone. What a set has no value for is null."""
+    none = lambda kind: F.lit(None).cast(kind)
+    row = lambda handle, dim, ident, category, name, tol=None, res=None: [handle.cast("long").alias("handle"), dim.cast("int").alias("GEOM_DIMENSION"), ident.cast("int").alias("GLOBAL_ID"), category.alias("CATEGORY"), name.alias("NAME"),
+                                                                          F.lit(tol).cast("double").alias("FACETING_TOL"), F.lit(res).cast("double").alias("GEOMETRY_RESABS")]
+    out = entities.select(*row(F.col("ent_id"), F.col("dim"), F.col("global_id"), category(F.col("dim")), none("string")))
+    out = out.unionByName(group_names.select(*row(F.col("group_id"), F.lit(4), F.col("group_id"), F.lit(CATEGORY_NAMES[4]), F.col("name"))))
+    return out.unionByName(entities.sparkSession.range(1).select(*row(F.lit(file_set), none("int"), none("int"), none("string"), none("string"), faceting_tol, resabs)))
+
+
 def with_values(values: DataFrame) -> DataFrame:
     """Entities that still have an attribute."""
     return values.groupBy("ent_id").agg(F.count("*").alias("n")).where("n > 0").select("ent_id")

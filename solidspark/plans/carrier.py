@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from solidspark import errors
 from solidspark.functions import affine
 from solidspark.functions.solid import Brick, Cone, Cylinder, Solid, Sphere, Torus, signed_distance
 from solidspark.operators import entities, mesh, sets, tags, topology
@@ -92,18 +93,59 @@ def query(sql: str | None = None):
     return keep
 
 
-@query(f"with {POINTS}, r as (select 25 * (x * x + y * y + z * z) r2 from points) select (case when r2 < 1 then 1 when r2 < 4 and r2 > 1 then 2 when r2 > 4 then 3 end)::int cell, count(*) n from r group by 1")
+#: A deck of our own: a shell around a ball, and what lies outside.
+DECK = """Ball, shell and the rest
+c cells: id, material, density, region
+10 3 -7.8 -1 imp:p=2
+20 4 -0.9 -2 1 $ the shell
+     imp:p=1
+30 0 2 imp:p=0
+
+1 so 0.75
+2 so 1.5
+
+m3 26056 1.0
+m4 1001 0.25 6012 0.75
+mode p
+"""
+
+
+@query(f"with {POINTS}, r as (select 25 * (x * x + y * y + z * z) r2 from points) select (case when r2 < 0.5625 then 10 when r2 < 2.25 and r2 > 0.5625 then 20 when r2 > 2.25 then 30 end)::int cell, count(*) n from r group by 1")
 def csg_cells(m: Carrier) -> DataFrame:
-    """Cells of the sample deck over points, five times as far out: the flagship."""
-    cell_rows = [_Row(cell_id=k, region=r) for k, r in ((1, ["-1"]), (2, ["-2", "1"]), (3, ["2"]))]
-    surface_rows = [_Row(surface_id=1, mnemonic="so", params=[1.0]), _Row(surface_id=2, mnemonic="so", params=[2.0])]
+    """Cells of a deck, read from its text, over points, five times as far out: the flagship."""
+    cards = deck.cards_of(m.spark.createDataFrame([("own", DECK)], "deck string, value string"))
+    cell_rows, surface_rows = deck.cells(cards).orderBy("cell_id").collect(), deck.surfaces(cards).collect()  # one deck of a few cards
     x, y, z = (F.col(c) * 5 for c in "xyz")
     return m.points().groupBy(deck.cell_of(x, y, z, cell_rows, surface_rows).alias("cell")).agg(F.count("*").alias("n"))
 
 
-class _Row:
-    def __init__(self, **kw):
-        self.__dict__.update(kw)
+def _decks(m: Carrier) -> DataFrame:
+    """A deck for each part: two cells and a sphere, with comments and a continued line."""
+    size, key = F.col("p_size").cast("string"), F.col("p_partkey").cast("string")
+    text = F.concat(F.lit("part "), key, F.lit("\nc note\n1 0 -7 $ inside\n"), F.lit("2 "), size, F.lit(" -1.5 7\n     imp:n="), size, F.lit("\n\n7 SO "), size, F.lit("\n\nM"), size, F.lit(" 1001 0.5 8016 0.5\nNPS "), key, F.lit("\n"))
+    return m.t("part").select(key.alias("deck"), text.alias("value"))
+
+
+@query("""select p_partkey::varchar deck, 1 cell_id, 0 material_id, null::double density, '-7' region, '' imp from part
+    union all select p_partkey::varchar, 2, p_size::int, -1.5, '7', p_size::varchar from part""")
+def deck_cells(m):
+    found = deck.cells(deck.cards_of(_decks(m)))
+    return found.select("deck", "cell_id", "material_id", "density", F.array_join("region", " ").alias("region"), F.coalesce(F.try_element_at("params", F.lit("imp:n")), F.lit("")).alias("imp"))
+
+
+@query("select p_partkey::varchar deck, 7 surface_id, 'so' mnemonic, p_size::double radius from part")
+def deck_surfaces(m):
+    return deck.surfaces(deck.cards_of(_decks(m))).select("deck", "surface_id", "mnemonic", F.get("params", F.lit(0)).alias("radius"))
+
+
+@query("select p_partkey::varchar deck, p_size::int material_id, o::int ord, z::int zaid, 0.5::double fraction from part, (values (0, 1001), (1, 8016)) v(o, z)")
+def deck_materials(m):
+    return deck.materials(deck.cards_of(_decks(m)))
+
+
+@query("select p_partkey::varchar deck, 1 ord, 'nps' keyword, p_partkey::varchar args from part")
+def deck_params(m):
+    return deck.params(deck.cards_of(_decks(m))).select("deck", "ord", "keyword", F.array_join("args", " ").alias("args"))
 
 
 @query(f"with {ENTITY} select dim::int dim, count(*) n from entity group by 1")
@@ -186,18 +228,17 @@ def tag_preset_status(m):
 @query("""with last as (select user_id ent_id, event_type name, arg_max(value, event_id) v from events group by 1, 2),
     h as (select name, row_number() over (order by name) handle from (select distinct event_type name from events)),
     t as (select ent_id, name, handle, round(v * 100)::bigint::varchar v from last join h using (name))
-    select ent_id, 'TAGS,' || string_agg(name, ',' order by handle) strings, count(*) n_tags, string_agg(length(v)::varchar, ',' order by handle) lengths from t group by 1""")
+    select ent_id, 'TAGS,' || string_agg(name, ',' order by handle) strings, count(*) n_tags, string_agg(name || '=' || hex(v), ',' order by name) as values from t group by 1""")
 def tag_pack(m):
-    listed = [r.name for r in m.t("events").select(F.col("event_type").alias("name")).distinct().orderBy("name").collect()]  # event types: a handful of names, as a registry's
-    handle = F.lit(0)
-    for k, name in enumerate(listed):
-        handle = F.when(F.col("handle") == name, k + 1).otherwise(handle)
-    values = tags.upsert(m.writes(), "seq").select("ent_id", handle.alias("handle"), F.round(F.col("value") * 100).cast("long").cast("string").cast("binary").alias("value"))
-    registry = m.spark.createDataFrame([(k + 1, n) for k, n in enumerate(listed)], "handle int, name string")
+    """Packed, and unpacked again: the values as they come back."""
+    names = m.t("events").select(F.col("event_type").alias("name")).distinct()  # a registry: a few names
+    registry = names.select(F.row_number().over(Window.orderBy("name")).alias("handle"), "name")
+    last = tags.upsert(m.writes(), "seq").withColumnRenamed("handle", "name").join(F.broadcast(registry), "name")
+    values = last.select("ent_id", "handle", F.round(F.col("value") * 100).cast("long").cast("string").cast("binary").alias("value"))
     packed = tags.pack(values, registry)
-    back = tags.unpack(packed).groupBy("ent_id").agg(F.array_sort(F.collect_list(F.struct("name", F.octet_length("value").alias("n")))).alias("ts"))
-    lengths = F.array_join(F.transform("ts", lambda t: t.getField("n").cast("string")), ",")
-    return packed.join(back, "ent_id").select("ent_id", F.array_join("strings", ",").alias("strings"), F.get("ints", F.lit(0)).cast("long").alias("n_tags"), lengths.alias("lengths"))
+    shown = F.concat("name", F.lit("="), F.hex("value"))
+    back = tags.unpack(packed).groupBy("ent_id").agg(F.array_join(F.array_sort(F.collect_list(shown)), ",").alias("values"), F.count("*").alias("n_tags"))
+    return packed.select("ent_id", F.array_join("strings", ",").alias("strings")).join(back, "ent_id")
 
 
 @query(f"with {GROUPS} select group_id, substr(names[1], 1, 31) as name, length(names[1]) > 31 truncated from ent_group where len(names) > 0")
@@ -300,11 +341,11 @@ def facet_types(m):
     return m.conn().select("eh", mesh.facet_type(F.size("conn")).alias("type"))
 
 
-@query(f"""with {CONN}, s as (select eh % 100 surface_id, eh, c from conn), o as (select *, row_number() over (partition by surface_id order by eh) - 1 ord from s)
+@query(f"""with {CONN}, s as (select eh // 100 surface_id, eh, c from conn), o as (select *, row_number() over (partition by surface_id order by eh) - 1 ord from s)
     select surface_id, ord::int ord, case len(c) when 3 then 'TRI' when 4 then 'QUAD' else 'POLYGON' end as type, array_to_string(list_transform(c, lambda v: v % 64), ',') conn from o""")
 def facet_decode(m):
     flat = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("eh", "conn"))), lambda s: F.concat(F.array(F.size(s.getField("conn"))), F.transform(s.getField("conn"), lambda v: (v % 64).cast("int")))))
-    lists = m.conn().groupBy((F.col("eh") % 100).alias("surface_id")).agg(flat.alias("facet_list"))
+    lists = m.conn().groupBy(F.floor(F.col("eh") / 100).alias("surface_id")).agg(flat.alias("facet_list"))
     point = F.struct(*[F.lit(0.0).alias(c) for c in "xyz"])
     found = mesh.facets(lists.withColumn("points", F.array_repeat(point, 64)))
     return found.select("surface_id", "ord", "type", F.array_join(F.col("conn").cast("array<string>"), ",").alias("conn"))
@@ -366,6 +407,211 @@ def option_tokens(m):
     return t.select("p_partkey", F.size("t").cast("long").alias("n_tokens"), first.alias("first"), files.match_option(first, "TYPE").alias("type_value"))
 
 
+BODIES = f"bodies as (select (r_regionkey - r_regionkey % 2)::bigint + {10**15} body_id, r_regionkey::bigint volume_id from region where r_regionkey < 4)"
+
+
+def _bodies(m: Carrier) -> DataFrame:
+    """Two volumes a body; the last region has none."""
+    key = F.col("r_regionkey").cast("long")
+    return m.t("region").where("r_regionkey < 4").select((key - key % 2 + 10**15).alias("body_id"), key.alias("volume_id"))
+
+
+@query(f"""with {ENTITY}, {BODIES}, all_of as (select dim from entity where dim <> 3 union all select 3 from (select distinct coalesce(body_id, ent_id) from entity left join bodies on ent_id = volume_id where dim = 3))
+    select coalesce(dim, 4)::int dim, count(*) n from all_of group by rollup(dim)""")
+def num_of_type_bodies(m):
+    return entities.num_of_type_bodies(m.entity(), _bodies(m))
+
+
+@query(f"with {ENTITY} select d::int dim, (select count(*) from entity where dim < 3 and (d = 4 or dim = d)) + case when d in (3, 4) then (select count(distinct r_regionkey // 2) from region) else 0 end n from range(5) t(d)")
+def count_in_list(m):
+    """A list of all but the volumes, of bodies, and of groups, which do not count."""
+    own = m.entity().where("dim < 3").select(F.lit("entity").alias("kind"), "dim")
+    more = m.t("region").select(F.floor(F.col("r_regionkey") / 2).alias("b")).distinct().select(F.lit("body").alias("kind"), F.lit(None).cast("int").alias("dim"))
+    items = own.union(more).union(m.t("customer").select(F.lit("group"), F.lit(None).cast("int")))
+    out = None
+    for dim in range(5):
+        one = entities.count_in_list(items, dim).select(F.lit(dim).alias("dim"), "n")
+        out = one if out is None else out.union(one)
+    return out
+
+
+@query(f"with {ENTITY}, c as (select ent_id, row_number() over (order by ent_id) k from entity where dim = 2) select ent_id, dim::int dim from entity union all select (select max(ent_id) from entity) + k, 2 from c")
+def copy_entities(m):
+    """Copies take ids after the largest; which copy has which does not matter here, for they are alike."""
+    return entities.copy(m.entity(), entities.of_type(m.entity(), 2))
+
+
+@query("select c_custkey group_id, c_name member_name from customer where c_custkey % 3 = 0 union select c_custkey, c_mktsegment from customer where c_custkey % 3 = 0")
+def add_to_set(m):
+    """Members that are added twice are there once."""
+    c = m.t("customer").where("c_custkey % 3 = 0")
+    one, two = c.select(F.col("c_custkey").alias("group_id"), F.col("c_name").alias("member_name")), c.select("c_custkey", "c_mktsegment")
+    return one.union(two).union(one).dropDuplicates(["group_id", "member_name"])
+
+
+@query("select (select max(c_custkey) from customer) + 1 group_id, 'made' as name union all select c_custkey, 'Customer' from customer where c_custkey <= 3")
+def create_set(m):
+    groups = m.t("customer").select(F.col("c_custkey").alias("group_id"), F.array(F.lit("Customer")).alias("names"))
+    out, new = sets.create_set(groups, ["made"])
+    return out.where((F.col("group_id") <= 3) | (F.col("group_id") == new)).select("group_id", F.element_at("names", 1).alias("name"))
+
+
+@query(f"with {PRESETS} select name, handle::int handle, true active from presets union all select 'weight', 1, true union all select 'colour', 2, true")
+def create_tags(m):
+    reg, _ = tags.create_tag(tags.registry(m.spark), "weight", 8, "DOUBLE")
+    return tags.create_tag(reg, "colour", 4, "INTEGER")[0].select("name", "handle", F.col("is_active").alias("active"))
+
+
+@query("select event_id, (-(event_id % 8))::int handle, (case event_id % 8 when 1 then 32 when 2 then 4 when 3 then 4 when 4 then 4 when 5 then 8 when 6 then 4 else 0 end)::int length from events")
+def tag_sizes(m):
+    wanted = m.t("events").select("event_id", (-(F.col("event_id") % 8)).cast("int").alias("handle"))
+    return wanted.join(F.broadcast(tags.registry(m.spark).select("handle", "length")), "handle", "left").select("event_id", "handle", F.coalesce("length", F.lit(0)).alias("length"))  # a registry: a few rows
+
+
+@query("""select o_orderkey * 10 + k ent_id, 5 handle, hex(lpad((o_orderkey % 1000 + k)::varchar, 4, '0')) as value, k::bigint seq from orders, range(3) r(k)""")
+def tag_set_array(m):
+    key = F.col("o_orderkey")
+    four = lambda k: F.lpad((key % 1000 + k).cast("string"), 4, "0")
+    targets = m.t("orders").select(F.array(*[key * 10 + k for k in range(3)]).alias("ent_ids"), F.concat(*map(four, range(3))).cast("binary").alias("values"))
+    return tags.set_array(targets, 5, 4).withColumn("value", F.hex("value"))
+
+
+@query("select user_id ent_id, event_type handle, arg_max(value, event_id) as value from events where user_id % 3 <> 0 group by 1, 2")
+def tag_clear(m):
+    return tags.clear(tags.upsert(m.writes(), "seq"), m.t("events").where("user_id % 3 = 0").select(F.col("user_id").alias("ent_id")))
+
+
+@query("select distinct user_id ent_id from events where event_type <> 'click'")
+def tag_prune(m):
+    return tags.with_values(m.writes().where("handle <> 'click'"))
+
+
+@query("select c_custkey ent_id, (select count(distinct event_type) from events where user_id = c_custkey)::bigint n_tags from customer")
+def tag_attributes(m):
+    return tags.attributes(m.t("customer").select(F.col("c_custkey").alias("ent_id")), tags.upsert(m.writes(), "seq"))
+
+
+@query("select user_id % 50 group_id, event_type handle, arg_max(value, event_id) as value from events group by 1, 2")
+def set_tag_upsert(m):
+    """Values on sets."""
+    return tags.upsert(m.writes().withColumn("group_id", F.col("ent_id") % 50), "seq", keys=("group_id",))
+
+
+@query(f"""with {ENTITY}, {GROUPS} select ent_id handle, dim::int GEOM_DIMENSION, (ent_id % 1000)::int GLOBAL_ID, case dim when 0 then 'Vertex' when 1 then 'Curve' when 2 then 'Surface' else 'Volume' end CATEGORY, null NAME, null::double FACETING_TOL, null::double GEOMETRY_RESABS from entity
+    union all select group_id, 4, group_id::int, 'Group', substr(names[1], 1, 31), null, null from ent_group where len(names) > 0 union all select 0, -1, -1, null, null, 0.001, 1e-6""")
+def export_tags(m):
+    found = tags.export_tags(m.entity().withColumn("global_id", (F.col("ent_id") % 1000).cast("int")), sets.group_names(m.groups(), 32), 1e-3, 1e-6)
+    return found.withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("GEOM_DIMENSION", "GLOBAL_ID")})  # the file set has none
+
+
+#: Surfaces and curves of 50 vectors each, in order: as points, and every tenth as a geometric vertex of it.
+PLACES = f"{POINTS}, places as (select vec_id // 50 owner_id, vec_id % 50 as ord, vec_id, x, y, z, vec_id % 10 = 0 is_vertex from points)"
+
+
+def _patches(m: Carrier) -> tuple[DataFrame, DataFrame]:
+    """Surfaces (surface_id, points, facet_list): strips of triangles; and their vertices (surface_id, vh, x, y, z)."""
+    at = m.points().withColumn("surface_id", F.floor(F.col("vec_id") / 50))
+    pts = at.groupBy("surface_id").agg(F.array_sort(F.collect_list(F.struct("vec_id", F.struct("x", "y", "z").alias("p")))).alias("v"))
+    strip = F.flatten(F.transform(F.sequence(F.lit(0), F.size("v") - 3), lambda i: F.array(F.lit(3), i, i + 1, i + 2)))
+    surfaces = pts.select("surface_id", F.transform("v", lambda s: s.getField("p")).alias("points"), F.when(F.size("v") >= 3, strip).otherwise(F.array().cast("array<int>")).alias("facet_list"))
+    return surfaces, at.where("vec_id % 10 = 0").select("surface_id", F.col("vec_id").alias("vh"), "x", "y", "z")
+
+
+@query(f"with {POINTS} select row_number() over (order by vec_id) vh, vec_id owner_id, x, y, z from points")
+def create_vertices(m):
+    return mesh.create_vertices(m.points().select(F.col("vec_id").alias("ent_id"), "x", "y", "z"))
+
+
+#: A vertex takes the first point of its surface within the tolerance, and a point the last vertex.
+MATCHED = f"""{PLACES}, near as (select v.owner_id, v.vec_id vh, min(p.ord) as ord from places v join places p on v.owner_id = p.owner_id and v.is_vertex
+    and (v.x - p.x) * (v.x - p.x) + (v.y - p.y) * (v.y - p.y) + (v.z - p.z) * (v.z - p.z) < {TOL}::double * {TOL}::double group by 1, 2),
+    matched as (select owner_id, ord, max(vh) vh from near group by 1, 2)"""
+
+
+@query(f"with {MATCHED} select owner_id surface_id, ord::int as ord, vh from matched")
+def match_points(m):
+    return mesh.match_points(*_patches(m), TOL)
+
+
+HANDLED = f"""{MATCHED}, fresh as (select owner_id, ord, {10**9} + row_number() over (order by owner_id, ord) vh, x, y, z from places p where not exists (select 1 from matched q where q.owner_id = p.owner_id and q.ord = p.ord)),
+    handled as (select owner_id, ord, vh from fresh union all select owner_id, ord, vh from matched)"""
+
+
+@query(f"with {HANDLED} select vh, owner_id, x, y, z from fresh")
+def surface_vertices(m):
+    return mesh.surface_mesh(*_patches(m), TOL, 10**9)[0]
+
+
+@query(f"""with {HANDLED} select row_number() over (order by a.owner_id, a.ord) eh, a.owner_id, 'TRI' as type, a.vh || ',' || b.vh || ',' || c.vh conn
+    from handled a join handled b on a.owner_id = b.owner_id and b.ord = a.ord + 1 join handled c on a.owner_id = c.owner_id and c.ord = a.ord + 2""")
+def surface_facets(m):
+    faces = mesh.surface_mesh(*_patches(m), TOL, 10**9)[1]
+    return faces.withColumn("conn", F.array_join(F.col("conn").cast("array<string>"), ","))
+
+
+def _curves(m: Carrier) -> DataFrame:
+    """Curves over the vectors of a surface; odd ones have their geometry reversed."""
+    surfaces, _ = _patches(m)
+    first, odd = F.col("surface_id") * 50, F.col("surface_id") % 2 == 1
+    n = F.size("points")
+    a, b = first, first + n - 1
+    return surfaces.where(n >= 2).select(F.col("surface_id").alias("curve_id"), F.when(odd, b).otherwise(a).alias("start_vh"), F.when(odd, a).otherwise(b).alias("end_vh"), odd.alias("reversed"), "points")
+
+
+CURVES = f"""{PLACES}, n as (select owner_id, count(*) n from places group by 1 having count(*) > 1),
+    turned as (select p.owner_id, case when p.owner_id % 2 = 1 then n - 1 - ord else ord end as ord, n, vec_id, x, y, z from places p join n using (owner_id)),
+    inner_ones as (select owner_id, ord, {10**9} + row_number() over (order by owner_id, ord) vh, x, y, z from turned where ord > 0 and ord < n - 1),
+    on_curve as (select owner_id, ord, vh from inner_ones union all select owner_id, ord, vec_id from turned where ord = 0 or ord = n - 1)"""
+
+
+@query(f"with {CURVES} select vh, owner_id, x, y, z from inner_ones")
+def curve_vertices(m):
+    return mesh.curve_mesh(_curves(m), 1e-9, 10**9)[0]
+
+
+@query(f"with {CURVES} select row_number() over (order by a.owner_id, a.ord) eh, a.owner_id, a.vh a, b.vh b from on_curve a join on_curve b on a.owner_id = b.owner_id and b.ord = a.ord + 1")
+def curve_facets(m):
+    edges = mesh.curve_mesh(_curves(m), 1e-9, 10**9)[1]
+    return edges.select("eh", "owner_id", F.get("conn", F.lit(0)).alias("a"), F.get("conn", F.lit(1)).alias("b"))
+
+
+@query(f"with {CURVES} select owner_id curve_id, 'open' status, true warn from n where owner_id % 3 = 0 union all select owner_id, 'open', false from n where owner_id % 3 <> 0")
+def curve_status(m):
+    """Every third curve has one vertex at both ends, though its points are open."""
+    curves = _curves(m).withColumn("end_vh", F.when(F.col("curve_id") % 3 == 0, F.col("start_vh")).otherwise(F.col("end_vh")))
+    return mesh.curve_status(mesh.curve_points(curves), 1e-9).select("curve_id", "status", "warn")
+
+
+@query(f"with {CURVES} select owner_id curve_id from n where owner_id % 4 = 1")
+def far_ends(m):
+    """Every fourth curve has its ends' vertices moved away."""
+    moved = F.when(F.floor(F.col("vec_id") / 50) % 4 == 1, 1.0).otherwise(0.0)
+    vertices = m.points().select(F.col("vec_id").alias("vh"), (F.col("x") + moved).alias("x"), "y", "z")
+    return mesh.far_ends(mesh.curve_points(_curves(m)), vertices, 1e-9)
+
+
+@query(f"with {CONN}, kept as (select eh, min(eh) over (partition by list_sort(c)) keep from conn) select keep a, eh b from kept where eh <> keep")
+def imprint(m):
+    return mesh.imprint(m.conn())
+
+
+@query("""with n as (select p_partkey, p_name || case p_partkey % 4 when 0 then '.igs' when 1 then '.txt' else '.sat' end f, case p_partkey % 5 when 0 then 'TYPE=OCC' when 1 then 'TYPE=own' when 2 then 'SIZE=1' when 3 then 'TYPE=' end o from part)
+    select p_partkey, case when p_partkey % 5 = 2 then null when p_partkey % 5 = 0 then 'OCC' when p_partkey % 5 = 1 then 'NOT_DEFINED' when p_partkey % 4 = 0 then 'IGES' when p_partkey % 4 = 1 then null else 'ACIS_SAT' end file_type,
+    (case when p_partkey % 5 = 2 then 19 when p_partkey % 5 > 1 and p_partkey % 4 = 1 then 22 else 0 end)::int status from n""")
+def save_type(m):
+    k, o = F.col("p_partkey") % 4, F.col("p_partkey") % 5
+    name = F.concat("p_name", F.when(k == 0, ".igs").when(k == 1, ".txt").otherwise(".sat"))
+    option = F.when(o == 0, "TYPE=OCC").when(o == 1, "TYPE=own").when(o == 2, "SIZE=1").when(o == 3, "TYPE=")
+    kind, status = files.save_status(name, option)
+    return m.t("part").select("p_partkey", kind.alias("file_type"), status.cast("int").alias("status"))
+
+
+@query("select event_id, case event_id % 3 when 0 then '' when 1 then 'Tag does not exist' else 'Feature not supported' end as text from events")
+def error_texts(m):
+    code = F.when(F.col("event_id") % 3 == 0, 0).when(F.col("event_id") % 3 == 1, 14).otherwise(21)
+    return m.t("events").select("event_id", errors.text_of(code).alias("text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: (lambda spark, sf_dir, f=f: f(Carrier(spark, sf_dir))) for name, f in QUERIES.items()}
 

@@ -17,6 +17,7 @@ TABLES = {
     "group_member": "group_id long, member_id long, member_kind string",
     "tag_def": "handle int, name string, value_type string, length int, default_value binary, is_active boolean",
     "tag_value": "ent_id long, handle int, value binary, seq long",
+    "set_tag_value": "group_id long, handle int, value binary, seq long",
     "mesh_vertex": "vh long, owner_id long, x double, y double, z double",
     "curve_points": "curve_id long, start_vh long, end_vh long, reversed boolean, points array<struct<x:double,y:double,z:double>>",
     "surface_facets": "surface_id long, points array<struct<x:double,y:double,z:double>>, facet_list array<int>",

@@ -90,15 +90,20 @@ def split_cards(text: str) -> list[tuple[str, int, str]]:
     return out
 
 
-def read_cards(spark: SparkSession, path: str) -> DataFrame:
-    """The cards of every deck under ``path``."""
+def cards_of(decks: DataFrame) -> DataFrame:
+    """The cards of decks (deck, value): their names and texts."""
 
     def cards(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = [(d, *c) for d, t in zip(frame["deck"], frame["value"], strict=True) for c in split_cards(t)]
             yield pd.DataFrame(rows, columns=["deck", "section", "ord", "card"])
 
-    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("deck"), "value").mapInPandas(cards, CARDS)
+    return decks.select("deck", "value").mapInPandas(cards, CARDS)
+
+
+def read_cards(spark: SparkSession, path: str) -> DataFrame:
+    """The cards of every deck under ``path``."""
+    return cards_of(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("deck"), "value"))
 
 
 def cells(cards: DataFrame) -> DataFrame:

@@ -43,6 +43,15 @@ def match_option(option: Column, name: str) -> Column:
     return F.when(F.startswith(option, F.lit(f"{name}=")), F.substring(option, F.lit(len(name) + 2), F.length(option))).otherwise(F.lit(None))
 
 
+def save_status(name: Column, option: Column) -> tuple[Column, Column]:
+    """:func:`resolve_save` for tables of names with one option (null: none): the file type and the status."""
+    other = option.isNotNull() & ~F.startswith(option, F.lit("TYPE="))
+    wanted = F.when(F.length(option) > 5, known_type(F.substring(option, 6, 1_000_000)))
+    kind = F.when(~F.coalesce(other, F.lit(False)), F.coalesce(wanted, type_of_name(name)))
+    status = F.when(other, int(ErrorCode.INVALID_ARGUMENT)).when(kind.isNull(), int(ErrorCode.FAILURE)).otherwise(int(ErrorCode.SUCCESS))
+    return kind, status
+
+
 def resolve_save(name: str, options: list[str] | tuple[str, ...] = ()) -> str:
     """The file type of a save: TYPE= of the options, else by the name. Other options are invalid arguments."""
     kind = None

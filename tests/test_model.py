@@ -10,22 +10,9 @@ from solidspark.functions import affine
 from solidspark.functions.solid import Brick, Cone, Cylinder, Sphere, Torus
 from solidspark.model import Model
 from solidspark.operators import entities, mesh, sets, tags, topology
+from solidspark.plans.carrier import DECK
 from solidspark.sources import deck, files
 
-DECK = """Sample of two spheres
-1 1 -1.0 -1   imp:n=1
-2 0      -2 1 imp:n=1
-3 0         2 imp:n=0
-
-1 so 1
-2 so 2
-
-nps 1000
-sdef
-m1 1001 2.0 8016 1.0
-"""
-
-
 @pytest.fixture(scope="module")
 def points(spark):
     rng = random.Random(1)
@@ -36,16 +23,16 @@ XYZ = lambda: (F.col("x"), F.col("y"), F.col("z"))
 
 
 def test_deck(spark, tmp_path):
-    (tmp_path / "test.i").write_text(DECK)
+    (tmp_path / "own.i").write_text(DECK)
     cards = deck.read_cards(spark, str(tmp_path))
     cells = sorted(deck.cells(cards).drop("deck").collect())
-    assert [(c.cell_id, c.material_id, c.density, c.region, c.params["imp:n"]) for c in cells] == [(1, 1, -1.0, ["-1"], "1"), (2, 0, None, ["-2", "1"], "1"), (3, 0, None, ["2"], "0")]
+    assert [(c.cell_id, c.material_id, c.density, c.region, c.params["imp:p"]) for c in cells] == [(10, 3, -7.8, ["-1"], "2"), (20, 4, -0.9, ["-2", "1"], "1"), (30, 0, None, ["2"], "0")]
     surfaces = sorted(deck.surfaces(cards).drop("deck").collect())
-    assert [tuple(s) for s in surfaces] == [(1, "so", [1.0]), (2, "so", [2.0])]
-    assert [tuple(r) for r in sorted(deck.materials(cards).drop("deck").collect())] == [(1, 0, 1001, 2.0), (1, 1, 8016, 1.0)]
-    assert [tuple(r) for r in sorted(deck.params(cards).drop("deck").collect())] == [(0, "nps", ["1000"]), (1, "sdef", [])]
-    at = spark.createDataFrame([(0.5,), (1.5,), (3.0,)], "x double").withColumns({"y": F.lit(0.0), "z": F.lit(0.0)})
-    assert [r[0] for r in at.select(deck.cell_of(*XYZ(), cells, surfaces)).collect()] == [1, 2, 3]
+    assert [tuple(s) for s in surfaces] == [(1, "so", [0.75]), (2, "so", [1.5])]
+    assert [tuple(r) for r in sorted(deck.materials(cards).drop("deck").collect())] == [(3, 0, 26056, 1.0), (4, 0, 1001, 0.25), (4, 1, 6012, 0.75)]
+    assert [tuple(r) for r in deck.params(cards).drop("deck").collect()] == [(2, "mode", ["p"])]
+    at = spark.createDataFrame([(0.5,), (1.25,), (3.0,)], "x double").withColumns({"y": F.lit(0.0), "z": F.lit(0.0)})
+    assert [r[0] for r in at.select(deck.cell_of(*XYZ(), cells, surfaces)).collect()] == [10, 20, 30]
 
 
 def test_deck_grammar(spark):
@@ -154,6 +141,59 @@ def test_facets(spark):
     assert got[(1, 1)] == ("TRI", [1, 2, 3], False) and got[(2, 0)] == ("QUAD", [0, 1, 2, 3], False) and got[(2, 2)][0] == "POLYGON" and got[(4, 0)][2] and not any(k[0] == 3 for k in got)
 
 
+def test_bad_facet_lists_end_and_are_flagged(spark):
+    pts = [(float(i), 0.0, 0.0) for i in range(6)]
+    rows = [(1, pts, [3, 0, 1, 2, -1, 5]), (2, pts, [4, 0, 1, 2, 3, 3, 0, 1]), (3, pts, [0]), (4, pts, [3, 0, 1, 2, 2, 0, 1])]
+    out = mesh.facets(spark.createDataFrame(rows, "surface_id long, points array<struct<x:double,y:double,z:double>>, facet_list array<int>"))
+    got = {(r.surface_id, r.ord): (r.conn and list(r.conn), r.bad) for r in out.collect()}
+    assert got == {(1, 0): ([0, 1, 2], False), (1, 1): (None, True), (2, 0): ([0, 1, 2, 3], False), (2, 1): (None, True), (3, 0): (None, True), (4, 0): ([0, 1, 2], False), (4, 1): ([0, 1], False)}
+
+
+def test_point_curves_are_short(spark):
+    one = [(0.0, 0.0, 0.0)]
+    curves = spark.createDataFrame([(1, 5, 5, False, one, 0.0), (2, 5, 5, False, one, 2.0)], "curve_id long, start_vh long, end_vh long, reversed boolean, points array<struct<x:double,y:double,z:double>>, length double")
+    assert {r.curve_id: r.status for r in mesh.curve_status(curves, 1e-6).collect()} == {1: "point", 2: "skipped"}
+
+
+def test_model_counts_errors_and_sets(spark, tmp_path):
+    """Smoke: bodies, last errors, tags on sets, deletion with what hangs on it, export on handles."""
+    p = "array<struct<x:double,y:double,z:double>>"
+    m = Model(spark, tables={
+        "entity": spark.createDataFrame([("model", 1, 3, "Volume", 1), ("model", 2, 3, "Volume", 2), ("model", 3, 2, "Surface", 1), ("model", 4, 1, "Curve", 1), ("model", 5, 0, "Vertex", 1)], "model_id string, ent_id long, dim int, category string, global_id int"),
+        "body_volume": spark.createDataFrame([(50, 1), (50, 2)], "body_id long, volume_id long"),
+        "topology": spark.createDataFrame([(1, 3, 3), (3, 4, 2), (4, 5, 1)], "parent_id long, child_id long, parent_dim int"),
+        "mesh_vertex": spark.createDataFrame([(1, 5, 0.0, 0.0, 0.0)], "vh long, owner_id long, x double, y double, z double"),
+        "curve_points": spark.createDataFrame([(4, 1, 1, False, [(0.0, 0.0, 0.0), (1.0, 0.0, 0.0), (1.0, 1.0, 0.0), (0.0, 0.0, 0.0)])], f"curve_id long, start_vh long, end_vh long, reversed boolean, points {p}"),
+        "surface_facets": spark.createDataFrame([(3, [(0.0, 0.0, 0.0), (1.0, 0.0, 0.0), (1.0, 1.0, 0.0)], [3, 0, 1, 2])], f"surface_id long, points {p}, facet_list array<int>"),
+    })
+    assert (m.num_of_type(3), m.num_of_type(4), m.num_of_type(0)) == (1, 4, 1)
+    with pytest.raises(SolidError):
+        m.num_of_type(7)
+    assert m.error.code == ErrorCode.BAD_TYPE_AND_TOPO and m.error.text
+    g = m.create_set(["own"])
+    assert m.error.code == ErrorCode.SUCCESS
+    m.add_to_set(3, g)
+    with pytest.raises(SolidError):
+        m.num_of_type(-2, g)
+    assert m.error.code == ErrorCode.INVALID_ENTITY_TYPE and m.num_of_type(4, g) == m.num_of_type(2, g) == 1
+    h = m.create_tag("t", 4, "INTEGER")
+    m.set_set_data(g, h, b"one.")
+    m.set_set_data(g, h, b"two.")
+    assert [(r.group_id, bytes(r.value)) for r in m.set_values().collect()] == [(g, b"two.")]
+    with pytest.raises(SolidError):
+        m.set_data(3, 99, b"none")
+    assert m.error.code == ErrorCode.INVALID_TAG_HANDLE
+    with pytest.raises(SolidError):
+        m.bounding_box(3)
+    assert m.error.code == ErrorCode.INVALID_ENTITY_HANDLE and m.bounding_box(5).max_x == 0.0
+    m.export(str(tmp_path / "out"))
+    read = lambda name: spark.read.parquet(str(tmp_path / "out" / name))
+    assert sorted((r.eh, r.owner_id, r.type, list(r.conn)) for r in read("mesh_element").collect()) == [(1, 4, "EDGE", [1, 2]), (2, 4, "EDGE", [2, 3]), (3, 4, "EDGE", [3, 1]), (4, 3, "TRI", [1, 4, 5])]
+    assert sorted(r.vh for r in read("mesh_vertex").collect()) == [1, 2, 3, 4, 5] and read("export_tag").where("FACETING_TOL = 0.001").count() == 1
+    m.delete(spark.createDataFrame([(3,), (1,)], "ent_id long"))
+    assert [r.ent_id for r in m["entity"].orderBy("ent_id").collect()] == [4, 5] and m["group_member"].count() == 0 and [r.child_id for r in m["topology"].collect()] == [5] and m["body_volume"].count() == 0
+
+
 def test_curves(spark):
     p = "array<struct<x:double,y:double,z:double>>"
     line = [(0.0, 0.0, 0.0), (1.0, 0.0, 0.0), (2.0, 0.0, 0.0)]
