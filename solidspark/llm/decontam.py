@@ -38,21 +38,29 @@ def tokens(text: Column) -> Column:
 
 
 def _seeds(words: str, masks: list[str]) -> Column:
-    """(seed, place) of every mask at every place where it fits."""
+    """The seeds of all masks, one mask after the other, each at every place where it fits."""
 
     def of(mask: str) -> Column:
         seed = lambda i: F.xxhash64(F.lit(mask), *[F.get(words, i + k) for k, c in enumerate(mask) if c == "1"])
-        places = F.transform(F.sequence(F.lit(0), F.size(words) - len(mask)), lambda i: F.struct(seed(i).alias("seed"), i.alias("place")))
-        return F.when(F.size(words) >= len(mask), places).otherwise(F.array().cast("array<struct<seed:bigint,place:int>>"))
+        return F.when(F.size(words) >= len(mask), F.transform(F.sequence(F.lit(0), F.size(words) - len(mask)), seed)).otherwise(F.array().cast("array<bigint>"))
 
     return F.concat(*map(of, masks))
 
 
+def _place(k: Column, n: Column, masks: list[str]) -> Column:
+    """The place of the k-th of the seeds of n tokens."""
+    out, left = k, k
+    for mask in masks[:-1]:
+        here = F.greatest(n - (len(mask) - 1), F.lit(0))
+        out, left = F.when(left >= here, left - here).otherwise(out), left - here
+    return out
+
+
 def _exploded(df: DataFrame, keep: list[str], seeds: Column) -> DataFrame:
-    """A row for each seed: the kept columns, ``seed`` and ``place``."""
+    """A row for each seed: the kept columns, ``k`` and ``seed``."""
     # outer, though rows without seeds are not wanted: the filter that Spark infers for a plain explode would be
     # pushed below the tokens and compute them anew for every place; the join drops null seeds
-    return df.select(*keep, F.explode_outer(seeds).alias("s")).select(*keep, "s.seed", "s.place")
+    return df.select(*keep, F.posexplode_outer(seeds).alias("k", "seed"))
 
 
 def _small(df: DataFrame, size: Column) -> DataFrame:
@@ -71,11 +79,13 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = 20, share: float =
     own_seeds = _seeds("words", list(MASKS))
     for n, mask in whole_of.items():
         own_seeds = F.when(F.col("n") == n, _seeds("words", [mask])).otherwise(own_seeds)
-    seeds = _exploded(bench, ["item", "n"], own_seeds).where("seed is not null").groupBy("seed").agg(F.collect_set(F.struct("item", "n", F.col("place").alias("at"))).alias("places"))
+    at = F.when(F.col("n") < SHORT, F.lit(0)).otherwise(_place(F.col("k"), F.col("n"), list(MASKS)))
+    seeds = _exploded(bench, ["item", "n"], own_seeds).where("seed is not null").groupBy("seed").agg(F.collect_set(F.struct("item", "n", at.alias("at"))).alias("places"))
     seeds = stage(seeds, "bench-seeds")
-    own = _exploded(texts.select("doc_id", "th", tokens(F.col("text")).alias("words")), ["doc_id", "th"], _seeds("words", [*MASKS, *whole_of.values()]))
-    hits = own.join(_small(seeds, 50 + 24 * F.size("places")), "seed")
-    hits = hits.select("doc_id", "th", "place", F.explode("places").alias("p"))
+    masks = [*MASKS, *whole_of.values()]
+    words = texts.select("doc_id", "th", tokens(F.col("text")).alias("words")).withColumn("size", F.size("words"))
+    hits = _exploded(words, ["doc_id", "th", "size"], _seeds("words", masks)).join(_small(seeds, 50 + 24 * F.size("places")), "seed")
+    hits = hits.select("doc_id", "th", _place(F.col("k"), F.col("size"), masks).alias("place"), F.explode("places").alias("p"))
     found = hits.select("doc_id", "th", F.col("p.item").alias("item"), F.col("p.n").alias("n"), (F.col("place") - F.col("p.at")).alias("shift")).distinct()
     found = stage(found, "bench-hits")
     per_doc = found.groupBy(F.col("doc_id").alias("hit_id"), F.col("th").alias("hit_th")).agg(F.collect_list(F.struct("item", "n", "shift")).alias("hits"))
