@@ -117,9 +117,16 @@ def bands(s: np.ndarray) -> np.ndarray:
     return acc.view(np.int64)
 
 
+def _parts(frames: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataFrame]:
+    """Smaller frames, so that a worker holds the sets of few documents."""
+    for frame in frames:
+        for low in range(0, len(frame), rows):
+            yield frame.iloc[low : low + rows]
+
+
 def _sketches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     shingler = Shingler()
-    for frame in frames:
+    for frame in _parts(frames):
         sets = [shingler.shingles(t) for t in frame["text"]]
         yield pd.DataFrame({
             "doc_id": frame["doc_id"],
@@ -131,7 +138,7 @@ def _sketches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     shingler = Shingler()
-    for frame in frames:
+    for frame in _parts(frames):
         yield pd.DataFrame({"rep": frame["rep"], "shingles": [shingler.shingles(t).tobytes() for t in frame["text"]]})
 
 
@@ -165,12 +172,10 @@ def _fits(x: Column, y: Column) -> Column:
 
 
 def _tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for low in range(0, len(frame), 200):
-            part = frame.iloc[low : low + 200]
-            each = [np.frombuffer(x, np.int64) for x in part["shingles"]]
-            sizes = [len(x) for x in each]
-            yield pd.DataFrame({"rep": np.repeat(part["rep"].to_numpy(), sizes), "component": np.repeat(part["component"].to_numpy(), sizes), "token": np.concatenate(each)})
+    for part in _parts(frames, 200):
+        each = [np.frombuffer(x, np.int64) for x in part["shingles"]]
+        sizes = [len(x) for x in each]
+        yield pd.DataFrame({"rep": np.repeat(part["rep"].to_numpy(), sizes), "component": np.repeat(part["component"].to_numpy(), sizes), "token": np.concatenate(each)})
 
 
 def _prefixes(left: DataFrame, sets: DataFrame) -> DataFrame:

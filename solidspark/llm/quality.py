@@ -142,8 +142,8 @@ def _total(train: DataFrame, of: Callable[[np.ndarray, np.ndarray], list[np.ndar
     def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
         for frame in frames:
-            for low in range(0, len(frame), 20_000):
-                part = frame.iloc[low : low + 20_000]
+            for low in range(0, len(frame), 2_000):
+                part = frame.iloc[low : low + 2_000]
                 own = of(_matrix(part["x"]), part["positive"].to_numpy(bool))
                 total = own if total is None else [a + b for a, b in zip(total, own, strict=True)]
         if total is not None:
@@ -188,7 +188,8 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     unstage(train)
 
     def apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for whole, low in ((frame, low) for frame in frames for low in range(0, len(frame), 2_000)):
+            frame = whole.iloc[low : low + 2_000]
             z = standardised(_matrix(frame["x"]), *model[1:]) @ model[0] if model and len(frame) else np.full(len(frame), np.log(prior / (1 - prior)))
             s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "score": s, "predicted": (s >= THRESHOLD).astype("int32")})
