@@ -60,7 +60,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Sets of shingle hashes; remembers the hashes of words, up to a bound."""
 
-    def __init__(self, most: int = 200_000):
+    def __init__(self, most: int = 80_000):
         self.seen: dict[bytes, int] = {}
         self.most = most
 
