@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from solidspark.staging import stage, unstage
 
-__all__ = ["WORD", "lower_words", "stage", "table", "unstage"]
+__all__ = ["WORD", "lower_words", "stage", "stage_frames", "table", "unstage"]
+
+_FRAME_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 #: A word is a run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,3 +22,16 @@ def lower_words(text: str | None) -> list[bytes]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def stage_frames(df: DataFrame, name: str, rows: int = 500) -> DataFrame:
+    """:func:`stage` of a plan with Python steps that take whole texts: they get frames of ``rows`` rows.
+
+    Both the executor and its Python worker hold a frame at once, outside the executor's heap."""
+    conf = df.sparkSession.conf
+    before = conf.get(_FRAME_ROWS)
+    conf.set(_FRAME_ROWS, str(rows))
+    try:
+        return stage(df, name)
+    finally:
+        conf.set(_FRAME_ROWS, before)

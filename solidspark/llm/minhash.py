@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from solidspark.llm.common import lower_words, stage, unstage
+from solidspark.llm.common import lower_words, stage, stage_frames, unstage
 from solidspark.operators.components import smallest_reachable
 from solidspark.skew import heavy_keys, join_heavy
 
@@ -117,16 +117,9 @@ def bands(s: np.ndarray) -> np.ndarray:
     return acc.view(np.int64)
 
 
-def _parts(frames: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataFrame]:
-    """Smaller frames, so that a worker holds the sets of few documents."""
-    for frame in frames:
-        for low in range(0, len(frame), rows):
-            yield frame.iloc[low : low + rows]
-
-
 def _sketches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     shingler = Shingler()
-    for frame in _parts(frames):
+    for frame in filter(len, frames):
         sets = [shingler.shingles(t) for t in frame["text"]]
         yield pd.DataFrame({
             "doc_id": frame["doc_id"],
@@ -138,7 +131,7 @@ def _sketches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     shingler = Shingler()
-    for frame in _parts(frames):
+    for frame in filter(len, frames):
         yield pd.DataFrame({"rep": frame["rep"], "shingles": [shingler.shingles(t).tobytes() for t in frame["text"]]})
 
 
@@ -172,7 +165,7 @@ def _fits(x: Column, y: Column) -> Column:
 
 
 def _tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for part in _parts(frames, 200):
+    for part in filter(len, frames):
         each = [np.frombuffer(x, np.int64) for x in part["shingles"]]
         sizes = [len(x) for x in each]
         yield pd.DataFrame({"rep": np.repeat(part["rep"].to_numpy(), sizes), "component": np.repeat(part["component"].to_numpy(), sizes), "token": np.concatenate(each)})
@@ -187,7 +180,7 @@ def _prefixes(left: DataFrame, sets: DataFrame) -> DataFrame:
     fewer the larger the partner is. A document stands under (token, the smaller and the larger of the two
     classes). Where all documents there are of one component nothing is left to link."""
     tokens = left.join(sets, "rep").select("rep", "component", "shingles").mapInPandas(_tokens, "rep long, component long, token long")
-    tokens = stage(tokens, "mh-tokens")
+    tokens = stage_frames(tokens, "mh-tokens", 200)
     of_one = tokens.groupBy("token", "component").agg(F.count("*").alias("df"))
     rare = stage(of_one.groupBy("token").agg(F.count("*").alias("cf"), F.sum("df").alias("df")), "mh-rare")
     own = join_heavy(tokens, rare, "token", heavy_keys(rare, tokens.count(), "token", "df"))
@@ -230,7 +223,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, n_shingles, component_id, kept, n_links) of every row; n_links: confirmed links of the
     document's class to other classes that were needed (a spanning part of all)."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = stage(texts.mapInPandas(_sketches, "doc_id long, n_shingles long, digest binary, bands array<long>"), "mh-rows")
+    rows = stage_frames(texts.mapInPandas(_sketches, "doc_id long, n_shingles long, digest binary, bands array<long>"), "mh-rows")
     full = rows.where("n_shingles > 0 and doc_id is not null")
     reps = full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("docs"))
     reps = stage(reps, "mh-reps")
@@ -246,7 +239,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = stage(join_heavy(star, sizes, "centre", hubs).where(_fits(F.col("n"), F.col("cn"))).select("centre", "member"), "mh-star")
     used = shared.select("rep").distinct()
     text_of = texts.join(used.withColumnRenamed("rep", "doc_id"), "doc_id").groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text"))
-    sets = stage(text_of.mapInPandas(_sets, "rep long, shingles binary"), "mh-sets")
+    sets = stage_frames(text_of.mapInPandas(_sets, "rep long, shingles binary"), "mh-sets")
     links = stage(_confirm(star, sets), "mh-links")
     comp = smallest_reachable(links)
     labelled = stage(shared.join(comp, shared["rep"] == comp["node"], "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component")), "mh-labelled")

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from solidspark.llm.common import stage, unstage
+from solidspark.llm.common import stage, stage_frames, unstage
 
 THRESHOLD, FOLDS = 0.3, 5
 #: Weight of the squares of weights (of standardised inputs); steps end when the risk falls by less, or after so many.
@@ -177,7 +177,7 @@ def _train(train: DataFrame, prior: float) -> tuple[np.ndarray, np.ndarray, np.n
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``; labels: (doc_id, quality)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = stage(rows.mapInPandas(_measure, "doc_id long, x binary"), "quality-features")
+    rows = stage_frames(rows.mapInPandas(_measure, "doc_id long, x binary"), "quality-features")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
     known = labels.select(F.col("doc_id").cast("long").alias("label_id"), "quality").where("quality is not null").groupBy("label_id").agg(F.max("quality").alias("quality"))
     train = rows.where(~held).join(known, F.col("doc_id") == F.col("label_id"), "left").select("x", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("positive"), F.col("quality").isNotNull().alias("labelled"))
