@@ -59,15 +59,17 @@ def drop_repeats(docs: DataFrame, split: Column, glue: str, runs: Callable[[Data
     ``split`` turns the text column into its units; ``glue`` joins what is kept. ``runs`` makes the runs (_id, _th,
     _pos, _len, _key, with ``more`` also _more) of (_id, _th, _units), whose units are trimmed."""
     base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    base = base.withColumns({"_id": F.col("_row").getField(id_col), "_text": F.col("_row").getField(text_col)})
-    base = base.withColumns({"_th": F.xxhash64("_text"), "_units": F.when(F.col("_text") != "", split)})
-    found = stage(runs(base.select("_id", "_th", F.transform("_units", lambda u: F.btrim(u, F.lit(BLANKS))).alias("_units"))), "runs")
+    text = F.col("_row").getField(text_col)
+    base = base.withColumns({"_id": F.col("_row").getField(id_col), "_th": F.xxhash64(text)})
+    # the join moves a row once: its units are cut anew behind it
+    in_units = lambda df: df.withColumn("_text", text).withColumn("_units", F.when(F.col("_text") != "", split))
+    found = stage(runs(in_units(base).select("_id", "_th", F.transform("_units", lambda u: F.btrim(u, F.lit(BLANKS))).alias("_units"))), "runs")
     covered = later_runs(found, more).groupBy(F.col("_id").alias("_cid"), F.col("_th").alias("_cth")).agg(
         F.array_sort(F.array_distinct(F.flatten(F.transform(F.collect_set(F.struct("_pos", "_len")), lambda r: F.sequence(r.getField("_pos"), r.getField("_pos") + r.getField("_len") - 1))))).alias("_removed")
     )
     covered = stage(covered, "covered-units")
     unstage(found)
-    hit = base.join(covered, base["_id"].eqNullSafe(covered["_cid"]) & base["_th"].eqNullSafe(covered["_cth"]), "left")
+    hit = in_units(base.join(covered, base["_id"].eqNullSafe(covered["_cid"]) & base["_th"].eqNullSafe(covered["_cth"]), "left"))
     gone = F.coalesce(F.col("_removed"), F.array().cast("array<int>"))
     left = F.array_except(F.sequence(F.lit(0), F.size("_units") - 1), gone)
     kept = F.when(F.col("_removed").isNull(), F.col("_text")).otherwise(F.array_join(F.transform(left, lambda i: F.element_at("_units", i + 1)), glue))
