@@ -182,11 +182,15 @@ def _prefixes(left: DataFrame, sets: DataFrame) -> DataFrame:
     tokens = left.join(sets, "rep").select("rep", "component", "shingles").mapInPandas(_tokens, "rep long, component long, token long")
     tokens = stage_frames(tokens, "mh-tokens", 200)
     of_one = tokens.groupBy("token", "component").agg(F.count("*").alias("df"))
-    rare = stage(of_one.groupBy("token").agg(F.count("*").alias("cf"), F.sum("df").alias("df")), "mh-rare")
-    own = join_heavy(tokens, rare, "token", heavy_keys(rare, tokens.count(), "token", "df"))
-    n = F.col("n")
-    # the longest prefix is that for the smallest partner; a token of one component links nothing more
-    ordered = own.drop("component").join(left, "rep").withColumn("at", F.row_number().over(Window.partitionBy("rep").orderBy("cf", "df", "token"))).where(4 * (n - F.col("at") + 1) >= 3 * n).where("cf > 1")
+    # a token of one component links nothing more and comes first in the order: its place counts, it need not move on
+    rare = stage(of_one.groupBy("token").agg(F.count("*").alias("cf"), F.sum("df").alias("df")).where("cf > 1"), "mh-rare")
+    own = stage(join_heavy(tokens, rare, "token", heavy_keys(rare, tokens.count(), "token", "df")).drop("component"), "mh-own")
+    unstage(tokens)
+    unstage(rare)
+    n, of_doc = F.col("n"), Window.partitionBy("rep")
+    at = n - F.count("*").over(of_doc) + F.row_number().over(of_doc.orderBy("cf", "df", "token"))
+    # the longest prefix is that for the smallest partner
+    ordered = own.join(left, "rep").withColumn("at", at).where(4 * (n - F.col("at") + 1) >= 3 * n)
     class_of = lambda x: F.floor(F.log(x.cast("double")) / math.log(SIZE_STEP) + 1e-9).cast("int")
     smallest = lambda c: F.greatest(F.pow(F.lit(SIZE_STEP), c) * (1 - 1e-6), n * 0.75)
     reach = lambda c: 7 * (n - F.col("at") + 1) >= 3 * (n + smallest(c)) - 1e-6
@@ -196,8 +200,11 @@ def _prefixes(left: DataFrame, sets: DataFrame) -> DataFrame:
     # arrays of about MEMBERS at most: a token's documents are dealt by the salt
     alike = ["token", "lo", "hi", "own", "component", "n", "at"]
     blocks = stage(keyed.groupBy(*alike, "salt").agg(F.collect_list("rep").alias("members")).drop("salt"), "mh-prefixes")
+    unstage(own)
     several = blocks.groupBy("token", "lo", "hi").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("token", "lo", "hi")
-    return stage(blocks.join(several, ["token", "lo", "hi"], "left_semi"), "mh-several")
+    met = stage(blocks.join(several, ["token", "lo", "hi"], "left_semi"), "mh-several")
+    unstage(blocks)
+    return met
 
 
 def _meetings(blocks: DataFrame) -> DataFrame:
