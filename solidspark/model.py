@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from solidspark.commands import ExportOptions
 from solidspark.errors import ErrorCode, LastError, SolidError
-from solidspark.operators import entities, mesh, sets, tags, topology
+from solidspark.operators import entities, merge, mesh, sets, tags, topology
 from solidspark.schema import ALL_TYPES, TABLES
 from solidspark.sources.files import save_tables
+from solidspark.staging import stage
 
 
 def recorded(operation):
@@ -87,20 +88,106 @@ class Model:
         self.tables["group_member"] = sets.add_to_set(self["group_member"], group_id, ent_id)
 
     @recorded
-    def copy(self, ids: DataFrame) -> None:
-        self.tables["entity"] = entities.copy(self["entity"], ids)
+    def copy(self, ids: DataFrame) -> DataFrame:
+        """Copy entities with all that they are made of; a volume's body is copied with all of its volumes. Returns (ent_id, new).
+
+        Links, senses, meshes, curves and facets are copied with their entities; groups and tags are not."""
+        wanted = ids.select("ent_id").join(self["entity"].select("ent_id"), "ent_id", "left_semi")
+        bodies = self["body_volume"].join(wanted.withColumnRenamed("ent_id", "volume_id"), "volume_id", "left_semi").select("body_id").distinct()
+        wanted = wanted.union(self["body_volume"].join(bodies, "body_id", "left_semi").select("volume_id"))
+        new = stage(entities.new_ids(entities.below(self["topology"], wanted), entities.next_id(self["entity"])), "copied-ids")
+        last = self["mesh_vertex"].agg(F.max("vh")).first()[0] or 0
+        own = self["mesh_vertex"].join(new.select(F.col("ent_id").alias("owner_id")), "owner_id", "left_semi")
+        handles = stage(entities.new_ids(own, last + 1, "vh"), "copied-handles")
+        body = stage(entities.new_ids(bodies, (self["body_volume"].agg(F.max("body_id")).first()[0] or 0) + 1, "body_id"), "copied-bodies")
+
+        def copied(name: str | DataFrame, ids: DataFrame, *keys: str, kept: str = "inner") -> DataFrame:
+            out = self[name] if isinstance(name, str) else name
+            of = ids.toDF("_o", "_n")
+            for key in keys:
+                out = out.join(of, out[key] == of["_o"], kept).withColumn(key, F.coalesce("_n", key)).drop("_o", "_n")
+            return out
+
+        points = copied("curve_points", new, "curve_id")
+        for end in ("start_vh", "end_vh"):
+            points = copied(points, handles, end, kept="left")
+        more = {
+            "entity": copied("entity", new, "ent_id"), "topology": copied("topology", new, "parent_id", "child_id"), "sense_use": copied("sense_use", new, "child_id", "parent_id"),
+            "mesh_vertex": copied(copied("mesh_vertex", new, "owner_id"), handles, "vh"), "surface_facets": copied("surface_facets", new, "surface_id"),
+            "curve_points": points, "body_volume": copied(copied("body_volume", new, "volume_id"), body, "body_id"),
+        }
+        self.tables |= {name: self[name].unionByName(rows.select(*self[name].columns)) for name, rows in more.items()}
+        return new
+
+    #: The columns of each table that name entities.
+    OWNED = {
+        "topology": ("parent_id", "child_id"), "sense_use": ("child_id", "parent_id"), "sense": ("child_id", "parent_id"), "tag_value": ("ent_id",), "body_volume": ("volume_id",),
+        "mesh_vertex": ("owner_id",), "mesh_element": ("owner_id",), "curve_points": ("curve_id",), "surface_facets": ("surface_id",),
+    }
 
     @recorded
     def delete(self, ids: DataFrame) -> None:
-        """The entities go with their links, memberships and tags."""
+        """The entities go with all rows of other tables that name them, a body without volumes with its memberships."""
         left = entities.delete(self["entity"], ids, self["body_volume"])
-        gone = self["entity"].select("ent_id").join(left.select("ent_id"), "ent_id", "left_anti")
-        without = lambda name, key: self[name].join(gone.withColumnRenamed("ent_id", key), key, "left_anti").select(*self[name].columns)
-        member = self["group_member"].join(gone.select(F.col("ent_id").alias("member_id"), F.lit("entity").alias("member_kind")), ["member_id", "member_kind"], "left_anti").select(*self["group_member"].columns)
-        cut = {"topology": without("topology", "parent_id").join(gone.withColumnRenamed("ent_id", "child_id"), "child_id", "left_anti").select(*self["topology"].columns)}
-        cut |= {"entity": left, "group_member": member, "tag_value": without("tag_value", "ent_id"), "body_volume": without("body_volume", "volume_id")}
+        gone = stage(self["entity"].select("ent_id").join(left.select("ent_id"), "ent_id", "left_anti"), "deleted")
+        cut = {"entity": left}
+        for name, keys in self.OWNED.items():
+            out = self[name]
+            for key in keys:
+                out = out.join(gone.withColumnRenamed("ent_id", key), key, "left_anti").select(*self[name].columns)
+            cut[name] = out
+        bodies = self["body_volume"].select("body_id").join(cut["body_volume"].select("body_id"), "body_id", "left_anti").distinct()
+        named = gone.select(F.col("ent_id").alias("member_id"), F.lit("entity").alias("member_kind")).union(bodies.select("body_id", F.lit("body")))
+        cut["group_member"] = self["group_member"].join(named, ["member_id", "member_kind"], "left_anti").select(*self["group_member"].columns)
         self.tables |= cut
 
+    def links(self) -> DataFrame:
+        """(parent_id, child_id, parent_dim, sense): topology with the senses of uses, a curve's vertices by its ends; null where unknown."""
+        ends = self["curve_points"].select("curve_id", F.explode(F.array(F.struct(F.col("start_vh").alias("vh"), F.lit(-1).alias("s")), F.struct(F.col("end_vh").alias("vh"), F.lit(1).alias("s")))).alias("e"))
+        ends = ends.select(F.col("curve_id").alias("parent_id"), "e.vh", F.col("e.s").alias("sense")).join(self["mesh_vertex"].select("vh", F.col("owner_id").alias("child_id")), "vh")
+        known = topology.senses(self["sense_use"]).unionByName(ends.select("child_id", "parent_id", "sense"))
+        return self["topology"].join(known, ["parent_id", "child_id"], "left").select("parent_id", "child_id", "parent_dim", "sense")
+
+    @recorded
+    def merge(self, tol: float) -> DataFrame:
+        """Merge coincident vertices, curves, surfaces and volumes; returns (ent_id, dim, keep, sense).
+
+        What was merged away leaves all tables; links, senses and members go to what stays, whose meshes, curves and
+        tags stay as they are. A side of a merged surface is then taken by both of its volumes."""
+        at = self["mesh_vertex"].join(self["entity"].where("dim = 0").select(F.col("ent_id").alias("owner_id")), "owner_id", "left_semi")
+        merged = stage(merge.merge_cascade(at.select(F.col("owner_id").alias("ent_id"), "x", "y", "z"), self.links(), tol), "merged")
+        gone = merged.where("ent_id <> keep")
+        # a use that names what is turned changes sides
+        turned = merged.where("sense = -1").select(F.col("ent_id").alias("_t"))
+        uses = self["sense_use"]
+        for key in ("child_id", "parent_id"):
+            flipped = F.when(F.col("_t").isNull() | (F.col("use_sense") == "U"), F.col("use_sense")).when(F.col("use_sense") == F.col("geom_sense"), F.concat(F.lit("-"), "geom_sense")).otherwise(F.col("geom_sense"))
+            uses = uses.join(turned, uses[key] == turned["_t"], "left").withColumn("use_sense", flipped).drop("_t")
+        cut = {"entity": self["entity"].join(gone.select("ent_id"), "ent_id", "left_anti").select(*self["entity"].columns)}
+        for key in ("child_id", "parent_id"):
+            uses = merge.relabelled(uses, merged, key)
+        links = merge.relabelled(merge.relabelled(self["topology"], merged, "parent_id"), merged, "child_id")
+        cut |= {"sense_use": uses, "topology": links, "group_member": merge.relabelled(self["group_member"], merged, "member_id", F.col("member_kind") == "entity"), "body_volume": merge.relabelled(self["body_volume"], merged, "volume_id")}
+        for name in ("tag_value", "mesh_vertex", "mesh_element", "curve_points", "surface_facets"):
+            key = self.OWNED[name][0]
+            cut[name] = self[name].join(gone.select(F.col("ent_id").alias(key)), key, "left_anti").select(*self[name].columns)
+        # curves end at the vertices that stay
+        handle = self["mesh_vertex"].join(gone.select(F.col("ent_id").alias("owner_id"), "keep"), "owner_id").select(F.col("vh").alias("ent_id"), F.col("keep").alias("owner"))
+        kept = self["mesh_vertex"].groupBy(F.col("owner_id").alias("owner")).agg(F.min("vh").alias("keep"))
+        for key in ("start_vh", "end_vh"):
+            cut["curve_points"] = merge.relabelled(cut["curve_points"], handle.join(kept, "owner").select("ent_id", "keep"), key)
+        self.tables |= cut
+        return merged
+
+    def senses(self) -> DataFrame:
+        """(child_id, parent_id, sense) of surfaces in volumes and of curves in surfaces.
+
+        A side of a surface that is taken twice is a failure; any number of surfaces may be on a side of a curve."""
+        curves = self["entity"].where("dim = 1").select(F.col("ent_id").alias("child_id"))
+        uses = self["sense_use"]
+        of_surfaces = topology.surface_senses(uses.join(curves, "child_id", "left_anti").select(*uses.columns), strict=True)
+        return of_surfaces.unionByName(topology.senses(uses.join(curves, "child_id", "left_semi").select(*uses.columns)))
+
     @recorded
     def create_tag(self, name: str, length: int, value_type: str, default: bytes | None = None) -> int:
         self.tables["tag_def"], handle = tags.create_tag(self["tag_def"], name, length, value_type, default)
@@ -142,7 +229,7 @@ class Model:
         """Write the model's tables with topology, senses, group names and content, curves and facets as
         elements on vertices by handle, the export's tags and the file set; returns the faceting report. A side of a surface taken twice fails before anything is written."""
         o = options or ExportOptions()
-        senses = topology.surface_senses(self["sense_use"], strict=True)
+        senses = self.senses()
         curves = mesh.curve_status(mesh.curve_points(self["curve_points"]), resabs)
         if o.fatal_on_curves and curves.where("status = 'failed'").limit(1).count():
             raise SolidError(ErrorCode.FAILURE, "a curve could not be faceted")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from solidspark.errors import ErrorCode, SolidError
+from solidspark.operators.mesh import running
 from solidspark.schema import ALL_TYPES, CATEGORY_NAMES
 
 
@@ -81,18 +82,27 @@ def next_id(entities: DataFrame) -> int:
     return (entities.agg(F.max("ent_id")).first()[0] or 0) + 1
 
 
+def new_ids(ids: DataFrame, base: int, key: str = "ent_id") -> DataFrame:
+    """(key, new): ids from ``base`` on, in order of the old ones."""
+    return running(ids.select(key).distinct().withColumn("n", F.lit(1)), key).select(key, (F.col("start") + base).alias("new"))
+
+
 def copy(entities: DataFrame, ids: DataFrame) -> DataFrame:
-    """``entities`` and copies of those with ids of ``ids`` (ent_id), under new ids in order of the old ones.
-
-    Ranks come per hash bucket and bucket counts, so that no task ranks all copies."""
-    base = next_id(entities)
-    own = entities.join(ids.select("ent_id").distinct(), "ent_id", "left_semi").withColumn("_b", F.pmod(F.xxhash64("ent_id"), F.lit(256)))
-    before = own.groupBy("_b").agg(F.count("*").alias("_n")).withColumn("_before", F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)))
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy("ent_id")) - 1 + F.coalesce("_before", F.lit(0))
-    new = own.join(F.broadcast(before), "_b").withColumn("ent_id", (F.lit(base) + rank).cast("long"))  # 256 rows
+    """``entities`` and copies of those with ids of ``ids`` (ent_id), under new ids in order of the old ones."""
+    known = ids.join(entities.select("ent_id"), "ent_id", "left_semi")
+    new = entities.join(new_ids(known, next_id(entities)), "ent_id").withColumn("ent_id", F.col("new"))
     return entities.unionByName(new.select(*entities.columns))
 
 
+def below(topology: DataFrame, ids: DataFrame) -> DataFrame:
+    """(ent_id): ``ids`` and all that they are made of, over the dimensions below."""
+    found = ids.select("ent_id")
+    for dim in (3, 2, 1):
+        down = topology.where(F.col("parent_dim") == dim).join(found.distinct().withColumnRenamed("ent_id", "parent_id"), "parent_id", "left_semi")
+        found = found.union(down.select("child_id"))
+    return found.distinct()
+
+
 def delete(entities: DataFrame, ids: DataFrame, body_volume: DataFrame | None = None) -> DataFrame:
     """``entities`` without those of ``ids``; a body takes its volumes with it, a volume its body and that body's volumes."""
     gone = ids.select("ent_id").distinct()

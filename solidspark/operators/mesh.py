@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from solidspark.operators.components import smallest_reachable
+from solidspark.operators.merge import merge_points
+from solidspark.staging import stage
 
 
 def curve_points(curves: DataFrame) -> DataFrame:
@@ -20,12 +21,13 @@ def curve_points(curves: DataFrame) -> DataFrame:
 def running(counts: DataFrame, key: str, n: str = "n") -> DataFrame:
     """(key, start): for each whole number ``key``, once each, the sum of ``n`` over the smaller ones.
 
-    Keys are dealt to 256 ranges of equal width, so that no task sees them all."""
-    low, high = counts.agg(F.min(key), F.max(key)).first()
-    width = max(1, -(-((high or 0) - (low or 0) + 1) // 256))
-    dealt = counts.select(key, F.col(n).alias("_n"), F.floor((F.col(key) - F.lit(low or 0)) / F.lit(width)).alias("_r"))
+    Keys are dealt to ranges that hold about as many each, whatever their gaps are, and written once, for the ranges' bounds
+    are sampled; a range's own sums start where the sums of the ranges before it end."""
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counts.select(key, F.col(n).alias("_n")).repartitionByRange(parts, key).withColumn("_r", F.spark_partition_id())
+    dealt = stage(dealt, "running")
     upto = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    before = dealt.groupBy("_r").agg(F.sum("_n").alias("_s")).select("_r", F.coalesce(F.sum("_s").over(upto(Window.orderBy("_r"))), F.lit(0)).alias("_before"))  # 256 rows
+    before = dealt.groupBy("_r").agg(F.sum("_n").alias("_s")).select("_r", F.coalesce(F.sum("_s").over(upto(Window.orderBy("_r"))), F.lit(0)).alias("_before"))  # a row a range
     own = F.coalesce(F.sum("_n").over(upto(Window.partitionBy("_r").orderBy(key))), F.lit(0))
     return dealt.withColumn("_own", own).join(F.broadcast(before), "_r").select(key, (F.col("_before") + F.col("_own")).cast("long").alias("start"))
 
@@ -192,10 +194,9 @@ def coincident(points: DataFrame, tol: float, key: str = "vh", axes: str = "xyz"
     return found.where(F.col(key) < F.col("_o")).select(F.col(key).alias("a"), F.col("_o").alias("b"))
 
 
-def merge_vertices(points: DataFrame, tol: float, key: str = "vh", axes: str = "xyz") -> DataFrame:
+def merge_vertices(points: DataFrame, tol: float, key: str = "vh") -> DataFrame:
     """(vh, keep): the smallest id that a point reaches over coincident pairs (closeness is not transitive)."""
-    found = smallest_reachable(coincident(points, tol, key, axes))
-    return points.join(found, points[key] == found["node"], "left").select(F.col(key), F.coalesce("component", key).alias("keep"))
+    return merge_points(points, tol, key)
 
 
 def merge_faces(elements: DataFrame) -> DataFrame:

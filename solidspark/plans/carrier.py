@@ -435,18 +435,20 @@ def count_in_list(m):
     return out
 
 
-@query(f"with {ENTITY}, c as (select ent_id, row_number() over (order by ent_id) k from entity where dim = 2) select ent_id, dim::int dim from entity union all select (select max(ent_id) from entity) + k, 2 from c")
+@query(f"""with {ENTITY}, c as (select ent_id, row_number() over (order by ent_id) k from entity where dim = 2)
+    select ent_id, dim::int dim, (ent_id % 1000)::int global_id from entity union all select (select max(ent_id) from entity) + k, 2, (ent_id % 1000)::int from c""")
 def copy_entities(m):
-    """Copies take ids after the largest; which copy has which does not matter here, for they are alike."""
-    return entities.copy(m.entity(), entities.of_type(m.entity(), 2))
+    """Copies take ids after the largest, in order of the old ones, which their other columns show."""
+    return entities.copy(m.entity().withColumn("global_id", (F.col("ent_id") % 1000).cast("int")), entities.of_type(m.entity(), 2))
 
 
-@query("select c_custkey group_id, c_name member_name from customer where c_custkey % 3 = 0 union select c_custkey, c_mktsegment from customer where c_custkey % 3 = 0")
+@query("select distinct g group_id, k member_id, 'entity' member_kind from (select c_custkey % 3 g, c_custkey k from customer where c_custkey % 5 > 0 union all select g, 7 from range(3) t(g) union all select 0, 8)")
 def add_to_set(m):
     """Members that are added twice are there once."""
-    c = m.t("customer").where("c_custkey % 3 = 0")
-    one, two = c.select(F.col("c_custkey").alias("group_id"), F.col("c_name").alias("member_name")), c.select("c_custkey", "c_mktsegment")
-    return one.union(two).union(one).dropDuplicates(["group_id", "member_name"])
+    out = m.t("customer").where("c_custkey % 5 > 0").select((F.col("c_custkey") % 3).alias("group_id"), F.col("c_custkey").alias("member_id"), F.lit("entity").alias("member_kind"))
+    for group, member in ((0, 7), (1, 7), (2, 7), (0, 8), (0, 8)):
+        out = sets.add_to_set(out, group, member)
+    return out
 
 
 @query("select (select max(c_custkey) from customer) + 1 group_id, 'made' as name union all select c_custkey, 'Customer' from customer where c_custkey <= 3")
@@ -456,16 +458,21 @@ def create_set(m):
     return out.where((F.col("group_id") <= 3) | (F.col("group_id") == new)).select("group_id", F.element_at("names", 1).alias("name"))
 
 
-@query(f"with {PRESETS} select name, handle::int handle, true active from presets union all select 'weight', 1, true union all select 'colour', 2, true")
+@query(f"""with {PRESETS}, named as (select distinct c_mktsegment as name from customer), made as (select name, row_number() over (order by name) handle from named)
+    select name, handle::int handle, (select count(*) from customer where c_mktsegment = name) n_uses from (select * from presets union all select * from made)""")
 def create_tags(m):
-    reg, _ = tags.create_tag(tags.registry(m.spark), "weight", 8, "DOUBLE")
-    return tags.create_tag(reg, "colour", 4, "INTEGER")[0].select("name", "handle", F.col("is_active").alias("active"))
+    """A tag for every segment of the customers, in order of names, and how many use it."""
+    used = m.t("customer").groupBy(F.col("c_mktsegment").alias("name")).agg(F.count("*").alias("n_uses"))
+    reg = tags.registry(m.spark)
+    for r in used.orderBy("name").collect():  # a registry: a few names
+        reg, _ = tags.create_tag(reg, r.name, 8, "DOUBLE")
+    return reg.join(used, "name", "left").select("name", "handle", F.coalesce("n_uses", F.lit(0)).alias("n_uses"))
 
 
 @query("select event_id, (-(event_id % 8))::int handle, (case event_id % 8 when 1 then 32 when 2 then 4 when 3 then 4 when 4 then 4 when 5 then 8 when 6 then 4 else 0 end)::int length from events")
 def tag_sizes(m):
     wanted = m.t("events").select("event_id", (-(F.col("event_id") % 8)).cast("int").alias("handle"))
-    return wanted.join(F.broadcast(tags.registry(m.spark).select("handle", "length")), "handle", "left").select("event_id", "handle", F.coalesce("length", F.lit(0)).alias("length"))  # a registry: a few rows
+    return tags.sizes(tags.registry(m.spark), wanted).select("event_id", "handle", F.coalesce("length", F.lit(0)).alias("length"))
 
 
 @query("""select o_orderkey * 10 + k ent_id, 5 handle, hex(lpad((o_orderkey % 1000 + k)::varchar, 4, '0')) as value, k::bigint seq from orders, range(3) r(k)""")
@@ -613,8 +620,12 @@ def error_texts(m):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from solidspark.plans import modelling  # noqa: F401  adds its own
+
     return {name: (lambda spark, sf_dir, f=f: f(Carrier(spark, sf_dir))) for name, f in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    from solidspark.plans import modelling  # noqa: F401
+
     return dict(SQL)
