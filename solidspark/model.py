@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from solidspark.commands import ExportOptions
 from solidspark.errors import ErrorCode, LastError, SolidError
-from solidspark.operators import entities, merge, mesh, sets, tags, topology
+from solidspark.operators import entities, faceting, merge, mesh, sets, tags, topology
 from solidspark.schema import ALL_TYPES, TABLES
 from solidspark.sources.files import save_tables
 from solidspark.staging import stage
@@ -113,7 +113,7 @@ class Model:
             points = copied(points, handles, end, kept="left")
         more = {
             "entity": copied("entity", new, "ent_id"), "topology": copied("topology", new, "parent_id", "child_id"), "sense_use": copied("sense_use", new, "child_id", "parent_id"),
-            "mesh_vertex": copied(copied("mesh_vertex", new, "owner_id"), handles, "vh"), "surface_facets": copied("surface_facets", new, "surface_id"),
+            "mesh_vertex": copied(copied("mesh_vertex", new, "owner_id"), handles, "vh"), "surface_facets": copied("surface_facets", new, "surface_id"), "solid": copied("solid", new, "ent_id"),
             "curve_points": points, "body_volume": copied(copied("body_volume", new, "volume_id"), body, "body_id"),
         }
         self.tables |= {name: self[name].unionByName(rows.select(*self[name].columns)) for name, rows in more.items()}
@@ -122,7 +122,7 @@ class Model:
     #: The columns of each table that name entities.
     OWNED = {
         "topology": ("parent_id", "child_id"), "sense_use": ("child_id", "parent_id"), "sense": ("child_id", "parent_id"), "tag_value": ("ent_id",), "body_volume": ("volume_id",),
-        "mesh_vertex": ("owner_id",), "mesh_element": ("owner_id",), "curve_points": ("curve_id",), "surface_facets": ("surface_id",),
+        "mesh_vertex": ("owner_id",), "mesh_element": ("owner_id",), "curve_points": ("curve_id",), "surface_facets": ("surface_id",), "solid": ("ent_id",),
     }
 
     @recorded
@@ -168,7 +168,7 @@ class Model:
             uses = merge.relabelled(uses, merged, key)
         links = merge.relabelled(merge.relabelled(self["topology"], merged, "parent_id"), merged, "child_id")
         cut |= {"sense_use": uses, "topology": links, "group_member": merge.relabelled(self["group_member"], merged, "member_id", F.col("member_kind") == "entity"), "body_volume": merge.relabelled(self["body_volume"], merged, "volume_id")}
-        for name in ("tag_value", "mesh_vertex", "mesh_element", "curve_points", "surface_facets"):
+        for name in ("tag_value", "mesh_vertex", "mesh_element", "curve_points", "surface_facets", "solid"):
             key = self.OWNED[name][0]
             cut[name] = self[name].join(gone.select(F.col("ent_id").alias(key)), key, "left_anti").select(*self[name].columns)
         # curves end at the vertices that stay
@@ -239,9 +239,12 @@ class Model:
         on_curves, edges = mesh.curve_mesh(self["curve_points"], resabs, base)
         base += self["curve_points"].agg(F.sum(F.greatest(F.size("points") - 2, F.lit(0)))).first()[0] or 0
         on_surfaces, faces = mesh.surface_mesh(self["surface_facets"], self.surface_vertices(), resabs, base)
-        vertices = self["mesh_vertex"].unionByName(on_curves).unionByName(on_surfaces)
+        made = on_surfaces.agg(F.max("vh")).first()[0] or base
+        of_solids, shells = faceting.solid_mesh(self["solid"], o, made)
+        vertices = self["mesh_vertex"].unionByName(on_curves).unionByName(on_surfaces).unionByName(of_solids)
         edge_base = self["curve_points"].agg(F.sum(F.greatest(F.size("points") - 1, F.lit(0)))).first()[0] or 0
         elements = edges.select("eh", "owner_id", F.lit("EDGE").alias("type"), "conn").unionByName(faces.withColumn("eh", F.col("eh") + edge_base))
+        elements = elements.unionByName(shells.withColumn("eh", F.col("eh") + F.lit(elements.agg(F.max("eh")).first()[0] or 0)))
         status = curves.select(F.lit(1).alias("dim"), F.col("status").isin("failed", "skipped").alias("failed"))
         status = status.union(self["surface_facets"].select(F.lit(2), F.coalesce(F.size("facet_list") <= 0, F.lit(True))))
         meta = self.spark.createDataFrame([(self.model_id, o.faceting_tolerance, resabs)], TABLES["model_meta"])
@@ -253,5 +256,11 @@ class Model:
             "far_end": mesh.far_ends(self["curve_points"], self["mesh_vertex"], resabs),
             "file_set": entities.file_set((self["entity"], "ent_id"), (self["ent_group"], "group_id"), (vertices, "vh"), (elements, "eh")), "model_meta": meta,
         }
+        if o.make_watertight:
+            # sealing is not here: what would have to be sealed is told
+            sides = elements.where("type <> 'EDGE'").select("owner_id", "conn")
+            own = self["entity"].where("dim = 3").select(F.col("ent_id").alias("owner_id"))
+            of_volumes = mesh.closedness(sides.join(own, "owner_id", "left_semi"))
+            out["closedness"] = of_volumes.unionByName(mesh.closedness(sides.join(own, "owner_id", "left_anti"), senses))
         save_tables(out, path)
         return mesh.faceting_report(status)

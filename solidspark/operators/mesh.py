@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
+from solidspark.operators.components import smallest_reachable
 from solidspark.operators.merge import merge_points
 from solidspark.staging import stage
 
@@ -218,6 +219,32 @@ def open_edges(elements: DataFrame) -> DataFrame:
     return element_edges(elements).groupBy("a", "b").agg(F.count("*").alias("n")).where("n <> 2")
 
 
+def closedness(elements: DataFrame, senses: DataFrame | None = None) -> DataFrame:
+    """(volume_id, n_sides, missing, flipped, crowded, loops) of the elements (eh, owner_id, conn) of volumes.
+
+    senses (child_id, parent_id, sense): the owners are surfaces and bound these volumes, with -1 from inside; without it an owner is a
+    volume. A side that two elements use in opposite ways is closed. missing: used once; flipped: twice the same way;
+    crowded: more often. loops: the rings that the missing sides make."""
+    n = F.size("conn")
+    side = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.get("conn", i).alias("a"), F.get("conn", (i + 1) % n).alias("b")))
+    sides = elements.where(n > 1).select("owner_id", F.explode(side).alias("s")).select("owner_id", F.least("s.a", "s.b").alias("a"), F.greatest("s.a", "s.b").alias("b"), F.when(F.col("s.a") < F.col("s.b"), 1).otherwise(-1).alias("way"))
+    if senses is None:
+        owned = sides.withColumnRenamed("owner_id", "volume_id")
+    else:
+        of = senses.select(F.col("child_id").alias("owner_id"), F.col("parent_id").alias("volume_id"), "sense")
+        owned = sides.join(of, "owner_id").withColumn("way", F.col("way") * F.col("sense"))
+    used = stage(owned.groupBy("volume_id", "a", "b").agg(F.count("*").alias("n"), F.sum("way").alias("way")), "used-sides")
+    counts = used.groupBy("volume_id").agg(
+        F.count("*").alias("n_sides"), F.count_if(F.col("n") == 1).alias("missing"), F.count_if((F.col("n") == 2) & (F.col("way") != 0)).alias("flipped"), F.count_if(F.col("n") > 2).alias("crowded")
+    )
+    end = lambda c: F.struct("volume_id", F.col(c).alias("v"))
+    if used.where("n = 1").isEmpty():
+        return counts.withColumn("loops", F.lit(0).cast("long"))
+    rings = smallest_reachable(used.where("n = 1").select(end("a").alias("a"), end("b").alias("b")))
+    loops = rings.select(F.col("node.volume_id").alias("volume_id"), "component").distinct().groupBy("volume_id").agg(F.count("*").alias("loops"))
+    return counts.join(loops, "volume_id", "left").withColumn("loops", F.coalesce("loops", F.lit(0)))
+
+
 def euler(elements: DataFrame) -> DataFrame:
     """One row with V - E + F; 2 for a closed sphere."""
     sides = element_edges(elements).select("a", "b").distinct().agg(F.count("*").alias("e"))

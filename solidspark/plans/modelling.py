@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from solidspark.commands import ExportOptions
 from solidspark.model import Model
-from solidspark.operators import entities, merge
+from solidspark.operators import entities, faceting, journal, merge, mesh
 from solidspark.plans.carrier import BASE, QUERIES, Carrier, _bodies, query
 
 MERGE_TOL = 0.02
@@ -127,3 +128,105 @@ def model_copy(m):
     model.copy(m.spark.range(3, 4).toDF("ent_id"))
     links = model["topology"].where(F.col("parent_id") >= last).select("parent_id", "child_id")
     return links.join(model["entity"].select(F.col("ent_id").alias("parent_id"), F.col("global_id").alias("parent_global")), "parent_id")
+
+
+#: Of every part a primitive: six kinds, the last a torus without a hole.
+COARSE = ExportOptions(faceting_tolerance=0.5, normal_tolerance=30, length_tolerance=12.0)
+
+
+def _solids(m: Carrier) -> DataFrame:
+    k, s = F.col("p_partkey") % 6, F.col("p_size").cast("double")
+    kind = F.element_at(F.array(*map(F.lit, ("brick", "cylinder", "cone", "sphere", "torus", "torus"))), (k + 1).cast("int"))
+    b = F.when(k == 0, s / 2).when(k.isin(1, 2), s).when(k == 4, s / 2).when(k == 5, 2 * s).otherwise(0.0)
+    c = F.when(k == 0, s / 4).when(k == 1, s / 2).otherwise(0.0)
+    d = F.when((k == 2) & (F.col("p_size") % 2 == 0), s / 2).otherwise(0.0)
+    return m.t("part").select(F.col("p_partkey").alias("ent_id"), kind.alias("kind"), s.alias("a"), b.alias("b"), c.alias("c"), d.alias("d"))
+
+
+#: Counts by the sagitta, the turn and the length of chords; volumes of stacked frustums over regular polygons.
+_SIDES = "ceil(greatest(3.0::double, pi() / acos(greatest(-1.0::double, 1 - 0.5::double / {r})), 360.0::double / 30, pi() / asin(least(1.0::double, 12.0::double / (2 * {r})))) - 1e-9::double)::int"
+_SHELLS = f"""
+    s as (select p_partkey id, (p_partkey % 6)::int k, p_size::double s, p_size from part),
+    c as (select *, case when k = 0 then 4 when k in (1, 2) then {_SIDES.format(r="s")} when k = 3 then {_SIDES.format(r="s")} when k = 4 then {_SIDES.format(r="(s + s / 2)")} else {_SIDES.format(r="(s + 2 * s)")} end n,
+          case when k = 3 then {_SIDES.format(r="s")} when k = 4 then {_SIDES.format(r="(s / 2)")} when k = 5 then {_SIDES.format(r="(2 * s)")} end small, pi() - acos(0.5::double) half from s),
+    m as (select *, case k when 1 then 2 when 2 then case when p_size % 2 = 0 then 2 else 1 end when 3 then greatest(2, ceil(small / 2.0::double)::int) - 1 when 4 then small when 5 then greatest(2, ceil(small * half / pi() - 1e-9::double)::int) - 1 end rings from c),
+    rings as (select id, n, k, rings, unnest(case when k in (3, 5) then range(0, rings + 2) when k = 4 then range(0, rings + 1) when k = 0 then []::bigint[] else range(0, rings + 2) end) i, s, p_size, half from m),
+    prof as (select id, n, k, i, s, case k when 1 then case when i in (1, 2) then s else 0 end when 2 then case when i = 1 then s when i = 2 and rings = 2 then s / 2 else 0 end when 3 then s * cos(pi() * (i / (rings + 1.0::double) - 0.5::double))
+               when 4 then s + s / 2 * cos(2 * pi() * i / rings) else s + 2 * s * cos(half * (2 * i / (rings + 1.0::double) - 1)) end r,
+             case k when 1 then case when i < 2 then -s / 2 else s / 2 end when 2 then case when i < 2 then -s / 2 else s / 2 end when 3 then s * sin(pi() * (i / (rings + 1.0::double) - 0.5::double)) when 4 then s / 2 * sin(2 * pi() * i / rings) else 2 * s * sin(half * (2 * i / (rings + 1.0::double) - 1)) end z from rings),
+    bands as (select *, lead(r) over (partition by id order by i) r2, lead(z) over (partition by id order by i) z2 from prof),
+    vols as (select id, sum((z2 - z) / 3 * (r * r + r * r2 + r2 * r2)) * any_value(n) / 2 * sin(2 * pi() / any_value(n)) * case any_value(k) when 1 then 0.5::double else 1 end volume from bands where r2 is not null group by id),
+    shells as (select id, case when k = 0 then 8 when k = 4 then n * rings else n * rings + 2 end n_vertices, case when k = 0 then 12 else 2 * n * rings end n_triangles, coalesce(volume, s * s / 2 * s / 4) volume, k from m left join vols using (id))"""
+
+
+@query(f"with {_SHELLS} select id ent_id, n_vertices::bigint n_vertices, n_triangles::bigint n_triangles, round(volume, 3) + 0 volume, (case when k = 4 then 0 else 2 end)::bigint euler, 0::bigint open from shells")
+def primitive_facets(m):
+    """Of each primitive's mesh: counts, the volume that it encloses, Euler's number, and sides that are not closed."""
+    vertices, elements = faceting.solid_mesh(_solids(m), COARSE)
+    size = faceting.enclosed(vertices, elements).select(F.col("owner_id").alias("ent_id"), (F.round("volume", 3) + 0).alias("volume"))
+    n_v = vertices.groupBy(F.col("owner_id").alias("ent_id")).agg(F.count("*").alias("n_vertices"))
+    n_t = elements.groupBy(F.col("owner_id").alias("ent_id")).agg(F.count("*").alias("n_triangles"))
+    sides = mesh.closedness(elements).select(F.col("volume_id").alias("ent_id"), "n_sides", (F.col("missing") + F.col("flipped") + F.col("crowded")).alias("open"))
+    out = n_v.join(n_t, "ent_id").join(size, "ent_id").join(sides, "ent_id")
+    return out.select("ent_id", "n_vertices", "n_triangles", "volume", (F.col("n_vertices") - F.col("n_sides") + F.col("n_triangles")).alias("euler"), "open")
+
+
+@query(f"""with {_SHELLS} select id volume_id, (n_triangles * 3 // 2)::bigint n_sides, (case when id % 4 = 2 then 3 else 0 end)::bigint missing, (case when id % 4 = 1 then 3 else 0 end)::bigint flipped, 0::bigint crowded, (case when id % 4 = 2 then 1 else 0 end)::bigint loops from shells""")
+def volume_closedness(m):
+    """A turned triangle and a missing one are told apart, whichever way a surface bounds its volume."""
+    _, elements = faceting.solid_mesh(_solids(m), COARSE)
+    first = elements.groupBy("owner_id").agg(F.min("eh").alias("first"))
+    damaged = elements.join(first, "owner_id").where((F.col("owner_id") % 4 != 2) | (F.col("eh") != F.col("first")))
+    damaged = damaged.withColumn("conn", F.when((F.col("owner_id") % 4 == 1) & (F.col("eh") == F.col("first")), F.reverse("conn")).otherwise(F.col("conn")))
+    senses = _solids(m).select(F.col("ent_id").alias("child_id"), F.col("ent_id").alias("parent_id"), F.when(F.col("ent_id") % 7 == 0, -1).otherwise(1).alias("sense"))
+    return mesh.closedness(damaged, senses)
+
+
+def _journal(m: Carrier) -> DataFrame:
+    """Every event an operation on its user's body: moves, turns, mirrored scalings and reflections, and some that fail; every
+    fifth user is a surface, which cannot be moved or turned."""
+    k, axis = F.col("event_id") % 7, F.col("event_id") % 3
+    op = F.element_at(F.array(*map(F.lit, ("move", "rotate", "scale", "reflect", "rotate", "shear", "move"))), (k + 1).cast("int"))
+    of = lambda *v: F.element_at(F.array(*[x if hasattr(x, "cast") else F.lit(float(x)) for x in v]), (k + 1).cast("int"))
+    turn = (30 * (F.col("event_id") % 12)).cast("double")
+    args = [of(F.round("value").cast("double"), turn, 1, 0, 30, 0, 0.25), of(1, (axis == 0).cast("double"), 0, 0, 0, 0, 0), of(-1, (axis == 1).cast("double"), 0.25, 1, 0, 0, 0.5), of(0, (axis == 2).cast("double"), -1, 1, 0, 0, 0), of(0, 0, 1, 2, 0, 0, 0), of(0, 0, 1, 2, 0, 0, 0)]
+    return m.t("events").select(F.col("user_id").alias("ent_id"), F.when(F.col("user_id") % 5 == 0, "surface").otherwise("body").alias("kind"), F.col("event_id").alias("seq"), op.alias("op"), *[c.alias(f"a{i}") for i, c in enumerate(args)])
+
+
+_STATUS = """case when event_id % 7 = 5 then 21 when user_id % 5 = 0 and event_id % 7 in (0, 1, 4, 6) then 9 when event_id % 7 = 4 then 19 else 0 end"""
+#: Each event's map as a row of twelve, then one event after the other, user by user.
+_COMPOSED = f"""
+    ok as (select user_id u, event_id e, event_id % 7 k, event_id % 3 ax, round(value)::double v, radians((30 * (event_id % 12))::double) t, row_number() over (partition by user_id order by event_id) i from events where {_STATUS} = 0),
+    maps as (select u, e, i, case k when 0 then [1, 0, 0, v, 0, 1, 0, 1, 0, 0, 1, -1]::double[] when 6 then [1, 0, 0, 0.25, 0, 1, 0, 0, 0, 0, 1, 0.5]::double[] when 2 then [-1, 0, 0, 2, 0, 1, 0, 0, 0, 0, 1, 0]::double[]
+        when 3 then [7 / 9.0::double, -4 / 9.0::double, -4 / 9.0::double, 4 / 9.0::double, -4 / 9.0::double, 1 / 9.0::double, -8 / 9.0::double, 8 / 9.0::double, -4 / 9.0::double, -8 / 9.0::double, 1 / 9.0::double, 8 / 9.0::double]
+        else case ax when 0 then [1, 0, 0, 0, 0, cos(t), -sin(t), 0, 0, sin(t), cos(t), 0] when 1 then [cos(t), 0, sin(t), 0, 0, 1, 0, 0, -sin(t), 0, cos(t), 0] else [cos(t), -sin(t), 0, 0, sin(t), cos(t), 0, 0, 0, 0, 1, 0] end end m from ok),
+    run(u, i, f) as (select u, 0::bigint, [1, 0, 0, 0, 0, 1, 0, 0, 0, 0, 1, 0]::double[] from (select distinct u from maps)
+        union all select r.u, m.i, list_transform(range(12), lambda x: m.m[(x // 4 * 4 + 1)::int] * f[(x % 4 + 1)::int] + m.m[(x // 4 * 4 + 2)::int] * f[(x % 4 + 5)::int] + m.m[(x // 4 * 4 + 3)::int] * f[(x % 4 + 9)::int] + case when x % 4 = 3 then m.m[(x // 4 * 4 + 4)::int] else 0 end)
+        from run r join maps m on m.u = r.u and m.i = r.i + 1),
+    done as (select u, max(i) n, arg_max(f, i) f from run group by 1),
+    turns as (select u, (sum(case when k in (2, 3) then 1 else 0 end) % 2) = 1 turned from ok group by 1)"""
+
+
+@query(f"select user_id ent_id, event_id seq, ({_STATUS})::int status from events")
+def journal_status(m):
+    return journal.judged(_journal(m)).select("ent_id", "seq", F.col("status").cast("int").alias("status"))
+
+
+@query(f"with recursive {_COMPOSED} select u ent_id, n, turned, array_to_string(list_transform(f, lambda x: (round(x * 1000)::bigint)::varchar), ',') thousandths from done join turns using (u)")
+def transform_journal(m):
+    """Each user's operations in order as one map, and whether it turns triangles inside out."""
+    done = journal.composed(journal.judged(_journal(m)).where("status = 0"))
+    shown = F.transform("map", lambda x: F.round(x * 1000).cast("long").cast("string"))
+    return done.select("ent_id", "n", journal.turned(F.col("map")).alias("turned"), F.array_join(shown, ",").alias("thousandths"))
+
+
+@query(f"""with recursive {_COMPOSED}, points as (select vec_id, vec_id % 100 u, embedding[1]::double x, embedding[2]::double y, embedding[3]::double z from embeddings)
+    select vec_id, round(coalesce(f[1] * x + f[2] * y + f[3] * z + f[4], x), 3) + 0 x, round(coalesce(f[5] * x + f[6] * y + f[7] * z + f[8], y), 3) + 0 y, round(coalesce(f[9] * x + f[10] * y + f[11] * z + f[12], z), 3) + 0 z,
+           case when coalesce(turned, false) then '3,2,1' else '1,2,3' end conn from points left join done using (u) left join turns using (u)""")
+def journal_meshes(m):
+    """Vertices and windings of the users' meshes after their journals."""
+    done = journal.composed(journal.judged(_journal(m)).where("status = 0"))
+    vertices = m.points().select("vec_id", (F.col("vec_id") % 100).alias("owner_id"), "x", "y", "z")
+    elements = vertices.select("vec_id", "owner_id", F.array(F.lit(1), F.lit(2), F.lit(3)).alias("conn"))
+    moved = journal.moved_vertices(vertices, done).select("vec_id", *[(F.round(c, 3) + 0).alias(c) for c in "xyz"])
+    return moved.join(journal.moved_elements(elements, done).select("vec_id", F.array_join(F.col("conn").cast("array<string>"), ",").alias("conn")), "vec_id")

@@ -21,6 +21,7 @@ TABLES = {
     "mesh_vertex": "vh long, owner_id long, x double, y double, z double",
     "curve_points": "curve_id long, start_vh long, end_vh long, reversed boolean, points array<struct<x:double,y:double,z:double>>",
     "surface_facets": "surface_id long, points array<struct<x:double,y:double,z:double>>, facet_list array<int>",
+    "solid": "ent_id long, kind string, a double, b double, c double, d double",
     "mesh_element": "eh long, owner_id long, type string, conn array<long>",
     "model_meta": "model_id string, faceting_tol double, geometry_resabs double",
 }
