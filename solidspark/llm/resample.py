@@ -201,7 +201,9 @@ class Tournament:
         self.blocks: list[bytes] = [b""] * self.ways
         self.at = [0] * self.ways
         self.heads: list[bytes | None] = [None] * self.ways
-        self.tree = [0] * self.ways  # the leaf that wins below each node; [1] is the root's
+        self.tree = [0] * self.ways  # the leaf that wins below each node, at first the leftmost; [1] is the root's
+        for node in range(self.ways - 1, 0, -1):
+            self.tree[node] = 2 * node - self.ways if 2 * node >= self.ways else self.tree[2 * node]
 
     def _play(self, leaf: int) -> None:
         node, heads, tree, ways = (leaf + self.ways) >> 1, self.heads, self.tree, self.ways

@@ -50,11 +50,12 @@ EDGES = f"""
         union all select g, i, l, q, q, 3 * greatest(l, 1), 'D' from turns, (values (0), (1), (2), (3)) deletes(q)
     ) edits using (q)"""
 
-#: The table (s, t) of each stretch g: one element more in each recursion. firsts: the states that a stretch may begin in.
+#: The table (s, t) of each stretch g: one element more in each recursion, of which only the last is kept for each pair of states.
+#: firsts: the states that a stretch may begin in.
 REPAIR = """
-    with recursive run(g, i, s, t, cost, audit) as (
+    with recursive run(g, i, s, t, cost, audit) using key (g, s, t) as (
         select g, 0::bigint, s, s, 0::bigint, '' from firsts
-        union all
+        union
         select g, i, s, t, best.cost, best.ext from (
             select run.g, e.i, run.s, e.t, min({'cost': run.cost + e.cost, 'ext': run.audit || e.ext}) best
             from run join elements e on e.g = run.g and e.i = run.i + 1 and e.s = run.t
@@ -207,8 +208,10 @@ def repaired_tables(rows: DataFrame, stretch: int = STRETCH, batch_rows: int = B
         if rest.isEmpty():
             break
         table = ("s", "t", "cost", "audit")
-        joined = rest.where(F.col("segs") <= stretch).select("conv", (-F.col("least")).alias("seg"), F.col("of").alias("i"), *table)
-        long = rest.where(F.col("segs") > stretch)
+        # so many at least, for a range shuffle may part what it numbers at each bound between its partitions
+        few = max(stretch, 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        joined = rest.where(F.col("segs") <= few).select("conv", (-F.col("least")).alias("seg"), F.col("of").alias("i"), *table)
+        long = rest.where(F.col("segs") > few)
         # one row a stretch is numbered; its table follows
         heads = _stretches(long.select("conv", "of").distinct(), [F.col("of").asc()], stretch)
         heads = stage(heads.select(F.col("of").alias("_of"), "seg", "i"), "tr-heads")
