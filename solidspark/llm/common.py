@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from solidspark.staging import stage, unstage
 
-__all__ = ["WORD", "lower_words", "stage", "stage_frames", "table", "unstage"]
+__all__ = ["WORD", "as_long", "as_text", "lower_words", "stage", "stage_frames", "table", "unstage"]
 
 _FRAME_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -20,6 +21,17 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8").lower().split() if text else []
 
 
+def as_text(column: Column | str) -> Column:
+    """A whole number in decimal, for steps that take frames of pandas: there, whole numbers beside nulls become doubles, which
+    keep 53 bits."""
+    return (F.col(column) if isinstance(column, str) else column).cast("long").cast("string")
+
+
+def as_long(df: DataFrame, column: str) -> DataFrame:
+    """The number again."""
+    return df.withColumn(column, F.col(column).cast("long"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

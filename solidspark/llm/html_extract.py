@@ -35,6 +35,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from solidspark.llm.common import as_long, as_text
+
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|</?[a-zA-Z](?:\"[^\"]*\"|'[^']*'|[^'\">])*>|[^<]+|<", re.S)
 NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9-]*)")
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -307,7 +309,7 @@ def extract(pages: DataFrame, weights: Weights | None = None, html_col: str = "h
     def texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             text = [main_text(h or "", weights) for h in frame["html"]]
-            yield pd.DataFrame({"page_id": frame["page_id"].astype("Int64"), "url": frame["url"].tolist(), "text": text, "n_chars": [len(t) for t in text]})
+            yield pd.DataFrame({"page_id": frame["page_id"], "url": frame["url"].tolist(), "text": text, "n_chars": [len(t) for t in text]})
 
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.col(html_col).alias("html"))
-    return rows.mapInPandas(texts, "page_id long, url string, text string, n_chars long")
+    rows = pages.select(as_text("page_id").alias("page_id"), "url", F.col(html_col).alias("html"))
+    return as_long(rows.mapInPandas(texts, "page_id string, url string, text string, n_chars long"), "page_id")

@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from solidspark.llm.common import lower_words, stage
+from solidspark.llm.common import as_long, as_text, lower_words, stage
 
 STATES, CLASSES = 6, 1 << 15
 #: Baum-Welch ends with the pass that raises the log10 likelihood by less than this a token, or after so many.
@@ -61,7 +61,7 @@ def _unpacked(raw: bytes) -> np.ndarray:
 def _blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows of two kinds: documents (token numbers within the block, classes) and the words of the block
     (number, hash, count in training documents)."""
-    empty = {"doc_id": "Int64", "held_out": "boolean", "n_tokens": "Int64", "local": object, "classes": object, "place": "Int32", "word": "Int64", "train_n": "Int64"}
+    empty = {"doc_id": object, "held_out": "boolean", "n_tokens": "Int64", "local": object, "classes": object, "place": "Int32", "word": "Int64", "train_n": "Int64"}
 
     def close(docs: list, words: dict[bytes, int]) -> Iterator[pd.DataFrame]:
         block = uuid.uuid4().int >> 65  # the table is written once, so a rerun of the task replaces the block whole
@@ -71,7 +71,7 @@ def _blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         train = np.bincount(np.concatenate(learnt), minlength=len(words)) if learnt else np.zeros(len(words), np.int64)
         parts = [
             pd.DataFrame({
-                "doc_id": pd.array([d for d, _, _ in docs], "Int64"),
+                "doc_id": pd.Series([d for d, _, _ in docs], dtype=object),
                 "held_out": [h for _, h, _ in docs],
                 "n_tokens": [len(x) for _, _, x in docs],
                 "local": [_packed(x) for _, _, x in docs],
@@ -91,7 +91,7 @@ def _blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for w in dict.fromkeys(own):
                 if w not in words:
                     words[w] = len(words)
-            docs.append((None if pd.isna(doc_id) else int(doc_id), bool(held), np.fromiter(map(words.__getitem__, own), np.int32, len(own))))
+            docs.append((doc_id, bool(held), np.fromiter(map(words.__getitem__, own), np.int32, len(own))))
             size += len(text or "") + 8
             if size >= BLOCK_CHARS:
                 yield from close(docs, words)
@@ -252,8 +252,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     spark = docs.sparkSession
     ids = F.col(id_col).cast("long")
     held = F.coalesce(F.crc32(ids.cast("string").cast("binary")) % 10 == 0, F.lit(False))
-    texts = docs.select(ids.alias("doc_id"), held.alias("held_out"), F.col(text_col).alias("text"))
-    schema = "block long, doc_id long, held_out boolean, n_tokens long, local binary, classes binary, place int, word long, train_n long"
+    texts = docs.select(as_text(ids).alias("doc_id"), held.alias("held_out"), F.col(text_col).alias("text"))
+    schema = "block long, doc_id string, held_out boolean, n_tokens long, local binary, classes binary, place int, word long, train_n long"
     blocks = stage(texts.mapInPandas(_blocks, schema), "lm-blocks")
     words = blocks.where("word is not null").select("block", "word", "place", "train_n")
     counts = stage(words.where("train_n > 0").groupBy("word").agg(F.sum("train_n").alias("c")), "lm-counts")
@@ -284,7 +284,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         local = _sequences(docs["local"])
         states = forward(model, [classes[x] for x in local])
         return pd.DataFrame({
-            "doc_id": docs["doc_id"].astype("Int64"),
+            "doc_id": docs["doc_id"],
             "held_out": docs["held_out"],
             "n_tokens": [len(x) for x in local],
             "n_known": [int(known[x].sum()) for x in local],
@@ -295,5 +295,5 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     joined = words.drop("train_n").join(counts.select("word", "c"), "word", "left").select(F.col("block").alias("of"), "place", class_of.alias("class"), F.coalesce("c", F.lit(0)).alias("c"))
     own = blocks.where("local is not null").select("block", "doc_id", "held_out", "local")
-    out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return own.groupBy("block").cogroup(joined.groupBy("of")).applyInPandas(scored, out)
+    out = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return as_long(own.groupBy("block").cogroup(joined.groupBy("of")).applyInPandas(scored, out), "doc_id")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from solidspark.llm.common import lower_words, stage, stage_frames, unstage
+from solidspark.llm.common import as_long, as_text, lower_words, stage, stage_frames, unstage
 from solidspark.operators.components import smallest_reachable
 from solidspark.skew import heavy_keys, join_heavy
 
@@ -230,7 +230,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, n_shingles, component_id, kept, n_links) of every row; n_links: confirmed links of the
     document's class to other classes that were needed (a spanning part of all)."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = stage_frames(texts.mapInPandas(_sketches, "doc_id long, n_shingles long, digest binary, bands array<long>"), "mh-rows")
+    sketches = texts.withColumn("doc_id", as_text("doc_id")).mapInPandas(_sketches, "doc_id string, n_shingles long, digest binary, bands array<long>")
+    rows = stage_frames(as_long(sketches, "doc_id"), "mh-rows")
     full = rows.where("n_shingles > 0 and doc_id is not null")
     reps = full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("docs"))
     reps = stage(reps, "mh-reps")

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from solidspark.llm.common import WORD, stage
+from solidspark.llm.common import WORD, as_long, as_text, stage
 
 END_ID = 0
 #: Times that prices are set anew where a plan is not near its lower bound.
@@ -248,9 +248,9 @@ def _ranges(patterns: list[tuple[dict[int, int], int]]) -> np.ndarray:
 
 def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, [ids,] sequence_id, offset): every piece and its place."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<long>" if keep_ids else "")
-    pieces = stage(texts.mapInPandas(_pieces(vocabulary, capacity, keep_ids), schema), "pack-pieces")
+    texts = docs.select(as_text(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long" + (", ids array<long>" if keep_ids else "")
+    pieces = stage(as_long(texts.mapInPandas(_pieces(vocabulary, capacity, keep_ids), schema), "doc_id"), "pack-pieces")
     histogram = sorted((r.length, r.n) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect())
     lengths, counts = np.array([x for x, _ in histogram], np.int64), np.array([n for _, n in histogram], np.int64)
     ranges = docs.sparkSession.sparkContext.broadcast(_ranges(plan(lengths, counts, capacity) if len(lengths) else []))
@@ -271,4 +271,4 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, keep_ids: bool
             out["offset"] = row[:, 3] + in_range // row[:, 2] * length
             yield out[[c.split()[0] for c in schema.split(", ")] + ["sequence_id", "offset"]]
 
-    return ranked.mapInPandas(place, schema + ", sequence_id long, offset long")
+    return as_long(ranked.withColumn("doc_id", as_text("doc_id")).mapInPandas(place, schema + ", sequence_id long, offset long"), "doc_id")

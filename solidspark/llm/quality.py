@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from solidspark.llm.common import stage, stage_frames, unstage
+from solidspark.llm.common import as_long, as_text, stage, stage_frames, unstage
 
 THRESHOLD, FOLDS = 0.3, 5
 #: Weight of the squares of weights (of standardised inputs); steps end when the risk falls by less, or after so many.
@@ -129,7 +129,7 @@ def fit(totals: Callable[[list[np.ndarray]], list[np.ndarray]], prior: float, n:
 
 def _measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "x": [features(t or "").tobytes() for t in frame["text"]]})
+        yield pd.DataFrame({"doc_id": frame["doc_id"], "x": [features(t or "").tobytes() for t in frame["text"]]})
 
 
 def _matrix(raw: pd.Series) -> np.ndarray:
@@ -176,8 +176,8 @@ def _train(train: DataFrame, prior: float) -> tuple[np.ndarray, np.ndarray, np.n
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``; labels: (doc_id, quality)."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = stage_frames(rows.mapInPandas(_measure, "doc_id long, x binary"), "quality-features")
+    rows = docs.select(as_text(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = stage_frames(as_long(rows.mapInPandas(_measure, "doc_id string, x binary"), "doc_id"), "quality-features")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
     known = labels.select(F.col("doc_id").cast("long").alias("label_id"), "quality").where("quality is not null").groupBy("label_id").agg(F.max("quality").alias("quality"))
     train = rows.where(~held).join(known, F.col("doc_id") == F.col("label_id"), "left").select("x", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("positive"), F.col("quality").isNotNull().alias("labelled"))
@@ -192,7 +192,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             frame = whole.iloc[low : low + 2_000]
             z = standardised(_matrix(frame["x"]), *model[1:]) @ model[0] if model and len(frame) else np.full(len(frame), np.log(prior / (1 - prior)))
             s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "score": s, "predicted": (s >= THRESHOLD).astype("int32")})
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "score": s, "predicted": (s >= THRESHOLD).astype("int32")})
 
-    found = rows.mapInPandas(apply, "doc_id long, score double, predicted int")
+    found = as_long(rows.withColumn("doc_id", as_text("doc_id")).mapInPandas(apply, "doc_id string, score double, predicted int"), "doc_id")
     return found.select("doc_id", held.alias("held_out"), "score", "predicted")

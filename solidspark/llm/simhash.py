@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from solidspark.llm.common import lower_words, stage, unstage
+from solidspark.llm.common import as_long, as_text, lower_words, stage, unstage
 
 BITS = 128
 #: Radius of the search, and the blocks of its tables.
@@ -95,12 +95,12 @@ def _likeness(a: bytes, b: bytes) -> float:
     return 1 - (int.from_bytes(a) ^ int.from_bytes(b)).bit_count() / BITS
 
 
-PRINTS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, hi long, lo long"
+PRINTS = "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, hi long, lo long"
 #: A row of a range: its prints, or (kind 1, the first, and 2, the last) its text.
 ROWS = f"{PRINTS}, part int, kind int, text string"
 
 
-def _row(doc_id: int | None, text: str, nxt: str, own: bytes, after: bytes) -> tuple:
+def _row(doc_id: str | None, text: str, nxt: str, own: bytes, after: bytes) -> tuple:
     """The prints of a document and the next."""
     n = len(text)
     half = n // 2
@@ -120,9 +120,8 @@ def _stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A sorted range: the prints of all but its last row, and the texts at its ends."""
     part, before, blank = TaskContext.get().partitionId(), None, (None,) * len(PRINTS.split(", "))
     for frame in frames:
-        ids = [None if pd.isna(d) else int(d) for d in frame["doc_id"]]
         out = []
-        for doc_id, text in zip(ids, frame["text"], strict=True):
+        for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
             own = _voter().fingerprint(text)
             if before is None:
                 out.append((doc_id, *blank[1:], part, 1, text))
@@ -137,8 +136,7 @@ def _stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _ends(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        ids = [None if pd.isna(d) else int(d) for d in frame["doc_id"]]
-        rows = [_row(d, t, n, _voter().fingerprint(t), _voter().fingerprint(n)) for d, t, n in zip(ids, frame["text"], frame["next"], strict=True)]
+        rows = [_row(d, t, n, _voter().fingerprint(t), _voter().fingerprint(n)) for d, t, n in zip(frame["doc_id"], frame["text"], frame["next"], strict=True)]
         if rows:
             yield _frame(rows, PRINTS)
 
@@ -148,7 +146,7 @@ def _prints(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, min(-(-size // RANGE_BYTES), max(RANGES, -(-size // LARGE_RANGE_BYTES))))
     dealt = docs.withColumn("h", F.xxhash64("text")).repartitionByRange(ranges, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
-    rows = stage(dealt.select("doc_id", "text").mapInPandas(_stream, ROWS), "simhash-ranges")
+    rows = stage(dealt.select(as_text("doc_id").alias("doc_id"), "text").mapInPandas(_stream, ROWS), "simhash-ranges")
     parts = rows.where("kind = 1").select("part")
     # one number for each range: the only unpartitioned window; the last is followed by the first
     order = Window.orderBy("part")
@@ -156,7 +154,7 @@ def _prints(docs: DataFrame) -> DataFrame:
     first = rows.where("kind = 1").select(F.col("part").alias("then"), F.col("text").alias("next"))
     last = rows.where("kind = 2").select("part", "doc_id", "text").join(follows, "part").join(first, "then")
     names = [c.split()[0] for c in PRINTS.split(", ")]
-    return rows.where("kind = 0").select(*names).unionByName(last.select("doc_id", "text", "next").mapInPandas(_ends, PRINTS))
+    return as_long(rows.where("kind = 0").select(*names).unionByName(last.select("doc_id", "text", "next").mapInPandas(_ends, PRINTS)), "doc_id")
 
 
 def _block(block: int, blocks: int, hi: Column, lo: Column) -> Column:

@@ -15,7 +15,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from solidspark.llm import queries, resample, sumsquares, turns
+from solidspark.llm import html_extract, lm, minhash, packing, quality, queries, resample, simhash, sumsquares, turns
 
 SF = "/root/testdata/sf0.001"
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -313,3 +313,25 @@ def test_query_equals_sql(spark, name):
     order = sorted(got.columns)
     assert order == sorted(want.columns)
     assert Counter(map(tuple, got.select(*order).collect())) == Counter(want.select(*order).fetchall())
+
+
+# ids beyond 2**53 beside nulls, in every operator with Python steps
+
+FAR = 2**53 + 1
+
+
+@pytest.mark.parametrize("name", ["lm", "quality", "minhash", "packing", "simhash", "html"])
+def test_far_ids_beside_nulls(spark, name):
+    words = " ".join(f"word{k}" for k in range(40))
+    rows = [(FAR, words, "en", "s", 1), (None, words + " other.", "en", "s", 1), (7, "A third text. " + words[::-1], "en", "s", 1)]
+    docs = spark.createDataFrame(rows, DOCS).coalesce(1)
+    if name == "html":
+        pages = spark.createDataFrame([(d, "u", f"<p>{t}</p>") for d, t, *_ in rows], "page_id long, url string, html string").coalesce(1)
+        got = [r.page_id for r in html_extract.extract(pages).collect()]
+    else:
+        found = {
+            "lm": lambda: lm.score(docs), "minhash": lambda: minhash.near_duplicates(docs), "packing": lambda: packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")), "simhash": lambda: simhash.fingerprints(docs),
+            "quality": lambda: quality.score(docs, spark.createDataFrame([(FAR, 1), (7, 0)], "doc_id long, quality int")),
+        }[name]()
+        got = [r.doc_id for r in found.collect()]
+    assert Counter(got) == Counter([FAR, None, 7])
