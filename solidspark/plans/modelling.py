@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from solidspark.commands import ExportOptions
 from solidspark.model import Model
-from solidspark.operators import entities, faceting, journal, merge, mesh
+from solidspark.operators import entities, faceting, journal, merge, mesh, octree
 from solidspark.plans.carrier import BASE, QUERIES, Carrier, _bodies, query
 
 MERGE_TOL = 0.02
@@ -230,3 +230,60 @@ def journal_meshes(m):
     elements = vertices.select("vec_id", "owner_id", F.array(F.lit(1), F.lit(2), F.lit(3)).alias("conn"))
     moved = journal.moved_vertices(vertices, done).select("vec_id", *[(F.round(c, 3) + 0).alias(c) for c in "xyz"])
     return moved.join(journal.moved_elements(elements, done).select("vec_id", F.array_join(F.col("conn").cast("array<string>"), ",").alias("conn")), "vec_id")
+
+
+#: Every part a boolean of two primitives, the second at a place that its size gives; a third one is cut off every other part.
+DEPTH = 3
+_SHAPES = (("brick", 1.53, 1.11, 0.93, 0.0), ("cylinder", 1.31, 0.73, 0.51, 0.0), ("cone", 1.23, 0.83, 0.0, 0.31), ("sphere", 0.77, 0.0, 0.0, 0.0), ("torus", 0.71, 0.29, 0.0, 0.0))
+_OPS = ("unite", "subtract", "intersect")
+
+
+def _terms(m: Carrier) -> DataFrame:
+    p, s = F.col("p_partkey"), F.col("p_size")
+    shape = lambda k: F.element_at(F.array(*[F.struct(F.lit(n).alias("kind"), *[F.lit(v).alias(c) for c, v in zip("abcd", vs, strict=True)]) for n, *vs in _SHAPES]), (k % 5 + 1).cast("int"))
+    place = lambda x, y, z: [v.cast("double").alias(k) for k, v in zip(("dx", "dy", "dz"), (x, y, z), strict=True)]
+    nil = F.lit(0.0)
+    row = lambda k, op, t, where: F.struct(F.lit(k).alias("ord"), op.alias("op"), t.alias("t"), *place(*where))
+    first = row(0, F.lit("unite"), shape(p), (nil, nil, nil))
+    second = row(1, F.element_at(F.array(*map(F.lit, _OPS)), (F.floor(p / 25) % 3 + 1).cast("int")), shape(F.floor(p / 5)), ((s % 7 - 3) * 0.53, (F.floor(s / 7) % 3 - 1) * 0.41, (p % 4) * 0.13))
+    third = row(2, F.lit("subtract"), shape(F.lit(0)), ((s % 5 - 2) * 0.37, nil, F.lit(0.71)))
+    each = F.when(p % 2 == 0, F.array(first, second, third)).otherwise(F.array(first, second))
+    return m.t("part").select(p.alias("solid_id"), F.explode(each).alias("e")).select("solid_id", "e.ord", "e.op", "e.t.*", "e.dx", "e.dy", "e.dz")
+
+
+def _inside_sql(x: str, y: str, z: str) -> str:
+    """Whether a point is in the primitive of this row."""
+    return f"""case kind when 'brick' then abs({x}) <= a / 2 and abs({y}) <= b / 2 and abs({z}) <= c / 2 when 'sphere' then {x} * {x} + {y} * {y} + {z} * {z} <= a * a
+        when 'torus' then (sqrt({x} * {x} + {y} * {y}) - a) ** 2 + {z} * {z} <= b * b when 'cylinder' then ({x} / b) ** 2 + ({y} / c) ** 2 <= 1 and abs({z}) <= a / 2
+        else ({x} / b) ** 2 + ({y} / b) ** 2 <= (1 + (d / b - 1) * ({z} + a / 2) / a) ** 2 and abs({z}) <= a / 2 end"""
+
+
+_N = 2**DEPTH
+
+
+@query(f"""with recursive shapes(k, kind, a, b, c, d) as (values {", ".join(f"({k}, '{s[0]}', {', '.join(f'{v}::double' for v in s[1:])})" for k, s in enumerate(_SHAPES))}),
+    places as (select p_partkey s, 0 ord, 'unite' op, p_partkey % 5 k, 0.0::double dx, 0.0::double dy, 0.0::double dz from part
+        union all select p_partkey, 1, ['unite', 'subtract', 'intersect'][p_partkey // 25 % 3 + 1], p_partkey // 5 % 5, (p_size % 7 - 3) * 0.53::double, (p_size // 7 % 3 - 1) * 0.41::double, (p_partkey % 4) * 0.13::double from part
+        union all select p_partkey, 2, 'subtract', 0, (p_size % 5 - 2) * 0.37::double, 0, 0.71::double from part where p_partkey % 2 = 0),
+    terms as (select * from places join shapes using (k)),
+    halves as (select *, case kind when 'brick' then a / 2 when 'sphere' then a when 'torus' then a + b else b end hx, case kind when 'brick' then b / 2 when 'sphere' then a when 'torus' then a + b when 'cylinder' then c else b end hy,
+               case kind when 'brick' then c / 2 when 'sphere' then a when 'torus' then b else a / 2 end hz from terms),
+    boxes as (select s, min(dx - hx) lx, min(dy - hy) ly, min(dz - hz) lz, max(dx + hx) - min(dx - hx) wx, max(dy + hy) - min(dy - hy) wy, max(dz + hz) - min(dz - hz) wz from halves where op = 'unite' group by s),
+    grid as (select *, lx + wx * (i + 0.5::double) / {_N} x, ly + wy * (j + 0.5::double) / {_N} y, lz + wz * (k + 0.5::double) / {_N} z from boxes, range({_N}) i(i), range({_N}) j(j), range({_N}) k(k)),
+    tested as (select g.*, t.ord, t.op, {_inside_sql("(x - dx)", "(y - dy)", "(z - dz)")} held from grid g join terms t using (s)),
+    kept as (select s, i, j, k, any_value(lx) lx, any_value(ly) ly, any_value(lz) lz, any_value(wx) wx, any_value(wy) wy, any_value(wz) wz from tested group by s, i, j, k
+             having case max(case when ord = 1 then op end) when 'unite' then bool_or(held and ord < 2) when 'subtract' then bool_or(held and ord = 0) and not bool_or(held and ord = 1) else bool_or(held and ord = 0) and bool_or(held and ord = 1) end
+                    and not bool_or(held and ord = 2)),
+    cells as (select s, i * {_N * _N} + j * {_N} + k id, i, j, k from kept),
+    steps(di, dj, dk) as (values (0, 0, 0), (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)),
+    sides as (select a.s, a.id, b.id other from (select *, i + di bi, j + dj bj, k + dk bk from cells, steps) a join cells b on a.s = b.s and bi = b.i and bj = b.j and bk = b.k),
+    spread(s, id, label, n) as (select s, id, id, 0 from cells
+        union all select d.s, d.id, min(q.label), q.n + 1 from spread q join sides d on q.s = d.s and q.id = d.other where q.n < 48 group by d.s, d.id, q.n),
+    counted as (select s, count(distinct label) n from spread where n = 48 group by s),
+    held as (select s, count(*) n_cells, min(lx + wx * i / {_N}) x0, min(ly + wy * j / {_N}) y0, min(lz + wz * k / {_N}) z0, max(lx + wx * (i + 1) / {_N}) x1, max(ly + wy * (j + 1) / {_N}) y1, max(lz + wz * (k + 1) / {_N}) z1 from kept group by s)
+    select b.s solid_id, (case when n > 0 then 0 else 22 end)::int status, coalesce(n, 0) n_pieces, coalesce(n_cells, 0) n_cells, round(x0, 6) min_x, round(y0, 6) min_y, round(z0, 6) min_z, round(x1, 6) max_x, round(y1, 6) max_y, round(z1, 6) max_z
+    from boxes b left join counted using (s) left join held using (s)""")
+def boolean_bodies(m):
+    """What booleans leave: an empty result is a failure, else its pieces, cells and box on a grid."""
+    found = octree.pieces(_terms(m), DEPTH)
+    return found.drop("volume").withColumns({c: F.round(c, 6) for c in found.columns[5:]}).withColumn("status", F.col("status").cast("int"))
