@@ -12,6 +12,7 @@ from solidspark.commands import ExportOptions
 from solidspark.model import Model
 from solidspark.operators import entities, faceting, journal, merge, mesh, octree
 from solidspark.plans.carrier import BASE, QUERIES, Carrier, _bodies, query
+from solidspark.sources import regions
 
 MERGE_TOL = 0.02
 #: Vertices at three places with a little room around them: one a line item. Curves lead from line to line of an order and back,
@@ -287,3 +288,26 @@ def boolean_bodies(m):
     """What booleans leave: an empty result is a failure, else its pieces, cells and box on a grid."""
     found = octree.pieces(_terms(m), DEPTH)
     return found.drop("volume").withColumns({c: F.round(c, 6) for c in found.columns[5:]}).withColumn("status", F.col("status").cast("int"))
+
+
+def _own_decks(m: Carrier) -> DataFrame:
+    """A deck for every part: a ball, a box, a turned and moved cylinder and an elliptic one, with unions and complements of parentheses and of cells."""
+    r, top = ((F.col("p_size") % 5 + 1) * 0.5).cast("double").cast("string"), ((F.col("p_partkey") % 3 + 1) * 0.25).cast("double").cast("string")
+    text = F.concat(
+        F.lit("part\n1 0 -8 -11\n2 1 -1.5 (-9 : -10 11) 8\n3 2 -2.0 -7 #1 #2\n4 0 7 #(-9 : -10 11) imp:n=1\n5 0 #1 #2 #3 #4\n\n7 so "), r, F.lit("\n8 rpp -1 1 -0.5 0.5 -0.25 "), top,
+        F.lit("\n9 5 rcc 0 0 0 0 0 1 0.4\n10 gq 1 2 0 0 0 0\n     0 0 0 -1\n11 pz 0\n\ntr5 0.5 0.25 -0.5 0 1 0 0 0 1 1 0 0\nm1 1001 1.0\n"),
+    )
+    return m.t("part").select(F.col("p_partkey").cast("string").alias("deck"), text.alias("value"))
+
+
+@query("""with p as (select l_partkey::varchar deck, (l_quantity - 25) / 10 x, l_discount * 20 - 1 y, l_tax * 20 - 0.8::double z, (p_size % 5 + 1) * 0.5::double r, (p_partkey % 3 + 1) * 0.25::double top from lineitem join part on l_partkey = p_partkey),
+    s as (select *, x * x + y * y + z * z - r * r ball, greatest(-1 - x, x - 1, -0.5::double - y, y - 0.5::double, -0.25::double - z, z - top) box,
+          greatest(-(x - 0.5::double), x - 0.5::double - 1, (y - 0.25::double) * (y - 0.25::double) + (z + 0.5::double) * (z + 0.5::double) - 0.4::double * 0.4::double) tube, x * x + 2 * y * y - 1 gq from p),
+    c as (select *, box < 0 and z < 0 c1, (tube < 0 or (gq < 0 and z > 0)) and box > 0 c2, tube < 0 or (gq < 0 and z > 0) u from s),
+    d as (select *, ball < 0 and not c1 and not c2 c3, ball > 0 and not u c4 from c)
+    select deck, case when c1 then 1 when c2 then 2 when c3 then 3 when c4 then 4 else 5 end cell, count(*) n from d group by 1, 2""")
+def deck_regions(m):
+    """Line items as points, each classified by the deck of its part."""
+    at = m.t("lineitem").select(F.col("l_partkey").cast("string").alias("deck"), ((F.col("l_quantity") - 25) / 10).alias("x"), (F.col("l_discount") * 20 - 1).alias("y"), (F.col("l_tax") * 20 - 0.8).alias("z"))
+    known = at.join(m.t("part").select(F.col("p_partkey").cast("string").alias("deck")), "deck", "left_semi")
+    return regions.classify(known, _own_decks(m)).groupBy("deck", "cell").agg(F.count("*").alias("n"))
