@@ -12,7 +12,8 @@ from solidspark.commands import ExportOptions
 from solidspark.model import Model
 from solidspark.operators import entities, faceting, journal, merge, mesh, octree
 from solidspark.plans.carrier import BASE, QUERIES, Carrier, _bodies, query
-from solidspark.sources import regions
+from solidspark.sources import imports, regions
+from solidspark.sources.deck import DeckOptions
 
 MERGE_TOL = 0.02
 #: Vertices at three places with a little room around them: one a line item. Curves lead from line to line of an order and back,
@@ -311,3 +312,23 @@ def deck_regions(m):
     at = m.t("lineitem").select(F.col("l_partkey").cast("string").alias("deck"), ((F.col("l_quantity") - 25) / 10).alias("x"), (F.col("l_discount") * 20 - 1).alias("y"), (F.col("l_tax") * 20 - 0.8).alias("z"))
     known = at.join(m.t("part").select(F.col("p_partkey").cast("string").alias("deck")), "deck", "left_semi")
     return regions.classify(known, _own_decks(m)).groupBy("deck", "cell").agg(F.count("*").alias("n"))
+
+
+@query("""with d as (select p_partkey::varchar deck, (p_size % 5 + 1) * 0.5::double r from part),
+    h as (select deck, least(-1, -r) x0, least(-0.5::double, -r) y0, least(-0.25::double, -r) z0, greatest(1, r) x1, greatest(0.5::double, r) y1, greatest(0, r) z1 from d), s as (select *, greatest(x1 - x0, y1 - y0, z1 - z0) * 0.1::double m from h)
+    select deck, round(x0 - m, 9) inner_x, round(z0 - m, 9) inner_z, round(y1 + m, 9) inner_top, round(x0 - 2 * m, 9) outer_x, round(z1 + 2 * m, 9) outer_top from s""")
+def deck_graveyards(m):
+    """The shell around what has bounds in each part's deck: its ball, and its box below a plane."""
+    found = imports.graveyards(_own_decks(m), DeckOptions())
+    at = lambda c, k: F.round(F.get(c, F.lit(k)), 9)
+    return found.select("deck", at("inner", 0).alias("inner_x"), at("inner", 2).alias("inner_z"), at("inner", 4).alias("inner_top"), at("outer", 0).alias("outer_x"), at("outer", 5).alias("outer_top"))
+
+
+@query("""select options, p_partkey::varchar deck, name, cell_id from part, (values ('', 'mat:1/rho:-1.5', 2), ('', 'mat:2/rho:-2.0', 3), ('', 'imp:n=1', 4), ('skip_mats', 'imp:n=1', 4), ('skip_imps', 'mat:1/rho:-1.5', 2), ('skip_imps', 'mat:2/rho:-2.0', 3)) v(options, name, cell_id)""")
+def deck_groups(m):
+    """Groups of cells by material and importance, and what each option leaves out."""
+    out = None
+    for word in ("", "skip_mats", "skip_imps"):
+        one = imports.groups(_own_decks(m), DeckOptions.parse(word.split())[0]).withColumn("options", F.lit(word))
+        out = one if out is None else out.unionByName(one)
+    return out
