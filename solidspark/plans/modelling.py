@@ -273,12 +273,12 @@ _N = 2**DEPTH
     boxes as (select s, min(dx - hx) lx, min(dy - hy) ly, min(dz - hz) lz, max(dx + hx) - min(dx - hx) wx, max(dy + hy) - min(dy - hy) wy, max(dz + hz) - min(dz - hz) wz from halves where op = 'unite' group by s),
     grid as (select *, lx + wx * (i + 0.5::double) / {_N} x, ly + wy * (j + 0.5::double) / {_N} y, lz + wz * (k + 0.5::double) / {_N} z from boxes, range({_N}) i(i), range({_N}) j(j), range({_N}) k(k)),
     tested as (select g.*, t.ord, t.op, {_inside_sql("(x - dx)", "(y - dy)", "(z - dz)")} held from grid g join terms t using (s)),
-    kept as (select s, i, j, k, any_value(lx) lx, any_value(ly) ly, any_value(lz) lz, any_value(wx) wx, any_value(wy) wy, any_value(wz) wz from tested group by s, i, j, k
+    kept as materialized (select s, i, j, k, any_value(lx) lx, any_value(ly) ly, any_value(lz) lz, any_value(wx) wx, any_value(wy) wy, any_value(wz) wz from tested group by s, i, j, k
              having case max(case when ord = 1 then op end) when 'unite' then bool_or(held and ord < 2) when 'subtract' then bool_or(held and ord = 0) and not bool_or(held and ord = 1) else bool_or(held and ord = 0) and bool_or(held and ord = 1) end
                     and not bool_or(held and ord = 2)),
     cells as (select s, i * {_N * _N} + j * {_N} + k id, i, j, k from kept),
     steps(di, dj, dk) as (values (0, 0, 0), (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)),
-    sides as (select a.s, a.id, b.id other from (select *, i + di bi, j + dj bj, k + dk bk from cells, steps) a join cells b on a.s = b.s and bi = b.i and bj = b.j and bk = b.k),
+    sides as materialized (select a.s, a.id, b.id other from (select *, i + di bi, j + dj bj, k + dk bk from cells, steps) a join cells b on a.s = b.s and bi = b.i and bj = b.j and bk = b.k),
     spread(s, id, label, n) as (select s, id, id, 0 from cells
         union all select d.s, d.id, min(q.label), q.n + 1 from spread q join sides d on q.s = d.s and q.id = d.other where q.n < 48 group by d.s, d.id, q.n),
     counted as (select s, count(distinct label) n from spread where n = 48 group by s),
