@@ -104,29 +104,32 @@ def decided(terms: DataFrame, depth: int) -> DataFrame:
     return found
 
 
+def _node() -> Column:
+    """A cell by its solid and one number, for levels under 16."""
+    return F.struct("solid_id", F.expr("shiftleft(cast(level as bigint), 48) + shiftleft(cast(ix as bigint), 32) + shiftleft(cast(iy as bigint), 16) + iz").alias("cell"))
+
+
 def touching(cells: DataFrame, depth: int) -> DataFrame:
-    """(a, b): cells (structs of solid_id, level, ix, iy, iz) that have a face, or a part of one, in common. A cell looks for its equals and for larger ones."""
+    """(a, b): cells (see :func:`_node`) that have a face, or a part of one, in common. A cell looks for its equals and for larger ones."""
     axes = [f"i{x}" for x in "xyz"]
     ways = F.explode(F.array(*[F.struct(*[F.lit(s if n == k else 0).alias(c) for n, c in enumerate(axes)]) for k in range(3) for s in (-1, 1)])).alias("w")
-    own = F.struct("solid_id", "level", *axes)
-    near = cells.select(own.alias("a"), "solid_id", F.col("level").alias("own"), *[F.col(c) for c in axes], ways).select("a", "solid_id", "own", *[(F.col(c) + F.col(f"w.{c}")).alias(c) for c in axes])
+    near = cells.withColumn("a", _node()).select("a", "solid_id", F.col("level").alias("own"), *[F.col(c) for c in axes], ways).select("a", "solid_id", "own", *[(F.col(c) + F.col(f"w.{c}")).alias(c) for c in axes])
     near = near.where(" and ".join(f"{c} >= 0 and {c} < shiftleft(1, own)" for c in axes))
     up = near.select("a", "solid_id", *axes, "own", F.explode(F.sequence(F.lit(0), "own")).alias("level"))
     up = up.select("a", "solid_id", "level", *[F.expr(f"shiftright({c}, own - level)").alias(c) for c in axes])
-    return up.join(cells, ["solid_id", "level", *axes]).select("a", F.struct("solid_id", "level", *axes).alias("b"))
+    return up.join(cells, ["solid_id", "level", *axes]).select("a", _node().alias("b"))
 
 
 def pieces(terms: DataFrame, depth: int = 6) -> DataFrame:
     """(solid_id, status, n_pieces, n_cells, volume, min_x, ..., max_z) of every solid of ``terms``: what its booleans leave, at a resolution of
     2**depth cells along each axis of its box.
 
-    An empty result is a failure, with no box. Pieces hang together over faces; the box is that of the cells that are left."""
+    depth: 15 at most. An empty result is a failure, with no box. Pieces hang together over faces; the box is that of the cells that are left."""
     cells = stage(decided(terms, depth), "octree-inside")
     links = touching(cells, depth)
     labels = smallest_reachable(links)
-    own = F.struct("solid_id", "level", "ix", "iy", "iz")
     linked = labels.select(F.col("node.solid_id").alias("solid_id"), "component").distinct().groupBy("solid_id").agg(F.count("*").alias("linked"))
-    alone = cells.select(own.alias("node")).join(labels, "node", "left_anti").groupBy(F.col("node.solid_id").alias("solid_id")).agg(F.count("*").alias("alone"))
+    alone = cells.select(_node().alias("node")).join(labels, "node", "left_anti").groupBy(F.col("node.solid_id").alias("solid_id")).agg(F.count("*").alias("alone"))
     boxes = _boxes(terms).drop("terms")
     n = F.expr("shiftleft(1L, level)")
     low = [(F.col(f"l{x}") + F.col(f"w{x}") * F.col(f"i{x}") / n, f"min_{x}") for x in "xyz"]
