@@ -12,7 +12,7 @@ from solidspark.commands import ExportOptions
 from solidspark.model import Model
 from solidspark.operators import entities, faceting, journal, merge, mesh, octree
 from solidspark.plans.carrier import BASE, QUERIES, Carrier, _bodies, query
-from solidspark.sources import imports, regions
+from solidspark.sources import imports, regions, universes
 from solidspark.sources.deck import DeckOptions
 
 MERGE_TOL = 0.02
@@ -332,3 +332,29 @@ def deck_groups(m):
         one = imports.groups(_own_decks(m), DeckOptions.parse(word.split())[0]).withColumn("options", F.lit(word))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+def _nested_decks(m: Carrier) -> DataFrame:
+    """A deck for every part, three levels deep: a box of a lattice of three by three elements, in them pins with a moved
+    universe around them, balls, and one element left as it is; outside of it nothing. Every tenth part fills a universe with its own ancestor."""
+    r = ((F.col("p_size") % 4 + 1) * 0.1).cast("string")
+    ring = F.when(F.col("p_partkey") % 10 == 0, F.lit("fill=1")).otherwise(F.lit(""))
+    text = F.concat(
+        F.lit("nested\n1 0 -1 fill=1\n2 0 1\n3 0 -2 lat=1 u=1 fill=-1:1 -1:1 0:0\n     2 3 2 3 2 3 2 3 1\n4 1 -1.0 -3 u=2\n5 0 3 u=2 *fill=4 (0.25 0 0 90 0 90 180 90 90 90 90 0)\n6 2 -1.0 -4 u=3 "), ring,
+        F.lit("\n7 0 4 u=3\n8 0 -5 u=4\n9 0 5 u=4 imp:n=1\n\n1 rpp -2 2 -2 2 -1 1\n2 rpp -0.5 0.5 -0.5 0.5 -3 3\n3 cz "), r, F.lit("\n4 so "), r, F.lit("\n5 px 0.1\n\nm1 1001 1.0\n"),
+    )
+    return m.t("part").select(F.col("p_partkey").cast("string").alias("deck"), text.alias("value"))
+
+
+@query("""with p as (select l_partkey::varchar deck, l_partkey k, (l_quantity - 25) / 11 + 0.013::double x, l_discount * 40 - 2.01::double y, l_tax * 30 - 1.11::double z, (p_size % 4 + 1) * 0.1::double r from lineitem join part on l_partkey = p_partkey),
+    e as (select *, floor(x + 0.5)::int i, floor(y + 0.5)::int j from p), f as (select *, x - i u, y - j v from e),
+    g as (select *, abs(x) < 2 and abs(y) < 2 and abs(z) < 1 world, abs(i) <= 1 and abs(j) <= 1 element, i = 1 and j = 1 bare, (i + j) % 2 = 0 pin from f),
+    h as (select *, case when not world then '2' when k % 10 = 0 then '!' when not element then '' when bare then '1,3' when pin and u * u + v * v < r * r then '1,3,4' when pin and v < 0.1::double then '1,3,5,8' when pin then '1,3,5,9'
+          when u * u + v * v + z * z < r * r then '1,3,6' else '1,3,7' end path from g)
+    select deck, case when path in ('!', '') then '1' else path end path, (case path when '!' then 10 when '' then 22 else 0 end)::int status, case when path not in ('!', '') then string_split(path, ',')[-1]::int end cell, count(*) n from h group by all""")
+def deck_universes(m):
+    """Line items as points, each followed down the universes and lattices of the deck of its part."""
+    at = m.t("lineitem").select(F.col("l_partkey").cast("string").alias("deck"), ((F.col("l_quantity") - 25) / 11 + 0.013).alias("x"), (F.col("l_discount") * 40 - 2.01).alias("y"), (F.col("l_tax") * 30 - 1.11).alias("z"))
+    known = at.join(m.t("part").select(F.col("p_partkey").cast("string").alias("deck")), "deck", "left_semi")
+    found = universes.locate(known, _nested_decks(m))
+    return found.groupBy("deck", F.array_join(F.col("path").cast("array<string>"), ",").alias("path"), F.col("status").cast("int").alias("status"), "cell").agg(F.count("*").alias("n"))

@@ -190,6 +190,6 @@ def classify(points: DataFrame, decks: DataFrame) -> DataFrame:
     x, y, z = (F.col(c) for c in "xyz")
     met = points.join(geometry(decks).select("deck", "cells", "surfaces"), "deck", "left")
     signs = F.map_from_entries(F.transform("surfaces", lambda s: F.struct(s.getField("surface_id").alias("key"), F.sign(surface_value(s, x, y, z)).alias("value"))))
-    signed = met.withColumn("_s", signs)
-    held = F.filter("cells", lambda c: holds(c.getField("words"), F.col("_s")))
-    return signed.select(*points.columns, F.get(held, F.lit(0)).getField("cell_id").alias("cell"))
+    # an array of one, so that the signs are found once a point and not once a cell
+    first = F.transform(F.array(signs), lambda s: F.get(F.filter("cells", lambda c: holds(c.getField("words"), s)), F.lit(0)))
+    return met.select(*points.columns, F.get(first, F.lit(0)).getField("cell_id").alias("cell"))
