@@ -15,7 +15,8 @@ only (``_names_ban``); never one that encloses most of the marked words or the o
 other names, the list is the prior of the weights.
 
 Blocks end at the tags of BLOCKS; scripts, styles and the like, comments and markup are never text; character
-references are decoded, white space in a block becomes one space.
+references are decoded, white space in a block becomes one space. A paragraph or heading of marked content is kept though all
+of it is a link, and so is an ``h1`` right before the region.
 
 Defined cases: null or empty html, or a page without a block of positive score, gives an empty text; broken or
 unclosed markup is read as far as it goes, a ``<`` that starts no tag is text; without labelled pages the
@@ -37,12 +38,15 @@ from pyspark.sql import functions as F
 
 from solidspark.llm.common import as_long, as_text
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|</?[a-zA-Z](?:\"[^\"]*\"|'[^']*'|[^'\">])*>|[^<]+|<", re.S)
+TAG = re.compile(r"</?[a-zA-Z](?:\"[^\"]*\"|'[^']*'|[^'\">])*+>")
+STARTS = re.compile(r"</?[a-zA-Z]")
 NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9-]*)")
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORDS = re.compile(r"[a-z]+")
 # Names of the HTML standard.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "xmp"}
+#: Of these, whose content is text up to their end tag, or the end of the page; a slash in their start tag closes nothing.
+TEXTUAL = {"script", "style", "textarea", "title", "iframe", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "img", "wbr", "input"}
 #: Elements whose start ends an open one of the same name.
@@ -63,6 +67,8 @@ BANNED_TAGS, BANNED_WORDS = NOT_CONTENT_TAGS - {"header", "label", "head"}, NOT_
 PLAIN = {"area", "articles", "bar", "block", "box", "button", "buttons", "container", "form", "icons", "inner", "item", "items", "links", "list", "post", "posts", "section", "wrap", "wrapper"}
 #: Elements whose id and label are anchors of their text.
 ANCHORED = {"section", "h1", "h2", "h3", "h4", "h5", "h6"}
+#: Contexts of running text, and of titles.
+PROSE = {f"tag {t}" for t in ("p", "blockquote", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6")}
 #: Words that a name of the fixed lists counts for, and the largest weight.
 PRIOR_WORDS, MOST, STRUCTURE = 50.0, 3.0, 0.75
 #: What a block that is no content takes from a run at most, so that an advert does not part an article.
@@ -79,6 +85,45 @@ def key_of(feature: str) -> str:
     return feature if feature in NAMED else f"#{zlib.crc32(feature.encode()) % BUCKETS}"
 
 
+def tokens(html: str) -> Iterator[str]:
+    """Tags, comments and texts of a page in order, without what RAW elements hold, in linear time.
+
+    A tag ends at the first ``>`` that is not quoted. Where a quote is still open at the end of the page, quotes count for nothing from that
+    tag on; a ``<`` that no ``>`` follows is text. RAW elements that are none of TEXTUAL and have no end tag hold nothing."""
+    at, last, quotes, ends = 0, html.rfind(">"), True, {}
+    while at < len(html):
+        if html[at] != "<":
+            end = html.find("<", at)
+        elif html.startswith("<!--", at):
+            end = html.find("-->", at + 4) + 3 if html.find("-->", at + 4) >= 0 else -1
+        elif html.startswith("<![CDATA[", at):
+            end = html.find("]]>", at + 9) + 3 if html.find("]]>", at + 9) >= 0 else -1
+        elif at < last and (html[at + 1] in "!?" or STARTS.match(html, at)):
+            whole = TAG.match(html, at) if quotes and html[at + 1] not in "!?" else None
+            if not whole and html[at + 1] not in "!?":
+                quotes = False
+            end = whole.end() if whole else html.find(">", at) + 1
+        else:
+            end = at + 1
+        end = len(html) if end < 0 else end
+        token = html[at:end]
+        yield token
+        at = end
+        n = NAME.match(token) if len(token) > 1 and token[0] == "<" and token[1] != "/" else None
+        name = n[1].lower() if n else ""
+        if name not in RAW or (token.endswith("/>") and name in ("svg", "math")):
+            continue
+        # the next end tag of each name is looked for once, until it is passed
+        if ends.get(name, 0) >= 0 and ends.get(name, -1) < at:
+            found = re.compile(rf"</{name}(?=[\s/>])", re.I).search(html, at)
+            ends[name] = found.start() if found else -1
+        if ends[name] >= 0:
+            closed = html.find(">", ends[name])
+            at = closed + 1 if closed >= 0 else len(html)
+        elif name in TEXTUAL and not token.endswith("/>"):
+            at = len(html)
+
+
 class Block:
     __slots__ = ("banned", "bans", "contexts", "labelled", "links", "tags", "text", "words")
 
@@ -125,13 +170,7 @@ def blocks_of(html: str) -> tuple[list[Block], int]:
             tags = Counter()
         links = 0
 
-    skip_to = None
-    for m in TOKEN.finditer(html):
-        tok = m.group()
-        if skip_to:
-            if tok[:2] == "</" and (n := NAME.match(tok)) and n[1].lower() == skip_to:
-                skip_to = None
-            continue
+    for tok in tokens(html):
         if tok[0] != "<" or len(tok) == 1:
             pieces.append(tok)
             if link_depth:
@@ -154,8 +193,6 @@ def blocks_of(html: str) -> tuple[list[Block], int]:
             continue
         tags[name] += 1
         if name in RAW:
-            if not tok.endswith("/>"):
-                skip_to = name
             if name not in ("noscript", "svg", "math", "object"):
                 close_block()
             continue
@@ -283,13 +320,17 @@ def main_text(html: str, weights: Weights) -> str:
         word = weights.word(b)
         link = max(-MOST, min(word, word + weights.of("link")))
         words = (b.words - min(b.links, b.words)) * word + min(b.links, b.words) * link
-        kept.append(words > 0)
+        # a paragraph or heading of marked content that is all link is still the article's
+        kept.append(words > 0 or (b.labelled and not b.banned and word > 0 and not b.contexts.isdisjoint(PROSE)))
         # what marked content encloses and never belongs to it is left out below and parts no region
         scores.append(0.0 if b.banned else max(words, -PARTS) - sum(weights.tag(t) * k for t, k in b.tags.items()))
     a, z = best_run(scores)
     # the tags before a first block stand outside the region
     while a > 0 and kept[a - 1] and blocks[a - 1].labelled and blocks[a].labelled:
         a -= 1
+    # nor does its title cost the tags before it
+    if 0 < a < z and kept[a - 1] and "tag h1" in blocks[a - 1].contexts:
+        a -= 1
     while z and z < len(blocks) and kept[z] and blocks[z].labelled and blocks[z - 1].labelled:
         z += 1
     return "\n".join(b.text for b, k in zip(blocks[a:z], kept[a:z], strict=True) if k)
