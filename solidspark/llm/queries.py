@@ -87,11 +87,10 @@ def _spans_sql() -> str:
     """Of all spans that hold enough: those that hold no shorter one with the same start or with the same end."""
     blank, other = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
     sentences = rf"regexp_extract_all(text, '(?s){blank}*{other}.*?(?:[.!?]{blank}+|\n{blank}*|\z)')"
-    least, most = substring.MIN_CHARS, substring.MIN_CHARS // 2
     runs = rf"""sized as (select doc_id, ss, unnest(range(len(ss))) pos, unnest(ss) s from trimmed),
     summed as (select doc_id, pos, length(s) n, len(regexp_extract_all(s, '{other}+')) words, sum(length(s) + 1) over (partition by doc_id order by pos) upto from sized),
-    fits as (select a.doc_id, a.pos i, b.pos j from summed a join summed b on a.doc_id = b.doc_id and b.pos between a.pos and a.pos + {most}
-             where case when a.pos = b.pos then a.n >= {substring.ALONE_CHARS} or a.words > {substring.ALONE_WORDS} else b.upto - a.upto + a.n >= {least} end),
+    fits as (select a.doc_id, a.pos i, b.pos j from summed a join summed b on a.doc_id = b.doc_id and b.pos between a.pos and a.pos + 1
+             where case when a.pos = b.pos then a.n >= {substring.ALONE_CHARS} or a.words > {substring.ALONE_WORDS} else true end),
     least_ones as (select doc_id, i, min(j) j from fits group by 1, 2 union select doc_id, max(i), j from fits group by doc_id, j),
     runs as (select doc_id, i, j, array_to_string(ss[i + 1:j + 1], chr(10)) k from least_ones join trimmed using (doc_id))"""
     return _gone_sql(sentences, runs, "''", "n_sentences")

@@ -1,6 +1,6 @@
 """Substring dedup: sliding spans of sentences, joined globally; sentences under any non-first repeated span go.
 
-A span is a run of several consecutive sentences with at least ``min_chars`` characters, or one long sentence.
+A span is a run of several consecutive sentences, whatever its length (or with at least ``min_chars`` characters), or one long sentence.
 All spans are compared, though only some are hashed: those that hold no shorter span with the same start, and those
 that hold none with the same end. A span that is repeated is covered by the hashed ones inside it, which are repeated
 with it: each of its sentences is in the one that starts there, or else in the one that ends with the span.
@@ -22,9 +22,8 @@ from solidspark.llm.repeats import cleaned, drop_repeats
 
 #: A sentence ends after . ! or ? with white space, or after a line's end; the white space that follows stays with it.
 SENTENCE = r"(?s)[\x20\x09-\x0D]*[^\x20\x09-\x0D].*?(?:[.!?][\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*|\z)"
-#: Least characters of several sentences joined by one character each, under which repetition is common by chance
-#: (at most what one sentence needs).
-MIN_CHARS = 100
+#: Least characters of several sentences joined by one character each (at most what one sentence needs); 0: every run of two.
+MIN_CHARS = 0
 #: One sentence is a span with so many characters, or with more than so many words.
 ALONE_CHARS, ALONE_WORDS = 300, 50
 
@@ -52,7 +51,7 @@ def _key(units: list[str]) -> bytes:
 def dedup_spans(docs: DataFrame, min_chars: int = MIN_CHARS, alone_chars: int = ALONE_CHARS, alone_words: int = ALONE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The columns of ``docs`` with the text cleaned, then ``n_sentences``, ``removed`` (0-based sentence numbers).
 
-    With ``min_chars`` 0 every two consecutive sentences that occur together elsewhere earlier go."""
+    With ``min_chars`` 0, as it is by default, every two consecutive sentences that occur together elsewhere earlier go."""
 
     @F.arrow_udf("array<struct<pos int, len int, key binary, more array<struct<len int, key binary>>>>")
     def runs_of(texts: pa.Array) -> pa.Array:
