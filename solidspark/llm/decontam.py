@@ -7,8 +7,8 @@ aligned document and item is then compared token by token: an overlap is a windo
 (the whole item if it is shorter) in which at least ``share`` of the tokens are equal in place.
 
 The three masks were chosen so that no overlap goes without a seed: wherever the substitutions stand that the rule
-allows in 8 to 20 tokens, one mask finds five equal ones (the tests try all places). An item of 4 to 7 tokens overlaps
-only if all its tokens are there, and is hashed whole; one of fewer tokens is too common to mean a leak.
+allows in 8 to 20 tokens, one mask finds five equal ones (the tests try all places). An item of fewer than 8 tokens overlaps
+only if all its tokens are there, and is hashed whole.
 
 Seeds of the items are broadcast only if their bytes, summed first, are at most ``MOST_BYTES``;
 else the join shuffles the documents' seeds. Results are the same.
@@ -28,8 +28,8 @@ from solidspark.llm.common import stage, unstage
 
 #: 1: the token counts, 0: it is ignored.
 MASKS = ("111011", "1101011", "11100101")
-#: Items with fewer tokens are compared whole; with fewer than the second number not at all.
-SHORT, LEAST = 8, 4
+#: Items with fewer tokens are compared whole; those without tokens (fewer than the second number) not at all.
+SHORT, LEAST = 8, 1
 MOST_BYTES = 64_000_000
 
 
@@ -75,7 +75,7 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = 20, share: float =
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     bench = items.select(F.col(item_id).alias("item_id"), tokens(F.col(text_col)).alias("words")).where(F.size("words") >= LEAST).withColumns({"item": F.xxhash64("item_id", "words"), "n": F.size("words")})
     bench = stage(bench, "bench-items")
-    whole_of = {r.n: "1" * r.n for r in bench.where(F.col("n") < SHORT).select("n").distinct().collect()}  # at most SHORT - LEAST lengths
+    whole_of = {r.n: "1" * r.n for r in bench.where(F.col("n") < SHORT).select("n").distinct().collect()}  # fewer than SHORT lengths
     own_seeds = _seeds("words", list(MASKS))
     for n, mask in whole_of.items():
         own_seeds = F.when(F.col("n") == n, _seeds("words", [mask])).otherwise(own_seeds)
