@@ -388,8 +388,8 @@ def span_of(least):
 
 @pytest.mark.parametrize(("op", "split", "glue", "fits"), [
     (linedup.dedup_lines, lambda t: t.split("\n"), "\n", three_lines),
-    (substring.dedup_spans, sentences, "", span_of(100)),
-    (lambda d: substring.dedup_spans(d, min_chars=0), sentences, "", span_of(0)),
+    (lambda d: substring.dedup_spans(d, min_chars=100), sentences, "", span_of(100)),
+    (substring.dedup_spans, sentences, "", span_of(0)),
 ])
 def test_repeats_equal_brute_force(spark, op, split, glue, fits):
     rng = random.Random(9)
@@ -498,7 +498,7 @@ def test_decontamination_equals_all_alignments(spark):
             b = item.split()
             wide = min(20, len(b))
             best = max((sum(0 <= j + s < len(own) and own[j + s] == b[j] for j in range(a, a + wide)) for s in range(-len(b), len(own)) for a in range(len(b) - wide + 1)), default=0)
-            if len(b) >= 4 and best >= (len(b) if len(b) < 8 else 0.8 * wide):
+            if b and best >= (len(b) if len(b) < 8 else 0.8 * wide):
                 want[ident] = best
         assert got[d] == (sorted(want), max(want.values(), default=0))
 

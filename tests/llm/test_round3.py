@@ -6,6 +6,7 @@ import math
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,7 +16,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from solidspark.llm import html_extract, lm, minhash, packing, quality, queries, resample, simhash, sumsquares, turns
+from solidspark.llm import decontam, html_extract, lm, minhash, packing, quality, queries, resample, simhash, substring, sumsquares, turns
 
 SF = "/root/testdata/sf0.001"
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -335,3 +336,45 @@ def test_far_ids_beside_nulls(spark, name):
         }[name]()
         got = [r.doc_id for r in found.collect()]
     assert Counter(got) == Counter([FAR, None, 7])
+
+
+# 5, 6 and 9: what was left out before
+
+
+def test_short_runs_are_compared(spark):
+    pair = "The cat sat down here. It rained all day long."
+    table = [(1, "One. " + pair), (2, pair + " Two."), (3, "Three. " + pair), (4, "The cat sat down here. Four.")]
+    got = {r.doc_id: (r.text, list(r.removed)) for r in substring.dedup_spans(spark.createDataFrame(table, "doc_id long, text string")).collect()}
+    assert got == {1: (table[0][1], []), 2: ("Two.", [0, 1]), 3: ("Three. ", [1, 2]), 4: (table[3][1], [])}
+
+
+def test_short_items_are_found_whole(spark):
+    bench = spark.createDataFrame([(1, "Who won it?"), (2, "a b"), (3, "Zug"), (4, "..."), (5, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "and who won, it was said"), (2, "who won that"), (3, "b a"), (4, "c a, b."), (5, "zug! zug"), (6, None), (7, "won it who")], "doc_id long, text string")
+    got = {r.doc_id: list(r.item_ids) for r in decontam.flag(docs, bench).collect()}
+    assert got == {1: [1], 2: [], 3: [], 4: [2], 5: [3], 6: [], 7: []}
+
+
+def test_page_tokens():
+    read = lambda h: list(html_extract.tokens(h))
+    assert read("a<b>c</b > 1 < 2") == ["a", "<b>", "c", "</b >", " 1 ", "<", " 2"]
+    assert read("<p title='>'>x<!-- <p> -->y<!-- z") == ["<p title='>'>", "x", "<!-- <p> -->", "y", "<!-- z"]
+    assert read("<script src='x'/>var a = '<p>';</script>b") == ["<script src='x'/>", "b"]
+    assert read("<SCRIPT>if (a<b && c>'</p>') x</Script >b") == ["<SCRIPT>", "b"]
+    assert read("<svg>a<p>b") == ["<svg>", "a", "<p>", "b"] and read("<svg/>a</svg>") == ["<svg/>", "a", "</svg>"]
+    assert read("<p a='>b<i>c") == ["<p a='>", "b", "<i>", "c"] and read("<style>p {}") == ["<style>"]
+    assert read("x <a href") == ["x ", "<", "a href"] and read("") == []
+    for piece in ("<a '", "<a ", "<a b='", "<!a", "<svg>", "<script/>", "</a"):
+        began = time.time()
+        html_extract.main_text(piece * 200_000, html_extract.Weights({}))
+        assert time.time() - began < 20
+
+
+def test_links_and_titles_of_the_article_stay():
+    w = html_extract.Weights({})
+    body = "<p>" + "Plain words of an article that go on for a while. " * 4 + "</p>"
+    page = f"<nav><a href=/>Home</a></nav><article><h1>A title</h1>{body}<p><a href=x>The whole report</a></p>{body}<div class='related'><a>Other</a></div></article><footer>Foot</footer>"
+    got = html_extract.main_text(page, w).split("\n")
+    assert got[0] == "A title" and "The whole report" in got and len(got) == 4
+    bare = html_extract.main_text(page.replace("article>", "div>"), w).split("\n")
+    assert bare[0] == "A title" and len(bare) >= 3 and "Home" not in bare and "Foot" not in bare
