@@ -12,7 +12,7 @@ from solidspark.commands import ExportOptions
 from solidspark.errors import ErrorCode, LastError, SolidError
 from solidspark.operators import entities, faceting, merge, mesh, sets, tags, topology
 from solidspark.schema import ALL_TYPES, TABLES
-from solidspark.sources.files import save_tables
+from solidspark.sources.files import resolve_save, save_tables
 from solidspark.staging import stage
 
 
@@ -224,6 +224,22 @@ class Model:
         links = down(2, "surface_id", "curve_id").join(down(1, "curve_id", "owner_id"), "curve_id").select("surface_id", "owner_id").distinct()
         return links.join(self["mesh_vertex"], "owner_id").select("surface_id", "vh", "x", "y", "z")
 
+    @recorded
+    def save(self, path: str, options: list[str] | tuple[str, ...] = ()) -> str:
+        """Write the model's tables under ``path``, and ``file_type`` with what the save resolves to (see :func:`files.resolve_save`), which is
+        returned; :meth:`open` reads them back. The tables are Parquet whatever the type. A type that is none is not supported; nothing is
+        overwritten: a path that is there is a write error. Nothing is written then."""
+        kind = resolve_save(path, options)
+        if kind == "NOT_DEFINED":
+            raise SolidError(ErrorCode.NOT_SUPPORTED)
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        if where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where):
+            raise SolidError(ErrorCode.FILE_WRITE_ERROR)
+        tables = {n: t for n, t in self.tables.items() if n in TABLES} | {"file_type": self.spark.createDataFrame([(kind,)], "file_type string")}
+        for name, table in tables.items():  # not cut by model, so that an empty one keeps its schema
+            table.write.parquet(f"{path}/{name}")
+        return kind
+
     @recorded
     def export(self, path: str, options: ExportOptions | None = None, resabs: float = 1e-6) -> DataFrame:
         """Write the model's tables with topology, senses, group names and content, curves and facets as
