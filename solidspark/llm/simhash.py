@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from solidspark.llm.common import as_long, as_text, lower_words, stage, unstage
+from solidspark.skew import shuffled
 
 BITS = 128
 #: Radius of the search, and the blocks of its tables.
@@ -179,7 +180,7 @@ def near_pairs(queries: DataFrame, index: DataFrame, radius: int = RADIUS, block
     q = queries.select(F.col("hi").alias("q_hi"), F.col("lo").alias("q_lo"), F.explode(keys(F.col("hi"), F.col("lo"))).alias("key"))
     f = index.select("hi", "lo", F.explode(keys(F.col("hi"), F.col("lo"))).alias("key"))
     distance = hamming(F.col("q_hi"), F.col("q_lo"), F.col("hi"), F.col("lo")).cast("int")
-    return q.join(f, "key").where(distance <= radius).select("q_hi", "q_lo", "hi", "lo", distance.alias("distance")).distinct()
+    return q.join(shuffled(f), "key").where(distance <= radius).select("q_hi", "q_lo", "hi", "lo", distance.alias("distance")).distinct()
 
 
 def fingerprints(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,7 +194,7 @@ def fingerprints(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, id
     classes = rows.groupBy("hi", "lo").agg(F.count("*").alias("docs"), F.max(F.coalesce(asked, F.lit(False))).alias("asked"))
     classes = stage(classes, "simhash-classes")
     near = near_pairs(classes.where("asked"), classes, radius, blocks)
-    n_near = near.join(classes, ["hi", "lo"]).groupBy("q_hi", "q_lo").agg((F.sum("docs") - 1).alias("n_near"))
+    n_near = near.join(shuffled(classes), ["hi", "lo"]).groupBy("q_hi", "q_lo").agg((F.sum("docs") - 1).alias("n_near"))
     n_near = stage(n_near.withColumnsRenamed({"q_hi": "hi", "q_lo": "lo"}), "simhash-near")
     unstage(classes)
     out = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]

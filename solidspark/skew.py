@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 HEAVY = 10_000
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` for a join that goes through a shuffle, however small Spark takes it for.
+
+    Spark guesses sizes from the bytes of compressed files and does not know what ``explode`` adds, so it may broadcast, and
+    thus gather on the driver, many times what its threshold allows."""
+    return df.hint("merge")
+
+
 def heavy_keys(counts: DataFrame, total: int, key: str, n: str = "n") -> DataFrame:
     """The heavy keys of a table of keys with their numbers of rows: under ``HEAVY`` of them."""
     return counts.where(F.col(n) * HEAVY > F.lit(total)).select(key)
