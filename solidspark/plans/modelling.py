@@ -12,6 +12,7 @@ from solidspark.commands import ExportOptions
 from solidspark.model import Model
 from solidspark.operators import entities, faceting, journal, merge, mesh, octree
 from solidspark.plans.carrier import BASE, QUERIES, Carrier, _bodies, query
+from solidspark.skew import shuffled
 from solidspark.sources import imports, regions, universes
 from solidspark.sources.deck import DeckOptions
 
@@ -310,7 +311,7 @@ def _own_decks(m: Carrier) -> DataFrame:
 def deck_regions(m):
     """Line items as points, each classified by the deck of its part."""
     at = m.t("lineitem").select(F.col("l_partkey").cast("string").alias("deck"), ((F.col("l_quantity") - 25) / 10).alias("x"), (F.col("l_discount") * 20 - 1).alias("y"), (F.col("l_tax") * 20 - 0.8).alias("z"))
-    known = at.join(m.t("part").select(F.col("p_partkey").cast("string").alias("deck")), "deck", "left_semi")
+    known = at.join(shuffled(m.t("part").select(F.col("p_partkey").cast("string").alias("deck"))), "deck", "left_semi")
     return regions.classify(known, _own_decks(m)).groupBy("deck", "cell").agg(F.count("*").alias("n"))
 
 
@@ -355,6 +356,6 @@ def _nested_decks(m: Carrier) -> DataFrame:
 def deck_universes(m):
     """Line items as points, each followed down the universes and lattices of the deck of its part."""
     at = m.t("lineitem").select(F.col("l_partkey").cast("string").alias("deck"), ((F.col("l_quantity") - 25) / 11 + 0.013).alias("x"), (F.col("l_discount") * 40 - 2.01).alias("y"), (F.col("l_tax") * 30 - 1.11).alias("z"))
-    known = at.join(m.t("part").select(F.col("p_partkey").cast("string").alias("deck")), "deck", "left_semi")
+    known = at.join(shuffled(m.t("part").select(F.col("p_partkey").cast("string").alias("deck"))), "deck", "left_semi")
     found = universes.locate(known, _nested_decks(m))
     return found.groupBy("deck", F.array_join(F.col("path").cast("array<string>"), ",").alias("path"), F.col("status").cast("int").alias("status"), "cell").agg(F.count("*").alias("n"))

@@ -14,7 +14,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from solidspark.skew import shuffled
 from solidspark.sources.deck import cards_of, cells
+from solidspark.staging import stage
 
 WORDS = re.compile(r"#?\(|\)|:|#\d+|[+-]?\d+")
 #: Operators of postfix: both, either, not.
@@ -91,7 +93,7 @@ def regions(cards: DataFrame) -> DataFrame:
     A deck's cells come together, as they do in its text."""
     own = cells(cards).select("deck", "cell_id", "region")
     order = cards.where("section = 'cell'").select("deck", "ord", F.split_part(F.trim("card"), F.lit(" "), F.lit(1)).cast("int").alias("cell_id"))
-    each = own.join(order, ["deck", "cell_id"]).groupBy("deck").agg(F.array_sort(F.collect_list(F.struct("ord", "cell_id", "region"))).alias("cells"))
+    each = own.join(shuffled(order), ["deck", "cell_id"]).groupBy("deck").agg(F.array_sort(F.collect_list(F.struct("ord", "cell_id", "region"))).alias("cells"))
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -179,16 +181,16 @@ def holds(words: Column, signs: Column) -> Column:
 
 def geometry(decks: DataFrame) -> DataFrame:
     """(deck, cells, bad, surfaces) of decks (deck, value): one row each, as large as its text."""
-    cards = cards_of(decks)
-    found = surface_table(cards).join(transformations(cards), ["deck", "tr"], "left")
+    cards = stage(cards_of(decks), "cards")
+    found = surface_table(cards).join(shuffled(transformations(cards)), ["deck", "tr"], "left")
     faces = found.groupBy("deck").agg(F.collect_list(F.struct("surface_id", "mnemonic", "params", "off", "rot")).alias("surfaces"))
-    return regions(cards).join(faces, "deck", "left").withColumn("surfaces", F.coalesce("surfaces", F.array().cast(faces.schema["surfaces"].dataType)))
+    return regions(cards).join(shuffled(faces), "deck", "left").withColumn("surfaces", F.coalesce("surfaces", F.array().cast(faces.schema["surfaces"].dataType)))
 
 
 def classify(points: DataFrame, decks: DataFrame) -> DataFrame:
     """``points`` (deck, x, y, z and more) with ``cell``: the first cell of the point's own deck that holds it, else null."""
     x, y, z = (F.col(c) for c in "xyz")
-    met = points.join(geometry(decks).select("deck", "cells", "surfaces"), "deck", "left")
+    met = points.join(shuffled(geometry(decks).select("deck", "cells", "surfaces")), "deck", "left")
     signs = F.map_from_entries(F.transform("surfaces", lambda s: F.struct(s.getField("surface_id").alias("key"), F.sign(surface_value(s, x, y, z)).alias("value"))))
     # an array of one, so that the signs are found once a point and not once a cell
     first = F.transform(F.array(signs), lambda s: F.get(F.filter("cells", lambda c: holds(c.getField("words"), s)), F.lit(0)))

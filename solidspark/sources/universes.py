@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from solidspark.errors import ErrorCode
 from solidspark.sources.deck import cards_of, cells
 from solidspark.sources.regions import holds, regions, surface_table, surface_value, transformations
+from solidspark.skew import shuffled
 from solidspark.staging import stage, unstage
 
 #: A fill and all that is written for it: numbers, ranges and parentheses up to the next word.
@@ -47,7 +48,7 @@ def fills(cards: DataFrame) -> DataFrame:
     unit = F.array(*[F.lit(float(k % 4 == 0)) for k in range(9)])
     put = read.select("deck", "cell_id", F.when(F.size("fill") > 0, F.col("fill")).alias("fill"), "low", "high", F.when(F.size("given") == 1, F.get("given", F.lit(0)).cast("int")).alias("tr"), F.when(F.size("given") >= 3, F.slice("given", 1, 3)).alias("off"), F.when(F.size(turn) < 9, unit).when(F.col("degrees"), F.transform(turn, lambda v: F.cos(F.radians(v)))).otherwise(turn).alias("rot"))
     cards_tr = transformations(cards).select("deck", "tr", F.col("off").alias("t_off"), F.col("rot").alias("t_rot"))
-    out = own.join(put, ["deck", "cell_id"]).join(cards_tr, ["deck", "tr"], "left")
+    out = own.join(shuffled(put), ["deck", "cell_id"]).join(shuffled(cards_tr), ["deck", "tr"], "left")
     return out.select("deck", "cell_id", F.coalesce("u", F.lit(0)).alias("universe"), "lat", "fill", "low", "high", F.coalesce("off", "t_off").alias("off"), F.coalesce("t_rot", "rot").alias("rot"))
 
 
@@ -61,7 +62,7 @@ def rings(filled: DataFrame) -> DataFrame:
     while n:
         ways = steps.select("deck", F.col("outer").alias("inner")).distinct()
         held = steps.select("deck", F.col("inner").alias("outer")).distinct()
-        less = stage(steps.join(ways, ["deck", "inner"], "left_semi").join(held, ["deck", "outer"], "left_semi"), "fill-steps")
+        less = stage(steps.join(shuffled(ways), ["deck", "inner"], "left_semi").join(shuffled(held), ["deck", "outer"], "left_semi"), "fill-steps")
         left = less.count()
         unstage(steps)
         steps = less
@@ -89,18 +90,19 @@ def _bounds(words: Column, surfaces: Column) -> Column:
 
 def levels(decks: DataFrame) -> DataFrame:
     """(deck, universe, cells, surfaces, ring): the cells of each universe in order with their fills, as large as the deck's text."""
-    cards = cards_of(decks)
+    cards = stage(cards_of(decks), "cards")
     filled = stage(fills(cards), "fills")
-    found = surface_table(cards).join(transformations(cards), ["deck", "tr"], "left")
+    found = surface_table(cards).join(shuffled(transformations(cards)), ["deck", "tr"], "left")
     faces = found.groupBy("deck").agg(F.collect_list(F.struct("surface_id", "mnemonic", "params", "off", "rot")).alias("surfaces"))
     words = regions(without_fills(cards)).select("deck", F.explode("cells").alias("c")).select("deck", "c.*")
-    one = words.join(filled, ["deck", "cell_id"]).join(faces, "deck", "left")
+    one = words.join(shuffled(filled), ["deck", "cell_id"]).join(shuffled(faces), "deck", "left")
     one = one.withColumn("bounds", F.when(F.col("lat").isNotNull(), _bounds(F.col("words"), F.col("surfaces"))))
     cell = F.struct("ord", "cell_id", "words", "lat", "fill", "low", "high", "off", "rot", "bounds")
     each = one.groupBy("deck", "universe").agg(F.array_sort(F.collect_list(cell)).alias("cells"), F.first("surfaces").alias("surfaces"))
     ring = rings(filled).withColumn("ring", F.lit(True))
-    out = stage(each.join(ring, ["deck", "universe"], "left").withColumn("ring", F.coalesce("ring", F.lit(False))), "universes")
+    out = stage(each.join(shuffled(ring), ["deck", "universe"], "left").withColumn("ring", F.coalesce("ring", F.lit(False))), "universes")
     unstage(filled)
+    unstage(cards)
     return out
 
 
@@ -138,7 +140,7 @@ def locate(points: DataFrame, decks: DataFrame) -> DataFrame:
     now = points.select(kept, "deck", *[F.col(c).cast("double").alias(f"_{c}") for c in "xyz"], F.lit(0).alias("universe"), F.array().cast("array<int>").alias("path"))
     done, at = None, [F.col(f"_{c}") for c in "xyz"]
     while True:
-        met = now.join(geometry, ["deck", "universe"], "left")
+        met = now.join(shuffled(geometry), ["deck", "universe"], "left")
         signs = F.map_from_entries(F.transform("surfaces", lambda s: F.struct(s.getField("surface_id").alias("key"), F.sign(surface_value(s, *at)).alias("value"))))
         known = at[0].isNotNull() & at[1].isNotNull() & at[2].isNotNull()
         # an array of one, so that the signs are found once a point and not once a cell

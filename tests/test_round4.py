@@ -15,3 +15,14 @@ def test_fingerprint_tables_are_shuffled(spark):
 
     table = spark.createDataFrame([(k, -k) for k in range(5)], "hi long, lo long")
     assert joins(simhash.near_pairs(table, table)) == {"SortMergeJoin"}
+
+
+def test_decks_are_shuffled(spark):
+    """Decks are texts that compress well: their files are far smaller than what a broadcast of them would be."""
+    from solidspark.sources import regions
+
+    decks = spark.createDataFrame([("a", "t\n1 0 -1\n\n1 so 1.0\n")], "deck string, value string")
+    points = spark.createDataFrame([("a", 0.0, 0.0, 0.0)], "deck string, x double, y double, z double")
+    found = regions.classify(points, decks)
+    assert joins(found) == {"SortMergeJoin"}
+    assert [r.cell for r in found.collect()] == [1]
