@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from solidspark.skew import heavy_keys, join_heavy
+from solidspark.skew import heavy_keys, join_heavy, shuffled
 from solidspark.staging import stage, unstage
 
 
@@ -26,7 +26,7 @@ def smallest_reachable(edges: DataFrame) -> DataFrame:
     while True:
         near = join_heavy(both, labels.select(F.col("node").alias("b"), "component"), "b", hubs)
         near = near.groupBy(F.col("a").alias("near")).agg(F.min("component").alias("least"))
-        hooked = labels.join(near, labels["node"] == near["near"]).select("node", F.col("component").alias("was"), F.least("component", "least").alias("now"))
+        hooked = labels.join(shuffled(near), labels["node"] == near["near"]).select("node", F.col("component").alias("was"), F.least("component", "least").alias("now"))
         hooked = stage(hooked, "cc-hooked")
         large = heavy_keys(hooked.groupBy("now").agg(F.count("*").alias("n")), n_nodes, "now")
         jumped = join_heavy(hooked, labels.select(F.col("node").alias("now"), F.col("component").alias("top")), "now", large)

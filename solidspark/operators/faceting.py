@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from solidspark.commands import ExportOptions
 from solidspark.operators.mesh import running
+from solidspark.skew import shuffled
+from solidspark.staging import stage
 
 #: What a primitive's sizes a, b, c, d are.
 KINDS = {"brick": "x, y, z", "cylinder": "height, major, minor", "cone": "height, major, minor, top", "sphere": "radius", "torus": "major, minor"}
@@ -66,34 +68,36 @@ def profiles(solids: DataFrame, options: ExportOptions) -> DataFrame:
     return counted.select("ent_id", "kind", "a", "b", "c", "n", rings.alias("rings"), (-pole).alias("low"), pole.alias("high"), "closed", F.when(is_("cylinder", "cone"), F.try_divide(c, b)).otherwise(1.0).alias("stretch"))
 
 
-def facet_vertices(found: DataFrame) -> DataFrame:
-    """(ent_id, at, x, y, z) of profiles: place 0 is the lower pole, the rings follow, then the upper pole; a closed profile has no poles."""
+def facet_vertices(found: DataFrame, *more: str) -> DataFrame:
+    """(ent_id, at, x, y, z) of profiles: place 0 is the lower pole, the rings follow, then the upper pole; a closed profile has no poles.
+
+    more: columns of the profiles that each row keeps."""
     point = lambda x, y, z: F.struct(x.alias("x"), y.alias("y"), z.alias("z"))
     sign = lambda k, bit: F.when(F.shiftright(k, bit) % 2 == 1, 0.5).otherwise(-0.5)
     corners = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: point(sign(k, 0) * F.col("a"), sign(k, 1) * F.col("b"), sign(k, 2) * F.col("c")))
     n = F.col("n")
     angle = lambda j: _TURN * j / n
-    bricks = found.where("kind = 'brick'").select("ent_id", F.posexplode(corners).alias("at", "p")).select("ent_id", "at", "p.x", "p.y", "p.z")
+    bricks = found.where("kind = 'brick'").select("ent_id", *more, F.posexplode(corners).alias("at", "p")).select("ent_id", *more, "at", "p.x", "p.y", "p.z")
     round_ = found.where("kind <> 'brick'")
     first = F.when(F.col("closed"), 0).otherwise(1)
-    each = round_.select("ent_id", "n", "stretch", first.alias("first"), F.posexplode("rings").alias("i", "ring")).select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("j"))
-    on_rings = each.select("ent_id", (F.col("first") + F.col("i") * n + F.col("j")).alias("at"), (F.col("ring.r") * F.cos(angle(F.col("j")))).alias("x"), (F.col("stretch") * F.col("ring.r") * F.sin(angle(F.col("j")))).alias("y"), F.col("ring.z").alias("z"))
+    each = round_.select("ent_id", *more, "n", "stretch", first.alias("first"), F.posexplode("rings").alias("i", "ring")).select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("j"))
+    on_rings = each.select("ent_id", *more, (F.col("first") + F.col("i") * n + F.col("j")).alias("at"), (F.col("ring.r") * F.cos(angle(F.col("j")))).alias("x"), (F.col("stretch") * F.col("ring.r") * F.sin(angle(F.col("j")))).alias("y"), F.col("ring.z").alias("z"))
     ends = F.explode(F.array(F.struct(F.lit(0).alias("at"), F.col("low").alias("z")), F.struct((n * F.size("rings") + 1).alias("at"), F.col("high").alias("z")))).alias("e")
-    poles = round_.where("not closed").select("ent_id", ends).select("ent_id", "e.at", F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), "e.z")
+    poles = round_.where("not closed").select("ent_id", *more, ends).select("ent_id", *more, "e.at", F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), "e.z")
     return bricks.unionByName(on_rings).unionByName(poles)
 
 
-def facet_triangles(found: DataFrame) -> DataFrame:
-    """(ent_id, ord, conn) of profiles: three places each, counter-clockwise from outside."""
+def facet_triangles(found: DataFrame, *more: str) -> DataFrame:
+    """(ent_id, ord, conn) of profiles: three places each, counter-clockwise from outside; more: columns of the profiles that each row keeps."""
     # a brick's corners by the bits of their place: x 1, y 2, z 4
     sides = [(0, 2, 3, 1), (4, 5, 7, 6), (0, 1, 5, 4), (2, 6, 7, 3), (0, 4, 6, 2), (1, 3, 7, 5)]
     tri = lambda *v: F.array(*[F.lit(x) if isinstance(x, int) else x for x in v])
     halves = F.array(*[tri(*t) for p, q, r, s in sides for t in ((p, q, r), (p, r, s))])
-    bricks = found.where("kind = 'brick'").select("ent_id", F.posexplode(halves).alias("ord", "conn"))
+    bricks = found.where("kind = 'brick'").select("ent_id", *more, F.posexplode(halves).alias("ord", "conn"))
     n, k = F.col("n"), F.size("rings")
     first = F.when(F.col("closed"), 0).otherwise(1)
     # a band leads from each ring to the next; below the first and above the last ring are fans
-    round_ = found.where("kind <> 'brick'").select("ent_id", "n", k.alias("k"), "closed", first.alias("first"), F.explode(F.sequence(F.when(F.col("closed"), 0).otherwise(-1), k - 1)).alias("i"))
+    round_ = found.where("kind <> 'brick'").select("ent_id", *more, "n", k.alias("k"), "closed", first.alias("first"), F.explode(F.sequence(F.when(F.col("closed"), 0).otherwise(-1), k - 1)).alias("i"))
     each = round_.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("j"))
     i, j, k = F.col("i"), F.col("j"), F.col("k")
     nxt = F.when(F.col("closed") & (i == k - 1), 0).otherwise(i + 1)
@@ -103,8 +107,8 @@ def facet_triangles(found: DataFrame) -> DataFrame:
     made = F.when(i == -1, fan_low).when(~F.col("closed") & (i == k - 1), fan_high).otherwise(band)
     start = F.when(F.col("closed"), 2 * n * i).when(i == -1, 0).otherwise(n + 2 * n * i)
     width = F.when((i == -1) | (~F.col("closed") & (i == k - 1)), 1).otherwise(2)
-    out = each.select("ent_id", (start + width * j).alias("start"), F.posexplode(made).alias("o", "conn"))
-    return bricks.unionByName(out.select("ent_id", (F.col("start") + F.col("o")).alias("ord"), "conn"))
+    out = each.select("ent_id", *more, (start + width * j).alias("_at"), F.posexplode(made).alias("o", "conn"))
+    return bricks.unionByName(out.select("ent_id", *more, (F.col("_at") + F.col("o")).alias("ord"), "conn"))
 
 
 def solid_mesh(solids: DataFrame, options: ExportOptions | None = None, base: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -114,17 +118,20 @@ def solid_mesh(solids: DataFrame, options: ExportOptions | None = None, base: in
     rings = rings.when(F.col("closed"), F.struct((F.col("n") * F.size("rings")).alias("v"), (2 * F.col("n") * F.size("rings")).alias("t")))
     rings = rings.otherwise(F.struct((F.col("n") * F.size("rings") + 2).alias("v"), (2 * F.col("n") * F.size("rings")).alias("t")))
     counts = found.select("ent_id", rings.alias("s")).select("ent_id", "s.v", "s.t")
-    start = running(counts, "ent_id", "v").join(running(counts, "ent_id", "t").withColumnRenamed("start", "first"), "ent_id")
-    vertices = facet_vertices(found).join(start, "ent_id").select((F.lit(base) + F.col("start") + F.col("at") + 1).cast("long").alias("vh"), F.col("ent_id").alias("owner_id"), "x", "y", "z")
-    conn = F.transform("conn", lambda v: (F.lit(base) + F.col("start") + v + 1).cast("long"))
-    elements = facet_triangles(found).join(start, "ent_id").select((F.col("first") + F.col("ord") + 1).cast("long").alias("eh"), F.col("ent_id").alias("owner_id"), F.lit("TRI").alias("type"), conn.alias("conn"))
+    start = running(counts, "ent_id", "v").withColumnRenamed("start", "_v").join(shuffled(running(counts, "ent_id", "t").withColumnRenamed("start", "_t")), "ent_id")
+    # numbers meet the solids before these become vertices and elements, so that only solids are shuffled
+    numbered = stage(found.join(shuffled(start), "ent_id"), "solids")
+    vertices = facet_vertices(numbered, "_v").select((F.lit(base) + F.col("_v") + F.col("at") + 1).cast("long").alias("vh"), F.col("ent_id").alias("owner_id"), "x", "y", "z")
+    conn = F.transform("conn", lambda v: (F.lit(base) + F.col("_v") + v + 1).cast("long"))
+    elements = facet_triangles(numbered, "_v", "_t").select((F.col("_t") + F.col("ord") + 1).cast("long").alias("eh"), F.col("ent_id").alias("owner_id"), F.lit("TRI").alias("type"), conn.alias("conn"))
     return vertices, elements
 
 
 def enclosed(vertices: DataFrame, elements: DataFrame) -> DataFrame:
     """(owner_id, area, volume) of triangles; the volume is positive where they are wound outwards."""
-    corner = elements.where("type = 'TRI'").select("eh", "owner_id", F.posexplode("conn").alias("k", "vh")).join(vertices.select("vh", *"xyz"), "vh")
-    tri = corner.groupBy("eh", "owner_id").agg(*[F.max(F.when(F.col("k") == k, F.col(c))).alias(f"{c}{k}") for k in range(3) for c in "xyz"])
+    tri = elements.where("type = 'TRI'").select("owner_id", *[F.get("conn", F.lit(k)).alias(f"v{k}") for k in range(3)])
+    for k in range(3):
+        tri = tri.join(shuffled(vertices.select(F.col("vh").alias(f"v{k}"), *[F.col(c).alias(f"{c}{k}") for c in "xyz"])), f"v{k}").drop(f"v{k}")
     p = [[F.col(f"{c}{k}") for c in "xyz"] for k in range(3)]
     cross = lambda u, v: [u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0]]
     normal = cross([b - a for a, b in zip(p[0], p[1], strict=True)], [b - a for a, b in zip(p[0], p[2], strict=True)])

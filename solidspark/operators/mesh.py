@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType, IntegerType
 
 from solidspark.operators.components import smallest_reachable
 from solidspark.operators.merge import merge_points
+from solidspark.skew import shuffled
 from solidspark.staging import stage
 
 
@@ -232,7 +233,7 @@ def closedness(elements: DataFrame, senses: DataFrame | None = None) -> DataFram
         owned = sides.withColumnRenamed("owner_id", "volume_id")
     else:
         of = senses.select(F.col("child_id").alias("owner_id"), F.col("parent_id").alias("volume_id"), "sense")
-        owned = sides.join(of, "owner_id").withColumn("way", F.col("way") * F.col("sense"))
+        owned = sides.join(shuffled(of), "owner_id").withColumn("way", F.col("way") * F.col("sense"))
     used = stage(owned.groupBy("volume_id", "a", "b").agg(F.count("*").alias("n"), F.sum("way").alias("way")), "used-sides")
     counts = used.groupBy("volume_id").agg(
         F.count("*").alias("n_sides"), F.count_if(F.col("n") == 1).alias("missing"), F.count_if((F.col("n") == 2) & (F.col("way") != 0)).alias("flipped"), F.count_if(F.col("n") > 2).alias("crowded")
@@ -242,7 +243,7 @@ def closedness(elements: DataFrame, senses: DataFrame | None = None) -> DataFram
         return counts.withColumn("loops", F.lit(0).cast("long"))
     rings = smallest_reachable(used.where("n = 1").select(end("a").alias("a"), end("b").alias("b")))
     loops = rings.select(F.col("node.volume_id").alias("volume_id"), "component").distinct().groupBy("volume_id").agg(F.count("*").alias("loops"))
-    return counts.join(loops, "volume_id", "left").withColumn("loops", F.coalesce("loops", F.lit(0)))
+    return counts.join(shuffled(loops), "volume_id", "left").withColumn("loops", F.coalesce("loops", F.lit(0)))
 
 
 def euler(elements: DataFrame) -> DataFrame:

@@ -170,7 +170,7 @@ def primitive_facets(m):
     n_v = vertices.groupBy(F.col("owner_id").alias("ent_id")).agg(F.count("*").alias("n_vertices"))
     n_t = elements.groupBy(F.col("owner_id").alias("ent_id")).agg(F.count("*").alias("n_triangles"))
     sides = mesh.closedness(elements).select(F.col("volume_id").alias("ent_id"), "n_sides", (F.col("missing") + F.col("flipped") + F.col("crowded")).alias("open"))
-    out = n_v.join(n_t, "ent_id").join(size, "ent_id").join(sides, "ent_id")
+    out = n_v.join(shuffled(n_t), "ent_id").join(shuffled(size), "ent_id").join(shuffled(sides), "ent_id")
     return out.select("ent_id", "n_vertices", "n_triangles", "volume", (F.col("n_vertices") - F.col("n_sides") + F.col("n_triangles")).alias("euler"), "open")
 
 
@@ -179,7 +179,7 @@ def volume_closedness(m):
     """A turned triangle and a missing one are told apart, whichever way a surface bounds its volume."""
     _, elements = faceting.solid_mesh(_solids(m), COARSE)
     first = elements.groupBy("owner_id").agg(F.min("eh").alias("first"))
-    damaged = elements.join(first, "owner_id").where((F.col("owner_id") % 4 != 2) | (F.col("eh") != F.col("first")))
+    damaged = elements.join(shuffled(first), "owner_id").where((F.col("owner_id") % 4 != 2) | (F.col("eh") != F.col("first")))
     damaged = damaged.withColumn("conn", F.when((F.col("owner_id") % 4 == 1) & (F.col("eh") == F.col("first")), F.reverse("conn")).otherwise(F.col("conn")))
     senses = _solids(m).select(F.col("ent_id").alias("child_id"), F.col("ent_id").alias("parent_id"), F.when(F.col("ent_id") % 7 == 0, -1).otherwise(1).alias("sense"))
     return mesh.closedness(damaged, senses)

@@ -29,4 +29,4 @@ def join_heavy(left: DataFrame, right: DataFrame, key: str, heavy: DataFrame) ->
     ``HEAVY`` would hold, and those are joined as Spark likes. A null key meets nothing."""
     few = F.broadcast(heavy)
     met = left.join(F.broadcast(right.join(few, key, "left_semi")), key)
-    return met.unionByName(left.join(few, key, "left_anti").join(right, key))
+    return met.unionByName(left.join(few, key, "left_anti").join(shuffled(right), key))

@@ -26,3 +26,19 @@ def test_decks_are_shuffled(spark):
     found = regions.classify(points, decks)
     assert joins(found) == {"SortMergeJoin"}
     assert [r.cell for r in found.collect()] == [1]
+
+
+def test_meshes_are_shuffled(spark):
+    """Solids become thousands of rows each by ``explode``, of which Spark's sizes say nothing."""
+    from solidspark.operators import faceting, mesh
+
+    solids = spark.createDataFrame([(1, "brick", 1.0, 2.0, 3.0, 0.0), (2, "sphere", 1.0, 0.0, 0.0, 0.0)], "ent_id long, kind string, a double, b double, c double, d double")
+    vertices, elements = faceting.solid_mesh(solids)
+    assert joins(elements) == set()
+    found = faceting.enclosed(vertices, elements)
+    assert joins(found) == {"SortMergeJoin"}
+    assert round({r.owner_id: r.volume for r in found.collect()}[1], 9) == 6
+    senses = spark.createDataFrame([(1, 1, 1), (2, 2, -1)], "child_id long, parent_id long, sense int")
+    closed = mesh.closedness(elements.where("eh > 1"), senses)
+    assert joins(closed) == {"SortMergeJoin"}
+    assert sorted((r.volume_id, r.missing, r.loops) for r in closed.collect()) == [(1, 3, 1), (2, 0, 0)]
