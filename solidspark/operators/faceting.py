@@ -19,6 +19,8 @@ from solidspark.staging import stage
 #: What a primitive's sizes a, b, c, d are.
 KINDS = {"brick": "x, y, z", "cylinder": "height, major, minor", "cone": "height, major, minor, top", "sphere": "radius", "torus": "major, minor"}
 _TURN = 2 * math.pi
+#: Elements that a task makes of its solids, about.
+TASK_ELEMENTS = 250_000
 
 
 def segments(radius: Column, options: ExportOptions) -> Column:
@@ -121,6 +123,9 @@ def solid_mesh(solids: DataFrame, options: ExportOptions | None = None, base: in
     start = running(counts, "ent_id", "v").withColumnRenamed("start", "_v").join(shuffled(running(counts, "ent_id", "t").withColumnRenamed("start", "_t")), "ent_id")
     # numbers meet the solids before these become vertices and elements, so that only solids are shuffled
     numbered = stage(found.join(shuffled(start), "ent_id"), "solids")
+    # as many tasks as their elements ask for, not their own bytes
+    total = counts.agg(F.sum("t")).first()[0] or 0
+    numbered = numbered.repartition(-(-total // TASK_ELEMENTS) or 1, "ent_id")
     vertices = facet_vertices(numbered, "_v").select((F.lit(base) + F.col("_v") + F.col("at") + 1).cast("long").alias("vh"), F.col("ent_id").alias("owner_id"), "x", "y", "z")
     conn = F.transform("conn", lambda v: (F.lit(base) + F.col("_v") + v + 1).cast("long"))
     elements = facet_triangles(numbered, "_v", "_t").select((F.col("_t") + F.col("ord") + 1).cast("long").alias("eh"), F.col("ent_id").alias("owner_id"), F.lit("TRI").alias("type"), conn.alias("conn"))
