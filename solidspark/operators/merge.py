@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from solidspark.operators.components import smallest_reachable
+from solidspark.skew import shuffled
 from solidspark.staging import stage, unstage
 
 #: Small cells to a side of a block in the search for neighbours, which reach two cells far.
@@ -50,21 +51,21 @@ def merge_points(points: DataFrame, tol: float, key: str = "vh") -> DataFrame:
     for c in cells:
         near = near & (F.abs(F.col(f"a{c}") - F.col(f"o{c}")) <= REACH)
     limit = F.lit(float(tol) * float(tol))
-    pairs = stage(own.join(wide, [f"b{c}" for c in cells]).where(near).select("node", "other", (_d2("a", "o") < limit).alias("close")), "mg-pairs")
+    pairs = stage(own.join(shuffled(wide), [f"b{c}" for c in cells]).where(near).select("node", "other", (_d2("a", "o") < limit).alias("close")), "mg-pairs")
     links = stage(pairs.where("close").select(F.col("node").alias("a"), F.col("other").alias("b")), "mg-links")
     found = smallest_reachable(links)
     of = lambda k: found.select(F.col("node").alias(k), F.col("component").alias(f"{k}_c"))
-    apart = pairs.where("not close").join(of("node"), "node", "left").join(of("other"), "other", "left")
+    apart = pairs.where("not close").join(shuffled(of("node")), "node", "left").join(shuffled(of("other")), "other", "left")
     apart = apart.where(F.coalesce("node_c", "node") != F.coalesce("other_c", "other")).select("node", "other")
-    in_cell = nodes.select("node", *cells).join(places.drop("id"), cells)
+    in_cell = nodes.select("node", *cells).join(shuffled(places.drop("id")), cells)
     left = in_cell.select("node", *[F.col(c).alias(f"a{c}") for c in "xyz"])
     right = in_cell.select(F.col("node").alias("other"), *[F.col(c).alias(f"o{c}") for c in "xyz"])
-    more = apart.join(left, "node").join(right, "other").where(_d2("a", "o") < limit).select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+    more = apart.join(shuffled(left), "node").join(shuffled(right), "other").where(_d2("a", "o") < limit).select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
     labels = smallest_reachable(stage(links.union(more), "mg-links"))
     for t in (pairs, links):
         unstage(t)
     # nodes are named by the smallest id in their cell, so the smallest node is the smallest id of all
-    kept = nodes.join(labels, nodes["node"] == labels["node"], "left").select(*cells, F.coalesce("component", nodes["node"]).alias("keep"))
+    kept = nodes.join(shuffled(labels), nodes["node"] == labels["node"], "left").select(*cells, F.coalesce("component", nodes["node"]).alias("keep"))
     merged = whole.join(kept, cells).select(F.col("id").alias(key), "keep")
     return merged.unionByName(at.where("x is null or y is null or z is null").select(F.col("id").alias(key), F.col("id").alias("keep")))
 
@@ -79,7 +80,7 @@ def _level(links: DataFrame, below: DataFrame, mirrored: bool) -> DataFrame:
 
     sense: 1, or -1 where an entity is turned against the one that stays."""
     child = below.select(F.col("ent_id").alias("child_id"), "keep", F.col("sense").alias("turned"))
-    made = links.join(child, "child_id").select("parent_id", "keep", (F.coalesce("sense", F.lit(0)) * F.col("turned")).alias("sense")).distinct()
+    made = links.join(shuffled(child), "child_id").select("parent_id", "keep", (F.coalesce("sense", F.lit(0)) * F.col("turned")).alias("sense")).distinct()
     ahead, back = _hashes(F.col("sense")), _hashes(-F.col("sense"))
     keyed = made.groupBy("parent_id").agg(F.count("*").alias("n"), F.min("keep").alias("low"), F.max("keep").alias("high"), F.struct(ahead[0].alias("h"), ahead[1].alias("g")).alias("fwd"), F.struct(back[0].alias("h"), back[1].alias("g")).alias("rev"))
     same = ["n", "low", "high", "one", "two"]
@@ -107,7 +108,7 @@ def merged_links(links: DataFrame, merged: DataFrame) -> DataFrame:
     """Links (parent_id, child_id, parent_dim, sense) among the entities that stay, each once, with senses against these."""
     up = merged.select(F.col("ent_id").alias("parent_id"), F.col("keep").alias("_p"), F.col("sense").alias("_ps"))
     down = merged.select(F.col("ent_id").alias("child_id"), F.col("keep").alias("_c"), F.col("sense").alias("_cs"))
-    found = links.join(up, "parent_id", "left").join(down, "child_id", "left")
+    found = links.join(shuffled(up), "parent_id", "left").join(shuffled(down), "child_id", "left")
     turned = F.coalesce("_ps", F.lit(1)) * F.coalesce("_cs", F.lit(1))
     return found.select(F.coalesce("_p", "parent_id").alias("parent_id"), F.coalesce("_c", "child_id").alias("child_id"), "parent_dim", (F.col("sense") * turned).alias("sense")).distinct()
 
@@ -115,5 +116,5 @@ def merged_links(links: DataFrame, merged: DataFrame) -> DataFrame:
 def relabelled(table: DataFrame, merged: DataFrame, key: str, where: Column | None = None) -> DataFrame:
     """``table`` with ids of entities that were merged away replaced by those that stay, each row once; where: of the rows that it concerns."""
     gone = merged.where("ent_id <> keep").select(F.col("ent_id").alias("_g"), F.col("keep").alias("_k"))
-    found = table.join(gone, (table[key] == gone["_g"]) & (F.lit(True) if where is None else where), "left")
+    found = table.join(shuffled(gone), (table[key] == gone["_g"]) & (F.lit(True) if where is None else where), "left")
     return found.withColumn(key, F.coalesce("_k", key)).select(*table.columns).distinct()
