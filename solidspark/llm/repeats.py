@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from solidspark.llm.common import stage, unstage
-from solidspark.skew import heavy_keys, join_heavy
+from solidspark.skew import heavy_keys, join_heavy, shuffled
 
 #: ASCII white space, as :data:`solidspark.llm.common.WORD` has it.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -69,7 +69,7 @@ def drop_repeats(docs: DataFrame, split: Column, glue: str, runs: Callable[[Data
     )
     covered = stage(covered, "covered-units")
     unstage(found)
-    hit = in_units(base.join(covered, base["_id"].eqNullSafe(covered["_cid"]) & base["_th"].eqNullSafe(covered["_cth"]), "left"))
+    hit = in_units(base.join(shuffled(covered), base["_id"].eqNullSafe(covered["_cid"]) & base["_th"].eqNullSafe(covered["_cth"]), "left"))
     gone = F.coalesce(F.col("_removed"), F.array().cast("array<int>"))
     left = F.array_except(F.sequence(F.lit(0), F.size("_units") - 1), gone)
     kept = F.when(F.col("_removed").isNull(), F.col("_text")).otherwise(F.array_join(F.transform(left, lambda i: F.element_at("_units", i + 1)), glue))
