@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from solidspark.llm import decontam, linedup, minhash, packing, quality
 from solidspark.llm.common import stage, table
+from solidspark.skew import shuffled
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` but those with an id of ``ids`` (doc_id, distinct)."""
     gone = ids.select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    return docs.join(shuffled(gone), docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
