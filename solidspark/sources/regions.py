@@ -193,5 +193,6 @@ def classify(points: DataFrame, decks: DataFrame) -> DataFrame:
     met = points.join(shuffled(geometry(decks).select("deck", "cells", "surfaces")), "deck", "left")
     signs = F.map_from_entries(F.transform("surfaces", lambda s: F.struct(s.getField("surface_id").alias("key"), F.sign(surface_value(s, x, y, z)).alias("value"))))
     # an array of one, so that the signs are found once a point and not once a cell
-    first = F.transform(F.array(signs), lambda s: F.get(F.filter("cells", lambda c: holds(c.getField("words"), s)), F.lit(0)))
-    return met.select(*points.columns, F.get(first, F.lit(0)).getField("cell_id").alias("cell"))
+    # no cell is looked at once one holds the point
+    first = F.transform(F.array(signs), lambda s: F.aggregate("cells", F.lit(None).cast("int"), lambda found, c: F.coalesce(found, F.when(holds(c.getField("words"), s), c.getField("cell_id")))))
+    return met.select(*points.columns, F.get(first, F.lit(0)).alias("cell"))
