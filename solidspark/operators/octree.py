@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from solidspark.errors import ErrorCode
 from solidspark.operators.components import smallest_reachable
+from solidspark.skew import shuffled
 from solidspark.staging import stage
 
 #: What a term is made of; sizes as in :data:`solidspark.operators.faceting.KINDS`.
@@ -119,68 +120,109 @@ def _labels(held: np.ndarray) -> np.ndarray:
         out = least
 
 
-def _refine(depth: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Cells of one level in, those of it and below that are held out; depth first, so that a task holds few cells at a time."""
+def _held(frame: pd.DataFrame, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(level, row of ``frame``, place, piece) of the cells that are held, for cells of one level in; depth first, so that a task has few
+    cells at a time. No piece comes in two yields."""
     top = max(0, depth - TILE)
+    origin, width = frame[["lx", "ly", "lz"]].to_numpy(float), frame[["wx", "wy", "wz"]].to_numpy(float)
+    most = max(map(len, frame["codes"]))
+    codes = np.full((len(frame), most), -1)
+    numbers = np.full((len(frame), most, len(NUMBERS)), np.nan)
+    for k, (c, v) in enumerate(zip(frame["codes"], frame["numbers"], strict=True)):
+        codes[k, : len(c)], numbers[k, : len(c)] = c, np.asarray(v, float).reshape(-1, len(NUMBERS))
+
+    def tested(level: int, own: np.ndarray, at: np.ndarray) -> np.ndarray:
+        off = (0.5, 0.5) if level == depth else (0.0, 1.0)
+        low, high = (origin[own] + width[own] * (at + o) / 2**level for o in off)
+        return solid_state(codes[own], numbers[own], low, high)
+
+    def tiles(own: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        side, found = 2 ** (depth - top), []
+        grid = np.zeros((len(own), side, side, side), bool)
+        tile, below = np.arange(len(own)), at
+        for level in range(top, depth + 1):
+            state, size = np.concatenate([tested(level, own[tile[k : k + MOST]], below[k : k + MOST]) for k in range(0, len(tile), MOST)]), 2 ** (depth - level)
+            t, c = tile[state == 1], below[state == 1]
+            local = (c - (at[t] << (level - top))) * size
+            found.append((np.full(len(t), level), t, c, local))
+            step = np.indices((size,) * 3).reshape(3, -1).T
+            x, y, z = (local[:, None, :] + step[None]).reshape(-1, 3).T
+            grid[np.repeat(t, len(step)), x, y, z] = True
+            tile, below = _children(tile[state == 0], below[state == 0])
+            if not len(tile):
+                break
+        labels = _labels(grid)
+        level, t, c, local = map(np.concatenate, zip(*found, strict=True))
+        if len(t):
+            first = labels[t, local[:, 0], local[:, 1], local[:, 2]]
+            place = np.stack(np.unravel_index(first, (side,) * 3), 1) + at[t] * side
+            yield level, own[t], c, _code(depth, place)
+
+    todo = [(int(frame["level"].iloc[0]), np.arange(len(frame)), frame[["ix", "iy", "iz"]].to_numpy(np.int64))]
+    while todo:
+        level, own, at = todo.pop()
+        n = TILES if level == top else MOST
+        if len(own) > n:
+            todo.append((level, own[n:], at[n:]))
+            own, at = own[:n], at[:n]
+        if level == top:
+            yield from tiles(own, at)
+            continue
+        state = tested(level, own, at)
+        if (state == 1).any():
+            yield np.full((state == 1).sum(), level), own[state == 1], at[state == 1], _code(level, at[state == 1])
+        if (state == 0).any():
+            todo.append((level + 1, *_children(own[state == 0], at[state == 0])))
+
+
+CELL = "solid_id long, level int, ix int, iy int, iz int, piece long"
+#: What many cells of a solid come to: pieces (within tiles), cells of the last level, box.
+SUM = "n_pieces long, n_cells long, min_x double, min_y double, min_z double, max_x double, max_y double, max_z double"
+
+
+def _cells(solid: np.ndarray, level: np.ndarray, at: np.ndarray, piece: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"solid_id": solid, "level": level, "ix": at[:, 0], "iy": at[:, 1], "iz": at[:, 2], "piece": piece})
+
+
+def _refine(depth: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Cells of one level in, those of it and below that are held out."""
 
     def refine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in filter(len, frames):
-            solid, origin, width = frame["solid_id"].to_numpy(), frame[["lx", "ly", "lz"]].to_numpy(float), frame[["wx", "wy", "wz"]].to_numpy(float)
-            most = max(map(len, frame["codes"]))
-            codes = np.full((len(frame), most), -1)
-            numbers = np.full((len(frame), most, len(NUMBERS)), np.nan)
-            for k, (c, v) in enumerate(zip(frame["codes"], frame["numbers"], strict=True)):
-                codes[k, : len(c)], numbers[k, : len(c)] = c, np.asarray(v, float).reshape(-1, len(NUMBERS))
-
-            def tested(level: int, own: np.ndarray, at: np.ndarray) -> np.ndarray:
-                off = (0.5, 0.5) if level == depth else (0.0, 1.0)
-                low, high = (origin[own] + width[own] * (at + o) / 2**level for o in off)
-                return solid_state(codes[own], numbers[own], low, high)
-
-            def rows(level: int, own: np.ndarray, at: np.ndarray, piece: np.ndarray) -> pd.DataFrame:
-                return pd.DataFrame({"solid_id": solid[own], "level": level, "ix": at[:, 0], "iy": at[:, 1], "iz": at[:, 2], "piece": piece})
-
-            def tiles(own: np.ndarray, at: np.ndarray) -> Iterator[pd.DataFrame]:
-                side, found = 2 ** (depth - top), []
-                grid = np.zeros((len(own), side, side, side), bool)
-                tile, below = np.arange(len(own)), at
-                for level in range(top, depth + 1):
-                    state, size = np.concatenate([tested(level, own[tile[k : k + MOST]], below[k : k + MOST]) for k in range(0, len(tile), MOST)]), 2 ** (depth - level)
-                    t, c = tile[state == 1], below[state == 1]
-                    local = (c - (at[t] << (level - top))) * size
-                    found.append((level, t, c, local))
-                    step = np.indices((size,) * 3).reshape(3, -1).T
-                    x, y, z = (local[:, None, :] + step[None]).reshape(-1, 3).T
-                    grid[np.repeat(t, len(step)), x, y, z] = True
-                    tile, below = _children(tile[state == 0], below[state == 0])
-                    if not len(tile):
-                        break
-                labels = _labels(grid)
-                for level, t, c, local in found:
-                    if len(t):
-                        first = labels[t, local[:, 0], local[:, 1], local[:, 2]]
-                        place = np.stack(np.unravel_index(first, (side,) * 3), 1) + at[t] * side
-                        yield rows(level, own[t], c, _code(depth, place))
-
-            todo = [(int(frame["level"].iloc[0]), np.arange(len(frame)), frame[["ix", "iy", "iz"]].to_numpy(np.int64))]
-            while todo:
-                level, own, at = todo.pop()
-                n = TILES if level == top else MOST
-                if len(own) > n:
-                    todo.append((level, own[n:], at[n:]))
-                    own, at = own[:n], at[:n]
-                if level == top:
-                    yield from tiles(own, at)
-                    continue
-                state = tested(level, own, at)
-                if (state == 1).any():
-                    yield rows(level, own[state == 1], at[state == 1], _code(level, at[state == 1]))
-                if (state == 0).any():
-                    todo.append((level + 1, *_children(own[state == 0], at[state == 0])))
+            solid = frame["solid_id"].to_numpy()
+            for level, own, at, piece in _held(frame, depth):
+                yield _cells(solid[own], level, at, piece)
 
     return refine
 
 
+def _summed(depth: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Cells of one level in; out one row of SUM for each that holds anything, and, where there are many tiles, the cells that those of another may touch."""
+    top = max(0, depth - TILE)
+    columns = [c.split()[0] for c in f"{CELL}, {SUM}".split(", ")]
+
+    def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in filter(len, frames):
+            solid, origin, width = frame["solid_id"].to_numpy(), frame[["lx", "ly", "lz"]].to_numpy(float), frame[["wx", "wy", "wz"]].to_numpy(float)
+            n_pieces, n_cells = np.zeros(len(frame), np.int64), np.zeros(len(frame), np.int64)
+            low, high = np.full((len(frame), 3), np.inf), np.full((len(frame), 3), -np.inf)
+            for level, own, at, piece in _held(frame, depth):
+                np.add.at(n_pieces, pd.DataFrame({"own": own, "piece": piece}).drop_duplicates()["own"].to_numpy(), 1)
+                np.add.at(n_cells, own, np.int64(1) << (3 * (depth - level)))
+                n = (2**level)[:, None]
+                np.minimum.at(low, own, origin[own] + width[own] * at / n)
+                np.maximum.at(high, own, origin[own] + width[own] * (at + 1) / n)
+                if top:
+                    last = (1 << np.maximum(level - top, 0))[:, None] - 1
+                    outer = ((at & last == 0) | (at & last == last)).any(axis=1)
+                    yield _cells(solid[own[outer]], level[outer], at[outer], piece[outer]).reindex(columns=columns)
+            of = n_cells > 0
+            sums = pd.DataFrame({"solid_id": solid, "n_pieces": n_pieces, "n_cells": n_cells, **{f"min_{x}": low[:, k] for k, x in enumerate("xyz")}, **{f"max_{x}": high[:, k] for k, x in enumerate("xyz")}})
+            yield sums[of].reindex(columns=columns)
+
+    return summed
+
+
 def _children(own: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(own, 8), (2 * at[:, None, :] + EIGHT[None]).reshape(-1, 3)
 
@@ -188,12 +230,8 @@ def _children(own: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 EIGHT = np.array([[k % 2, k // 2 % 2, k // 4] for k in range(8)])
 
 
-def decided(terms: DataFrame, depth: int) -> DataFrame:
-    """(solid_id, level, ix, iy, iz, piece): the cells of which all belongs to the solid, at ``depth`` those whose centre does.
-
-    terms: see ``TERM``; the first one of a solid is united with nothing, terms of unknown kinds or operations and solids without a box hold nothing.
-    A cell of level n is one of 2**n along each axis of the solid's box. The cells of level START are dealt to tasks, which go on alone.
-    Cells with the same ``piece`` of a solid hang together in one tile; one that is larger than a tile is a piece of its own."""
+def _dealt(terms: DataFrame, depth: int) -> DataFrame:
+    """The cells of level START of all solids, with what their solids are made of, dealt to tasks, which go on alone."""
     start = min(START, max(0, depth - TILE))
     code = lambda t: F.array_position(F.array(*map(F.lit, OPS)), t.getField("op")) * len(KINDS) + F.array_position(F.array(*map(F.lit, KINDS)), t.getField("kind")) - len(KINDS) - 1
     known = lambda t: t.getField("op").isin(*OPS) & t.getField("kind").isin(*KINDS)
@@ -201,7 +239,16 @@ def decided(terms: DataFrame, depth: int) -> DataFrame:
     flat = boxes.withColumns({"codes": F.transform("terms", code), "numbers": F.flatten(F.transform("terms", lambda t: F.array(*[t.getField(c) for c in NUMBERS])))}).drop("terms")
     cells = flat.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(8**start - 1))))
     cells = cells.withColumns({"level": F.lit(start), **{f"i{x}": F.shiftright("_k", n * start) % 2**start for n, x in enumerate("xyz")}})
-    return cells.repartition("solid_id", "_k").drop("_k").mapInPandas(_refine(depth), "solid_id long, level int, ix int, iy int, iz int, piece long")
+    return cells.repartition("solid_id", "_k").drop("_k")
+
+
+def decided(terms: DataFrame, depth: int) -> DataFrame:
+    """(solid_id, level, ix, iy, iz, piece): the cells of which all belongs to the solid, at ``depth`` those whose centre does.
+
+    terms: see ``TERM``; the first one of a solid is united with nothing, terms of unknown kinds or operations and solids without a box hold nothing.
+    A cell of level n is one of 2**n along each axis of the solid's box.
+    Cells with the same ``piece`` of a solid hang together in one tile; one that is larger than a tile is a piece of its own."""
+    return _dealt(terms, depth).mapInPandas(_refine(depth), CELL)
 
 
 def touching(cells: DataFrame, depth: int) -> DataFrame:
@@ -216,27 +263,24 @@ def touching(cells: DataFrame, depth: int) -> DataFrame:
     up = near.select("solid_id", F.col("piece").alias("from"), *axes, "own", F.explode(F.sequence(F.lit(0), "own")).alias("level"))
     up = up.select("solid_id", "from", "level", *[F.expr(f"shiftright({c}, own - level)").alias(c) for c in axes])
     node = lambda c: F.struct("solid_id", F.col(c).alias("piece"))
-    return up.join(cells, ["solid_id", "level", *axes]).where(F.col("from") != F.col("piece")).select(node("from").alias("a"), node("piece").alias("b")).distinct()
+    return up.join(shuffled(cells), ["solid_id", "level", *axes]).where(F.col("from") != F.col("piece")).select(node("from").alias("a"), node("piece").alias("b")).distinct()
 
 
 def pieces(terms: DataFrame, depth: int = 6) -> DataFrame:
     """(solid_id, status, n_pieces, n_cells, volume, min_x, ..., max_z) of every solid of ``terms``: what its booleans leave, at a resolution of
     2**depth cells along each axis of its box.
 
-    depth: 15 at most. An empty result is a failure, with no box. Pieces hang together over faces; the box is that of the cells that are left."""
-    cells = stage(decided(terms, depth), "octree-inside")
-    count = cells.select("solid_id", "piece").distinct().groupBy("solid_id").agg(F.count("*").alias("n_pieces"))
+    depth: 15 at most. An empty result is a failure, with no box. Pieces hang together over faces; the box is that of the cells that are left.
+    The tasks that find the cells sum them up as well: only outer cells of tiles are rows, and none where a solid is one tile."""
+    found = stage(_dealt(terms, depth).mapInPandas(_summed(depth), f"{CELL}, {SUM}"), "octree-inside")
+    sides = [*[F.min(f"min_{x}").alias(f"min_{x}") for x in "xyz"], *[F.max(f"max_{x}").alias(f"max_{x}") for x in "xyz"]]
+    held = found.where("n_cells is not null").groupBy("solid_id").agg(F.sum("n_pieces").alias("n_pieces"), F.sum("n_cells").alias("n_cells"), *sides)
     if depth > TILE:
-        labels = smallest_reachable(touching(cells, depth))
+        labels = smallest_reachable(touching(found.where("level is not null").select("solid_id", "level", "ix", "iy", "iz", "piece"), depth))
         joined = labels.groupBy(F.col("node.solid_id").alias("solid_id"), "component").agg((F.count("*") - 1).alias("less")).groupBy("solid_id").agg(F.sum("less").alias("less"))
-        count = count.join(joined, "solid_id", "left").select("solid_id", (F.col("n_pieces") - F.coalesce("less", F.lit(0))).alias("n_pieces"))
-    boxes = _boxes(terms).drop("terms")
-    n = F.expr("shiftleft(1L, level)")
-    low = [(F.col(f"l{x}") + F.col(f"w{x}") * F.col(f"i{x}") / n, f"min_{x}") for x in "xyz"]
-    high = [(F.col(f"l{x}") + F.col(f"w{x}") * (F.col(f"i{x}") + 1) / n, f"max_{x}") for x in "xyz"]
-    size = F.sum(F.col("wx") * F.col("wy") * F.col("wz") / (n * n * n)).alias("volume")
-    held = cells.join(boxes, "solid_id").groupBy("solid_id").agg(F.sum(F.expr(f"shiftleft(1L, 3 * ({depth} - level))")).alias("n_cells"), size, *[F.min(c).alias(k) for c, k in low], *[F.max(c).alias(k) for c, k in high])
-    out = boxes.select("solid_id").join(held, "solid_id", "left").join(count, "solid_id", "left")
-    count = F.coalesce("n_pieces", F.lit(0))
+        held = held.join(shuffled(joined), "solid_id", "left").withColumn("n_pieces", F.col("n_pieces") - F.coalesce("less", F.lit(0))).drop("less")
+    whole = F.col("wx") * F.col("wy") * F.col("wz")
+    out = _boxes(terms).select("solid_id", whole.alias("whole")).join(shuffled(held), "solid_id", "left")
+    count, size = F.coalesce("n_pieces", F.lit(0)), F.col("whole") * F.col("n_cells") / F.lit(8.0**depth)
     status = F.when(count > 0, int(ErrorCode.SUCCESS)).otherwise(int(ErrorCode.FAILURE))
-    return out.select("solid_id", status.alias("status"), count.alias("n_pieces"), F.coalesce("n_cells", F.lit(0)).alias("n_cells"), F.coalesce("volume", F.lit(0.0)).alias("volume"), *[k for _, k in low], *[k for _, k in high])
+    return out.select("solid_id", status.alias("status"), count.alias("n_pieces"), F.coalesce("n_cells", F.lit(0)).alias("n_cells"), F.coalesce(size, F.lit(0.0)).alias("volume"), *[f"{side}_{x}" for side in ("min", "max") for x in "xyz"])

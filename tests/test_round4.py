@@ -72,3 +72,24 @@ def test_removed_lines_meet_texts_by_a_shuffle(spark):
     found = linedup.dedup_lines(docs)
     assert joins(found) == {"SortMergeJoin"}
     assert {r.doc_id: r.text for r in found.collect()} == {1: "a\nb\nc\nd", 2: "x"}
+
+
+def test_octree_cells_are_summed_by_their_tasks(spark, monkeypatch):
+    """A solid has hundreds of cells; one row of it goes on to joins, and of its cells the outer ones of tiles where there are many tiles."""
+    from pyspark.sql import functions as F
+
+    from solidspark.operators import octree
+
+    staged, stage = [], octree.stage
+    monkeypatch.setattr(octree, "stage", lambda df, name: staged.append(stage(df, name)) or staged[-1])
+    ball = lambda s, k, op, r, x: (s, k, op, "sphere", r, 0.0, 0.0, 0.0, x, 0.0, 0.0)
+    table = spark.createDataFrame([ball(1, 0, "unite", 1.0, 0.1), ball(2, 0, "unite", 0.5, -2.0), ball(2, 1, "unite", 0.7, 2.0), ball(3, 0, "unite", 1.0, 0.0), ball(3, 1, "subtract", 2.0, 0.0)], octree.TERM)
+    for depth in (3, 6):
+        got = {r.solid_id: r for r in octree.pieces(table, depth).collect()}
+        cells, n = octree.decided(table, depth), F.expr("shiftleft(1L, level)")
+        box = [f(F.col(f"l{x}") + F.col(f"w{x}") * (F.col(f"i{x}") + k) / n) for f, k in ((F.min, 0), (F.max, 1)) for x in "xyz"]
+        want = {r[0]: r for r in cells.join(octree._boxes(table), "solid_id").groupBy("solid_id").agg(F.sum(F.expr(f"shiftleft(1L, 3 * ({depth} - level))")), *box).collect()}
+        assert {s: (r.n_cells, *r[5:]) for s, r in got.items() if r.n_cells} == {s: tuple(r[1:]) for s, r in want.items()}
+        assert {s: r.n_pieces for s, r in got.items()} == {1: 1, 2: 2, 3: 0}
+        rows = [r.level for r in staged[-1].collect()]
+        assert rows.count(None) >= 2 and (len(rows) == 2 if depth == 3 else len(rows) < cells.count())
