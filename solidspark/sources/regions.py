@@ -1,22 +1,28 @@
 """Regions of many decks at once: every point is classified by the cells of its own deck, with no deck on the driver.
 
-A cell's region becomes a list of words in postfix, complements of other cells put in place of their names; a deck's surfaces
-become signed values of a point. The words are then folded over a stack of truth values. Surfaces may be macrobodies (negative
-inside all of their facets) and may stand under a transformation card. Facets of macrobodies by their own names, lattices and
-universes are not read."""
+A deck is read where it is, by one task: a cell's region becomes a list of words in postfix, complements of other cells put in place of their
+names. What all decks that are written alike share, kinds of surfaces and words of cells, is their shape; the numbers in which they
+differ stand beside it. Points meet the shape and the numbers of their deck in one join; a batch of them then finds its signs and
+folds its words by arrays, a shape at once, over a stack of truth values. Surfaces may be macrobodies (negative inside all of their facets)
+and may stand under a transformation card. Facets of macrobodies by their own names, lattices and universes are not read."""
 
 from __future__ import annotations
 
+import json
+import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache, lru_cache
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DataType, IntegerType, StructType
 
 from solidspark.skew import shuffled
-from solidspark.sources.deck import cards_of, cells
-from solidspark.staging import stage
+from solidspark.sources.deck import split_cards
 
 WORDS = re.compile(r"#?\(|\)|:|#\d+|[+-]?\d+")
 #: Operators of postfix: both, either, not.
@@ -87,112 +93,312 @@ def resolved(regions: dict[int, list[str]]) -> dict[int, list[str] | None]:
     return {cell: of(cell, ()) for cell in regions}
 
 
-def regions(cards: DataFrame) -> DataFrame:
-    """(deck, cells, bad): cells (ord, cell_id, words) of each deck in order; bad: cells whose regions cannot be read.
-
-    A deck's cells come together, as they do in its text."""
-    own = cells(cards).select("deck", "cell_id", "region")
-    order = cards.where("section = 'cell'").select("deck", "ord", F.split_part(F.trim("card"), F.lit(" "), F.lit(1)).cast("int").alias("cell_id"))
-    each = own.join(shuffled(order), ["deck", "cell_id"]).groupBy("deck").agg(F.array_sort(F.collect_list(F.struct("ord", "cell_id", "region"))).alias("cells"))
-
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            good, bad = [], []
-            for rows in frame["cells"]:
-                words, wrong = {}, []
-                for r in rows:
-                    try:
-                        words[int(r["cell_id"])] = postfix(list(r["region"]))
-                    except ValueError:
-                        wrong.append(int(r["cell_id"]))
-                whole = resolved(words)
-                good.append([{"ord": int(r["ord"]), "cell_id": int(r["cell_id"]), "words": w} for r in rows if (w := whole.get(int(r["cell_id"]))) is not None])
-                bad.append(wrong + [c for c, w in whole.items() if w is None])
-            yield pd.DataFrame({"deck": frame["deck"], "cells": good, "bad": bad})
-
-    return each.mapInPandas(read, "deck string, cells array<struct<ord:int,cell_id:int,words:array<string>>>, bad array<int>")
-
-
-def surface_table(cards: DataFrame) -> DataFrame:
-    """(deck, surface_id, tr, mnemonic, params): tr is the number of a transformation, or null."""
-    w = cards.where("section = 'surface'").select("deck", F.split(F.trim("card"), r"\s+").alias("w"))
-    second = F.get("w", F.lit(1))
-    moved = second.rlike(r"^[+-]?\d+$")
-    at = F.when(moved, 2).otherwise(1)
-    numbers = F.transform(F.slice("w", at + 2, F.size("w")), lambda v: v.try_cast("double"))
-    return w.select("deck", F.regexp_extract(F.get("w", F.lit(0)), r"\d+", 0).try_cast("int").alias("surface_id"), F.when(moved, second.try_cast("int")).alias("tr"), F.lower(F.get("w", at)).alias("mnemonic"), numbers.alias("params"))
-
-
-def transformations(cards: DataFrame) -> DataFrame:
-    """(deck, tr, off, rot) of the tr cards: a displacement and the rows of a rotation, in degrees with ``*``; without it there is none."""
-    w = cards.where("section = 'data'").select("deck", F.split(F.lower(F.trim("card")), r"\s+").alias("w")).where(F.get("w", F.lit(0)).rlike(r"^\*?tr\d+$"))
-    name = F.get("w", F.lit(0))
-    given = F.transform(F.slice("w", 2, F.size("w")), lambda v: v.try_cast("double"))
-    turn = F.slice(given, 4, 9)
-    cosines = F.when(F.size(turn) < 9, F.array(*[F.lit(float(k % 4 == 0)) for k in range(9)])).when(F.startswith(name, F.lit("*")), F.transform(turn, lambda v: F.cos(F.radians(v)))).otherwise(turn)
-    return w.select("deck", F.regexp_extract(name, r"\d+", 0).cast("int").alias("tr"), F.slice(given, 1, 3).alias("off"), cosines.alias("rot"))
-
-
-def surface_value(s: Column, x: Column, y: Column, z: Column) -> Column:
-    """Of a surface (mnemonic, params, off, rot) at a point: negative inside or below, positive outside; null for one that is not known."""
-    kind = s.getField("mnemonic")
-    p = lambda k: F.get(s.getField("params"), F.lit(k))
-    off, rot = (lambda k: F.get(s.getField("off"), F.lit(k))), (lambda k: F.get(s.getField("rot"), F.lit(k)))
-    d = [v - off(k) for k, v in enumerate((x, y, z))]
-    # into the axes that the surface is given in
-    x, y, z = (F.when(s.getField("off").isNull(), v).otherwise(rot(3 * k) * d[0] + rot(3 * k + 1) * d[1] + rot(3 * k + 2) * d[2]) for k, v in enumerate((x, y, z)))
-    at = {"x": x, "y": y, "z": z}
-    sq = lambda v: v * v
-    dot = lambda u, v: u[0] * v[0] + u[1] * v[1] + u[2] * v[2]
-    out = F.when(kind == "so", sq(x) + sq(y) + sq(z) - sq(p(0))).when(kind.isin("s", "sph"), sq(x - p(0)) + sq(y - p(1)) + sq(z - p(2)) - sq(p(3)))
-    out = out.when(kind == "p", p(0) * x + p(1) * y + p(2) * z - p(3))
-    for k, v in at.items():
-        u, w = (c for n, c in at.items() if n != k)
-        out = out.when(kind == f"p{k}", v - p(0)).when(kind == f"c{k}", sq(u) + sq(w) - sq(p(0))).when(kind == f"c/{k}", sq(u - p(0)) + sq(w - p(1)) - sq(p(2)))
-        out = out.when(kind == f"s{k}", sq(v - p(0)) + sq(u) + sq(w) - sq(p(1)))
-    out = out.when(kind == "gq", p(0) * sq(x) + p(1) * sq(y) + p(2) * sq(z) + p(3) * x * y + p(4) * y * z + p(5) * z * x + p(6) * x + p(7) * y + p(8) * z + p(9))
-    out = out.when(kind == "sq", p(0) * sq(x - p(7)) + p(1) * sq(y - p(8)) + p(2) * sq(z - p(9)) + 2 * (p(3) * (x - p(7)) + p(4) * (y - p(8)) + p(5) * (z - p(9))) + p(6))
-    facets = [f for k, v in enumerate((x, y, z)) for f in (p(2 * k) - v, v - p(2 * k + 1))]
-    out = out.when(kind == "rpp", F.greatest(*facets))
-    rel = [v - p(k) for k, v in enumerate((x, y, z))]
-    sides = []
-    for k in (3, 6, 9):
-        edge = [p(k), p(k + 1), p(k + 2)]
-        sides += [-dot(rel, edge), dot(rel, edge) - dot(edge, edge)]
-    out = out.when(kind == "box", F.greatest(*sides))
-    axis = [p(3), p(4), p(5)]
-    along, h2 = dot(rel, axis), dot(axis, axis)
-    return out.when(kind == "rcc", F.greatest(-along, along - h2, dot(rel, rel) * h2 - sq(along) - sq(p(6)) * h2))
-
-
-def holds(words: Column, signs: Column) -> Column:
-    """Whether postfix words hold where surfaces have these signs (map of surface id to sign)."""
-
-    def step(stack: Column, w: Column) -> Column:
-        last, rest = F.get(stack, F.size(stack) - 1), F.slice(stack, 1, F.greatest(F.size(stack) - 1, F.lit(0)))
-        before, under = F.get(stack, F.size(stack) - 2), F.slice(stack, 1, F.greatest(F.size(stack) - 2, F.lit(0)))
-        push = lambda s, v: F.concat(s, F.array(v))
-        sign = F.try_element_at(signs, F.abs(w.try_cast("int")))
-        side = F.when(F.startswith(w, F.lit("-")), sign < 0).otherwise(sign > 0)
-        return F.when(w == AND, push(under, before & last)).when(w == OR, push(under, before | last)).when(w == NOT, push(rest, ~last)).otherwise(push(stack, side))
-
-    return F.coalesce(F.get(F.aggregate(words, F.array().cast("array<boolean>"), step), F.lit(0)), F.lit(False))
+SPACE = re.compile(r"\s+", re.ASCII)
+PAIR = re.compile(r"(\S+?)=(\S+)", re.ASCII)
+_DOUBLE = re.compile(r"([+-]?(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?)[df]?|([+-]?inf(?:inity)?|nan)", re.ASCII | re.IGNORECASE)
+_WHOLE = re.compile(r"[+-]?\d+", re.ASCII)
+_MOVED = re.compile(r"(\*?)tr(\d+)", re.ASCII)
+UNIT = [float(k % 4 == 0) for k in range(9)]
+#: Characters of decks that a task reads, about.
+TASK_CHARS = 1_000_000
+SURFACES = "array<struct<surface_id:int,mnemonic:string,params:array<double>,off:array<double>,rot:array<double>>>"
+
+
+def words_of(card: str) -> list[str]:
+    return SPACE.split(card.strip(" "))
+
+
+def number(word: str) -> float | None:
+    """A word as a double, null where it is none."""
+    found = _DOUBLE.fullmatch(word)
+    return float(found[1] or found[2]) if found else None
+
+
+def whole(word: str | None) -> int | None:
+    """A word as a whole number of 32 bits, null where it is none."""
+    return int(word) if word is not None and _WHOLE.fullmatch(word) and -(2**31) <= int(word) < 2**31 else None
+
+
+def certain(word: str) -> int:
+    """A word that must be a whole number."""
+    found = whole(word)
+    if found is None:
+        raise ValueError(f"{word!r} is no whole number")
+    return found
+
+
+def turned(given: list[float | None], degrees: bool) -> list[float | None]:
+    """The rows of a rotation; fewer than nine numbers: none."""
+    if len(given) < 9:
+        return UNIT
+    return [None if v is None else math.cos(math.radians(v)) if math.isfinite(v) else math.nan for v in given] if degrees else given
+
+
+@lru_cache(maxsize=4096)
+def cell_card(card: str) -> tuple[int, tuple[str, ...], dict[str, str]]:
+    """(cell_id, region in postfix, params) of a cell card; a region that cannot be read is null. Decks that are written alike repeat their cards."""
+    pairs = PAIR.findall(card) if "=" in card else []
+    w = words_of(PAIR.sub("", card) if pairs else card)
+    void = len(w) > 1 and certain(w[1]) == 0
+    try:
+        region = tuple(postfix(w[2 if void else 3 :]))
+    except ValueError:
+        region = None
+    return certain(w[0]), region, {k.lower(): v.split("=")[0] for k, v in pairs}
+
+
+def cell_cards(cards: list[tuple[str, int, str]], strip: Callable[[str], str] = lambda card: card) -> list[tuple]:
+    """(ord, cell_id, region, params) of the cell cards."""
+    return [(n, *cell_card(strip(card))) for section, n, card in cards if section == "cell"]
+
+
+def tr_cards(cards: list[tuple[str, int, str]]) -> dict[int, list[tuple[list, list]]]:
+    """(off, rot) of the transformation cards by their numbers: a displacement and the rows of a rotation, in degrees with ``*``."""
+    moves: dict[int, list] = {}
+    for section, _, card in cards:
+        if section == "data":
+            w = words_of(card.lower())
+            if name := _MOVED.fullmatch(w[0]):
+                given = [number(v) for v in w[1:]]
+                moves.setdefault(int(name[2]), []).append((given[:3], turned(given[3:12], name[1] == "*")))
+    return moves
+
+
+@lru_cache(maxsize=4096)
+def surface_card(card: str) -> tuple[int | None, int | None, str | None, list[float | None]]:
+    """(surface_id, transformation, mnemonic, params) of a surface card."""
+    w = words_of(card)
+    at = 2 if len(w) > 1 and _WHOLE.fullmatch(w[1]) else 1
+    own = re.search(r"\d+", w[0], re.ASCII)
+    return whole(own[0]) if own else None, whole(w[1]) if at == 2 else None, w[at].lower() if len(w) > at else None, [number(v) for v in w[at + 1 :]]
+
+
+def surface_cards(cards: list[tuple[str, int, str]]) -> list[dict]:
+    """Surfaces (surface_id, mnemonic, params, off, rot); off and rot are those of its transformation card, or null."""
+    moves, out = tr_cards(cards), []
+    for section, _, card in cards:
+        if section == "surface":
+            own, tr, kind, params = surface_card(card)
+            out += [{"surface_id": own, "mnemonic": kind, "params": params, "off": off, "rot": rot} for off, rot in moves.get(tr) or [(None, None)]]
+    return out
+
+
+def regions(found: list[tuple]) -> tuple[list[dict], list[int]]:
+    """Cells (ord, cell_id, words) in order, and those whose regions cannot be read."""
+    words = {cell: region for _, cell, region, _ in found if region is not None}
+    done = resolved(words)
+    return [{"ord": n, "cell_id": cell, "words": w} for n, cell, *_ in found if (w := done.get(cell)) is not None], [cell for _, cell, region, _ in found if region is None] + [c for c, w in done.items() if w is None]
+
+
+def read_decks(decks: DataFrame, schema: str, row: Callable[[list[tuple[str, int, str]]], tuple | None]) -> DataFrame:
+    """(deck and ``schema``) of decks (deck, value): what ``row`` makes of a deck's cards, none where it is null. As many tasks as the texts ask for."""
+    arrow = to_arrow_schema(StructType.fromDDL(f"deck string, {schema}"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(d, *r) for d, t in zip(batch["deck"].to_pylist(), batch["value"].to_pylist(), strict=True) if (r := row(split_cards(t))) is not None]
+            yield pa.RecordBatch.from_pylist([dict(zip(arrow.names, r, strict=True)) for r in rows], schema=arrow)
+
+    total = decks.agg(F.sum(F.length("value"))).first()[0] or 0
+    return decks.select("deck", "value").repartition(-(-total // TASK_CHARS) or 1, "deck").mapInArrow(read, f"deck string, {schema}")
 
 
 def geometry(decks: DataFrame) -> DataFrame:
     """(deck, cells, bad, surfaces) of decks (deck, value): one row each, as large as its text."""
-    cards = stage(cards_of(decks), "cards")
-    found = surface_table(cards).join(shuffled(transformations(cards)), ["deck", "tr"], "left")
-    faces = found.groupBy("deck").agg(F.collect_list(F.struct("surface_id", "mnemonic", "params", "off", "rot")).alias("surfaces"))
-    return regions(cards).join(shuffled(faces), "deck", "left").withColumn("surfaces", F.coalesce("surfaces", F.array().cast(faces.schema["surfaces"].dataType)))
+
+    def row(cards: list[tuple[str, int, str]]) -> tuple | None:
+        found = cell_cards(cards)
+        return (*regions(found), surface_cards(cards)) if found else None
+
+    return read_decks(decks, f"cells array<struct<ord:int,cell_id:int,words:array<string>>>, bad array<int>, surfaces {SURFACES}", row)
+
+
+#: How many numbers the surfaces have.
+_AXES = {f"{k}{v}": n for v in "xyz" for k, n in (("p", 1), ("c", 1), ("c/", 3), ("s", 2))}
+SIZES = {"so": 1, "s": 4, "sph": 4, "p": 4, "gq": 10, "sq": 10, "rpp": 6, "box": 12, "rcc": 7} | _AXES
+
+
+def _uses(kind: str) -> set[int]:
+    """Axes whose coordinates a surface asks for."""
+    if kind not in _AXES or kind[0] == "s":
+        return {0, 1, 2}
+    own = {"xyz".index(kind[-1])}
+    return own if kind[0] == "p" else {0, 1, 2} - own
+
+
+def surface_numbers(s: dict) -> list[float] | None:
+    """The numbers of a surface (with those of its transformation), as :func:`surface_value` reads them; null where it has no value at any point.
+
+    What is null leaves the sides of macrobodies that ask for it out of account."""
+    kind, inf = s["mnemonic"], math.inf
+    if kind not in SIZES:
+        return None
+    p, move, lost = (s["params"] + [None] * 12)[: SIZES[kind]], [], set()
+    if s["off"] is not None:
+        off = (s["off"] + [None] * 3)[:3]
+        rows = [s["rot"][3 * k : 3 * k + 3] for k in range(3)]
+        lost = {k for k in range(3) if None in off or None in rows[k]}
+        move = [0.0 if v is None else v for v in off] + [v for k in range(3) for v in ([0.0] * 3 if k in lost else rows[k])]
+    if kind == "rpp":
+        p = [None if k // 2 in lost else v for k, v in enumerate(p)]
+        return None if p == [None] * 6 else [(inf if k % 2 else -inf) if v is None else v for k, v in enumerate(p)] + move
+    if kind == "box":
+        open_ = [None in p[k : k + 3] for k in (3, 6, 9)]
+        if lost or None in p[:3] or all(open_):
+            return None
+        return p[:3] + [v for k, o in enumerate(open_) for v in ([0.0] * 3 if o else p[3 * k + 3 : 3 * k + 6])] + [-inf if o else 0.0 for o in open_] + move
+    if kind == "rcc":
+        return None if lost or None in p[:6] else p[:6] + ([0.0, -inf] if p[6] is None else [p[6], 0.0]) + move
+    return None if None in p or lost & _uses(kind) else p + move
+
+
+def surface_value(kind: str, p: np.ndarray, at: list[np.ndarray], lost: frozenset[int] = frozenset()) -> np.ndarray | None:
+    """Of a surface at points: negative inside or below, positive outside; null where it has no value. p: its numbers, a row each; lost: axes that the points have no coordinate on."""
+    n = SIZES[kind] + {"box": 3, "rcc": 1}.get(kind, 0)
+    if lost and (len(p) > n or (kind != "rpp" and lost & _uses(kind)) or len(lost) == 3):
+        return None
+    if len(p) > n:
+        # into the axes that the surface is given in
+        d = [v - o for v, o in zip(at, p[n : n + 3], strict=True)]
+        at = [p[n + 3 + 3 * k] * d[0] + p[n + 4 + 3 * k] * d[1] + p[n + 5 + 3 * k] * d[2] for k in range(3)]
+    x, y, z = at
+    sq = lambda v: v * v
+    dot = lambda u, v: u[0] * v[0] + u[1] * v[1] + u[2] * v[2]
+    if kind == "so":
+        return sq(x) + sq(y) + sq(z) - sq(p[0])
+    if kind in ("s", "sph"):
+        return sq(x - p[0]) + sq(y - p[1]) + sq(z - p[2]) - sq(p[3])
+    if kind == "p":
+        return p[0] * x + p[1] * y + p[2] * z - p[3]
+    if kind == "gq":
+        return p[0] * sq(x) + p[1] * sq(y) + p[2] * sq(z) + p[3] * x * y + p[4] * y * z + p[5] * z * x + p[6] * x + p[7] * y + p[8] * z + p[9]
+    if kind == "sq":
+        return p[0] * sq(x - p[7]) + p[1] * sq(y - p[8]) + p[2] * sq(z - p[9]) + 2 * (p[3] * (x - p[7]) + p[4] * (y - p[8]) + p[5] * (z - p[9])) + p[6]
+    if kind == "rpp":
+        return np.maximum.reduce([f for k, v in enumerate(at) if k not in lost for f in (p[2 * k] - v, v - p[2 * k + 1])])
+    if kind in ("box", "rcc"):
+        rel = [v - p[k] for k, v in enumerate(at)]
+        if kind == "box":
+            return np.maximum.reduce([f + p[11 + k // 3] for k in (3, 6, 9) for f in (-dot(rel, p[k : k + 3]), dot(rel, p[k : k + 3]) - dot(p[k : k + 3], p[k : k + 3]))])
+        along, h2 = dot(rel, p[3:6]), dot(p[3:6], p[3:6])
+        return np.maximum.reduce([-along, along - h2, dot(rel, rel) * h2 - sq(along) - sq(p[6]) * h2 + p[7]])
+    axis = "xyz".index(kind[-1])
+    u, w = (v for k, v in enumerate(at) if k != axis)
+    if kind[0] == "p":
+        return at[axis] - p[0]
+    if kind[0] == "s":
+        return sq(at[axis] - p[0]) + sq(u) + sq(w) - sq(p[1])
+    return sq(u - p[0]) + sq(w - p[1]) - sq(p[2]) if kind[1] == "/" else sq(u) + sq(w) - sq(p[0])
+
+
+Signs = Callable[[int], tuple[np.ndarray, np.ndarray] | None]
+
+
+def signs(surfaces: list[list], p: np.ndarray, at: list[np.ndarray], lost: frozenset[int] = frozenset()) -> Signs:
+    """Of surfaces (surface_id, kind, first number, end) that are asked for: whether points are inside and outside, 1 for true, -1 for not; null
+    for one without a value. No number counts as above all."""
+    places = {own: rest for own, *rest in surfaces}
+
+    @cache
+    def of(own: int) -> tuple[np.ndarray, np.ndarray] | None:
+        kind, first, end = places.get(own, (None, 0, 0))
+        v = surface_value(kind, p[first:end], at, lost) if kind else None
+        return None if v is None else tuple(np.where(side, 1, -1).astype("int8") for side in (v < 0, (v > 0) | np.isnan(v)))
+
+    return of
+
+
+def holds(words: list[str], found: Signs, n: int) -> np.ndarray:
+    """Whether postfix words hold at n points: 1 for true, -1 for not, 0 where a surface is not known."""
+    stack, nil = [], np.zeros(n, "int8")
+    for w in words:
+        if w == NOT:
+            stack.append(-stack.pop())
+        elif w in (AND, OR):
+            last = stack.pop()
+            stack.append((np.minimum if w == AND else np.maximum)(stack.pop(), last))
+        else:
+            own = whole(w)
+            pair = None if own is None else found(abs(own))
+            stack.append(nil if pair is None else pair[0 if w[0] == "-" else 1])
+    return stack[0] if stack else nil
+
+
+def shape(found: list[dict], surfaces: list[dict]) -> tuple[dict, list[float]]:
+    """What decks that are written alike share (cells, and surfaces with the places of their numbers), and the numbers. A surface that is given twice, or has no number: ValueError."""
+    out, numbers = [], []
+    ids = [s["surface_id"] for s in surfaces]
+    if None in ids or len(set(ids)) < len(ids):
+        raise ValueError("surfaces without a number of their own")
+    for s in surfaces:
+        own = surface_numbers(s)
+        if own is not None:
+            out.append([s["surface_id"], s["mnemonic"], len(numbers), len(numbers) + len(own)])
+            numbers += own
+    return {"cells": [[c["cell_id"], c["words"]] for c in found], "surfaces": out}, numbers
+
+
+def packed(form: dict, numbers: list[float]) -> tuple[bytes, bytes]:
+    return json.dumps(form, separators=(",", ":")).encode(), np.array(numbers, "<f8").tobytes()
+
+
+@lru_cache(maxsize=1024)
+def unpacked(form: bytes) -> dict:
+    return json.loads(form)
+
+
+SHAPES = "shape binary, numbers binary"
+
+
+def met(points: DataFrame, shapes: DataFrame, more: list[tuple[str, DataType]], one: Callable[[dict, np.ndarray, list[np.ndarray], frozenset[int]], list[pa.Array]]) -> DataFrame:
+    """``points`` (deck, x, y, z and more) with the columns ``more`` that ``one`` finds from the shape and the numbers of their decks
+    (a row each) for points of one shape at once; lost: axes on which these points are null. Where there is no deck they are what it finds for an empty shape."""
+    kept = points.columns
+    schema = StructType(list(points.schema.fields))
+    for name, kind in more:
+        schema = schema.add(name, kind)
+    at = [F.col(c).cast("double").alias(f"_{c}") for c in "xyz"]
+    rows = points.select("*", *at).join(shuffled(shapes.withColumnsRenamed({"shape": "_shape", "numbers": "_numbers"})), "deck", "left").select(*kept, "_x", "_y", "_z", "_shape", "_numbers")
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            forms = batch["_shape"].dictionary_encode(null_encoding="encode")
+            places = [batch[f"_{c}"] for c in "xyz"]
+            gone = sum(np.asarray(v.is_null()).astype(int) << k for k, v in enumerate(places))
+            xyz = [v.fill_null(0.0).to_numpy(zero_copy_only=False) for v in places]
+            alike = forms.indices.to_numpy() * 8 + gone
+            order, parts = np.argsort(alike, kind="stable"), []
+            for rows in np.split(order, np.flatnonzero(np.diff(alike[order])) + 1) if len(order) else []:
+                key = int(alike[rows[0]])
+                form = forms.dictionary[key // 8].as_py()
+                raw = b"" if form is None else b"".join(batch["_numbers"].take(pa.array(rows)).to_pylist())
+                p = np.frombuffer(raw, "<f8").reshape(len(rows), -1).T if raw else np.zeros((0, len(rows)))
+                with np.errstate(all="ignore"):
+                    parts.append(one(unpacked(form or b"{}"), np.ascontiguousarray(p), [v[rows] for v in xyz], frozenset(k for k in range(3) if key >> k & 1)))
+            back = pa.array(np.argsort(order))
+            found = [pa.concat_arrays(part).take(back) for part in zip(*parts, strict=True)]
+            if found:
+                yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], *found], names=[*kept, *[name for name, _ in more]])
+
+    return rows.mapInArrow(find, schema)
 
 
 def classify(points: DataFrame, decks: DataFrame) -> DataFrame:
     """``points`` (deck, x, y, z and more) with ``cell``: the first cell of the point's own deck that holds it, else null."""
-    x, y, z = (F.col(c) for c in "xyz")
-    met = points.join(shuffled(geometry(decks).select("deck", "cells", "surfaces")), "deck", "left")
-    signs = F.map_from_entries(F.transform("surfaces", lambda s: F.struct(s.getField("surface_id").alias("key"), F.sign(surface_value(s, x, y, z)).alias("value"))))
-    # an array of one, so that the signs are found once a point and not once a cell
-    # no cell is looked at once one holds the point
-    first = F.transform(F.array(signs), lambda s: F.aggregate("cells", F.lit(None).cast("int"), lambda found, c: F.coalesce(found, F.when(holds(c.getField("words"), s), c.getField("cell_id")))))
-    return met.select(*points.columns, F.get(first, F.lit(0)).alias("cell"))
+
+    def row(cards: list[tuple[str, int, str]]) -> tuple[bytes, bytes] | None:
+        found = cell_cards(cards)
+        return packed(*shape(regions(found)[0], surface_cards(cards))) if found else None
+
+    def one(form: dict, p: np.ndarray, at: list[np.ndarray], lost: frozenset[int]) -> list[pa.Array]:
+        n = len(at[0])
+        found, left, known = np.zeros(n, "int32"), np.ones(n, bool), signs(form.get("surfaces", []), p, at, lost)
+        for cell, words in form.get("cells", []):
+            # no cell is looked at once one holds all points
+            if not left.any():
+                break
+            here = left & (holds(words, known, n) == 1)
+            found[here], left = cell, left & ~here
+        return [pa.array(found, mask=left)]
+
+    return met(points, read_decks(decks, SHAPES, row), [("cell", IntegerType())], one)
