@@ -64,20 +64,22 @@ def _outside(s: Column) -> Column:
 def cell_boxes(found: DataFrame) -> DataFrame:
     """(deck, cell_id, box) of :func:`regions.geometry`: a box around each cell, by intervals; a complement may be anywhere."""
     known = F.map_from_entries(F.transform("surfaces", lambda s: F.struct(s.getField("surface_id").alias("key"), F.array(surface_box(s), _outside(s)).alias("value"))))
-    each = found.select("deck", known.alias("_b"), F.explode("cells").alias("c"))
 
-    def step(stack: Column, w: Column) -> Column:
+    def step(known: Column, stack: Column, w: Column) -> Column:
         n = F.size(stack)
         last, before = F.get(stack, n - 1), F.get(stack, n - 2)
         rest, under = F.slice(stack, 1, F.greatest(n - 1, F.lit(0))), F.slice(stack, 1, F.greatest(n - 2, F.lit(0)))
         side = lambda low, high: F.array(*[low(F.get(before, F.lit(k)), F.get(last, F.lit(k))) for k in range(3)], *[high(F.get(before, F.lit(k)), F.get(last, F.lit(k))) for k in range(3, 6)])
-        of = F.try_element_at("_b", F.abs(w.try_cast("int")))
+        of = F.try_element_at(known, F.abs(w.try_cast("int")))
         own = F.coalesce(F.get(of, F.when(F.startswith(w, F.lit("-")), 0).otherwise(1)), _space())
         push = lambda s, v: F.concat(s, F.array(v))
         return F.when(w == AND, push(under, side(F.greatest, F.least))).when(w == OR, push(under, side(F.least, F.greatest))).when(w == NOT, push(rest, _space())).otherwise(push(stack, own))
 
-    box = F.get(F.aggregate("c.words", F.array().cast("array<array<double>>"), step), F.lit(0))
-    return each.select("deck", "c.cell_id", F.coalesce(box, _space()).alias("box"))
+    box = lambda b, words: F.get(F.aggregate(words, F.array().cast("array<array<double>>"), lambda stack, w: step(b, stack, w)), F.lit(0))
+    # an array of one names what is used often; boxes are found before their cells become rows, for a filter on a box would find it anew for every number that it
+    # reads. Spark infers a filter for ``explode`` alike, but none for ``explode_outer``
+    boxes = F.transform(F.array(known), lambda b: F.transform("cells", lambda c: F.struct(c.getField("cell_id").alias("cell_id"), F.coalesce(box(b, c.getField("words")), _space()).alias("box"))))
+    return found.select("deck", F.explode_outer(F.get(boxes, F.lit(0))).alias("c")).where("c is not null").select("deck", "c.cell_id", "c.box")
 
 
 def graveyards(decks: DataFrame, options: DeckOptions, margin: float = 0.1) -> DataFrame:

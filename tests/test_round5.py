@@ -40,3 +40,29 @@ def test_surfaces_of_which_something_is_not_known(spark):
     rows = [(1, 0.0, -9.0, 9.0, 1), (2, 0.0, 2.0, 0.0, None), (3, 2.0, 0.0, 6.0, 3), (4, -9.0, 2.0, 0.0, 4), (5, None, 0.0, 0.0, 1), (6, None, 2.0, 6.0, 3), (7, None, None, 0.0, 1), (8, None, None, None, None), (9, 2.0, 2.0, float("nan"), 3)]
     points = spark.createDataFrame([("a", *r) for r in rows], "deck string, k int, x double, y double, z double, want int")
     assert [(r.k, r.cell) for r in regions.classify(points, decks).orderBy("k").collect()] == [(r[0], r[-1]) for r in rows]
+
+
+def test_decks_are_read_in_one_pass(spark, monkeypatch):
+    """By as many tasks as their texts ask for, however well these compress, and nothing is written."""
+    from solidspark.sources import regions
+
+    monkeypatch.setattr(regions, "TASK_CHARS", 100)
+    decks = spark.range(40).select(F.col("id").cast("string").alias("deck"), F.lit("t\n1 0 -1\n2 0 1\n\n1 so 1.0\n").alias("value")).coalesce(1)
+    points = decks.select("deck", F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), (F.col("deck").cast("double") / 20).alias("z"))
+    before = staged(spark)
+    found = regions.classify(points, decks)
+    assert {int(r.deck): r.cell for r in found.collect()} == {k: 1 if k < 20 else 2 if k > 20 else None for k in range(40)}
+    assert staged(spark) == before
+    assert regions.geometry(decks).rdd.getNumPartitions() == 10
+
+
+def test_boxes_are_found_once_a_cell(spark):
+    """A filter on a box reads 18 numbers; it may not find the box anew for each."""
+    from solidspark.sources import imports
+    from solidspark.sources.deck import DeckOptions
+
+    decks = spark.createDataFrame([("a", "t\n1 0 -1 : -2\n2 0 #1\n\n1 so 1.0\n2 rpp 0 3 0 1 0 1\n"), ("b", "t\n1 0 -1\n\n1 pz 1.0\n")], "deck string, value string")
+    found = imports.graveyards(decks, DeckOptions())
+    plan = found._jdf.queryExecution().sparkPlan().toString().split("\n")
+    assert any("Filter" in line for line in plan) and not any("Filter" in line and "lambda" in line for line in plan)
+    assert [(r.deck, [round(v, 9) for v in r.inner]) for r in found.collect()] == [("a", [-1.4, -1.4, -1.4, 3.4, 1.4, 1.4])]
