@@ -89,56 +89,90 @@ def facet_vertices(found: DataFrame, *more: str) -> DataFrame:
     return bricks.unionByName(on_rings).unionByName(poles)
 
 
-def facet_triangles(found: DataFrame, *more: str) -> DataFrame:
-    """(ent_id, ord, conn) of profiles: three places each, counter-clockwise from outside; more: columns of the profiles that each row keeps."""
+def facet_triangles(found: DataFrame, *more: str, corners: bool = False) -> DataFrame:
+    """(ent_id, ord, conn) of profiles: three places each, counter-clockwise from outside; more: columns of the profiles that each row keeps.
+
+    corners: they are (ent_id, ord, corners), the points (x, y, z) that :func:`facet_vertices` has at these places."""
     # a brick's corners by the bits of their place: x 1, y 2, z 4
     sides = [(0, 2, 3, 1), (4, 5, 7, 6), (0, 1, 5, 4), (2, 6, 7, 3), (0, 4, 6, 2), (1, 3, 7, 5)]
-    tri = lambda *v: F.array(*[F.lit(x) if isinstance(x, int) else x for x in v])
-    halves = F.array(*[tri(*t) for p, q, r, s in sides for t in ((p, q, r), (p, r, s))])
-    bricks = found.where("kind = 'brick'").select("ent_id", *more, F.posexplode(halves).alias("ord", "conn"))
+    point = lambda x, y, z: F.struct(x.alias("x"), y.alias("y"), z.alias("z"))
+    made_of = "corners" if corners else "conn"
+    tri = lambda *v: F.array(*[p[corners] for p in v])
+    corner = lambda p: (F.lit(p), point(*[F.lit(0.5 if p >> k & 1 else -0.5) * F.col(c) for k, c in enumerate("abc")]))
+    halves = F.array(*[tri(*map(corner, t)) for p, q, r, s in sides for t in ((p, q, r), (p, r, s))])
+    bricks = found.where("kind = 'brick'").select("ent_id", *more, F.posexplode_outer(halves).alias("ord", made_of))
     n, k = F.col("n"), F.size("rings")
     first = F.when(F.col("closed"), 0).otherwise(1)
     # a band leads from each ring to the next; below the first and above the last ring are fans
-    round_ = found.where("kind <> 'brick'").select("ent_id", *more, "n", k.alias("k"), "closed", first.alias("first"), F.explode(F.sequence(F.when(F.col("closed"), 0).otherwise(-1), k - 1)).alias("i"))
-    each = round_.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("j"))
+    round_ = found.where("kind <> 'brick'").select("ent_id", *more, "n", "rings", "low", "high", "stretch", k.alias("k"), "closed", first.alias("first"), F.explode(F.sequence(F.when(F.col("closed"), 0).otherwise(-1), k - 1)).alias("i"))
     i, j, k = F.col("i"), F.col("j"), F.col("k")
-    nxt = F.when(F.col("closed") & (i == k - 1), 0).otherwise(i + 1)
-    at = lambda ring, side: F.col("first") + ring * n + side % n
-    fan_low, fan_high = F.array(tri(F.lit(0), at(nxt, j + 1), at(nxt, j))), F.array(tri(n * k + 1, at(i, j), at(i, j + 1)))
-    band = F.array(tri(at(i, j), at(i, j + 1), at(nxt, j + 1)), tri(at(i, j), at(nxt, j + 1), at(nxt, j)))
+    round_ = round_.withColumn("nxt", F.when(F.col("closed") & (i == k - 1), 0).otherwise(i + 1))
+    round_ = round_.select("*", F.get("rings", i).alias("here"), F.get("rings", F.col("nxt")).alias("there")).drop("rings")
+    each = round_.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("j"))
+    turn = [_TURN * ((j + side) % n) / n for side in (0, 1)]
+    each = each.select("*", *[f(turn[side]).alias(f"{name}{side}") for side in (0, 1) for name, f in (("cos", F.cos), ("sin", F.sin))])
+
+    def at(ring: str, side: int) -> tuple[Column, Column]:
+        r, place = F.col(f"{ring}.r"), F.col("first") + F.col("i" if ring == "here" else "nxt") * n + (j + side) % n
+        return place, point(r * F.col(f"cos{side}"), F.col("stretch") * r * F.col(f"sin{side}"), F.col(f"{ring}.z"))
+
+    nil = F.lit(0.0)
+    low, high = (F.lit(0), point(nil, nil, F.col("low"))), (n * k + 1, point(nil, nil, F.col("high")))
+    fan_low, fan_high = F.array(tri(low, at("there", 1), at("there", 0))), F.array(tri(high, at("here", 0), at("here", 1)))
+    band = F.array(tri(at("here", 0), at("here", 1), at("there", 1)), tri(at("here", 0), at("there", 1), at("there", 0)))
     made = F.when(i == -1, fan_low).when(~F.col("closed") & (i == k - 1), fan_high).otherwise(band)
     start = F.when(F.col("closed"), 2 * n * i).when(i == -1, 0).otherwise(n + 2 * n * i)
     width = F.when((i == -1) | (~F.col("closed") & (i == k - 1)), 1).otherwise(2)
-    out = each.select("ent_id", *more, (start + width * j).alias("_at"), F.posexplode(made).alias("o", "conn"))
-    return bricks.unionByName(out.select("ent_id", *more, (F.col("_at") + F.col("o")).alias("ord"), "conn"))
+    out = each.select("ent_id", *more, (start + width * j).alias("_at"), F.posexplode_outer(made).alias("o", made_of))
+    return bricks.unionByName(out.select("ent_id", *more, (F.col("_at") + F.col("o")).alias("ord"), made_of))
 
 
-def solid_mesh(solids: DataFrame, options: ExportOptions | None = None, base: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Vertices (vh, owner_id, x, y, z) and elements (eh, owner_id, type, conn) of solids; handles after ``base``, elements from 1, in order of solid and place."""
-    found = profiles(solids, options or ExportOptions())
+def _counts(found: DataFrame) -> DataFrame:
+    """(ent_id, v, t) of profiles: how many vertices and triangles they have."""
     rings = F.when(F.col("kind") == "brick", F.struct(F.lit(8).alias("v"), F.lit(12).alias("t")))
     rings = rings.when(F.col("closed"), F.struct((F.col("n") * F.size("rings")).alias("v"), (2 * F.col("n") * F.size("rings")).alias("t")))
     rings = rings.otherwise(F.struct((F.col("n") * F.size("rings") + 2).alias("v"), (2 * F.col("n") * F.size("rings")).alias("t")))
-    counts = found.select("ent_id", rings.alias("s")).select("ent_id", "s.v", "s.t")
+    return found.select("ent_id", rings.alias("s")).select("ent_id", "s.v", "s.t")
+
+
+def _dealt(found: DataFrame, counts: DataFrame) -> DataFrame:
+    """Profiles in as many tasks as their elements ask for, not their own bytes."""
+    total = counts.agg(F.sum("t")).first()[0] or 0
+    return found.repartition(-(-total // TASK_ELEMENTS) or 1, "ent_id")
+
+
+def solid_mesh(solids: DataFrame, options: ExportOptions | None = None, base: int = 0, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Vertices (vh, owner_id, x, y, z) and elements (eh, owner_id, type, conn) of solids; handles after ``base``, elements from 1, in order of solid and place.
+
+    keep: columns of :func:`facet_triangles` that elements have as well. Tasks make whole solids, so what is asked of each solid needs no shuffle of its vertices and elements."""
+    found = profiles(solids, options or ExportOptions())
+    counts = _counts(found)
     start = running(counts, "ent_id", "v").withColumnRenamed("start", "_v").join(shuffled(running(counts, "ent_id", "t").withColumnRenamed("start", "_t")), "ent_id")
     # numbers meet the solids before these become vertices and elements, so that only solids are shuffled
-    numbered = stage(found.join(shuffled(start), "ent_id"), "solids")
-    # as many tasks as their elements ask for, not their own bytes
-    total = counts.agg(F.sum("t")).first()[0] or 0
-    numbered = numbered.repartition(-(-total // TASK_ELEMENTS) or 1, "ent_id")
+    numbered = _dealt(stage(found.join(shuffled(start), "ent_id"), "solids"), counts)
     vertices = facet_vertices(numbered, "_v").select((F.lit(base) + F.col("_v") + F.col("at") + 1).cast("long").alias("vh"), F.col("ent_id").alias("owner_id"), "x", "y", "z")
-    conn = F.transform("conn", lambda v: (F.lit(base) + F.col("_v") + v + 1).cast("long"))
-    elements = facet_triangles(numbered, "_v", "_t").select((F.col("_t") + F.col("ord") + 1).cast("long").alias("eh"), F.col("ent_id").alias("owner_id"), F.lit("TRI").alias("type"), conn.alias("conn"))
+    conn = F.array(*[(F.lit(base) + F.col("_v") + F.get("conn", F.lit(k)) + 1).cast("long") for k in range(3)])
+    elements = facet_triangles(numbered, "_v", "_t").select((F.col("_t") + F.col("ord") + 1).cast("long").alias("eh"), F.col("ent_id").alias("owner_id"), F.lit("TRI").alias("type"), conn.alias("conn"), *keep)
     return vertices, elements
 
 
+def _measured(tri: DataFrame, p: list[list[Column]]) -> DataFrame:
+    cross = lambda u, v: [u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0]]
+    normal = cross([b - a for a, b in zip(p[0], p[1], strict=True)], [b - a for a, b in zip(p[0], p[2], strict=True)])
+    six = sum((a * b for a, b in zip(p[0], cross(p[1], p[2]), strict=True)), F.lit(0.0))
+    return tri.groupBy("owner_id").agg((F.sum(F.sqrt(sum((v * v for v in normal), F.lit(0.0)))) / 2).alias("area"), (F.sum(six) / 6).alias("volume"), F.count("*").alias("n"))
+
+
 def enclosed(vertices: DataFrame, elements: DataFrame) -> DataFrame:
-    """(owner_id, area, volume) of triangles; the volume is positive where they are wound outwards."""
+    """(owner_id, area, volume, n) of triangles, n of them; the volume is positive where they are wound outwards."""
     tri = elements.where("type = 'TRI'").select("owner_id", *[F.get("conn", F.lit(k)).alias(f"v{k}") for k in range(3)])
     for k in range(3):
         tri = tri.join(shuffled(vertices.select(F.col("vh").alias(f"v{k}"), *[F.col(c).alias(f"{c}{k}") for c in "xyz"])), f"v{k}").drop(f"v{k}")
-    p = [[F.col(f"{c}{k}") for c in "xyz"] for k in range(3)]
-    cross = lambda u, v: [u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0]]
-    normal = cross([b - a for a, b in zip(p[0], p[1], strict=True)], [b - a for a, b in zip(p[0], p[2], strict=True)])
-    six = sum((a * b for a, b in zip(p[0], cross(p[1], p[2]), strict=True)), F.lit(0.0))
-    return tri.groupBy("owner_id").agg((F.sum(F.sqrt(sum((v * v for v in normal), F.lit(0.0)))) / 2).alias("area"), (F.sum(six) / 6).alias("volume"))
+    return _measured(tri, [[F.col(f"{c}{k}") for c in "xyz"] for k in range(3)])
+
+
+def solid_sizes(solids: DataFrame, options: ExportOptions | None = None) -> DataFrame:
+    """What :func:`enclosed` tells of the meshes of solids, by the task that makes them: a triangle has its points at once and joins nothing."""
+    found = profiles(solids, options or ExportOptions())
+    tri = facet_triangles(_dealt(found, _counts(found)), corners=True).select(F.col("ent_id").alias("owner_id"), "corners")
+    return _measured(tri, [[F.get("corners", F.lit(k)).getField(c) for c in "xyz"] for k in range(3)])

@@ -227,21 +227,33 @@ def closedness(elements: DataFrame, senses: DataFrame | None = None) -> DataFram
     volume. A side that two elements use in opposite ways is closed. missing: used once; flipped: twice the same way;
     crowded: more often. loops: the rings that the missing sides make."""
     n = F.size("conn")
-    side = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.get("conn", i).alias("a"), F.get("conn", (i + 1) % n).alias("b")))
-    sides = elements.where(n > 1).select("owner_id", F.explode(side).alias("s")).select("owner_id", F.least("s.a", "s.b").alias("a"), F.greatest("s.a", "s.b").alias("b"), F.when(F.col("s.a") < F.col("s.b"), 1).otherwise(-1).alias("way"))
+    corner = elements.where(n > 1).select("owner_id", "conn", F.posexplode_outer("conn").alias("k", "p"))
+    ends = corner.select("owner_id", F.col("p").alias("s"), F.get("conn", (F.col("k") + 1) % n).alias("t"))
+    sides = ends.select("owner_id", F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b"), F.when(F.col("s") < F.col("t"), 1).otherwise(-1).alias("way"))
+    used = sides.groupBy("owner_id", "a", "b").agg(F.count("*").alias("n"), F.sum("way").alias("way"))
+    # sides that are used alike are one row, but those that loops are made of: where elements lie by owners, all others are neither shuffled nor written
+    alike = lambda df, of: df.groupBy(of, "n", "way", F.when(F.col("n") == 1, F.struct("a", "b")).alias("side")).agg(F.count("*").alias("k"))
     if senses is None:
-        owned = sides.withColumnRenamed("owner_id", "volume_id")
+        found = alike(used, "owner_id").withColumnRenamed("owner_id", "volume_id")
     else:
-        of = senses.select(F.col("child_id").alias("owner_id"), F.col("parent_id").alias("volume_id"), "sense")
-        owned = sides.join(shuffled(of), "owner_id").withColumn("way", F.col("way") * F.col("sense"))
-    used = stage(owned.groupBy("volume_id", "a", "b").agg(F.count("*").alias("n"), F.sum("way").alias("way")), "used-sides")
-    counts = used.groupBy("volume_id").agg(
-        F.count("*").alias("n_sides"), F.count_if(F.col("n") == 1).alias("missing"), F.count_if((F.col("n") == 2) & (F.col("way") != 0)).alias("flipped"), F.count_if(F.col("n") > 2).alias("crowded")
+        of = senses.select(F.col("child_id").alias("owner_id"), F.col("parent_id").alias("volume_id"), "sense", F.count("*").over(Window.partitionBy("parent_id")).alias("_owners"))
+        turned = lambda df, some: df.join(shuffled(of.where(some).drop("_owners")), "owner_id").withColumn("way", F.col("way") * F.col("sense")).drop("owner_id", "sense")
+        found = turned(alike(used, "owner_id"), "_owners = 1").select("volume_id", "n", "way", "side", "k")
+        if not of.where("_owners > 1").isEmpty():
+            # owners of one volume may meet at any side
+            shared = turned(used, "_owners > 1").groupBy("volume_id", "a", "b").agg(F.sum("n").alias("n"), F.sum("way").alias("way"))
+            found = found.unionByName(alike(shared, "volume_id"))
+    # a few rows a volume, of many tasks
+    found = stage(found.repartition("volume_id"), "used-sides")
+    of_kind = lambda some: F.sum(F.when(some, F.col("k")).otherwise(0))
+    counts = found.groupBy("volume_id").agg(
+        F.sum("k").alias("n_sides"), of_kind(F.col("n") == 1).alias("missing"), of_kind((F.col("n") == 2) & (F.col("way") != 0)).alias("flipped"), of_kind(F.col("n") > 2).alias("crowded")
     )
-    end = lambda c: F.struct("volume_id", F.col(c).alias("v"))
-    if used.where("n = 1").isEmpty():
+    end = lambda c: F.struct("volume_id", F.col(f"side.{c}").alias("v"))
+    missing = found.where("n = 1")
+    if missing.isEmpty():
         return counts.withColumn("loops", F.lit(0).cast("long"))
-    rings = smallest_reachable(used.where("n = 1").select(end("a").alias("a"), end("b").alias("b")))
+    rings = smallest_reachable(missing.select(end("a").alias("a"), end("b").alias("b")))
     loops = rings.select(F.col("node.volume_id").alias("volume_id"), "component").distinct().groupBy("volume_id").agg(F.count("*").alias("loops"))
     return counts.join(shuffled(loops), "volume_id", "left").withColumn("loops", F.coalesce("loops", F.lit(0)))
 

@@ -166,11 +166,10 @@ _SHELLS = f"""
 def primitive_facets(m):
     """Of each primitive's mesh: counts, the volume that it encloses, Euler's number, and sides that are not closed."""
     vertices, elements = faceting.solid_mesh(_solids(m), COARSE)
-    size = faceting.enclosed(vertices, elements).select(F.col("owner_id").alias("ent_id"), (F.round("volume", 3) + 0).alias("volume"))
+    size = faceting.solid_sizes(_solids(m), COARSE).select(F.col("owner_id").alias("ent_id"), F.col("n").alias("n_triangles"), (F.round("volume", 3) + 0).alias("volume"))
     n_v = vertices.groupBy(F.col("owner_id").alias("ent_id")).agg(F.count("*").alias("n_vertices"))
-    n_t = elements.groupBy(F.col("owner_id").alias("ent_id")).agg(F.count("*").alias("n_triangles"))
     sides = mesh.closedness(elements).select(F.col("volume_id").alias("ent_id"), "n_sides", (F.col("missing") + F.col("flipped") + F.col("crowded")).alias("open"))
-    out = n_v.join(shuffled(n_t), "ent_id").join(shuffled(size), "ent_id").join(shuffled(sides), "ent_id")
+    out = n_v.join(shuffled(size), "ent_id").join(shuffled(sides), "ent_id")
     return out.select("ent_id", "n_vertices", "n_triangles", "volume", (F.col("n_vertices") - F.col("n_sides") + F.col("n_triangles")).alias("euler"), "open")
 
 

@@ -66,3 +66,52 @@ def test_boxes_are_found_once_a_cell(spark):
     plan = found._jdf.queryExecution().sparkPlan().toString().split("\n")
     assert any("Filter" in line for line in plan) and not any("Filter" in line and "lambda" in line for line in plan)
     assert [(r.deck, [round(v, 9) for v in r.inner]) for r in found.collect()] == [("a", [-1.4, -1.4, -1.4, 3.4, 1.4, 1.4])]
+
+
+def solids(spark):
+    rows = [(1, "brick", 1.0, 2.0, 3.0, 0.0), (2, "sphere", 1.0, 0.0, 0.0, 0.0), (3, "torus", 1.0, 0.25, 0.0, 0.0), (4, "torus", 1.0, 1.0, 0.0, 0.0), (5, "cylinder", 2.0, 1.0, 0.5, 0.0), (6, "cone", 2.0, 1.0, 0.5, 2.0), (7, "cone", 2.0, 1.0, 0.0, 0.0)]
+    return spark.createDataFrame(rows, "ent_id long, kind string, a double, b double, c double, d double")
+
+
+def test_sizes_of_solids_join_nothing(spark):
+    """Triangles have their points where they are made, the same that joins with vertices give."""
+    from solidspark.operators import faceting
+
+    want = {r.owner_id: (round(r.area, 9), round(r.volume, 9), r.n) for r in faceting.enclosed(*faceting.solid_mesh(solids(spark))).collect()}
+    found = faceting.solid_sizes(solids(spark))
+    assert joins(found) == set() and "ENSURE_REQUIREMENTS" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.owner_id: (round(r.area, 9), round(r.volume, 9), r.n) for r in found.collect()} == want and len(want) == 7
+
+
+def test_sides_are_counted_where_solids_are_made(spark, monkeypatch):
+    """None is shuffled, and only the ends of loops are written."""
+    from solidspark.operators import faceting, mesh
+
+    plans, staged_rows, stage = [], [], mesh.stage
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        out = stage(df, name)
+        staged_rows.append(out.count())
+        return out
+
+    _, elements = faceting.solid_mesh(solids(spark), keep=("ord",))
+    monkeypatch.setattr(mesh, "stage", watched)
+    whole = {r.volume_id: tuple(r)[2:] for r in mesh.closedness(elements).collect()}
+    assert whole == {k: (0, 0, 0, 0) for k in range(1, 8)} and staged_rows == [7] and "ENSURE_REQUIREMENTS" not in plans[0]
+    torn = elements.where("ord > 0 or owner_id <> 2")
+    senses = solids(spark).select(F.col("ent_id").alias("child_id"), (F.col("ent_id") + 10).alias("parent_id"), F.lit(-1).alias("sense"))
+    got = {r.volume_id: tuple(r)[2:] for r in mesh.closedness(torn, senses).collect()}
+    # six that are closed and the torn one with its three sides, which may be used either way
+    assert got == {k + 10: (3, 0, 0, 1) if k == 2 else (0, 0, 0, 0) for k in range(1, 8)} and staged_rows[1] == 7 + 3
+
+
+def test_surfaces_of_one_volume_meet_at_sides(spark):
+    """A volume of several surfaces beside one that is the only surface of its volume, and one that bounds both kinds."""
+    from solidspark.operators import mesh
+
+    four = [(1, [1, 3, 2]), (1, [1, 2, 4]), (2, [2, 3, 4]), (2, [1, 4, 3])]
+    table = spark.createDataFrame([(k, o, [v + 0 for v in c]) for k, (o, c) in enumerate(four)] + [(9, 3, [7, 8, 9]), (10, 3, [9, 8, 7])], "eh long, owner_id long, conn array<long>")
+    senses = spark.createDataFrame([(1, 10, 1), (2, 10, 1), (2, 20, -1), (3, 30, 1), (3, 40, 1), (1, 40, 1), (1, 40, 1)], "child_id long, parent_id long, sense int")
+    got = {r.volume_id: tuple(r)[1:] for r in mesh.closedness(table, senses).collect()}
+    assert got == {10: (6, 0, 0, 0, 0), 20: (5, 4, 0, 0, 1), 30: (3, 0, 0, 0, 0), 40: (8, 0, 4, 1, 0)}
