@@ -176,10 +176,10 @@ def primitive_facets(m):
 @query(f"""with {_SHELLS} select id volume_id, (n_triangles * 3 // 2)::bigint n_sides, (case when id % 4 = 2 then 3 else 0 end)::bigint missing, (case when id % 4 = 1 then 3 else 0 end)::bigint flipped, 0::bigint crowded, (case when id % 4 = 2 then 1 else 0 end)::bigint loops from shells""")
 def volume_closedness(m):
     """A turned triangle and a missing one are told apart, whichever way a surface bounds its volume."""
-    _, elements = faceting.solid_mesh(_solids(m), COARSE)
-    first = elements.groupBy("owner_id").agg(F.min("eh").alias("first"))
-    damaged = elements.join(shuffled(first), "owner_id").where((F.col("owner_id") % 4 != 2) | (F.col("eh") != F.col("first")))
-    damaged = damaged.withColumn("conn", F.when((F.col("owner_id") % 4 == 1) & (F.col("eh") == F.col("first")), F.reverse("conn")).otherwise(F.col("conn")))
+    _, elements = faceting.solid_mesh(_solids(m), COARSE, keep=("ord",))
+    first = F.col("ord") == 0
+    damaged = elements.where((F.col("owner_id") % 4 != 2) | ~first)
+    damaged = damaged.withColumn("conn", F.when((F.col("owner_id") % 4 == 1) & first, F.reverse("conn")).otherwise(F.col("conn")))
     senses = _solids(m).select(F.col("ent_id").alias("child_id"), F.col("ent_id").alias("parent_id"), F.when(F.col("ent_id") % 7 == 0, -1).otherwise(1).alias("sense"))
     return mesh.closedness(damaged, senses)
 
